@@ -197,3 +197,25 @@ def parse_event_name(lines) -> Column:
 
 def artist_slug(col) -> Column:
     return slugify(col)
+
+
+def split_promoters(cells, venue_name) -> Column:
+    """Promoter cells -> promoter names.
+
+    Cells are concatenated and split on ``/``; inside each part, tokens with
+    a digit or ``$`` are dropped and an ``In-House`` token (one edit allowed)
+    stands for the venue's own name.  Without a venue name such a part is
+    dropped.  Empty parts vanish.
+    """
+    joined = F.array_join(_c(cells), "")
+    venue = _c(venue_name)
+
+    def part_name(p):
+        toks = F.filter(F.split(F.trim(p), r"\s+"), lambda t: (t != "") & ~t.rlike("[0-9$]"))
+        inhouse = F.transform(toks, lambda t: F.levenshtein(F.lit("in-house"), F.lower(t)) < 2)
+        mapped = F.transform(toks, lambda t: F.when(F.levenshtein(F.lit("in-house"), F.lower(t)) < 2, venue)
+                             .otherwise(t))
+        dropped = F.exists(inhouse, lambda b: b) & (venue.isNull() | (venue == ""))
+        return F.when(~dropped, F.array_join(mapped, " "))
+
+    return F.filter(F.transform(F.split(joined, "/"), part_name), lambda n: n.isNotNull() & (n != ""))
