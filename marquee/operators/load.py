@@ -10,16 +10,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dedupe_by_key(df: DataFrame, key: str | list[str], order_by: list) -> DataFrame:
+def dedupe_by_key(df: DataFrame, key: str | list[str], order_by: list[str],
+                  count_col: str | None = None) -> DataFrame:
     """Keep one row per ``key``: the first by ``order_by`` (a deterministic
     survivor, where a constant ORDER BY would leave it arbitrary).
 
-    One shuffle on the key; a hot key is a single window partition but the
-    window streams it (no group materialised in memory).
+    Written as ``min_by(row, order)`` aggregation rather than a ranking
+    window: the aggregate is partial on the map side, so a signature that
+    repeats a billion times shuffles one candidate per map task, not every
+    copy.  ``count_col`` optionally reports how many copies there were.
     """
     keys = [key] if isinstance(key, str) else key
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    others = [c for c in df.columns if c not in keys]
+    aggs = [F.min_by(F.struct(*others), F.struct(*order_by)).alias("_r")]
+    if count_col:
+        aggs.append(F.count("*").alias(count_col))
+    out = df.groupBy(*keys).agg(*aggs)
+    return out.select(*keys, "_r.*", *([count_col] if count_col else []))
 
 
 def bridge(df: DataFrame, id_col: str, list_col: str, value_name: str,

@@ -31,8 +31,11 @@ def sellout_gate(df: DataFrame, group: list[str], shows: str = "num_shows",
 
 
 def constraint_report(checks: dict[str, DataFrame]) -> DataFrame:
-    """Union of named violation counts: {name: DataFrame of violating rows}."""
-    parts = [df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
+    """Union of named violation counts: {name: DataFrame of violating rows};
+    a DataFrame with a ``violations`` column contributes the sum of it."""
+    parts = [df.agg((F.coalesce(F.sum("violations"), F.lit(0)) if "violations" in df.columns
+                     else F.count("*")).cast("bigint").alias("violations"))
+             .select(F.lit(name).alias("check"), "violations")
              for name, df in checks.items()]
     out = parts[0]
     for p in parts[1:]:
