@@ -38,20 +38,13 @@ def running_count(df: DataFrame, keys: list[str], order: str, flag: Column, out:
 def forward_fill(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
     """``out`` = last non-null ``value`` at or before this row (header fill)."""
     d = df.withColumn("_chunk", F.floor(F.col(order) / CHUNK))
-    per_chunk = (d.filter(F.col(value).isNotNull()).groupBy(*keys, "_chunk")
-                 .agg(F.max_by(value, order).alias("_last")))
-    carry = per_chunk.withColumn("_carry", F.last("_last", ignorenulls=True).over(
+    # one summary row per chunk: its last non-null value (null if none)
+    per_chunk = d.groupBy(*keys, "_chunk").agg(
+        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"))
+    carry_all = per_chunk.withColumn("_carry", F.last("_last", ignorenulls=True).over(
         Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1))).drop("_last")
     local = F.last(value, ignorenulls=True).over(
         Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    # chunks with no header of their own still need the carry: take it from the
-    # nearest earlier chunk that has one
-    chunks = d.select(*keys, "_chunk").distinct()
-    carry_all = (chunks.join(per_chunk, [*keys, "_chunk"], "left")
-                 .withColumn("_carry", F.last("_last", ignorenulls=True).over(
-                     Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)))
-                 .drop("_last"))
-    del carry
     return (d.join(carry_all, [*keys, "_chunk"], "left")
             .withColumn(out, F.coalesce(local, F.col("_carry"))).drop("_chunk", "_carry"))
 
@@ -94,6 +87,15 @@ def first_page_with(df: DataFrame, keys: list[str], page: str, text: str, marker
             .agg(F.min(page).alias("page")))
 
 
+def cut_last_at(df: DataFrame, keys: list[str], order: str, line: str, marker: str = "*") -> DataFrame:
+    """Cut the last line of each key at the first ``marker`` (trailing notes)."""
+    last = df.groupBy(*keys).agg(F.max(order).alias("_last"))
+    return (df.join(last, keys)
+            .withColumn(line, F.when((F.col(order) == F.col("_last")) & F.col(line).contains(marker),
+                                     F.substring_index(F.col(line), marker, 1)).otherwise(F.col(line)))
+            .drop("_last"))
+
+
 def rank_in_group(df: DataFrame, keys: list[str], order: str, out: str = "rank") -> DataFrame:
     """1-based position of each row within its group (running count of rows)."""
     return running_count(df, keys, order, F.lit(True), out)
