@@ -24,3 +24,13 @@ def number_value(token) -> Column:
     t = F.col(token) if isinstance(token, str) else token
     return F.coalesce(number_word_map()[F.lower(t)],
                       F.when(t.rlike("^[0-9]{1,9}$"), t.cast("int")))
+
+
+def parse_count(number_token, metric_token) -> Column:
+    """struct(num_shows, num_sellouts) from ``<number> <metric>``: the metric
+    is ``shows``/``sellouts`` or within 3 edits of one (sellouts tried first)."""
+    n = number_value(number_token)
+    m = F.col(metric_token) if isinstance(metric_token, str) else metric_token
+    to_sell = (m == "sellouts") | ((m != "shows") & (F.levenshtein(m, F.lit("sellouts")) <= 3))
+    to_show = ~to_sell & ((m == "shows") | (F.levenshtein(m, F.lit("shows")) <= 3))
+    return F.struct(F.when(to_show, n).alias("num_shows"), F.when(to_sell, n).alias("num_sellouts"))

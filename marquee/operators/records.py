@@ -190,16 +190,47 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
                    F.col("_att").alias("attendance"), st["capacity"].alias("capacity"),
                    st["shows"].alias("num_shows"), st["sellouts"].alias("num_sellouts"),
                    st["promoter"].alias("promoter"), st["prices"].alias("ticket_prices"))
-    d = d.withColumn(out, F.when(F.col("_lc") > 0, rec))
-    return d.drop("_line", "_lc", "_toks", "_loc_end", "_has_dec", "_date_end", "_after", "_gross", "_att",
-                  "_p_end", "_st")
-
-
-def extract_events(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(parsed, quarantine): rows whose event string yields no record go to
-    quarantine with a reason instead of failing the job."""
-    parsed = parse_events(df, text_col, "_rec")
-    good = parsed.filter(F.col("_rec").isNotNull()).select("*", "_rec.*").drop("_rec")
-    bad = parsed.filter(F.col("_rec").isNull()).drop("_rec").withColumn(
-        "_corrupt_reason", F.lit("no venue word"))
-    return good, bad
+    # explode of a one-element array is a Generate: a projection barrier, so
+    # the optimizer cannot inline the aggregate into every field access
+    # downstream (which would re-run the state machine once per field)
+    keep = [c for c in df.columns]
+    return d.select(*keep, F.explode(F.array(F.when(F.col("_lc") > 0, rec))).alias(out))
+
+
+# -- annual report lines -------------------------------------------------------
+_ONE_TOUR = r"^([0-9]+) (.+?) \$([0-9,]+) ([0-9,]+) ([0-9]+)/([0-9]+) (.+)$"
+_TWO_TOURS = r"^([0-9]+) (.+?) \$([0-9,]+) ([0-9]+) (.+?) \$([0-9,]+)$"
+
+
+def admit_report_line(col) -> Column:
+    """Report rows start with a digit and are at least 40 characters."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.rlike("^[0-9]") & (F.length(c) >= 40)
+
+
+def parse_report_lines(df: DataFrame, line_col: str) -> DataFrame:
+    """Report lines in two layouts -> one row per tour.
+
+    Layout 1 (has ``cities/shows``): rank artist $revenue tickets c/s agency.
+    Layout 2: two tours side by side -> ``explode`` of two structs, so one
+    input line yields two rows.  Lines failing admission are dropped.
+    """
+    d = df.filter(admit_report_line(line_col))
+    ln = F.col(line_col)
+    num = lambda c: F.regexp_replace(c, ",", "").try_cast("bigint")
+    x1 = lambda i: F.regexp_extract(ln, _ONE_TOUR, i)
+    x2 = lambda i: F.regexp_extract(ln, _TWO_TOURS, i)
+    t = "struct<rank:int,artist:string,revenue:bigint,tickets:bigint,num_cities:int,num_shows:int,agency:string>"
+    one = F.array(F.struct(x1(1).cast("int").alias("rank"), x1(2).alias("artist"), num(x1(3)).alias("revenue"),
+                           num(x1(4)).alias("tickets"), x1(5).cast("int").alias("num_cities"),
+                           x1(6).cast("int").alias("num_shows"), x1(7).alias("agency")))
+    null = lambda typ: F.lit(None).cast(typ)
+    two = F.array(
+        F.struct(x2(1).cast("int").alias("rank"), x2(2).alias("artist"), num(x2(3)).alias("revenue"),
+                 null("bigint").alias("tickets"), null("int").alias("num_cities"), null("int").alias("num_shows"),
+                 null("string").alias("agency")),
+        F.struct(x2(4).cast("int").alias("rank"), x2(5).alias("artist"), num(x2(6)).alias("revenue"),
+                 null("bigint").alias("tickets"), null("int").alias("num_cities"), null("int").alias("num_shows"),
+                 null("string").alias("agency")))
+    tours = F.when(ln.rlike(_ONE_TOUR), one.cast(f"array<{t}>")).when(ln.rlike(_TWO_TOURS), two.cast(f"array<{t}>"))
+    return d.select("*", F.explode(tours).alias("_t")).select("*", "_t.*").drop("_t")

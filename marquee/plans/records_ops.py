@@ -1,6 +1,156 @@
-"""Plans: records_ops."""
+"""Text -> record operators on the driver tables: box-score event strings,
+two-layout report lines, number words, symbol cleaning."""
 
-from pyspark.sql import functions as F  # noqa: F401
+from __future__ import annotations
 
-from marquee.plans.registry import query  # noqa: F401
-from marquee.sources.tables import table  # noqa: F401
+from pyspark.sql import functions as F
+
+from marquee.functions import numbers, text
+from marquee.operators import records
+from marquee.plans.curation import PRINTED_MONTHS
+from marquee.plans.registry import query
+from marquee.sources.tables import table
+
+_NUM_WORDS = list(numbers.NUMBER_WORDS)   # index = value for 0..20
+_NUM_WORDS_SQL = "[" + ", ".join(f"'{w}'" for w in _NUM_WORDS[:21]) + "]"
+_MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in PRINTED_MONTHS) + "]"
+
+
+def _event_strings(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                             "l_returnflag", "l_linestatus")
+    x = (li.join(table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size"),
+                 F.col("l_partkey") == F.col("p_partkey"))
+         .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
+               F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey"),
+               F.col("o_custkey") == F.col("c_custkey"))
+         .join(table(spark, sf, "nation").select("n_nationkey", "n_regionkey"),
+               F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(table(spark, sf, "region").select("r_regionkey", "r_name"),
+               F.col("n_regionkey") == F.col("r_regionkey")))
+    att = (F.col("l_quantity") * 100).cast("bigint")
+    cap = F.when(F.col("l_returnflag") == "R", att - 50).otherwise(att + 500)
+    month = F.element_at(F.array(*[F.lit(m) for m in PRINTED_MONTHS]), F.month("o_orderdate"))
+    word = F.element_at(F.array(*[F.lit(w) for w in _NUM_WORDS]), F.col("l_linenumber") + 1)
+    s = F.concat_ws(" ", F.upper("p_name"), F.initcap("c_mktsegment"), F.lit("Arena"), month,
+                    F.dayofmonth("o_orderdate").cast("string"),
+                    F.concat(F.lit("$"), F.format_string("%,d", F.floor("o_totalprice"))),
+                    F.format_string("%,d", att), F.lit("Cellar Door Prods. |"), F.upper("p_type"),
+                    F.initcap("r_name"),
+                    F.format_string("$%d/$%d", F.col("p_size"), F.col("l_linenumber") + 10),
+                    F.format_string("(%,d) |", cap), word,
+                    F.when(F.col("l_linestatus") == "O", F.lit("shows")).otherwise(F.lit("sellouts")))
+    return x.select("l_orderkey", "l_linenumber", s.alias("event_text"))
+
+
+@query("q41_event_records", f"""
+SELECT l.l_orderkey, l.l_linenumber,
+       upper(p.p_name) || '; ' || upper(p.p_type) AS artists,
+       upper(c.c_mktsegment[1]) || lower(c.c_mktsegment[2:]) || ' Arena; '
+         || array_to_string(list_transform(string_split(lower(r.r_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ')
+         AS location,
+       {_MONTHS_SQL}[month(o.o_orderdate)] || ' ' || CAST(day(o.o_orderdate) AS VARCHAR) AS dates,
+       CAST(floor(o.o_totalprice) AS BIGINT) AS gross_receipts_us,
+       CAST(l.l_quantity * 100 AS BIGINT) AS attendance,
+       CASE WHEN l.l_returnflag = 'R' THEN NULL ELSE CAST(l.l_quantity * 100 AS BIGINT) + 500 END AS capacity,
+       CASE WHEN l.l_linestatus = 'O' AND l.l_linenumber >= 0 THEN CAST(l.l_linenumber AS BIGINT) END AS num_shows,
+       CASE WHEN l.l_linestatus <> 'O' THEN CAST(l.l_linenumber AS BIGINT) END AS num_sellouts,
+       'Cellar Door Prods.' AS promoter,
+       CAST(p.p_size AS VARCHAR) || '/' || CAST(l.l_linenumber + 10 AS VARCHAR) AS ticket_prices
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey
+JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+JOIN region r ON r.r_regionkey = n.n_regionkey
+""")
+def q41_event_records(spark, sf):
+    """Box-score event strings -> processed-event records (first line in
+    fixed order, continuation tokens by the extraction state machine)."""
+    ev = records.parse_events(_event_strings(spark, sf), "event_text")
+    e = F.col("event")
+    return ev.select("l_orderkey", "l_linenumber",
+                     F.array_join(e["artists"], "; ").alias("artists"),
+                     F.array_join(e["location"], "; ").alias("location"),
+                     F.array_join(e["dates"], "; ").alias("dates"),
+                     e["gross_receipts_us"].cast("bigint").alias("gross_receipts_us"),
+                     e["attendance"].cast("bigint").alias("attendance"),
+                     e["capacity"].cast("bigint").alias("capacity"),
+                     e["num_shows"].cast("bigint").alias("num_shows"),
+                     e["num_sellouts"].cast("bigint").alias("num_sellouts"),
+                     F.array_join(e["promoter"], "; ").alias("promoter"),
+                     F.array_join(e["ticket_prices"], "; ").alias("ticket_prices"))
+
+
+_REPORT_SQL_LINE = """
+CASE WHEN l.l_returnflag = 'N'
+     THEN CAST(l.l_linenumber AS VARCHAR) || ' ' || upper(p.p_name) || ' $' || CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR)
+          || ' ' || CAST(CAST(l.l_quantity AS BIGINT) * 10 AS VARCHAR) || ' ' || CAST(p.p_size AS VARCHAR) || '/'
+          || CAST(l.l_linenumber AS VARCHAR) || ' ' || upper(p.p_type) || ' AGENCY'
+     ELSE CAST(l.l_linenumber AS VARCHAR) || ' ' || upper(p.p_name) || ' $' || CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR)
+          || ' ' || CAST(l.l_linenumber + 50 AS VARCHAR) || ' ' || upper(p.p_type) || ' $'
+          || CAST(CAST(l.l_quantity AS BIGINT) * 1000 AS VARCHAR) END
+"""
+
+
+@query("q41_two_layouts", f"""
+WITH x AS (SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, l.l_extendedprice, l.l_quantity, p.p_name,
+                  p.p_type, p.p_size, {_REPORT_SQL_LINE} AS line
+           FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+k AS (SELECT * FROM x WHERE regexp_matches(line, '^[0-9]') AND length(line) >= 40)
+SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS INTEGER) AS rank, upper(p_name) AS artist,
+       CAST(floor(l_extendedprice) AS BIGINT) AS revenue,
+       CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) * 10 END AS tickets,
+       CASE WHEN l_returnflag = 'N' THEN CAST(p_size AS INTEGER) END AS num_cities,
+       CASE WHEN l_returnflag = 'N' THEN CAST(l_linenumber AS INTEGER) END AS num_shows,
+       CASE WHEN l_returnflag = 'N' THEN upper(p_type) || ' AGENCY' END AS agency
+FROM k
+UNION ALL
+SELECT l_orderkey, l_linenumber, CAST(l_linenumber + 50 AS INTEGER), upper(p_type),
+       CAST(l_quantity AS BIGINT) * 1000, NULL, NULL, NULL, NULL
+FROM k WHERE l_returnflag <> 'N'
+""")
+def q41_two_layouts(spark, sf):
+    """Annual-report lines in two layouts: one tour per line (tickets,
+    cities/shows, agency) or two tours per line (one line -> two rows);
+    lines must start with a digit and be >= 40 chars."""
+    li = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rev = F.floor("l_extendedprice").cast("bigint").cast("string")
+    one = F.concat_ws(" ", F.col("l_linenumber").cast("string"), F.upper("p_name"), F.concat(F.lit("$"), rev),
+                      (F.col("l_quantity").cast("bigint") * 10).cast("string"),
+                      F.format_string("%d/%d", F.col("p_size"), F.col("l_linenumber")),
+                      F.upper("p_type"), F.lit("AGENCY"))
+    two = F.concat_ws(" ", F.col("l_linenumber").cast("string"), F.upper("p_name"), F.concat(F.lit("$"), rev),
+                      (F.col("l_linenumber") + 50).cast("string"), F.upper("p_type"),
+                      F.concat(F.lit("$"), (F.col("l_quantity").cast("bigint") * 1000).cast("string")))
+    lines = li.select("l_orderkey", "l_linenumber",
+                      F.when(F.col("l_returnflag") == "N", one).otherwise(two).alias("line"))
+    return records.parse_report_lines(lines, "line").select(
+        "l_orderkey", "l_linenumber", "rank", "artist", "revenue", "tickets", "num_cities", "num_shows", "agency")
+
+
+@query("q43_number_words", """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_linestatus = 'O' THEN l_linenumber END AS num_shows,
+       CASE WHEN l_linestatus <> 'O' THEN l_linenumber END AS num_sellouts
+FROM lineitem
+""")
+def q43_number_words(spark, sf):
+    """Counts written as words with OCR-damaged metric words
+    (``three shovs``, ``seven satlouts``)."""
+    li = table(spark, sf, "lineitem")
+    word = F.element_at(F.array(*[F.lit(w) for w in _NUM_WORDS]), F.col("l_linenumber") + 1)
+    metric = F.when(F.col("l_linestatus") == "O", F.when(F.col("l_returnflag") == "R", F.lit("shovs"))
+                    .otherwise(F.lit("shows"))).otherwise(
+        F.when(F.col("l_returnflag") == "R", F.lit("satlouts")).otherwise(F.lit("sellouts")))
+    c = numbers.parse_count(word, metric)
+    return li.select("l_orderkey", "l_linenumber", c["num_shows"].alias("num_shows"),
+                     c["num_sellouts"].alias("num_sellouts"))
+
+
+@query("q44_symbol_clean", f"""
+SELECT doc_id,
+       trim(regexp_replace(translate(text, '{"".join(text.NOISY_SYMBOLS)}', ''), '\\s+', ' ', 'g')) AS text
+FROM documents
+""")
+def q44_symbol_clean(spark, sf):
+    """Noisy-symbol removal and whitespace squeeze over whole documents."""
+    return table(spark, sf, "documents").select("doc_id", text.remove_noisy_symbols("text").alias("text"))
