@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marquee.functions.text import let
+
 # --- fixed values -----------------------------------------------------------
 # Month words as they appear in the listings, with their month number.
 # (The full set: long and short forms of March, April, June, July, Sept.)
@@ -48,6 +50,10 @@ def clean_dates(arr) -> Column:
         F.when((i > 0) & (F.substring(s, 1, 1) != ","), F.concat(F.lit(","), s)).otherwise(s)))
     toks = F.transform(F.flatten(F.transform(pieces, lambda p: F.split(p, " "))),
                        lambda t: F.regexp_replace(t, "^,+|,+$", ""))
+    return let(toks, _stray_filter)
+
+
+def _stray_filter(toks: Column) -> Column:
     months = month_map()
     init = F.struct(F.array().cast("array<string>").alias("out"),
                     F.lit(None).cast("string").alias("m"), F.lit(None).cast("int").alias("d"))
@@ -110,14 +116,17 @@ def curate_date(arr, issue_year, issue_month) -> Column:
     start = first (month, day), end = last; each gets its own inferred year;
     an impossible day gives null dates (never an error).
     """
-    text = clean_dates(arr)
-    pairs = month_day_pairs(text)
-    first, last = F.get(pairs, 0), F.get(pairs, F.size(pairs) - 1)
-    start = _safe_date(event_year(issue_year, issue_month, first["m"]), first["m"], first["d"])
-    end = _safe_date(event_year(issue_year, issue_month, last["m"]), last["m"], last["d"])
-    ok = (F.size(pairs) > 0) & start.isNotNull() & end.isNotNull()
-    return F.struct(F.when(ok, start).alias("start_date"), F.when(ok, end).alias("end_date"),
-                    F.when(ok, text).alias("dates"))
+    def build(text):
+        def with_pairs(pairs):
+            first, last = F.get(pairs, 0), F.get(pairs, F.size(pairs) - 1)
+            start = _safe_date(event_year(issue_year, issue_month, first["m"]), first["m"], first["d"])
+            end = _safe_date(event_year(issue_year, issue_month, last["m"]), last["m"], last["d"])
+            return let(F.struct(start.alias("s"), end.alias("e")), lambda se: F.struct(
+                F.when(se["s"].isNotNull() & se["e"].isNotNull(), se["s"]).alias("start_date"),
+                F.when(se["s"].isNotNull() & se["e"].isNotNull(), se["e"]).alias("end_date"),
+                F.when(se["s"].isNotNull() & se["e"].isNotNull(), text).alias("dates")))
+        return let(month_day_pairs(text), with_pairs)
+    return let(clean_dates(arr), build)
 
 
 def issue_part(path, from_end: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marquee.functions.text import event_title, slugify
+from marquee.functions.text import event_title, let, slugify
 
 # --- fixed values -----------------------------------------------------------
 # Keywords that signal a special event (festival) in the artist lines.
@@ -50,7 +50,10 @@ def _overflow(token: Column) -> Column:
 def merge_artists(arr, in_event) -> Column:
     """Join cells that overflow into the next one (``JOAN JETT & THE`` +
     ``BLACKHEARTS``); the merged cell is not examined again."""
-    a = _c(arr)
+    return let(_c(arr), lambda a: _merge(a, in_event))
+
+
+def _merge(a: Column, in_event) -> Column:
     idx = F.transform(a, lambda x, i: i)
     init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("skip"))
 
@@ -72,7 +75,10 @@ def merge_artists(arr, in_event) -> Column:
 def separate_artists(arr, in_event) -> Column:
     """Festival lines: join all and split on commas.  Otherwise a ``/`` in a
     cell splits it at the last ``/`` and the right half absorbs the next cell."""
-    a = _c(arr)
+    return let(_c(arr), lambda a: _separate(a, in_event))
+
+
+def _separate(a: Column, in_event) -> Column:
     festival = F.when(F.exists(a, lambda s: s.contains(",")),
                       F.transform(F.split(F.array_join(a, " "), ","), lambda s: F.trim(s))).otherwise(a)
     idx = F.transform(a, lambda x, i: i)
@@ -163,17 +169,26 @@ def extract_event_name(lines) -> Column:
     """struct(event_name, artists): the event name runs up to the line that
     completes every signal present (keyword and/or colon); text after the
     colon and the remaining lines are artists."""
-    a = _c(lines)
-    low = F.transform(a, lambda l: F.lower(l))
-    kw = F.transform(low, lambda l: any_keyword(l, STRONG_EVENT_KEYWORDS + WEAK_EVENT_KEYWORDS))
-    colon = F.transform(low, lambda l: l.contains(":"))
+    return let(_c(lines), lambda a: let(
+        F.struct(F.transform(a, lambda l: F.lower(l)).alias("low"),
+                 F.transform(a, lambda l: any_keyword(F.lower(l), STRONG_EVENT_KEYWORDS + WEAK_EVENT_KEYWORDS))
+                 .alias("kw"),
+                 F.transform(a, lambda l: l.contains(":")).alias("colon")),
+        lambda f: _extract(a, f["low"], f["kw"], f["colon"])))
+
+
+def _extract(a: Column, low: Column, kw: Column, colon: Column) -> Column:
     k = F.array_position(kw, True)      # 1-based, 0 = none
     c = F.array_position(colon, True)
     stops = F.filter(F.transform(a, lambda l, i: F.when(
         (F.get(kw, i) & ((c == 0) | (c <= i + 1)))
         | (~F.get(kw, i) & F.get(colon, i) & ((k == 0) | (k < i + 1))), i + 1)), lambda x: x.isNotNull())
-    s = F.array_min(stops)              # 1-based stop line, null = none
-    stop_line = F.element_at(low, s)
+    return let(F.array_min(stops), lambda s: _cut(a, low, s))
+
+
+def _cut(a: Column, low: Column, s: Column) -> Column:
+    """Name parts and artists for the 1-based stop line ``s`` (null = none)."""
+    stop_line = F.get(low, s - 1)
     before = F.trim(F.substring_index(stop_line, ":", 1))
     after = F.trim(F.substring(stop_line, F.locate(":", stop_line) + 1, 1 << 20))
     stop_has_colon = stop_line.contains(":")
@@ -189,10 +204,22 @@ def extract_event_name(lines) -> Column:
 
 def parse_event_name(lines) -> Column:
     """Score first; at or above the threshold split off the event name."""
-    ex = extract_event_name(lines)
-    hit = special_event_score(lines) >= EVENT_SCORE_THRESHOLD
-    return F.struct(F.when(hit, ex["event_name"]).alias("event_name"),
-                    F.when(hit, ex["artists"]).otherwise(_c(lines)).alias("artists"))
+    def build(a):
+        return let(F.struct((special_event_score(a) >= EVENT_SCORE_THRESHOLD).alias("hit"),
+                            extract_event_name(a).alias("ex")),
+                   lambda r: F.struct(F.when(r["hit"], r["ex"]["event_name"]).alias("event_name"),
+                                      F.when(r["hit"], r["ex"]["artists"]).otherwise(a).alias("artists")))
+    return let(_c(lines), build)
+
+
+def event_names(df, lines: str, out: str = "parsed"):
+    """DataFrame form of ``parse_event_name``: score and split are computed
+    once each as their own columns (no sub-expression is evaluated twice)."""
+    d = df.withColumn("_score", special_event_score(F.col(lines)))
+    d = d.withColumn("_ex", F.when(F.col("_score") >= EVENT_SCORE_THRESHOLD, extract_event_name(F.col(lines))))
+    return d.withColumn(out, F.struct(F.col("_ex.event_name").alias("event_name"),
+                                      F.coalesce(F.col("_ex.artists"), F.col(lines)).alias("artists"),
+                                      F.col("_score").alias("score"))).drop("_score", "_ex")
 
 
 def artist_slug(col) -> Column:

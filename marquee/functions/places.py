@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marquee.functions.text import title_case
+from marquee.functions.text import let, title_case
 
 # --- fixed values -----------------------------------------------------------
 # Canonical venue-type word -> spellings seen in the scans (incl. OCR typos).
@@ -117,15 +117,17 @@ def first_venue_type_pos(arr) -> Column:
 def state_after_venue(arr) -> Column:
     """struct(state_id, tokens): scanning from the end back to the last
     venue-type word, the last state alias is taken and removed."""
-    a = _c(arr)
     sm = state_alias_map()
-    v = F.coalesce(last_venue_type_pos(a), F.lit(0))
-    hits = F.transform(a, lambda t, i: F.when((i + 1 > v) & sm[F.regexp_replace(F.lower(t), r"^\.+|\.+$", "")]
-                                              .isNotNull(), i + 1).otherwise(0))
-    j = F.coalesce(F.array_max(hits), F.lit(0))
-    sid = F.when(j > 0, sm[F.regexp_replace(F.lower(F.element_at(a, F.greatest(j, F.lit(1)))), r"^\.+|\.+$", "")])
-    rest = F.filter(a, lambda t, i: i + 1 != j)
-    return F.struct(sid.alias("state_id"), rest.alias("tokens"))
+
+    def with_tokens(a):
+        def with_v(v):
+            hits = F.transform(a, lambda t, i: F.when(
+                (i + 1 > v) & sm[F.regexp_replace(F.lower(t), r"^\.+|\.+$", "")].isNotNull(), i + 1).otherwise(0))
+            return let(F.coalesce(F.array_max(hits), F.lit(0)), lambda j: F.struct(
+                F.when(j > 0, sm[F.regexp_replace(F.lower(F.get(a, j - 1)), r"^\.+|\.+$", "")]).alias("state_id"),
+                F.filter(a, lambda t, i: i + 1 != j).alias("tokens")))
+        return let(F.coalesce(last_venue_type_pos(a), F.lit(0)), with_v)
+    return let(_c(arr), with_tokens)
 
 
 def state_in_venue(arr) -> Column:
@@ -136,25 +138,30 @@ def state_in_venue(arr) -> Column:
     alias that is no known state gives -1 (unknown) and is removed; ``Ohio
     Center`` keeps its token.
     """
-    a = _c(arr)
     sm = state_alias_map()
-    hit = F.transform(a, lambda t: sm[F.lower(F.translate(t, STATE_BRACKETS + ".", ""))])
-    bracket = F.transform(a, lambda t: t.rlike(r"[(){}]"))
-    first = F.array_position(F.transform(hit, lambda h: h.isNotNull()), True)
-    last_hit = F.element_at(F.filter(hit, lambda h: h.isNotNull()), -1)
-    any_bracket = F.exists(bracket, lambda b: b)
-    sid = F.when(first > 0, last_hit).when(any_bracket, F.lit(-1))
-    keep = F.filter(a, lambda t, i: ~(F.get(bracket, i) & (F.get(hit, i).isNotNull() | (first == 0) | (i + 1 < first))))
-    return F.struct(sid.cast("int").alias("state_id"), keep.alias("tokens"))
+
+    def with_tokens(a):
+        flags = F.struct(F.transform(a, lambda t: sm[F.lower(F.translate(t, STATE_BRACKETS + ".", ""))]).alias("hit"),
+                         F.transform(a, lambda t: t.rlike(r"[(){}]")).alias("bracket"))
+
+        def with_flags(f):
+            hit, bracket = f["hit"], f["bracket"]
+            return let(F.array_position(F.transform(hit, lambda h: h.isNotNull()), True), lambda first: F.struct(
+                F.when(first > 0, F.get(F.filter(hit, lambda h: h.isNotNull()), -1 + F.size(
+                    F.filter(hit, lambda h: h.isNotNull()))))
+                .when(F.exists(bracket, lambda b: b), F.lit(-1)).cast("int").alias("state_id"),
+                F.filter(a, lambda t, i: ~(F.get(bracket, i) & (F.get(hit, i).isNotNull() | (first == 0)
+                                                                 | (i + 1 < first)))).alias("tokens")))
+        return let(flags, with_flags)
+    return let(_c(arr), with_tokens)
 
 
 def city_candidate(arr) -> Column:
     """Tokens after the last venue-type word, joined (commas removed); null
     when no venue-type word."""
-    a = _c(arr)
-    v = last_venue_type_pos(a)
-    return F.when(v > 0, F.replace(F.array_join(F.slice(a, v + 1, F.greatest(F.size(a) - v, F.lit(0))), " "),
-                                   F.lit(","), F.lit("")))
+    return let(_c(arr), lambda a: let(last_venue_type_pos(a), lambda v: F.when(
+        v > 0, F.replace(F.array_join(F.slice(a, v + 1, F.greatest(F.size(a) - v, F.lit(0))), " "),
+                         F.lit(","), F.lit("")))))
 
 
 def looks_educational(arr) -> Column:
@@ -164,9 +171,8 @@ def looks_educational(arr) -> Column:
 def isolate_venue(arr) -> Column:
     """Venue tokens = everything up to the last venue-type word (all tokens
     when there is none)."""
-    a = _c(arr)
-    v = last_venue_type_pos(a)
-    return F.when(v > 0, F.slice(a, 1, v)).otherwise(a)
+    return let(_c(arr), lambda a: let(last_venue_type_pos(a), lambda v: F.when(v > 0, F.slice(a, 1, v))
+                                      .otherwise(a)))
 
 
 def correct_typos(arr) -> Column:

@@ -29,6 +29,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable.
+
+    Higher-order functions run interpreted; an expression referenced inside
+    a lambda (or several times in one projection) is otherwise evaluated at
+    every reference.  ``transform(array(v), x -> fn(x))[0]`` binds it once.
+    """
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def ascii_fold(col) -> Column:
     """Transliterate common accented letters to ASCII."""
     c = F.translate(_c(col), ACCENTED + TYPOGRAPHIC_QUOTES, ASCII_BASE)

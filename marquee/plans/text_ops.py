@@ -113,9 +113,9 @@ def q27_name_split(spark, sf):
     """Special-event name split: name lines up to the line completing the
     keyword/colon signals, the rest are artist lines (whole documents)."""
     d = table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("lines"))
-    r = names.parse_event_name("lines")
-    return d.select("doc_id", r["event_name"].alias("event_name"),
-                    F.size(r["artists"]).cast("bigint").alias("n_artist_lines"))
+    r = names.event_names(d, "lines", "r")
+    return r.select("doc_id", F.col("r.event_name").alias("event_name"),
+                    F.size("r.artists").cast("bigint").alias("n_artist_lines"))
 
 
 @query("q28_title_case", f"""
