@@ -73,3 +73,29 @@ def event_listing(event: DataFrame, venue: DataFrame, artist: DataFrame,
                     F.date_format("end_date", "MM/dd/yyyy").alias("end_date"),
                     "venue", "ticket_prices",
                     F.col("gross_receipts_us").alias("gross_revenue"), "attendance"))
+
+
+def load_warehouse(curated: DataFrame, round_prices: bool = False) -> dict[str, DataFrame]:
+    """Curated events -> event fact + bridge tables.
+
+    Dedupe by signature (deterministic survivor: first file, then rank),
+    surrogate event ids in signature order (range-partitioned dense ids),
+    then the artist, promoter and ticket-price bridges (distinct pairs; empty
+    lists vanish).  ``round_prices`` reproduces an integer cast of prices.
+    """
+    from marquee.operators.conform import dense_ids
+
+    ev = dedupe_by_key(curated, "signature", ["file", "weekly_rank"])
+    ev = dense_ids(ev, "signature", 0)
+    event = ev.select("id", "signature", "weekly_rank", "venue_id", "event_name", "start_date", "end_date",
+                      "dates", "gross_receipts_us", "gross_receipts_canadian", "attendance", "capacity",
+                      "num_shows", "num_sellouts", "schema_id", "source_id", "s3_uri")
+    prices = ev.select("id", F.transform("ticket_prices",
+                                         (lambda p: F.round(p).cast("decimal(8,2)")) if round_prices
+                                         else (lambda p: p.cast("decimal(8,2)"))).alias("tp"))
+    return {
+        "event": event,
+        "event_to_artist": bridge(ev, "id", "artist_ids", "artist_id").withColumnRenamed("id", "event_id"),
+        "event_to_promoter": bridge(ev, "id", "promoters", "promoter_id").withColumnRenamed("id", "event_id"),
+        "event_ticket_price": bridge(prices, "id", "tp", "ticket_price").withColumnRenamed("id", "event_id"),
+    }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import places, text
 from marquee.operators import conform
+from marquee.session import cut_lineage
 
 
 def windows(df: DataFrame, key: str, tokens: str, max_n: int = 3) -> DataFrame:
@@ -82,3 +83,113 @@ def city_after_venue(df: DataFrame, key: str, tokens: str, state: str, cities: D
     best = conform.pick_first(exact.unionByName(fz).unionByName(un), [key], [F.col("rule")] + early)
     return best.select(key, F.col("cid").alias("city_id"), (F.col("start") - 1 + F.col("_v")).cast("int")
                        .alias("city_index"))
+
+
+def _new_keyed_members(existing: DataFrame, cand: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Distinct candidates whose ``keys`` are not in ``existing`` -> ids after
+    ``max(id)`` in key order (dense ids without a single-task window)."""
+    c = (cand.groupBy(*keys).agg(F.min(name).alias("name"))
+         .join(existing.select(*keys).distinct(), keys, "left_anti"))
+    c = c.withColumn("_order", F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    base = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))
+    return conform.dense_ids(c.crossJoin(F.broadcast(base)), "_order", F.col("_max")).drop("_max", "_order")
+
+
+def match_venues(d: DataFrame, key: str, venues: DataFrame, cities: DataFrame) -> DataFrame:
+    """(key, venue_name, city_id, city_cand) -> (key, venue_id, matched_name).
+
+    Exact slug first; otherwise, with a known city, a venue of that city
+    whose name is within 2 edits (names > 7 chars; the highest id wins, as
+    the last match of a scan in id order).  Among venues sharing the slug the
+    first (by id) that is educational, in the same city, or in a city of the
+    same name is taken."""
+    rows = d.select(key, "venue_name", "city_id", "_cand").withColumn("_vslug", text.slugify("venue_name"))
+    vs = venues.select(F.col("id").alias("vid"), F.col("name").alias("vname"), F.col("slug").alias("vslug"),
+                       F.col("city_id").alias("vcity"))
+    exact = rows.join(vs.select("vslug").distinct(), rows["_vslug"] == F.col("vslug"), "left_semi") \
+        .select(key, F.col("_vslug").alias("kslug"))
+    fz_src = rows.join(exact, key, "left_anti").filter(F.col("city_id").isNotNull() & (F.col("city_id") != -1)
+                                                       & (F.length("venue_name") > 7))
+    fz = conform.fuzzy_candidates(fz_src, "venue_name", ["city_id"], vs, "vname", ["vcity"], max_dist=2,
+                                  keep=["vid", "vslug"])
+    fz = fz.groupBy(key).agg(F.max_by("vslug", "vid").alias("kslug"))
+    keyed = rows.join(exact.unionByName(fz), key)
+    cn = cities.select(F.col("id").alias("ccity"), F.col("name").alias("ccity_name"))
+    cands = keyed.join(vs, keyed["kslug"] == vs["vslug"]).join(cn, F.col("vcity") == F.col("ccity"), "left")
+    edu = F.lit(False)
+    for t in places.EDUCATIONAL_TOKENS:
+        edu = edu | F.col("kslug").contains(t)
+    ok = edu | (F.col("vcity") == F.col("city_id")) | (F.col("ccity_name") == F.col("_cand"))
+    return (cands.filter(ok).groupBy(key).agg(F.min_by(F.struct("vid", "vname"), "vid").alias("_m"))
+            .select(key, F.col("_m.vid").alias("venue_id"), F.col("_m.vname").alias("matched_name")))
+
+
+def curate_locations(events: DataFrame, key: str, location_col: str, cities: DataFrame,
+                     venues: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Location cells -> (events + venue_id/venue_name/city_id/state_id,
+    new cities, new venues).
+
+    Order of the rules: tokens (hyphens split, noise dropped, venue-type
+    spellings fixed) -> state after the venue -> city after the venue (a
+    miss with a known state proposes a new city from the tail) -> state
+    inside the venue -> city inside the venue -> venue isolation and typo
+    repair -> city inside the venue again -> venue match -> new venue.
+    Set-based and deterministic: all rows are resolved against the existing
+    dimensions, new members are collected, deduplicated and given ids once,
+    then joined back (two passes, no per-row loop).
+    """
+    d = events.select(key, F.col(location_col).alias("_loc"))
+    d = d.withColumn("_t", places.clean_location(places.split_hyphen_tokens(places.location_tokens("_loc"))))
+    d = d.withColumn("_sa", places.state_after_venue("_t")).select(
+        key, F.col("_sa.state_id").alias("state_id"), F.col("_sa.tokens").alias("_t"))
+    # every stage joins the rows with something derived from them: cut the
+    # lineage after each one so the plan stays linear in the number of stages
+    d = cut_lineage(d)
+    d = cut_lineage(d.join(city_after_venue(d, key, "_t", "state_id", cities), key, "left"))
+    v = places.last_venue_type_pos("_t")
+    d = (d.withColumn("_cand", F.when(F.col("city_id").isNull(), places.city_candidate("_t")))
+         .withColumn("_t", F.when(F.col("city_id").isNotNull(), F.slice("_t", 1, F.col("city_index")))
+                     .when(v > 0, F.slice("_t", 1, v)).otherwise(F.col("_t"))))
+    # new cities: a tail after the venue word, with a known state
+    nc_src = (d.filter(F.col("city_id").isNull() & F.col("state_id").isNotNull() & (F.col("_cand") != ""))
+              .select(text.slugify("_cand").alias("slug"), "state_id", F.col("_cand").alias("name")))
+    new_cities = cut_lineage(_new_keyed_members(cities, nc_src, ["slug", "state_id"], "name"))
+    d = d.join(new_cities.select(F.col("slug").alias("_cslug"), F.col("state_id").alias("_nst"),
+                                 F.col("id").alias("_ncid")),
+               (text.slugify(F.col("_cand")) == F.col("_cslug")) & (F.col("state_id") == F.col("_nst"))
+               & F.col("city_id").isNull(), "left")
+    d = d.withColumn("city_id", F.coalesce("city_id", "_ncid")).drop("_cslug", "_nst", "_ncid")
+    all_cities = cities.select("id", "name", "slug", "state_id").unionByName(
+        new_cities.select("id", "name", "slug", "state_id"))
+    # state written inside the venue name
+    d = d.withColumn("_siv", F.when(F.col("state_id").isNull(), places.state_in_venue("_t")))
+    d = (d.withColumn("_t", F.coalesce(F.col("_siv.tokens"), F.col("_t")))
+         .withColumn("state_id", F.coalesce(F.col("state_id"), F.col("_siv.state_id"))).drop("_siv"))
+    d = cut_lineage(d)
+
+    def city_inside(df):
+        civ = city_in_venue(df.filter(F.col("city_id").isNull()), key, "_t", "state_id", all_cities)
+        return cut_lineage(df.join(civ.select(key, F.col("city_id").alias("_civ")), key, "left")
+                           .withColumn("city_id", F.coalesce("city_id", "_civ")).drop("_civ"))
+
+    d = city_inside(d)
+    d = d.withColumn("_t", places.correct_typos(places.isolate_venue("_t")))
+    d = city_inside(d)
+    d = d.withColumn("venue_name", F.array_join("_t", " "))
+    m = match_venues(d, key, venues, all_cities)
+    d = cut_lineage(d.join(m, key, "left"))
+    nv_src = (d.filter(F.col("venue_id").isNull() & (F.col("venue_name") != ""))
+              .select(text.slugify("venue_name").alias("slug"), F.col("venue_name").alias("name"),
+                      F.coalesce("city_id", F.lit(-1)).alias("city_id"), "state_id"))
+    nv = (nv_src.groupBy("slug").agg(F.min_by(F.struct("name", "city_id", "state_id"), "name").alias("_v"))
+          .select("slug", "_v.*").join(venues.select("slug").distinct(), "slug", "left_anti"))
+    base = venues.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))
+    new_venues = cut_lineage(conform.dense_ids(nv.crossJoin(F.broadcast(base)), "slug", F.col("_max")).drop("_max"))
+    d = (d.join(new_venues.select(F.col("slug").alias("_nvs"), F.col("id").alias("_nvid")),
+                (text.slugify(F.col("venue_name")) == F.col("_nvs")) & F.col("venue_id").isNull(), "left")
+         .withColumn("venue_id", F.coalesce("venue_id", "_nvid"))
+         .withColumn("venue_name", F.coalesce("matched_name", "venue_name"))
+         .drop("_nvs", "_nvid", "matched_name"))
+    out = events.join(d.select(key, "venue_id", "venue_name", "city_id", "state_id"), key, "left")
+    return out, new_cities.select("id", "name", "slug", "state_id"), new_venues.select(
+        "id", "name", "slug", "city_id", "state_id")

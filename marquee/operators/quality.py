@@ -18,6 +18,14 @@ def column_gate(df: DataFrame, group: list[str], cols: list[str]) -> DataFrame:
     return out.drop(*[f"_ok_{c}" for c in cols])
 
 
+def gate_flags(df: DataFrame, group: list[str], cols: list[str], prefix: str = "_ok_") -> DataFrame:
+    """Add ``<prefix><col>`` = every non-null value of ``col`` in the group
+    is >= 0 (one grouped aggregate joined back)."""
+    flags = df.groupBy(*group).agg(*[F.coalesce(F.bool_and(F.col(c) >= 0), F.lit(True)).alias(f"{prefix}{c}")
+                                     for c in cols])
+    return df.join(flags, group, "left")
+
+
 def sellout_gate(df: DataFrame, group: list[str], shows: str = "num_shows",
                  sellouts: str = "num_sellouts") -> DataFrame:
     """Sellouts are kept for a group only if all are >= 0 and never exceed
