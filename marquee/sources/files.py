@@ -18,13 +18,14 @@ LIST_COLUMNS = ["artists", "dates", "promoter", "ticket_prices", "location"]
 NUMERIC_COLUMNS = ["gross_receipts_us", "gross_receipts_canadian", "attendance", "capacity", "num_shows",
                    "num_sellouts"]
 
-# processed issue files: list columns arrive as Python-repr text; numbers are
-# read as text so OCR repair sees every digit
-PROCESSED_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in ["artists", "dates"]]
-    + [T.StructField(c, T.StringType()) for c in NUMERIC_COLUMNS]
-    + [T.StructField(c, T.StringType()) for c in ["promoter", "ticket_prices", "location", "source_id",
-                                                   "schema_id", "s3_uri", "tickets_sold"]])
+# processed issue files, in their fixed column order: list columns arrive as
+# Python-repr text; numbers are read as text so OCR repair sees every digit.
+# Some files name the fifth column ``tickets_sold`` instead of ``attendance``:
+# the schema is applied by position, which folds that rename.
+PROCESSED_COLUMNS = ["artists", "dates", "gross_receipts_us", "gross_receipts_canadian", "attendance", "capacity",
+                     "num_shows", "num_sellouts", "promoter", "ticket_prices", "location", "source_id",
+                     "schema_id", "s3_uri"]
+PROCESSED_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in PROCESSED_COLUMNS])
 
 DIMENSION_SCHEMAS = {
     "country": "id int, name string, slug string, abbr string",
@@ -41,17 +42,16 @@ DIMENSION_SCHEMAS = {
 def read_issue_csvs(spark: SparkSession, root: str, encoding: str = "UTF-8") -> DataFrame:
     """All processed issue CSVs under ``root`` (recursive) in one scan.
 
-    Header names are matched by name (``tickets_sold`` is folded into
-    ``attendance``); malformed lines are dropped; issue year/month come from
-    the path (``.../<year>/<month>/<file>.csv``).
+    The header line is skipped and the fixed schema applied by position;
+    malformed lines are dropped; issue year/month come from the path
+    (``.../<year>/<month>/<file>.csv``); ``row_pos`` keeps the row order
+    inside each file (a multi-line CSV file is read by one task, in order).
     """
     df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
           .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
           .option("encoding", encoding).option("mode", "DROPMALFORMED")
-          .option("enforceSchema", False)
           .schema(PROCESSED_SCHEMA).csv(root))
-    df = df.withColumn("path", F.col("_metadata.file_path"))
-    df = df.withColumn("attendance", F.coalesce("attendance", "tickets_sold")).drop("tickets_sold")
+    df = df.withColumn("path", F.col("_metadata.file_path")).withColumn("row_pos", F.monotonically_increasing_id())
     for c in LIST_COLUMNS:
         df = df.withColumn(c, F.coalesce(py_list_text_to_array(F.col(c)), F.array().cast("array<string>")))
     return (df.withColumn("issue_year", issue_part("path", -3)).withColumn("issue_month", issue_part("path", -2))
