@@ -49,6 +49,19 @@ def _num(t: Column) -> Column:
 # from that stage (a token that ends an accumulation is re-examined by the
 # rules that follow in the rule order).
 
+_MONTH_IN_TOKEN = r"(?:\S*\b(?:Jan|Feb|March|April|May|June|July|Aug|Sept|Oct|Nov|Dec)|(?:Jqn|Feh|Mar|Marc|Marn|" \
+    r"Mavch|Match|Apr|Aprl|Aor|Aar|Jun|Jul|Augg|Auuq|Sep|Seph|Oet|Ooct|Now|Nno|Dee|Deo)\.)"
+_PIPE = r"\|(?=\s|$)"
+_LOC_TOKEN = r"(?!" + _PIPE + r")(?!" + _MONTH_IN_TOKEN + r")[^\s0-9/-]+(?=\s|$)"
+_DEC_TOKEN = r"\S*[0-9]+\.[0-9]+\S*"
+_DATE_TOKEN = r"(?=" + _MONTH_IN_TOKEN + r"|[0-9])(?!" + _DEC_TOKEN + r"(?:\s|$))\S+"
+_WORD = r"(?!" + _PIPE + r")\S+"
+HEAD_PATTERN = (r"^(\S+(?:\s+" + _LOC_TOKEN + r")*)"
+                r"(?:\s+(" + _DEC_TOKEN + r")(?=\s|$)|\s+(" + _WORD + r"(?:\s+" + _DATE_TOKEN + r")*))?"
+                r"(?:\s+(" + _WORD + r"))?(?:\s+(" + _WORD + r"))?"
+                r"(?:\s+(" + _WORD + r"(?:\s+" + _WORD + r")*))?"
+                r"(?:\s+\|(.*))?$")
+
 _FIELDS = ["mode", "cur", "artists", "location", "dates", "prices", "promoter", "canadian", "capacity", "shows",
            "sellouts", "attendance"]
 
@@ -152,33 +165,30 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
     # lower case); everything before it is the first artist line
     m = F.regexp_instr("_line", F.lit(r"(?:^|\s)[A-Z][a-z]"))
     d = d.withColumn("_lc", F.when(m == 0, F.lit(0)).when(F.substring("_line", m, 1) == " ", m + 1).otherwise(m))
-    d = d.withColumn("_toks", F.filter(F.split(F.trim(F.substring("_line", F.col("_lc"), 1 << 30)), r"\s+"),
-                                       lambda t: t != ""))
-    toks, n = F.col("_toks"), F.size("_toks")
-    d = d.withColumn("_loc_end", F.coalesce(_first_index(
-        toks, F.lit(2), lambda t: (t == "|") | ~t.rlike("^[^0-9/-]+$") | _is_month(t)), n + 1))
-    j = F.col("_loc_end")
-    d = d.withColumn("_has_dec", (j <= n) & F.element_at(toks, F.least(j, F.greatest(n, F.lit(1))))
-                     .rlike(r"[0-9]+\.[0-9]+"))
-    d = d.withColumn("_date_end", F.coalesce(_first_index(
-        toks, j + 1, lambda t: (~_is_month(t) & ~t.rlike("^[0-9]")) | t.rlike(r"[0-9]+\.[0-9]+")), n + 1))
-    d = d.withColumn("_after", F.when(F.col("_has_dec"), j + 1).otherwise(F.col("_date_end")))
-    a = F.col("_after")
-    gtok = F.element_at(toks, F.least(a, F.greatest(n, F.lit(1))))
-    atok = F.element_at(toks, F.least(a + 1, F.greatest(n, F.lit(1))))
-    d = d.withColumn("_gross", F.when((a <= n) & gtok.startswith("$"), _num(gtok)))
-    d = d.withColumn("_att", F.when((a + 1 <= n) & atok.rlike(r"^[0-9,.]+$"),
-                                    F.regexp_replace(atok, "[,.]", "").try_cast("double")))
-    d = d.withColumn("_p_end", F.coalesce(_first_index(toks, a + 2, lambda t: t == "|"), n + 1))
-    pe = F.col("_p_end")
-    dates = F.when(F.col("_has_dec") | (j > n), F.array().cast("array<string>")).otherwise(
-        F.array(_join(toks, j, F.col("_date_end"))))
-    promoter = F.when(a + 2 < pe, F.array(_join(toks, a + 2, pe))).otherwise(F.array().cast("array<string>"))
+    # First line, fixed order, as ONE compiled pattern (evaluated by codegen,
+    # no per-token lambdas): location words, then either a decimal token
+    # (skipped, no dates) or date tokens, then gross, attendance and the
+    # promoter words up to the first '|' token; the rest continues.
+    d = d.withColumn("_rest", F.trim(F.substring("_line", F.col("_lc"), 1 << 30)))
+    # one regex pass: every group written into a \x01-delimited string
+    groups = ["loc", "dec", "date", "gross", "att", "prom", "cont"]
+    d = d.withColumn("_h", F.split(F.regexp_replace(
+        "_rest", HEAD_PATTERN, "\x01".join(f"${i + 1}" for i in range(len(groups)))), "\x01"))
+    for i, name in enumerate(groups):
+        d = d.withColumn(f"_h_{name}", F.coalesce(F.get("_h", i), F.lit("")))
+    has_dec = F.col("_h_dec") != ""
+    date_txt = F.col("_h_date")
+    dates = F.when(has_dec | (date_txt == ""), F.array().cast("array<string>")).otherwise(F.array(date_txt))
+    gtok = F.col("_h_gross")
+    d = d.withColumn("_gross", F.when(gtok.startswith("$"), _num(gtok)))
+    d = d.withColumn("_att", F.when(F.col("_h_att").rlike(r"^[0-9,.]+$"),
+                                    F.regexp_replace("_h_att", "[,.]", "").try_cast("double")))
+    promoter = F.when(F.col("_h_prom") != "", F.array(F.col("_h_prom"))).otherwise(F.array().cast("array<string>"))
     # a final '|' flushes whatever is still being accumulated
-    cont = F.array_append(F.slice(toks, pe + 1, F.greatest(n - pe, F.lit(0))), F.lit("|"))
+    cont = F.array_append(F.filter(F.split(F.trim("_h_cont"), r"\s+"), lambda t: t != ""), F.lit("|"))
     init = F.struct(F.lit("top").alias("mode"), F.lit(None).cast("string").alias("cur"),
                     F.array(F.trim(F.substring("_line", F.lit(1), F.col("_lc") - 1))).alias("artists"),
-                    F.array(_join(toks, F.lit(1), j)).alias("location"), dates.alias("dates"),
+                    F.array(F.col("_h_loc")).alias("location"), dates.alias("dates"),
                     F.array().cast("array<string>").alias("prices"), promoter.alias("promoter"),
                     F.lit(None).cast("double").alias("canadian"), F.lit(None).cast("double").alias("capacity"),
                     F.lit(None).cast("double").alias("shows"), F.lit(None).cast("double").alias("sellouts"),
@@ -194,7 +204,7 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
     # the optimizer cannot inline the aggregate into every field access
     # downstream (which would re-run the state machine once per field)
     keep = [c for c in df.columns]
-    return d.select(*keep, F.explode(F.array(F.when(F.col("_lc") > 0, rec))).alias(out))
+    return d.select(*keep, F.explode(F.array(F.when((F.col("_lc") > 0) & (F.col("_h_loc") != ""), rec))).alias(out))
 
 
 # -- annual report lines -------------------------------------------------------
