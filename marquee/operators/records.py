@@ -153,7 +153,7 @@ def _step(acc: Column, t: Column) -> Column:
     return _let(_phase1(acc, t), lambda p: _phase2(p, t))
 
 
-def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
+def parse_events(df: DataFrame, text_col: str, out: str = "event", engine: str = "arrow") -> DataFrame:
     """Add ``out`` = struct of processed-event fields parsed from the event
     string (null when no Capitalised venue word is found: a malformed record).
 
@@ -193,7 +193,18 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
                     F.lit(None).cast("double").alias("canadian"), F.lit(None).cast("double").alias("capacity"),
                     F.lit(None).cast("double").alias("shows"), F.lit(None).cast("double").alias("sellouts"),
                     F.col("_att").alias("attendance"))
-    d = d.withColumn("_st", F.aggregate(cont, init, _step))
+    if engine == "jvm":
+        d = d.withColumn("_st", F.aggregate(cont, init, _step))
+    else:
+        from marquee.operators.continuation import continuation_column
+        d = d.withColumn("_cont", continuation_column(cont, F.col("_att")))
+        c = F.col("_cont")
+        d = d.withColumn("_st", F.struct(
+            F.concat(init["artists"], c["artists"]).alias("artists"),
+            F.concat(init["location"], c["location"]).alias("location"),
+            F.concat(init["dates"], c["dates"]).alias("dates"), c["prices"].alias("prices"),
+            F.concat(init["promoter"], c["promoter"]).alias("promoter"), c["canadian"].alias("canadian"),
+            c["capacity"].alias("capacity"), c["shows"].alias("shows"), c["sellouts"].alias("sellouts")))
     st = F.col("_st")
     rec = F.struct(st["artists"].alias("artists"), st["location"].alias("location"), st["dates"].alias("dates"),
                    F.col("_gross").alias("gross_receipts_us"), st["canadian"].alias("gross_receipts_canadian"),

@@ -31,13 +31,22 @@ CASES = [
 ]
 
 
+@pytest.mark.parametrize("engine", ["arrow", "jvm"])
 @pytest.mark.parametrize("line,expected", CASES)
-def test_parse_event(spark, line, expected):
-    r = parse_events(spark.createDataFrame([(line,)], "s string"), "s").first()["event"].asDict()
+def test_parse_event(spark, line, expected, engine):
+    r = parse_events(spark.createDataFrame([(line,)], "s string"), "s", engine=engine).first()["event"].asDict()
     for k, v in expected.items():
         assert r[k] == v, (k, r[k], v)
 
 
+def test_engines_agree(spark):
+    from marquee.plans.records_ops import _event_strings
+    src = _event_strings(spark, "/root/testdata/sf0.001")
+    a = parse_events(src, "event_text", engine="arrow").select("l_orderkey", "l_linenumber", "event_text", "event")
+    j = parse_events(src, "event_text", engine="jvm").select("l_orderkey", "l_linenumber", "event_text", "event")
+    assert a.exceptAll(j).count() == 0 and j.exceptAll(a).count() == 0
+
+
 def test_malformed_is_null(spark):
     df = spark.createDataFrame([("12345 $ 678",)], "s string")
     assert parse_events(df, "s").first()["event"] is None
