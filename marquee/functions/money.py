@@ -48,10 +48,31 @@ def curate_price(col) -> Column:
     return F.when(valid_ticket_price(cleaned), F.trim(cleaned).try_cast("double"))
 
 
+_CELL_SEP = "\u0002"
+
+
 def curate_prices(arr) -> Column:
-    """list<string> of raw price cells -> list<double> of prices (null and 0 dropped)."""
-    parts = F.flatten(F.transform(_c(arr), split_price_cell))
-    return F.filter(F.transform(parts, curate_price), lambda p: p.isNotNull() & (p != 0))
+    """list<string> of raw price cells -> list<double> of prices (null and 0 dropped).
+
+    The cleaning steps that do not depend on where a part ends (``$``, ``_``,
+    ``S14``, decimal comma) run once over all cells joined into one string,
+    as compiled expressions; only the split on the cell's separator and the
+    trailing ``.``/``,`` removal run per part inside the lambdas.
+    """
+    joined = F.translate(F.array_join(_c(arr), _CELL_SEP), "$_", "")
+    joined = F.regexp_replace(joined, "[Ss]([0-9])", "$1")
+    joined = F.regexp_replace(joined, "([0-9]{1,2}),([0-9]{2})", "$1.$2")
+    cells = F.split(joined, _CELL_SEP)
+    parts = F.flatten(F.transform(cells, split_price_cell))
+
+    def part_value(p):
+        c = F.regexp_replace(F.regexp_replace(F.trim(p), r"\.$", ""), ",$", "")
+        c = F.regexp_replace(c, "([0-9]{1,2}),([0-9]{2})", "$1.$2")
+        return F.when(valid_ticket_price(c), F.trim(c).try_cast("double"))
+
+    return F.when(F.size(_c(arr)) > 0, F.filter(F.transform(parts, part_value),
+                                                lambda p: p.isNotNull() & (p != 0))).otherwise(
+        F.array().cast("array<double>"))
 
 
 def prices_to_decimal(arr, round_whole: bool = False) -> Column:
