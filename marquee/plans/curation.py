@@ -207,12 +207,14 @@ def q37_revenue_check(spark, sf):
                      F.when(F.col("l_returnflag") == "R", F.lit("*")).otherwise(F.lit("")))
     s = li.select("l_orderkey", "l_linenumber", sales.alias("sales"))
     pat = r"^([0-9,]+) \$([0-9,.]+)(?:-\$([0-9,.]+))? \$([0-9,]+)(\*?)$"
-    price = lambda i: F.round(F.regexp_replace(F.regexp_extract("sales", pat, i), ",", "")
-                              .try_cast("double") * 100).cast("bigint")
+    # one regex pass: the five groups written into a delimited string
+    s = s.withColumn("_g", F.split(F.regexp_replace("sales", pat, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01"))
+    g = lambda i: F.get("_g", i - 1)
+    price = lambda i: F.round(F.regexp_replace(g(i), ",", "").try_cast("double") * 100).cast("bigint")
     out = s.select("l_orderkey", "l_linenumber",
-                   money.parse_ocr_int(F.regexp_extract("sales", pat, 1)).alias("tickets_sold"),
+                   money.parse_ocr_int(g(1)).alias("tickets_sold"),
                    price(2).alias("price_1_cents"), price(3).alias("price_2_cents"),
-                   money.parse_ocr_int(F.regexp_extract("sales", pat, 4)).alias("gross"),
-                   (F.regexp_extract("sales", pat, 5) == "*").alias("was_sold_out"))
+                   money.parse_ocr_int(g(4)).alias("gross"),
+                   (g(5) == "*").alias("was_sold_out"))
     return out.withColumn("revenue_mismatch", money.revenue_mismatch(
         "tickets_sold", F.col("price_1_cents") / 100, F.col("price_2_cents") / 100, "gross"))
