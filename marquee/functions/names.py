@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,9 +30,9 @@ def _lits(values) -> Column:
 
 
 def any_keyword(text: Column, keywords) -> Column:
-    """Substring test against a keyword list (``live`` also hits ``oliver``):
-    one regex alternation of the quoted keywords, no nested lambda."""
-    return text.rlike("|".join(re.escape(k) for k in keywords))
+    """Substring test against a keyword list (``live`` also hits ``oliver``).
+    (``exists``/``contains`` measured faster than one regex alternation.)"""
+    return F.exists(_lits(keywords), lambda k: F.contains(text, k))
 
 
 def clean_artist_name(col, in_event) -> Column:
