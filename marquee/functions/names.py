@@ -227,23 +227,41 @@ def artist_slug(col) -> Column:
     return slugify(col)
 
 
+def _one_edit_pattern(word: str) -> str:
+    """Regex alternation of every token within one edit of ``word``
+    (substitution, deletion or insertion of one non-space character)."""
+    import re as _re
+    alts = {_re.escape(word)}
+    for i in range(len(word)):
+        alts.add(_re.escape(word[:i]) + r"\S" + _re.escape(word[i + 1:]))
+        alts.add(_re.escape(word[:i] + word[i + 1:]))
+    for i in range(len(word) + 1):
+        alts.add(_re.escape(word[:i]) + r"\S" + _re.escape(word[i:]))
+    return "(?:" + "|".join(sorted(alts)) + ")"
+
+
+IN_HOUSE_TOKEN = r"(?i)(?<=^|\s)" + _one_edit_pattern("in-house") + r"(?=\s|$)"
+
+
 def split_promoters(cells, venue_name) -> Column:
     """Promoter cells -> promoter names.
 
     Cells are concatenated and split on ``/``; inside each part, tokens with
     a digit or ``$`` are dropped and an ``In-House`` token (one edit allowed)
     stands for the venue's own name.  Without a venue name such a part is
-    dropped.  Empty parts vanish.
+    dropped.  Empty parts vanish.  Per part everything is string-level regex
+    work (no per-token lambda).
     """
     joined = F.array_join(_c(cells), "")
     venue = _c(venue_name)
+    venue_repl = F.regexp_replace(F.regexp_replace(venue, r"\\", r"\\\\"), r"\$", r"\\\$")
 
     def part_name(p):
-        toks = F.filter(F.split(F.trim(p), r"\s+"), lambda t: (t != "") & ~t.rlike("[0-9$]"))
-        inhouse = F.transform(toks, lambda t: F.levenshtein(F.lit("in-house"), F.lower(t)) < 2)
-        mapped = F.transform(toks, lambda t: F.when(F.levenshtein(F.lit("in-house"), F.lower(t)) < 2, venue)
-                             .otherwise(t))
-        dropped = F.exists(inhouse, lambda b: b) & (venue.isNull() | (venue == ""))
-        return F.when(~dropped, F.array_join(mapped, " "))
+        valid = F.regexp_replace(p, r"\S*[0-9$]\S*", "")
+        inhouse = valid.rlike(IN_HOUSE_TOKEN)
+        mapped = F.regexp_replace(valid, F.lit(IN_HOUSE_TOKEN), F.coalesce(venue_repl, F.lit("")))
+        name = F.trim(F.regexp_replace(mapped, r"\s+", " "))
+        dropped = inhouse & (venue.isNull() | (venue == ""))
+        return F.when(~dropped, name)
 
     return F.filter(F.transform(F.split(joined, "/"), part_name), lambda n: n.isNotNull() & (n != ""))
