@@ -16,10 +16,22 @@ from pyspark.sql import functions as F
 from marquee.session import cut_lineage
 
 
-def pick_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` (priority pick)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk")
+def pick_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """One row per ``keys``: the first by ``order`` (priority pick).
+
+    ``order`` items are column names, or ``(name, "desc")`` for a numeric
+    column taken in descending order.  Written as ``min_by(row, order)``
+    aggregation: partial on the map side, so a key with millions of
+    candidates never sorts them all in one task (a ranking window would).
+    Give an order that is unique within a key for a deterministic pick.
+    """
+    keyparts = []
+    for i, o in enumerate(order):
+        name, desc = (o, False) if isinstance(o, str) else (o[0], o[1] == "desc")
+        keyparts.append((-F.col(name) if desc else F.col(name)).alias(f"_o{i}"))
+    others = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*keyparts)).alias("_best"))
+    return best.select(*keys, "_best.*")
 
 
 def resolve_exact(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, str],

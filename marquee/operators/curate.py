@@ -92,7 +92,7 @@ def curate_events(processed: DataFrame, dims: Dimensions, corrections: DataFrame
     gated = gated.withColumn("num_sellouts", F.col("_raw_num_sellouts").cast("int"))
     gated = gated.withColumn("ticket_prices", money.curate_prices(F.col("ticket_prices")))
     src = dims.sources.select(F.col("slug").alias("_src_slug"), F.col("id").alias("_src_id"))
-    gated = gated.join(F.broadcast(src), F.col("source_id") == F.col("_src_slug"), "left")
+    gated = gated.join(src, F.col("source_id") == F.col("_src_slug"), "left")   # AQE broadcasts it when small
     out = gated.select(
         "weekly_rank", "event_name", "artist_ids", "venue_id", F.col("promoter_ids").alias("promoters"),
         "start_date", "end_date", "dates", "signature", *NUMERIC, "num_sellouts", "ticket_prices",

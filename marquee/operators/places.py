@@ -37,10 +37,10 @@ def city_in_venue(df: DataFrame, key: str, tokens: str, state: str, cities: Data
     w = windows(df.select(key, tokens), key, tokens)
     st = df.select(key, F.col(state).alias("_state"))
     ws = w.join(st, key)
-    late = [F.col("start").desc(), F.col("len")]
+    late = [("start", "desc"), "len"]
     exact = conform.pick_first(
         ws.join(cities.select(F.col("id").alias("exact_id"), "slug", F.col("state_id").alias("_state")),
-                ["slug", "_state"]), [key], late).select(key, "exact_id")
+                ["slug", "_state"]), [key], late + ["exact_id"]).select(key, "exact_id")
     uniq = conform.unique_members(cities, "slug", "id").withColumnRenamed("id", "unique_id")
     unique = conform.pick_first(w.join(uniq, "slug"), [key], late).select(key, "unique_id")
     fz = conform.fuzzy_candidates(ws.filter(F.length("slug") > 7), "slug", ["_state"],
@@ -68,7 +68,7 @@ def city_after_venue(df: DataFrame, key: str, tokens: str, state: str, cities: D
                      F.slice(tokens, v + 1, F.greatest(F.size(tokens) - v, F.lit(0))).alias("_post")
                      ).filter(F.col("_v") > 0)
     w = windows(post, key, "_post", max_n=1 << 10).join(post.select(key, "_state", "_v"), key)
-    early = [F.col("start"), F.col("len").desc()]
+    early = ["start", ("len", "desc")]
     exact = w.filter(F.col("_state").isNotNull()).join(
         cities.select(F.col("id").alias("cid"), "slug", F.col("state_id").alias("_state")), ["slug", "_state"])
     exact = exact.select(key, "cid", "start", "len", "_v", F.lit(0).alias("rule"))
@@ -80,7 +80,7 @@ def city_after_venue(df: DataFrame, key: str, tokens: str, state: str, cities: D
     uniq = conform.unique_members(cities, "slug", "id").withColumnRenamed("id", "cid")
     un = w.filter(F.col("_state").isNull()).join(uniq, "slug").select(key, "cid", "start", "len", "_v",
                                                                        F.lit(2).alias("rule"))
-    best = conform.pick_first(exact.unionByName(fz).unionByName(un), [key], [F.col("rule")] + early)
+    best = conform.pick_first(exact.unionByName(fz).unionByName(un), [key], ["rule"] + early + ["cid"])
     return best.select(key, F.col("cid").alias("city_id"), (F.col("start") - 1 + F.col("_v")).cast("int")
                        .alias("city_index"))
 

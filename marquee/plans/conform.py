@@ -104,7 +104,7 @@ def q07_composite_key(spark, sf):
                                                F.col("n_regionkey").alias("state_id"),
                                                F.col("n_nationkey").alias("city_id"))
     m = g.join(cities, ["slug", "state_id"])
-    best = conform.pick_first(m, ["c_custkey"], [F.col("start"), F.col("len").desc()])
+    best = conform.pick_first(m, ["c_custkey"], ["start", ("len", "desc")])
     best = best.select("c_custkey", "city_id", (F.col("start") - 1 + F.col("v")).cast("int").alias("city_index"))
     return table(spark, sf, "customer").select("c_custkey").join(best, "c_custkey", "left")
 
