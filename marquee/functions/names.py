@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marquee.functions.text import event_title, let, slugify
+from marquee.functions.text import event_title, let
 
 # --- fixed values -----------------------------------------------------------
 # Keywords that signal a special event (festival) in the artist lines.
@@ -223,10 +223,6 @@ def event_names(df, lines: str, out: str = "parsed"):
                                       F.col("_score").alias("score"))).drop("_score", "_ex")
 
 
-def artist_slug(col) -> Column:
-    return slugify(col)
-
-
 def _one_edit_pattern(word: str) -> str:
     """Regex alternation of every token within one edit of ``word``
     (substitution, deletion or insertion of one non-space character)."""

@@ -17,12 +17,14 @@ import sys
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from marquee.functions.numbers import NUMBER_WORDS
 
-STATE_TYPE = ("artists array<string>, location array<string>, dates array<string>, prices array<string>, "
-              "promoter array<string>, canadian double, capacity double, shows double, sellouts double")
+STATE_TYPE = T.StructType(
+    [T.StructField(n, T.ArrayType(T.StringType())) for n in ["artists", "location", "dates", "prices", "promoter"]]
+    + [T.StructField(n, T.DoubleType()) for n in ["canadian", "capacity", "shows", "sellouts"]])
 
 _MONTH = re.compile(r"\b(?:Jan|Feb|March|April|May|June|July|Aug|Sept|Oct|Nov|Dec)[.,]?")
 _OCR_MONTH = re.compile(r"^(?:Jqn|Feh|Mar|Marc|Marn|Mavch|Match|Apr|Aprl|Aor|Aar|Jun|Jul|Augg|Auuq|Sep|Seph|Oet|"

@@ -22,20 +22,10 @@ MONTH_TOKEN = r"\b(?:Jan|Feb|March|April|May|June|July|Aug|Sept|Oct|Nov|Dec)[.,]
 OCR_MONTH_TOKEN = (r"^(?:Jqn|Feh|Mar|Marc|Marn|Mavch|Match|Apr|Aprl|Aor|Aar|Jun|Jul|Augg|Auuq|Sep|Seph|Oet|Ooct|"
                    r"Now|Nno|Dee|Deo)\.")
 
-def _first_index(arr: Column, start: Column, pred) -> Column:
-    """Smallest 1-based index >= start whose element satisfies pred (null = none)."""
-    return F.array_min(F.filter(F.transform(arr, lambda t, i: F.when((i + 1 >= start) & pred(t), i + 1)),
-                                lambda x: x.isNotNull()))
-
-
 def _is_month(t: Column) -> Column:
     return t.rlike(MONTH_TOKEN) | t.rlike(OCR_MONTH_TOKEN)
 
 
-def _join(arr: Column, start: Column, end_excl: Column) -> Column:
-    return F.array_join(F.slice(arr, start, F.greatest(end_excl - start, F.lit(0))), " ")
-
-
 def _num(t: Column) -> Column:
     return F.regexp_replace(t, "[$,]", "").try_cast("double")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.functions import dates, money, names, text
+from marquee.functions import dates, money, text
 from marquee.operators import quality
 from marquee.plans.registry import query
 from marquee.sources.tables import table

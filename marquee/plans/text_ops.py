@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.functions import names, text
-from marquee.operators import conform
 from marquee.plans.registry import query
 from marquee.sources.tables import table
 
