@@ -252,3 +252,66 @@ def parse_report_lines(df: DataFrame, line_col: str) -> DataFrame:
     tours = (F.when(F.get("_g1", 0) != "", one.cast(f"array<{t}>"))
              .when(F.get("_g2", 0) != "", two.cast(f"array<{t}>")))
     return d.select("*", F.explode(tours).alias("_t")).select("*", "_t.*").drop("_t", "_g1", "_g2")
+
+
+# -- tour lines (older one-line layout) ------------------------------------------
+# rank | ARTIST — promoter, venue, city, [State.] Mon. d[-[Mon.] d] sold $p1[-$p2] $gross[*]
+_TOUR_STATES = ["Ala.", "Calif.", "D.C.", "Fla.", "Georgia", "Kansas", "La.", "Maine", "Mass.", "Minn.",
+                "New Hampshire", "Tenn.", "Va.", "Wisc."]
+_TOUR_DATES = r"^([A-Z][a-z]+)\.?\s*([0-9]{1,2})(?:\s*-\s*(?:([A-Z][a-z]+)\.?\s*)?([0-9]{1,2}))?\s+(.*)$"
+_TOUR_SALES = r"^([0-9,]+)\s+\$([0-9.,]+)(?:\s*-\s*\$([0-9.,]+))?\s+\$([0-9,]+)(\*?)"
+
+
+def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFrame:
+    """Tour lines -> struct(rank, artist, promoter, venue, city, state_abbr,
+    month_1, first_day, month_2, last_day, tickets_sold, ticket_price_1,
+    ticket_price_2, gross_receipts, was_sold_out) or null with a reason in
+    ``<out>_error`` (no rank, space in rank, no dash, not exactly four comma
+    parts, digit or month in the city)."""
+    from marquee.functions.dates import MONTH_PREFIXES
+
+    ln = F.col(line_col)
+    s = F.regexp_replace(ln, r"^[^0-9]*", "")                       # start at the first digit
+    s = F.replace(F.regexp_replace(s, r"[\[\]{}'\"()]", "|"), F.lit("~"), F.lit("—"))
+    d = df.withColumn("_s", s)
+    rank = F.trim(F.substring_index("_s", "|", 1))
+    rest = F.trim(F.substring(F.col("_s"), F.instr(F.col("_s"), "|") + 1, 1 << 30))
+    d = d.withColumn("_rank", rank).withColumn("_rest", F.when(F.instr(F.col("_s"), "|") > 0, rest))
+    dash = F.when(F.instr("_rest", "—") > 0, F.instr("_rest", "—")).otherwise(F.instr("_rest", "-"))
+    d = d.withColumn("_dash", dash)
+    d = d.withColumn("_artist", F.trim(F.substring("_rest", F.lit(1), F.col("_dash") - 1)))
+    d = d.withColumn("_parts", F.split(F.trim(F.substring(F.col("_rest"), F.col("_dash") + 1, 1 << 30)), ",", 4))
+    part = lambda i: F.trim(F.replace(F.get("_parts", i), F.lit("|"), F.lit("")))
+    d = d.withColumn("_city", part(2)).withColumn("_tail", F.trim(F.get("_parts", 3)))
+    first_seg = F.substring_index("_tail", ",", 1)
+    has_state = F.lit(False)
+    for st in _TOUR_STATES:
+        has_state = has_state | first_seg.contains(st)
+    d = d.withColumn("_state", F.when(has_state, F.substring_index("_tail", ".", 1)))
+    d = d.withColumn("_dt", F.when(has_state, F.regexp_extract("_tail", r"^\S+\s+(.*)$", 1)).otherwise(F.col("_tail")))
+    month_in_city = F.lit(False)
+    for m in MONTH_PREFIXES:
+        month_in_city = month_in_city | F.col("_city").contains(m)
+    error = (F.when(F.col("_s") == "", "no rank").when(F.col("_rank").contains(" "), "space in rank")
+             .when(F.col("_rest").isNull() | (F.col("_dash") == 0), "no dash")
+             .when(F.size("_parts") != 4, "not four comma parts")
+             .when(F.col("_city").rlike("[0-9]"), "digit in city")
+             .when(month_in_city, "month in city"))
+    d = d.withColumn(f"{out}_error", error)
+    g = lambda pat, i, c="_dt": F.regexp_extract(c, pat, i)
+    d = d.withColumn("_sales", g(_TOUR_DATES, 5))
+    money = lambda c: F.regexp_replace(c, ",", "").try_cast("double")
+    rec = F.struct(
+        F.col("_rank").alias("rank"), F.col("_artist").alias("artist"), part(0).alias("promoter"),
+        part(1).alias("venue"), F.col("_city").alias("city"), F.col("_state").alias("state_abbr"),
+        F.nullif(g(_TOUR_DATES, 1), F.lit("")).alias("month_1"),
+        g(_TOUR_DATES, 2).try_cast("int").alias("first_day"),
+        F.nullif(g(_TOUR_DATES, 3), F.lit("")).alias("month_2"),
+        F.coalesce(g(_TOUR_DATES, 4).try_cast("int"), g(_TOUR_DATES, 2).try_cast("int")).alias("last_day"),
+        F.regexp_replace(g(_TOUR_SALES, 1, "_sales"), ",", "").try_cast("int").alias("tickets_sold"),
+        money(g(_TOUR_SALES, 2, "_sales")).alias("ticket_price_1"),
+        money(F.nullif(g(_TOUR_SALES, 3, "_sales"), F.lit(""))).alias("ticket_price_2"),
+        F.regexp_replace(g(_TOUR_SALES, 4, "_sales"), ",", "").try_cast("bigint").alias("gross_receipts"),
+        (g(_TOUR_SALES, 5, "_sales") == "*").alias("was_sold_out"))
+    d = d.withColumn(out, F.when(F.col(f"{out}_error").isNull(), rec))
+    return d.drop("_s", "_rank", "_rest", "_dash", "_artist", "_parts", "_city", "_tail", "_state", "_dt", "_sales")

@@ -154,3 +154,66 @@ FROM documents
 def q44_symbol_clean(spark, sf):
     """Noisy-symbol removal and whitespace squeeze over whole documents."""
     return table(spark, sf, "documents").select("doc_id", text.remove_noisy_symbols("text").alias("text"))
+
+
+_TOUR_MONTHS = ["Jan", "Feb", "March", "April", "May", "June", "July", "Aug", "Sept", "Oct", "Nov", "Dec"]
+_TOUR_MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in _TOUR_MONTHS) + "]"
+
+
+@query("q41_tour_lines", f"""
+WITH x AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, l.l_linestatus, upper(p.p_name) AS artist,
+         'Promo ' || upper(p.p_brand[1]) || lower(p.p_brand[2:]) AS promoter, s.s_name AS venue,
+         array_to_string(list_transform(string_split(lower(r.r_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ')
+           || CASE WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'F' THEN ' 2' ELSE '' END AS city,
+         CAST(l.l_quantity AS INTEGER) AS sold,
+         day(l.l_shipdate) AS d1, {_TOUR_MONTHS_SQL}[month(l.l_shipdate)] AS m1,
+         CAST(p.p_size AS INTEGER) AS p1, CAST(floor(l.l_extendedprice) AS BIGINT) AS gross
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN supplier s ON s.s_suppkey = l.l_suppkey
+  JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey)
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN 'not four comma parts'
+            WHEN regexp_matches(city, '[0-9]') THEN 'digit in city' END AS tour_error,
+       CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN NULL
+            WHEN regexp_matches(city, '[0-9]') THEN NULL ELSE artist END AS artist,
+       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
+            ELSE CASE WHEN l_returnflag = 'A' THEN 'Calif' END END AS state_abbr,
+       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
+            ELSE m1 END AS month_1,
+       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
+            ELSE CAST(d1 AS INTEGER) END AS first_day,
+       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
+            ELSE sold END AS tickets_sold,
+       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
+            ELSE gross END AS gross_receipts,
+       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
+            ELSE l_returnflag = 'N' END AS was_sold_out
+FROM x
+""")
+def q41_tour_lines(spark, sf):
+    """Older one-line tour layout: ``rank | ARTIST — promoter, venue, city,
+    [State.] date sales``; malformed lines are kept with a reason."""
+    li = (table(spark, sf, "lineitem")
+          .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+          .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+          .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+          .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")))
+    month = F.element_at(F.array(*[F.lit(m) for m in _TOUR_MONTHS]), F.month("l_shipdate"))
+    state = F.when(F.col("l_returnflag") == "A", F.lit("Calif. ")).otherwise(F.lit(""))
+    city = F.concat(F.initcap("r_name"), F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
+                                                F.lit(" 2")).otherwise(F.lit("")))
+    parts = F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R"),
+                   F.concat_ws(", ", F.concat(F.lit("Promo "), F.initcap("p_brand")), "s_name"))\
+        .otherwise(F.concat_ws(", ", F.concat(F.lit("Promo "), F.initcap("p_brand")), "s_name", city))
+    line = F.concat(F.col("l_linenumber").cast("string"), F.lit(" | "), F.upper("p_name"), F.lit(" — "), parts,
+                    F.lit(", "), state, month, F.lit(". "), F.dayofmonth("l_shipdate").cast("string"), F.lit(" "),
+                    F.col("l_quantity").cast("int").cast("string"), F.lit(" $"), F.col("p_size").cast("string"),
+                    F.lit("-$"), (F.col("p_size") + 5).cast("string"), F.lit(" $"),
+                    F.floor("l_extendedprice").cast("string"),
+                    F.when(F.col("l_returnflag") == "N", F.lit("*")).otherwise(F.lit("")))
+    t = records.parse_tour_lines(li.select("l_orderkey", "l_linenumber", line.alias("line")), "line")
+    r = F.col("tour")
+    return t.select("l_orderkey", "l_linenumber", "tour_error", r["artist"].alias("artist"),
+                    r["state_abbr"].alias("state_abbr"), r["month_1"].alias("month_1"),
+                    r["first_day"].alias("first_day"), r["tickets_sold"].alias("tickets_sold"),
+                    r["gross_receipts"].alias("gross_receipts"), r["was_sold_out"].alias("was_sold_out"))

@@ -50,3 +50,22 @@ def test_engines_agree(spark):
 def test_malformed_is_null(spark):
     df = spark.createDataFrame([("12345 $ 678",)], "s string")
     assert parse_events(df, "s").first()["event"] is None
+
+
+def test_tour_line(spark):
+    from marquee.operators.records import parse_tour_lines
+    lines = [("12 | AEROSMITH — Cellar Door, Civic Center, Providence, Oct. 5-6 12,345 $15.50-$17.50 $216,736*",),
+             ("3 | BON JOVI — Avalon, Arena, Tampa, Fla. Nov. 2 8,000 $15 $120,000",),
+             ("4 | RATT — Avalon, Arena",),
+             ("5 | DIO — Avalon, Arena, Oct 12 City, Nov. 2 1 $1 $1",)]
+    rows = parse_tour_lines(spark.createDataFrame(lines, "l string"), "l").collect()
+    a = rows[0]["tour"]
+    assert (a["rank"], a["artist"], a["promoter"], a["venue"], a["city"]) == (
+        "12", "AEROSMITH", "Cellar Door", "Civic Center", "Providence")
+    assert (a["month_1"], a["first_day"], a["last_day"], a["tickets_sold"]) == ("Oct", 5, 6, 12345)
+    assert (a["ticket_price_1"], a["ticket_price_2"], a["gross_receipts"], a["was_sold_out"]) == (
+        15.5, 17.5, 216736, True)
+    b = rows[1]["tour"]
+    assert b["state_abbr"] == "Fla" and b["month_1"] == "Nov" and b["ticket_price_2"] is None
+    assert rows[2]["tour"] is None and rows[2]["tour_error"] == "not four comma parts"
+    assert rows[3]["tour"] is None and rows[3]["tour_error"] == "digit in city"
