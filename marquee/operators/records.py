@@ -272,7 +272,7 @@ def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFra
 
     ln = F.col(line_col)
     s = F.regexp_replace(ln, r"^[^0-9]*", "")                       # start at the first digit
-    s = F.replace(F.regexp_replace(s, r"[\[\]{}'\"()]", "|"), F.lit("~"), F.lit("—"))
+    s = F.replace(F.translate(s, "[]{}'\"()", "||||||||"), F.lit("~"), F.lit("—"))   # char map, no regex
     d = df.withColumn("_s", s)
     rank = F.trim(F.substring_index("_s", "|", 1))
     rest = F.trim(F.substring(F.col("_s"), F.instr(F.col("_s"), "|") + 1, 1 << 30))
@@ -288,7 +288,8 @@ def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFra
     for st in _TOUR_STATES:
         has_state = has_state | first_seg.contains(st)
     d = d.withColumn("_state", F.when(has_state, F.substring_index("_tail", ".", 1)))
-    d = d.withColumn("_dt", F.when(has_state, F.regexp_extract("_tail", r"^\S+\s+(.*)$", 1)).otherwise(F.col("_tail")))
+    d = d.withColumn("_dt", F.when(has_state, F.ltrim(F.substring(F.col("_tail"), F.instr("_tail", " ") + 1, 1 << 30)))
+                     .otherwise(F.col("_tail")))
     month_in_city = F.lit(False)
     for m in MONTH_PREFIXES:
         month_in_city = month_in_city | F.col("_city").contains(m)
@@ -298,20 +299,26 @@ def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFra
              .when(F.col("_city").rlike("[0-9]"), "digit in city")
              .when(month_in_city, "month in city"))
     d = d.withColumn(f"{out}_error", error)
-    g = lambda pat, i, c="_dt": F.regexp_extract(c, pat, i)
-    d = d.withColumn("_sales", g(_TOUR_DATES, 5))
+    # each pattern matched once; its groups written into a delimited string
+    d = d.withColumn("_dg", F.split(F.regexp_replace("_dt", _TOUR_DATES + "|^.*$", "\x01".join(
+        f"${i}" for i in range(1, 6))), "\x01"))
+    d = d.withColumn("_sg", F.split(F.regexp_replace(F.get("_dg", 4), _TOUR_SALES + ".*$|^.*$", "\x01".join(
+        f"${i}" for i in range(1, 6))), "\x01"))
+    dg = lambda i: F.get("_dg", i - 1)
+    sg = lambda i: F.get("_sg", i - 1)
     money = lambda c: F.regexp_replace(c, ",", "").try_cast("double")
     rec = F.struct(
         F.col("_rank").alias("rank"), F.col("_artist").alias("artist"), part(0).alias("promoter"),
         part(1).alias("venue"), F.col("_city").alias("city"), F.col("_state").alias("state_abbr"),
-        F.nullif(g(_TOUR_DATES, 1), F.lit("")).alias("month_1"),
-        g(_TOUR_DATES, 2).try_cast("int").alias("first_day"),
-        F.nullif(g(_TOUR_DATES, 3), F.lit("")).alias("month_2"),
-        F.coalesce(g(_TOUR_DATES, 4).try_cast("int"), g(_TOUR_DATES, 2).try_cast("int")).alias("last_day"),
-        F.regexp_replace(g(_TOUR_SALES, 1, "_sales"), ",", "").try_cast("int").alias("tickets_sold"),
-        money(g(_TOUR_SALES, 2, "_sales")).alias("ticket_price_1"),
-        money(F.nullif(g(_TOUR_SALES, 3, "_sales"), F.lit(""))).alias("ticket_price_2"),
-        F.regexp_replace(g(_TOUR_SALES, 4, "_sales"), ",", "").try_cast("bigint").alias("gross_receipts"),
-        (g(_TOUR_SALES, 5, "_sales") == "*").alias("was_sold_out"))
+        F.nullif(dg(1), F.lit("")).alias("month_1"),
+        dg(2).try_cast("int").alias("first_day"),
+        F.nullif(dg(3), F.lit("")).alias("month_2"),
+        F.coalesce(dg(4).try_cast("int"), dg(2).try_cast("int")).alias("last_day"),
+        F.regexp_replace(sg(1), ",", "").try_cast("int").alias("tickets_sold"),
+        money(sg(2)).alias("ticket_price_1"),
+        money(F.nullif(sg(3), F.lit(""))).alias("ticket_price_2"),
+        F.regexp_replace(sg(4), ",", "").try_cast("bigint").alias("gross_receipts"),
+        (sg(5) == "*").alias("was_sold_out"))
     d = d.withColumn(out, F.when(F.col(f"{out}_error").isNull(), rec))
-    return d.drop("_s", "_rank", "_rest", "_dash", "_artist", "_parts", "_city", "_tail", "_state", "_dt", "_sales")
+    return d.drop("_s", "_rank", "_rest", "_dash", "_artist", "_parts", "_city", "_tail", "_state", "_dt", "_dg",
+                  "_sg")
