@@ -10,9 +10,26 @@ DRIVER_TABLES = (
 ).split()
 
 
+# Fixed-size code tables: never worth spreading.
+TINY_TABLES = {"region", "nation"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the cluster's parallelism when a scan has
+    fewer partitions than cores (e.g. a file written as one row group: every
+    row-wise expression after it would otherwise run in one task).  On a
+    cluster-sized input the scan already has more splits than cores and this
+    is a no-op.  Filters and column pruning still reach the scan below it."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in TINY_TABLES else spread(df)
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
