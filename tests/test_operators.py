@@ -150,3 +150,13 @@ def test_latin1_read(spark, tmp_path):
     r = spark.read.option("header", True).option("encoding", "ISO-8859-1").schema(
         files.DIMENSION_SCHEMAS["city"]).csv(str(p)).first()
     assert r["name"] == "Montréal"
+
+
+def test_spread_only_when_underpartitioned(spark):
+    from marquee.sources.tables import spread
+    par = spark.sparkContext.defaultParallelism
+    few = spark.range(0, 100, numPartitions=1)
+    many = spark.range(0, 100, numPartitions=par * 2)
+    assert spread(few).rdd.getNumPartitions() == par
+    assert spread(many).rdd.getNumPartitions() == par * 2      # untouched: no extra shuffle
+    assert sorted(r[0] for r in spread(few).collect()) == list(range(100))
