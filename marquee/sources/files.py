@@ -97,15 +97,26 @@ def lists_to_json(df: DataFrame) -> DataFrame:
     return out
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
+def _salted(df: DataFrame, partition_by: list[str], files_per_value: int) -> DataFrame:
+    """Shuffle so each partition value is written by ``files_per_value``
+    tasks: bounded file count per directory, and a hot value (one month with
+    a third of the rows) is still spread over several writers."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_value))
+    return df.repartition(*[F.col(c) for c in partition_by], salt)
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                  files_per_value: int = 4) -> None:
+    w = (_salted(df, partition_by, files_per_value) if partition_by else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = lists_to_json(df).write.mode("overwrite").option("header", True)
+def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, files_per_value: int = 4) -> None:
+    out = lists_to_json(df)
+    w = (_salted(out, partition_by, files_per_value) if partition_by else out).write.mode("overwrite") \
+        .option("header", True)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
