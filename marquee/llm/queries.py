@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, packing, tokenfile
-from marquee.llm.common import documents
+from marquee.llm import bpe, packing, tokenfile, warc
+from marquee.llm.common import documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -28,6 +28,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op6_warc", """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, strlen(html) AS payload_bytes, sha1(html) || '00' AS h, max(page_id) OVER (PARTITION BY html) AS keeper FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(h, 1 + (5 * i) // 4, 3) AS INTEGER) >> CAST(7 - (5 * i) % 4 AS INTEGER)) & 31), 1) FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM d
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    archives = warc.write_warc(pages, scratch(spark, "warc"))
+    return warc.page_records(warc.read_warc(archives, with_payload=False))
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))

@@ -184,7 +184,7 @@ def open_uri(uri: str, write: bool = False):
     system, path = fs.FileSystem.from_uri(uri)
     if write:
         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        return system.open_output_stream(path)
+        return system.open_output_stream(path, compression=None)
     return system.open_input_file(path)
 
 
