@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, packing, tokenfile, warc
+from marquee.llm import bpe, packing, quality, tokenfile, warc
 from marquee.llm.common import documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_warc(archives, with_payload=False))
 
 
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_quality(documents(spark, sf_dir))
+    return scored.drop(*quality.X)
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
