@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marquee.llm.chunks import plain
+from marquee.llm.chunks import plain, spaced_pieces
 from marquee.llm.common import keyed
 
 # Words kept per worker before the cache is emptied: bounds memory, never changes a result.
@@ -112,18 +112,6 @@ class BatchEncoder:
         self.replay, self.find = Replay(path), regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
 
-    def _pieces(self, text: str) -> list[str]:
-        """Parts between which no match of a pattern with optional leading blanks crosses; else the text."""
-        if not plain(text):
-            return [text]
-        out: list[str] = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append("\n")
-            out.append(first)
-            out += [" " + p for p in rest]
-        return out[1:]
-
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         a = size = 0
@@ -135,7 +123,7 @@ class BatchEncoder:
         return out
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        split = [self._pieces(t) for t in texts]
+        split = [spaced_pieces(t) if plain(t) else [t] for t in texts]  # no match crosses from one piece to the next
         pieces = set().union(*split)
         known = self.known
         new = [p for p in pieces if p not in known]

@@ -32,8 +32,14 @@ LETTERS = byte_letters()
 
 
 def plain(text: str) -> bool:
-    """Whether single blanks and line feeds are the only white space, and no end mark is in the text."""
-    return "<|" not in text and text.replace("\n", " ").split(" ") == text.split()
+    """Whether single blanks and line feeds between other characters are the only white space, and no end mark is in the text."""
+    flat = text.replace("\n", " ")
+    return flat.isprintable() and "  " not in flat and flat[:1] != " " and flat[-1:] != " " and "<|" not in flat
+
+
+def spaced_pieces(text: str) -> list[str]:
+    """The pieces of a plain text, each with the blank before it; a line feed is a piece of its own."""
+    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
 
 class PieceEncoder:
@@ -87,17 +93,6 @@ class PieceEncoder:
             for p, a, b in zip(other, [0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)], strict=True):
                 known[p] = ids[a:b].tobytes()
 
-    def _split(self, text: str) -> list[str]:
-        if not self.keep_space:
-            return text.split()
-        out: list[str] = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append("\n")
-            out.append(first)
-            out += [" " + p for p in rest]
-        return out[1:]
-
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; works in groups of bounded size, so that one group's pieces fit beside the cache."""
         out: list[bytes] = []
@@ -110,7 +105,8 @@ class PieceEncoder:
         return out
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        split = [self._split(t) if t and plain(t) else None for t in texts]
+        pieces = spaced_pieces if self.keep_space else str.split
+        split = [pieces(t) if t and plain(t) else None for t in texts]
         self._learn(set().union(*(p for p in split if p is not None)))
         get = self.known.__getitem__
         return [b"".join(map(get, p)) if p is not None else self._whole(t).tobytes() if t else b""
