@@ -34,7 +34,7 @@ BINS_PER_POWER = 16
 def repeated_words(w: Column) -> Column:
     """Words of the array ``w`` that lie in a three-word window found twice or more, first ones included."""
     def count(windows: Column) -> Column:
-        ordered = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
         def covered(s: Column) -> Column:
             same = lambda a, b: F.coalesce(F.get(s, a)["h"] == F.get(s, b)["h"], F.lit(False))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, packing, quality, tokenfile, warc
+from marquee.llm import bpe, fingerprint, packing, quality, tokenfile, warc
 from marquee.llm.common import documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op5_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 @query("op6_warc", """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html FROM pages
