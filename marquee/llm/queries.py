@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, fingerprint, packing, quality, tokenfile, warc
+from marquee.llm import bpe, fingerprint, langid, packing, quality, tokenfile, toxicity, warc
 from marquee.llm.common import documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, labels))
+
+
 @query("op5_fingerprints")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(documents(spark, sf_dir))
@@ -58,6 +65,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop(*quality.X)
 
 
+@query("op8_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs, langid.train(docs))
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
