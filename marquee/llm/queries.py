@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, fingerprint, langid, packing, quality, tokenfile, toxicity, warc
+from marquee.llm import bpe, fingerprint, langid, neardup, packing, quality, tokenfile, toxicity, warc
 from marquee.llm.common import documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,31 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op3_near_duplicates", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+') IF x <> ''] AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)] END) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS hits FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS (
+  SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * hits >= 75 * (x.n + y.n - hits)
+), r AS (
+  SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reach
+), c AS (
+  SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id
+)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op4_toxicity")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)

@@ -24,7 +24,7 @@ FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 # Labelled rows that the lexicon and the weights are learned from, per class; everything else covers all rows.
 TRAIN_TOXIC, TRAIN_CLEAN = 4000, 8000
 MAX_TERMS = 4000  # of the lexicon
-MIN_DOCS, MIN_LOG_ODDS = 4, 3.0
+MIN_DOCS, MIN_LOG_ODDS = 3, 3.0
 FUZZY_FROM = 5  # shorter terms match exactly only
 STEMS = (4, 5, 6)
 WINDOW = 8  # words before a match that are searched for quotation
