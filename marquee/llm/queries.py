@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, fingerprint, langid, neardup, packing, quality, tokenfile, toxicity, warc
+from marquee.llm import bpe, fingerprint, langid, neardup, packing, quality, substrings, tokenfile, toxicity, warc
 from marquee.llm.common import documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,35 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op2_suffix_dedup", """
+WITH d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS g FROM (SELECT doc_id, h, unnest(range(greatest(n - 99, 0))) AS s FROM d)
+), m AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY g ORDER BY doc_id, s) > 1 AS later FROM w
+), r AS (
+  SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS fresh FROM m WHERE later
+), k AS (
+  SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM r
+), spans AS (
+  SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM k GROUP BY ALL
+), kept AS (
+  SELECT doc_id, a AS stop, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS start FROM spans
+  UNION ALL SELECT d.doc_id, d.n, coalesce(x.b, 0) FROM d LEFT JOIN (SELECT doc_id, max(b) AS b FROM spans GROUP BY doc_id) x ON x.doc_id = d.doc_id
+), t AS (
+  SELECT kept.doc_id, string_agg(substr(h, 2 * start + 1, 2 * (stop - start)), '' ORDER BY start, stop) AS h FROM kept JOIN d ON d.doc_id = kept.doc_id GROUP BY kept.doc_id
+), c AS (
+  SELECT doc_id, sum(b - a) AS removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(c.removed, 0) AS BIGINT) AS n_removed, coalesce(c.n_spans, 0) AS n_spans, sha256(unhex(t.h)) AS kept_sha256
+FROM d JOIN t ON t.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op3_near_duplicates", """
 WITH RECURSIVE w AS (
   SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

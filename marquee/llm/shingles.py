@@ -33,7 +33,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 _P = [_powers(_BASE, 1 << 16), _powers(_INVERSE, 1 << 16)]
 
 
-def _table(which: int, n: int) -> np.ndarray:
+def powers(which: int, n: int) -> np.ndarray:
     if len(_P[which]) < n:
         _P[which] = _powers((_BASE, _INVERSE)[which], n)
     return _P[which][:n]
@@ -51,8 +51,8 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     starts, ends = edge[::2], edge[1::2]
     total = np.empty(n + 1, np.uint64)
     total[0] = 0
-    np.cumsum(_LETTER[blob] * _table(0, n), out=total[1:])
-    word = mix((total[ends] - total[starts]) * _table(1, n)[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum(_LETTER[blob] * powers(0, n), out=total[1:])
+    word = mix((total[ends] - total[starts]) * powers(1, n)[starts] + (ends - starts).astype(np.uint64))
     after = np.cumsum([len(t) + 1 for t in texts])
     last = np.searchsorted(starts, after)  # words of the texts up to each one
     first = np.append(0, last[:-1])
