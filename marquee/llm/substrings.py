@@ -299,9 +299,12 @@ def _marks(segments: DataFrame, length: int) -> DataFrame:
     return segments.repartition("r").sortWithinPartitions("r", "seg", "did", "start", "th").mapInArrow(run, "did long, th int, start long, stop long")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), length: int = LENGTH,
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), as_text: bool = False, length: int = LENGTH,
                    gram: int = GRAM, hot_docs: int = HOT_DOCS) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (bytes), and ``carry`` as a struct, for every row.
+    """doc_id, n_bytes, n_removed, n_spans, kept, and the columns ``carry`` in the struct extra, for every row.
+
+    ``kept`` are the bytes left, or with ``as_text`` the text that they make,
+    without the parts of characters that were cut through.
 
     A byte goes if a ``length``-byte string that covers it also starts earlier:
     in a row with a smaller id, or at a smaller offset of the same id.  Null
@@ -327,7 +330,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     meeting = small.drop("extra").join(repeated, "did").select("did", "th", "z", "hs", "hot")
     marks = saved(_marks(_segments(meeting, length, gram), length), "marks")
     cuts = marks.groupBy("did", "th").agg(F.collect_list(F.struct("start", "stop")).alias("cuts"))
-    result = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, extra {extra}"
+    result = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}, extra {extra}"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -340,10 +343,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     spans = [m[2:] for m in merged([(0, 0, c["start"], c["stop"]) for c in cuts or ()])]
                     ends = [0, *(x for s in spans for x in s), len(raw)]
                     kept = b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2]))
-                    out.append((len(raw), len(raw) - len(kept), len(spans), kept))
+                    out.append((len(raw), len(raw) - len(kept), len(spans), kept.decode("utf-8", "ignore") if as_text else kept))
                 cols = list(zip(*out))
                 ids = part.column(0).to_pylist()
                 yield pa.RecordBatch.from_arrays([pa.array([None if i == -(1 << 63) else i for i in ids], pa.int64()), *[pa.array(c, pa.int64()) for c in cols[:3]],
-                                                  pa.array(cols[3], pa.binary()), part.column(3)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "extra"])
+                                                  pa.array(cols[3], pa.string() if as_text else pa.binary()), part.column(3)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "extra"])
 
     return small.join(cuts, ["did", "th"], "left").select("did", "z", "cuts", "extra").mapInArrow(cut, result)

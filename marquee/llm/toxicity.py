@@ -297,3 +297,14 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(score, "doc_id long, score double").select(
         "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``, in one pass without a shuffle."""
+    at = docs.columns.index(text_col)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([model.score(t or "") < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
