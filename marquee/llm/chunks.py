@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 # Entries kept per cache before it is emptied: bounds a worker's memory, never changes a result.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 1_200_000
 # Fixed value of the vocabulary files: the end mark, encoded apart from its neighbours.
 END = "<|endoftext|>"
 

@@ -26,10 +26,12 @@ from marquee.llm.chunks import library_encoder
 from marquee.llm.common import keyed, saved, scratch
 
 MAGIC = b"S8BTOK01"
-BLOCK_IDS = 1 << 15
+BLOCK_IDS = 1 << 16
 RANGE_BLOCKS = 64  # blocks that one reading row stands for
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 0])
+SELECTOR = np.zeros(61, np.uint64)  # by count; 0 is a run
+SELECTOR[COUNTS[1:15]] = np.arange(1, 15)
 MANIFEST = "path string, first_doc long, n_docs long, n_ids long, n_blocks long"
 
 
@@ -45,28 +47,29 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for c in (2, 4, 8, 16, 32):
         prev = high[c // 2]
         high[c] = np.maximum(prev[:-(c // 2)], prev[c // 2:])
-    step, select = np.ones(n, np.int64), np.full(n, 15, np.uint8)
-    for s in range(14, 0, -1):
+    step = np.ones(n, np.uint8)
+    for s in range(13, 0, -1):
         c = int(COUNTS[s])
         p = 1 << (c.bit_length() - 1)
         fits = np.maximum(high[p][:n], high[p][c - p:c - p + n]) <= WIDTHS[s]
-        step[fits], select[fits] = c, s
-    change = np.append(np.flatnonzero(ids[1:n] != ids[:n - 1]), n - 1) if n else np.empty(0, np.int64)
-    run = np.repeat(change, np.diff(change, prepend=-1)) - np.arange(n) + 1
-    long = (run > step) & (bits[:n] <= 32)
-    step[long], select[long] = run[long], 0
-    jumps, starts, at = step.tolist(), [], 0
+        np.maximum(step, fits.view(np.uint8) * np.uint8(c), out=step)
+    if n:
+        change = np.append(np.flatnonzero(ids[1:n] != ids[:n - 1]), n - 1)
+        run = np.repeat(change, np.diff(change, prepend=-1)) - np.arange(n) + 1
+        step[(run > step) & (bits[:n] <= 32)] = 0  # a run
+    jumps, starts, at = step.tobytes(), [], 0
     while at < n:
         starts.append(at)
-        at += jumps[at]
+        at += jumps[at] or int(run[at])
     starts = np.array(starts, dtype=np.int64)
-    select = select[starts].astype(np.uint64)
+    select = SELECTOR[step[starts]]
+    select[(step[starts] == 1) & (bits[starts] > 60)] = 15
     words = select << np.uint64(60)
     for s in range(1, 15):
         own = np.flatnonzero(select == s)
         if len(own):
-            lanes = np.arange(COUNTS[s])
-            words[own] |= np.bitwise_or.reduce(ids[starts[own][:, None] + lanes] << (lanes * WIDTHS[s]).astype(np.uint64), axis=1)
+            lanes = np.lib.stride_tricks.sliding_window_view(ids, COUNTS[s])[starts[own]]
+            words[own] |= lanes @ (np.uint64(1) << (np.arange(COUNTS[s]) * WIDTHS[s]).astype(np.uint64))
     own = select == 0
     words[own] |= ids[starts[own]] | (run[starts[own]].astype(np.uint64) << np.uint64(32))
     return words, ids[starts[select == 15]]
