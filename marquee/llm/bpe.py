@@ -15,6 +15,7 @@ import heapq
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -32,7 +33,8 @@ class Replay:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(bytes.strip, f))}
         self.tokens = {r: t for t, r in self.ranks.items()}
-        self.first = [self.ranks[bytes([b])] for b in range(256)]
+        self.first = np.array([self.ranks[bytes([b])] for b in range(256)])
+        self.byte_pairs = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
         get = self.ranks.get
         self.merges: dict[int, int] = {}  # left rank << 32 | right rank -> merged rank
         for token, rank in self.ranks.items():
@@ -44,25 +46,35 @@ class Replay:
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """The ranks of each word's tokens: a word that is a token itself is that token, else lowest rank
         first, leftmost first, as the rank files are defined."""
-        out: list[list[int] | None] = [None] * len(words)
-        symbols, before, after, spans = [], [], [], []
-        index: dict[int, list[int]] = {}
-        merges, first = self.merges, self.first
+        out: list[list[int]] = [[] for _ in words]
+        merges, ranks = self.merges, self.ranks
+        spans, a = [], 0
         for k, word in enumerate(words):
-            whole = self.ranks.get(word)
-            if whole is not None or not word:
-                out[k] = [whole] if word else []
-                continue
-            a = len(symbols)
-            symbols += [first[b] for b in word]
-            b = len(symbols)
-            before += [-1, *range(a, b - 1)]
-            after += [*range(a + 1, b), -1]
-            spans.append((k, a, b))
-            for p in range(a, b - 1):
-                r = merges.get(symbols[p] << 32 | symbols[p + 1])
-                if r is not None:
-                    index.setdefault(r, []).append(p)
+            whole = ranks.get(word)
+            if whole is not None:
+                out[k] = [whole]
+            elif word:
+                spans.append((k, a, a + len(word)))
+                a += len(word)
+        if not spans:
+            return out
+        byte = np.frombuffer(b"".join(words[k] for k, _, _ in spans), np.uint8)
+        start = np.zeros(a + 1, bool)
+        start[[x for _, x, _ in spans]] = start[a] = True
+        at = np.arange(a)
+        first = self.first[byte]
+        symbols = first.tolist()
+        before = np.where(start[:-1], -1, at - 1).tolist()
+        after = np.where(start[1:], -1, at + 1).tolist()
+        # The index of the first pairs: ranks of all neighbours at once, positions grouped by rank.
+        rank = self.byte_pairs[byte[:-1], byte[1:]]
+        here = np.flatnonzero((rank >= 0) & ~start[1:-1])
+        here = here[np.argsort(rank[here], kind="stable")]
+        names = rank[here]
+        cut = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(here) else np.empty(0, np.int64)
+        ends = [*cut[1:].tolist(), len(here)]
+        order = here.tolist()
+        index = {int(names[x]): order[x:y] for x, y in zip(cut.tolist(), ends)}
         queue = list(index)
         heapq.heapify(queue)
         while queue:
@@ -130,11 +142,16 @@ class BatchEncoder:
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
             new = list(pieces)
-        found = [self.find(p) for p in new]
-        words = list(set().union(*found))
-        ids = {w: array("I", i).tobytes() for w, i in zip(words, self.replay.encode([w.encode() for w in words]), strict=True)}
-        get = ids.__getitem__
-        known.update((p, b"".join(map(get, f))) for p, f in zip(new, found, strict=True))
+        found = {}
+        for p in new:
+            core = p.rstrip(".,")
+            bare = core.lstrip(" ")
+            # Latin letters are one match, and so are the stops after them.
+            found[p] = ([core, p[len(core):]] if len(core) < len(p) else [p]) if bare.isalpha() and max(bare) < "ɐ" and len(core) <= len(bare) + 1 else self.find(p)
+        words = [w for w in set().union(*found.values()) if w not in known or w in found]
+        known.update(zip(words, (array("I", i).tobytes() for i in self.replay.encode([w.encode() for w in words])), strict=True))
+        get = known.__getitem__
+        known.update([(p, b"".join(map(get, f))) for p, f in found.items() if len(f) != 1 or f[0] != p])
         get = known.__getitem__
         out = [b"".join(map(get, p)) for p in split]
         for t in texts:  # a whole text is no word that comes again
