@@ -47,16 +47,17 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for c in (2, 4, 8, 16, 32):
         prev = high[c // 2]
         high[c] = np.maximum(prev[:-(c // 2)], prev[c // 2:])
+    if not n:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
     step = np.ones(n, np.uint8)
     for s in range(13, 0, -1):
         c = int(COUNTS[s])
         p = 1 << (c.bit_length() - 1)
         fits = np.maximum(high[p][:n], high[p][c - p:c - p + n]) <= WIDTHS[s]
         np.maximum(step, fits.view(np.uint8) * np.uint8(c), out=step)
-    if n:
-        change = np.append(np.flatnonzero(ids[1:n] != ids[:n - 1]), n - 1)
-        run = np.repeat(change, np.diff(change, prepend=-1)) - np.arange(n) + 1
-        step[(run > step) & (bits[:n] <= 32)] = 0  # a run
+    change = np.append(np.flatnonzero(ids[1:n] != ids[:n - 1]), n - 1)
+    run = np.repeat(change, np.diff(change, prepend=-1)) - np.arange(n) + 1
+    step[(run > step) & (bits[:n] <= 32)] = 0  # a run
     jumps, starts, at = step.tobytes(), [], 0
     while at < n:
         starts.append(at)
