@@ -39,7 +39,7 @@ MARGIN = 0.19
 _rng = np.random.default_rng(1203)
 _XOR = _rng.integers(0, 2**64 - 1, M, dtype=np.uint64)
 _MUL = _rng.integers(0, 2**63, M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SKETCH = "doc_id long, n int, h1 long, h2 long, regs array<long>"
+SKETCH = "doc_id long, node long, n int, h1 long, h2 long, regs array<long>"
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
@@ -91,7 +91,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 bands = iter(registers(full).view(np.int64).tolist())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int32()),
+                    batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([int(s.sum(dtype=np.uint64).view(np.int64)) for s in sets], pa.int64()),
                     pa.array([int(np.bitwise_xor.reduce((s + np.uint64(s.size)) * _MUL[0]).view(np.int64)) if len(s) else 0 for s in sets], pa.int64()),
                     pa.array([next(bands) if len(s) else [] for s in sets], pa.list_(pa.int64())),
@@ -118,7 +118,7 @@ def likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union, counted on the full sets of the whole texts.
+    """The pairs (a, b) of nodes with 100 * intersection >= percent * union, counted on the full sets of the whole texts.
 
     Texts travel compressed, and only those of documents in a pair.
     """
@@ -126,7 +126,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 z = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t in batch.column(1).slice(k, 1000).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1000), pa.array(z, pa.binary())], names=["id", "z"])
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(k, 1000), pa.array(z, pa.binary())], names=["id", "z"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,28 +222,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     document.  A row without id is linked with nothing: its component is null, and it is kept.
     """
     threshold = percent / 100
-    rows = keyed(docs, id_col, text_col)
+    rows = keyed(docs, id_col, text_col).withColumn("node", F.xxhash64("doc_id", "text"))
+    named = rows.filter("doc_id is not null")
     found = saved(sketches(rows), "sketches")
     nodes = found.filter("n > 0 and doc_id is not null")
-    classes = saved(nodes.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep")), "classes")
-    placed = nodes.join(classes, ["n", "h1", "h2"])
-    reps = saved(placed.filter("doc_id = rep").select("rep", "n", "regs").dropDuplicates(["rep"]), "reps")
+    same = ["n", "h1", "h2"]
+    classes = nodes.groupBy(*same).agg(F.min(F.struct("doc_id", "node")).alias("r"))
+    classes = saved(classes.select(*same, F.col("r.doc_id").alias("rep_id"), F.col("r.node").alias("rep")), "classes")
+    placed = nodes.join(classes, same)
+    reps = saved(placed.filter("node = rep").select("rep", "n", "regs").dropDuplicates(["rep"]), "reps")
 
     bands = reps.select("rep", F.posexplode("regs").alias("band", "key"))
     buckets = saved(bands.groupBy("band", "key").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).filter("size > 1").select("band", "key", "pivot"), "buckets")
     members = saved(bands.join(buckets, ["band", "key"]), "members")
     stars = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links = verified(likely(stars, reps, threshold), rows.filter("doc_id is not null"), percent)
+    links = verified(likely(stars, reps, threshold), named, percent)
     # Rows that repeat an id with another text tie their classes together.
-    again = placed.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("doc_id")
-    ties = placed.join(again, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = links.union(ties)
+    again = placed.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("doc_id", "lo")
+    links = links.union(placed.join(again, "doc_id").select("lo", "rep"))
     labels = components(links)
-    rest = verified(_across(members, reps, labels, threshold), rows.filter("doc_id is not null"), percent)
-    labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
-
-    narrow = found.select("doc_id", "n", "h1", "h2").join(classes, ["n", "h1", "h2"], "left")
-    out = narrow.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    rest = verified(_across(members, reps, labels, threshold), named, percent)
+    labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)).withColumnRenamed("node", "rep")
+
+    placed = classes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = placed.groupBy("component").agg(F.min("rep_id").alias("least"))
+    group = placed.join(least, "component").select(*same, "least")
+    out = found.select("doc_id", *same).join(group, same, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
