@@ -21,6 +21,7 @@ MIN_GROUP = 100
 # Share of each group that the estimate rests on.
 CORE = 0.75
 STEPS = 3
+SALTS = 16
 # Chi-square quantiles for 5 degrees of freedom: the median, and the default cut-off (a tail of about 1e-9).
 CHI2_MEDIAN, CUTOFF = 4.351, 52.0
 # Standard deviations are not taken below these: a statistic that is constant in the core of a group
@@ -131,18 +132,23 @@ def _quantile(dist: DataFrame, share: float) -> DataFrame:
         .filter(F.col("upto") >= share * F.col("all")).groupBy("g").agg(F.pow(F.lit(2.0), (F.min("bin") + 1) / BINS_PER_POWER).alias("q"))
 
 
+def _beside(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with the columns of their group; a group's rows meet its estimate in ``SALTS`` places, so none is hot."""
+    return rows.join(groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"])
+
+
 def estimates(vectors: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFrame:
     """Group table: key ``g``, rows ``n``, centre and precision of each (language, source), language, and all."""
-    rows = saved(_groups(vectors), "vectors")
+    rows = saved(_groups(vectors).withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")), "vectors")
     zero = F.lit(0.0)
     mid = rows.groupBy("g").agg(F.count("*").alias("n"), *[F.percentile_approx(x, 0.5, 1000).alias(f"m_{x}") for x in X])
-    mad = rows.join(mid, "g").groupBy("g").agg(F.first("n").alias("n"), *[F.first(f"m_{x}").alias(f"m_{x}") for x in X], *[
+    mad = _beside(rows, mid).groupBy("g").agg(F.first("n").alias("n"), *[F.first(f"m_{x}").alias(f"m_{x}") for x in X], *[
         F.greatest(1.4826 * F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5, 1000), F.lit(FLOORS[x])).alias(f"s_{x}") for x in X])
     est = saved(mad.select("g", "n", *[f"m_{x}" for x in X], *[
         (1.0 / (F.col(f"s_{a}") * F.col(f"s_{b}")) if a == b else zero).alias(f"p_{a}_{b}") for i, a in enumerate(X) for b in X[i:]]), "estimate")
     for _ in range(steps):
-        dist = rows.join(est, "g").select("g", *X, _distance().alias("d"))
-        near = rows.join(est, "g").join(_quantile(dist, core), "g").withColumn("d", _distance()).filter("d <= q")
+        dist = _beside(rows, est).select("g", _distance().alias("d"))
+        near = _beside(rows, est.join(_quantile(dist, core), "g")).withColumn("d", _distance()).filter("d <= q")
         z = lambda a: F.col(a) - F.col(f"m_{a}")  # moments about the last centre: no cancellation
         sums = near.groupBy("g").agg(F.first("n").alias("n"), F.count("*").alias("k"), *[F.first(f"m_{x}").alias(f"o_{x}") for x in X],
                                      *[F.avg(z(x)).alias(f"e_{x}") for x in X],
@@ -152,7 +158,7 @@ def estimates(vectors: DataFrame, core: float = CORE, steps: int = STEPS) -> Dat
             for i, a in enumerate(X) for b in X[i:]])
         est = saved(_invert(cov), "estimate")
     # The core is narrower than the whole: scale so that the median distance is that of a normal sample, never inflating distances.
-    dist = rows.join(est, "g").select("g", _distance().alias("d"))
+    dist = _beside(rows, est).select("g", _distance().alias("d"))
     return saved(est.join(_quantile(dist, 0.5), "g").withColumn("scale", F.least(F.lit(1.0), CHI2_MEDIAN / F.col("q"))).drop("q"), "estimate")
 
 
