@@ -21,11 +21,12 @@ from marquee.llm.common import documents, saved
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the base rules or lie far outside the bulk of their language and source."""
+    name = next(n for n in ("row", *(f"row{k}" for k in range(len(docs.columns)))) if n not in docs.columns)
     row = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.coalesce("text", F.lit("")), F.col("doc_id").isNull())
-    rows = docs.select(row.alias("row"), *docs.columns)
-    judged = quality.score_quality(rows, id_col="row")
-    good = judged.filter("kept").select(F.col("doc_id").alias("row"))
-    return rows.join(good, "row", "left_semi").select(*docs.columns)
+    rows = docs.select(row.alias(name), *docs.columns)
+    judged = quality.score_quality(rows, id_col=name)
+    good = judged.filter("kept").select(F.col("doc_id").alias(name))
+    return rows.join(good, name, "left_semi").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
