@@ -32,7 +32,7 @@ from marquee.llm.shingles import batches_of, common, shingle_sets
 ROWS, BANDS = 4, 32
 M = ROWS * BANDS
 BASE, RATE, TOP = 1.001, 20.0, 65_535
-BLOCK = 512  # members of a bucket that are compared at once
+BLOCK = 256  # members of a bucket that are compared at once
 # Five standard deviations of an estimate from 128 registers below 0.75.
 MARGIN = 0.19
 
@@ -117,17 +117,25 @@ def likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return sized.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes with 100 * intersection >= percent * union, counted on the full sets of the whole texts.
-
-    Texts travel compressed, and only those of documents in a pair.
-    """
+def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, z): the compressed texts of the given nodes, each once."""
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 z = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t in batch.column(1).slice(k, 1000).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(2).slice(k, 1000), pa.array(z, pa.binary())], names=["id", "z"])
 
+    texts = docs.mapInArrow(squeeze, "id long, z binary").join(nodes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    return saved(texts.dropDuplicates(["id"]), "texts")
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = common(a, b)
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes with 100 * intersection >= percent * union, counted on the full sets of the whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             za, zb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -136,31 +144,31 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             for lo, hi in batches_of([x + y for x, y in zip(za, zb)], 1 << 19):
                 own = {i: z for i, z in zip(a[lo:hi] + b[lo:hi], za[lo:hi] + zb[lo:hi])}
                 sets = dict(zip(own, shingle_sets([zlib.decompress(z) for z in own.values()])))
-                for x, y in zip(a[lo:hi], b[lo:hi]):
-                    both = common(sets[x], sets[y])
-                    if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
-                        out.append((x, y))
+                out += [(x, y) for x, y in zip(a[lo:hi], b[lo:hi]) if _linked(sets[x], sets[y], percent)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
-    pairs = saved(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = docs.mapInArrow(squeeze, "id long, z binary").join(ids, "id", "left_semi").dropDuplicates(["id"])
-    texts = saved(texts, "texts")
     full = pairs.join(texts.select(F.col("id").alias("a"), F.col("z").alias("za")), "a") \
         .join(texts.select(F.col("id").alias("b"), F.col("z").alias("zb")), "b").select("a", "b", "za", "zb")
     return saved(full.mapInArrow(run, "a long, b long"), "links")
 
 
-def _across(members: DataFrame, reps: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs within a bucket whose ends lie in different components, each from the first band that they share."""
+def _across(members: DataFrame, reps: DataFrame, texts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links within a bucket whose ends lie in different components, from buckets in which some are left.
+
+    A bucket is compared in pairs of blocks of bounded size, each row going to
+    as many tasks as its bucket has blocks.  A pair is looked at in the first
+    band that it shares; if its registers allow the threshold, its full sets
+    are compared at once.  A task gives out no more links than tie its components together.
+    """
+    threshold = percent / 100
     labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
         .withColumn("component", F.coalesce("component", "rep"))
     open_ = labelled.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")) \
         .filter("lo <> hi").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).select("band", "key", "blocks")
-    rows = labelled.join(open_, ["band", "key"]).join(reps, "rep")
+    rows = labelled.join(open_, ["band", "key"]).join(reps, "rep").join(texts.withColumnRenamed("id", "rep"), "rep")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("band", "key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "rep", "component", "n", "regs")
+        .select("band", "key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "rep", "component", "n", "regs", "z")
     keys = ["band", "key", "bi", "bj"]
 
     def compare(t: pa.Table) -> list[tuple[int, int]]:
@@ -171,18 +179,35 @@ def _across(members: DataFrame, reps: DataFrame, labels: DataFrame, threshold: f
         band = t["band"][0].as_py()
         regs = _as_registers(t["regs"].combine_chunks())
         cols = regs.view(np.int64).reshape(len(rep), BANDS)
-        left = np.flatnonzero(own == bi)
         right = np.flatnonzero(own == bj)
-        out = []
-        for i in left.tolist():
-            js = right[(rep[right] > rep[i]) & (comp[right] != comp[i])] if bi == bj else right[comp[right] != comp[i]]
-            js = js[np.minimum(n[js], n[i]) >= threshold * np.maximum(n[js], n[i]) - 1e-9]
+        pairs = []
+        for i in np.flatnonzero(own == bi).tolist():
+            js = right[right > i] if bi == bj else right
+            js = js[(comp[js] != comp[i]) & (np.minimum(n[js], n[i]) >= threshold * np.maximum(n[js], n[i]) - 1e-9)]
             if band:
                 js = js[~(cols[js, :band] == cols[i, :band]).any(axis=1)]
-            if len(js):
-                j = estimate(regs[js], np.broadcast_to(regs[i], (len(js), M)), n[js].astype(float), np.full(len(js), float(n[i])))
-                js = js[j >= threshold - MARGIN]
-                out += [(min(rep[i], rep[k]), max(rep[i], rep[k])) for k in js.tolist()]
+            js = js[(regs[js] == regs[i]).sum(axis=1) >= (threshold - MARGIN) * M - 8]  # far below: not worth an estimate
+            pairs.append(np.stack([np.full(len(js), i), js]))
+        x, y = np.concatenate(pairs, axis=1)
+        if not len(x):
+            return []
+        likely_ = estimate(regs[x], regs[y], n[x].astype(float), n[y].astype(float)) >= threshold - MARGIN
+        x, y = x[likely_].tolist(), y[likely_].tolist()
+        z, up = t["z"], {}
+        used = sorted({*x, *y})
+        sets = dict(zip(used, shingle_sets([zlib.decompress(z[k].as_py()) for k in used]))) if used else {}
+
+        def find(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
+        out = []
+        for i, j in zip(x, y):
+            ci, cj = find(int(comp[i])), find(int(comp[j]))
+            if ci != cj and _linked(sets[i], sets[j], percent):
+                up[ci] = cj
+                out.append((rep[i], rep[j]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +236,8 @@ def _across(members: DataFrame, reps: DataFrame, labels: DataFrame, threshold: f
         if held:
             yield rows_of(done(pa.Table.from_batches(held)))
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that small but slow tasks are not put together
+    return saved(rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -235,13 +261,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = reps.select("rep", F.posexplode("regs").alias("band", "key"))
     buckets = saved(bands.groupBy("band", "key").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).filter("size > 1").select("band", "key", "pivot"), "buckets")
     members = saved(bands.join(buckets, ["band", "key"]), "members")
+    texts = packed_texts(named, members)
     stars = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links = verified(likely(stars, reps, threshold), named, percent)
+    links = verified(likely(stars, reps, threshold), texts, percent)
     # Rows that repeat an id with another text tie their classes together.
     again = placed.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("doc_id", "lo")
     links = links.union(placed.join(again, "doc_id").select("lo", "rep"))
     labels = components(links)
-    rest = verified(_across(members, reps, labels, threshold), named, percent)
+    rest = _across(members, reps, texts, labels, percent)
     labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)).withColumnRenamed("node", "rep")
 
     placed = classes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))

@@ -80,7 +80,7 @@ def test_messy(spark, messy, empty):
     assert run(empty) == []
 
 
-@pytest.mark.parametrize("block", [8, 512])
+@pytest.mark.parametrize("block", [8, 256])
 def test_groups_of_copies(spark, monkeypatch, block):
     """A large group of edited copies around one text, chains of copies of copies, shared passages, short texts."""
     monkeypatch.setattr(neardup, "BLOCK", block)
