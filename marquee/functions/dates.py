@@ -15,8 +15,6 @@ MONTHS = {
     "Jun": 6, "June": 6, "Jul": 7, "July": 7, "Aug": 8, "Sep": 9, "Sept": 9,
     "Oct": 10, "Nov": 11, "Dec": 12,
 }
-# Month prefixes a word may start with and survive cleaning.
-MONTH_PREFIXES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Sept", "Oct", "Nov", "Dec"]
 
 
 def _c(col) -> Column:
@@ -27,57 +25,41 @@ def month_map() -> Column:
     return F.create_map(*[x for k, v in MONTHS.items() for x in (F.lit(k), F.lit(v))])
 
 
-def _clean_piece(s: Column) -> Column:
-    s = F.regexp_replace(s, r"([a-z]):(\s?[0-9])", "$1.$2")
-    s = F.regexp_replace(s, r"(?<=[A-Za-z]{3}),", ".")
-    s = F.regexp_replace(s, r"[0-9]{2,},[0-9]{3,}", "")
-    s = F.regexp_replace(s, r"[0-9],[0-9]{3,}", "")
-    s = F.regexp_replace(s, r"[0-9]{3,}", "")
-    s = F.regexp_replace(s, r"\b(?!" + "|".join(MONTH_PREFIXES) + r")[a-zA-Z]{2,}\b", "")
-    s = F.regexp_replace(s, r"[.;$\[\](){}]", "")
-    s = F.trim(F.regexp_replace(s, r"\s+", " "))
-    return F.regexp_replace(s, "([a-z])([0-9])", "$1 $2")
+# What a date cell is read as, in this order: amounts (dropped whole), month words, other words (dropped),
+# days, and the marks that join days.
+_AMOUNT = r"\d+(?:[.,]\d{3,})+|\d+(?:\.\d+)+|\d{3,}"
+_MONTH = r"(?<![A-Za-z])(?:" + "|".join(sorted(MONTHS, key=len, reverse=True)) + r")(?![a-z])"
+_DATE_TOKEN = rf"(?:{_AMOUNT})|(?:{_MONTH})|[A-Za-z]+|\d{{1,2}}|-|(?<=\d),(?=\d)"
 
 
 def clean_dates(arr) -> Column:
     """list<string> of raw date cells -> one clean date string.
 
-    Continuation cells get a leading comma; numbers, thousands and words that
-    are not months are removed; then stray numbers are dropped: after a month
-    only days 1..31 that increase (integer compare) or ranges with ``-`` stay.
+    The cells are read as months, days, ranges and joining commas; all else is
+    passed over.  A day counts after a month, within 1..31 and if it is later
+    than the day before; ``-`` joins it (also across cells and before the next
+    month), ``,`` without a blank does, else a blank.
     """
-    pieces = F.transform(_c(arr), lambda s, i: _clean_piece(
-        F.when((i > 0) & (F.substring(s, 1, 1) != ","), F.concat(F.lit(","), s)).otherwise(s)))
-    toks = F.transform(F.flatten(F.transform(pieces, lambda p: F.split(p, " "))),
-                       lambda t: F.regexp_replace(t, "^,+|,+$", ""))
-    return let(toks, _stray_filter)
-
-
-def _stray_filter(toks: Column) -> Column:
+    tokens = F.regexp_extract_all(F.array_join(_c(arr), "\n"), F.lit(_DATE_TOKEN), 0)
     months = month_map()
-    init = F.struct(F.array().cast("array<string>").alias("out"),
-                    F.lit(None).cast("string").alias("m"), F.lit(None).cast("int").alias("d"))
+    nothing = F.lit(None).cast("int")
+    state = lambda text, month, day, join: F.struct(
+        text.alias("text"), month.alias("month"), day.alias("day"), join.alias("join"))
 
     def step(acc, t):
-        is_month = months[t].isNotNull()
-        is_num = t.rlike("^[0-9]+$")
-        day = F.when(is_num, F.substring(t, -4, 4).cast("int"))
-        keep_day = is_num & acc["m"].isNotNull() & (acc["d"].isNull() | (day > acc["d"])) & day.between(1, 31)
-        drop_day = is_num & acc["d"].isNotNull() & (day <= acc["d"])
-        keep_range = acc["m"].isNotNull() & t.contains("-") & ~is_num
-        return (F.when(is_month, F.struct(F.array_append(acc["out"], t).alias("out"), t.alias("m"),
-                                          F.lit(None).cast("int").alias("d")))
-                .when(acc["m"].isNull() | drop_day, acc)
-                .when(keep_day, F.struct(F.array_append(acc["out"], t).alias("out"), acc["m"].alias("m"),
-                                         day.alias("d")))
-                .when(keep_range, F.struct(F.array_append(acc["out"], t).alias("out"), acc["m"].alias("m"),
-                                           acc["d"].alias("d")))
+        day = F.when(t.rlike("^[0-9]{1,2}$"), t.cast("int"))
+        fits = acc["month"] & day.between(1, 31) & (acc["day"].isNull() | (day > acc["day"]))
+        mark = acc["month"] & acc["day"].isNotNull() & t.isin("-", ",")
+        first = F.when(acc["text"] == "", t)
+        return (F.when(months[t].isNotNull(), state(
+                    F.coalesce(first, F.concat(acc["text"], F.when(acc["join"] == "-", "-").otherwise(" "), t)),
+                    F.lit(True), nothing, F.lit(" ")))
+                .when(mark, state(acc["text"], acc["month"], acc["day"], t))
+                .when(fits, state(F.concat(acc["text"], acc["join"], t), acc["month"], day, F.lit(" ")))
+                .when(day.isNotNull(), state(acc["text"], acc["month"], acc["day"], F.lit(" ")))
                 .otherwise(acc))
 
-    kept = F.aggregate(toks, init, step)["out"]
-    s = F.array_join(kept, " ")
-    s = F.regexp_replace(s, "([a-z])([0-9])", "$1 $2")
-    return F.regexp_replace(s, r"(-)\s([0-9A-Z])", "$1$2")
+    return F.aggregate(tokens, state(F.lit(""), F.lit(False), nothing, F.lit(" ")), step)["text"]
 
 
 def event_year(issue_year, issue_month, event_month) -> Column:
@@ -103,7 +85,7 @@ def month_day_pairs(text) -> Column:
         return (F.when(mm.isNotNull(), F.struct(acc["pairs"].alias("pairs"), mm.alias("m")))
                 .when(is_num & acc["m"].isNotNull(),
                       F.struct(F.array_append(acc["pairs"], F.struct(acc["m"].alias("m"),
-                                                                     F.substring(t, -4, 4).cast("int").alias("d")))
+                                                                     t.try_cast("int").alias("d")))
                                .alias("pairs"), acc["m"].alias("m")))
                 .otherwise(acc))
 

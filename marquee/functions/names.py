@@ -122,7 +122,7 @@ def artist_candidates(col) -> Column:
         without = F.trim(F.regexp_replace(F.replace(s, F.lit(d), F.lit(" " if d == "/" else "")), r"\s+", " "))
         pos = F.locate(d, s)
         left = F.trim(F.substring(s, F.lit(1), pos - 1))
-        right = F.trim(F.substring(s, pos + len(d), F.lit(1 << 20)))
+        right = F.trim(F.substr(s, pos + len(d)))
         for k, v in enumerate((without, left, right)):
             out.append(F.when(has, F.struct(F.lit(1 + 3 * n + k).alias("prio"), v.alias("name"))))
     return F.filter(F.array(*out), lambda x: x.isNotNull())
@@ -143,20 +143,20 @@ def special_event_score(lines) -> Column:
 
     +7 strong keyword; +7 tag keyword with a digit from the tag line on; +5
     weak keyword; +5 colon; +2 apostrophe in the candidate name (text before
-    the colon, else lines up to the first keyword line); +2 comma.
+    the colon, else lines up to the first keyword line, all if there is none); +2 comma.
     """
     a = _c(lines)
     text = F.lower(F.array_join(a, ""))
     low = F.transform(a, lambda l: F.lower(l))
     tag_pos = F.array_position(F.transform(low, lambda l: any_keyword(l, TAG_KEYWORDS)), True)
     # no single line holds the tag (it only spans a line break): the last line
-    post_tag = F.array_join(F.when(tag_pos > 0, F.slice(a, F.greatest(tag_pos, F.lit(1)), F.lit(1 << 20)))
+    post_tag = F.array_join(F.when(tag_pos > 0, F.slice(a, F.greatest(tag_pos, F.lit(1)), F.size(a)))
                             .otherwise(F.slice(a, -1, 1)), " ")
     kw_pos = F.array_position(F.transform(low, lambda l: any_keyword(l, STRONG_EVENT_KEYWORDS + WEAK_EVENT_KEYWORDS)),
                               True)
     has_colon = text.contains(":")
     candidate = F.when(has_colon, F.substring_index(text, ":", 1)).otherwise(
-        F.array_join(F.slice(a, F.lit(1), kw_pos), " "))
+        F.array_join(F.slice(a, F.lit(1), F.when(kw_pos > 0, kw_pos).otherwise(F.size(a))), " "))
     score = (F.when(any_keyword(text, STRONG_EVENT_KEYWORDS), SCORE_STRONG).otherwise(0)
              + F.when(any_keyword(text, TAG_KEYWORDS) & post_tag.rlike("[0-9]"), SCORE_TAG).otherwise(0)
              + F.when(any_keyword(text, WEAK_EVENT_KEYWORDS), SCORE_WEAK).otherwise(0)
@@ -191,7 +191,7 @@ def _cut(a: Column, low: Column, s: Column) -> Column:
     """Name parts and artists for the 1-based stop line ``s`` (null = none)."""
     stop_line = F.get(low, s - 1)
     before = F.trim(F.substring_index(stop_line, ":", 1))
-    after = F.trim(F.substring(stop_line, F.locate(":", stop_line) + 1, 1 << 20))
+    after = F.trim(F.substr(stop_line, F.locate(":", stop_line) + 1))
     stop_has_colon = stop_line.contains(":")
     head = F.slice(low, 1, s - 1)
     name_parts = F.when(s.isNull(), low).otherwise(

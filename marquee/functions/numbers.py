@@ -20,10 +20,19 @@ def number_word_map() -> Column:
 
 
 def number_value(token) -> Column:
-    """Value of a single number token (word or digits), null otherwise."""
-    t = F.col(token) if isinstance(token, str) else token
-    return F.coalesce(number_word_map()[F.lower(t)],
-                      F.when(t.rlike("^[0-9]{1,9}$"), t.cast("int")))
+    """Value of a number in words or digits, null otherwise.
+
+    Words may be compound (``twenty-five``, ``one hundred and five``): parts
+    add up, ``hundred`` multiplies what stands before it.  Digits are read as
+    bigint; what does not fit is null.
+    """
+    t = F.lower(F.trim(F.col(token) if isinstance(token, str) else token))
+    values = number_word_map()
+    parts = F.filter(F.split(t, r"[\s-]+"), lambda w: w != "and")
+    known = (F.size(parts) > 0) & F.forall(parts, lambda w: values[w].isNotNull())
+    total = F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, w: F.when(
+        w == "hundred", F.greatest(acc, F.lit(1).cast("bigint")) * 100).otherwise(acc + values[w]).cast("bigint"))
+    return F.when(t.rlike("^[0-9]+$"), t.try_cast("bigint")).when(known, total)
 
 
 def parse_count(number_token, metric_token) -> Column:

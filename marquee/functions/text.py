@@ -78,7 +78,7 @@ def title_case(col) -> Column:
     """
     pieces = F.regexp_extract_all(F.lower(_c(col)), F.lit(r"(\p{L}+|\P{L}+)"), 1)
     return F.array_join(
-        F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 20))),
+        F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substr(p, F.lit(2)))),
         "")
 
 

@@ -50,7 +50,7 @@ def _lev(a: str, b: str) -> int:
 
 def _number(t: str):
     v = NUMBER_WORDS.get(t.lower())
-    if v is None and t.isascii() and t.isdigit() and len(t) <= 9:
+    if v is None and t.isascii() and t.isdigit() and int(t) < 1 << 63:
         v = int(t)
     return v
 

@@ -45,6 +45,7 @@ def curate_events(processed: DataFrame, dims: Dimensions, corrections: DataFrame
                   ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """processed rows (``file``, ``row_pos``, issue_year/month, list columns as
     arrays, numbers as text) -> (curated events, new dimension members)."""
+    processed = cut_lineage(processed)   # row numbers are read more than once: fix them
     d = processed.withColumn("_key", F.concat_ws("#", "file", F.col("row_pos").cast("string")))
     d = lines.rank_in_group(d, ["file"], "row_pos", "weekly_rank")
     # raw signature (keys the manual corrections)

@@ -67,7 +67,9 @@ def city_after_venue(df: DataFrame, key: str, tokens: str, state: str, cities: D
     post = df.select(key, F.col(state).alias("_state"), v.alias("_v"),
                      F.slice(tokens, v + 1, F.greatest(F.size(tokens) - v, F.lit(0))).alias("_post")
                      ).filter(F.col("_v") > 0)
-    w = windows(post, key, "_post", max_n=1 << 10).join(post.select(key, "_state", "_v"), key)
+    # no window longer than the longest city name, and two words for two edits
+    longest = cities.agg(F.max(F.size(F.split("name", r"\s+")))).first()[0] or 1
+    w = windows(post, key, "_post", max_n=longest + 2).join(post.select(key, "_state", "_v"), key)
     early = ["start", ("len", "desc")]
     exact = w.filter(F.col("_state").isNotNull()).join(
         cities.select(F.col("id").alias("cid"), "slug", F.col("state_id").alias("_state")), ["slug", "_state"])
@@ -181,15 +183,20 @@ def curate_locations(events: DataFrame, key: str, location_col: str, cities: Dat
     nv_src = (d.filter(F.col("venue_id").isNull() & (F.col("venue_name") != ""))
               .select(text.slugify("venue_name").alias("slug"), F.col("venue_name").alias("name"),
                       F.coalesce("city_id", F.lit(-1)).alias("city_id"), "state_id"))
-    nv = (nv_src.groupBy("slug").agg(F.min_by(F.struct("name", "city_id", "state_id"), "name").alias("_v"))
-          .select("slug", "_v.*").join(venues.select("slug").distinct(), "slug", "left_anti"))
+    # a venue is its slug in its city; -1 stands for an unknown city
+    known = venues.select("slug", F.coalesce("city_id", F.lit(-1)).alias("city_id")).distinct()
+    nv = (nv_src.groupBy("slug", "city_id").agg(F.min_by(F.struct("name", "state_id"), "name").alias("_v"))
+          .select("slug", "city_id", "_v.*").join(known, ["slug", "city_id"], "left_anti")
+          .withColumn("_order", F.concat_ws("|", "slug", F.col("city_id").cast("string"))))
     base = venues.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))
-    new_venues = cut_lineage(conform.dense_ids(nv.crossJoin(F.broadcast(base)), "slug", F.col("_max")).drop("_max"))
-    d = (d.join(new_venues.select(F.col("slug").alias("_nvs"), F.col("id").alias("_nvid")),
-                (text.slugify(F.col("venue_name")) == F.col("_nvs")) & F.col("venue_id").isNull(), "left")
+    new_venues = cut_lineage(conform.dense_ids(nv.crossJoin(F.broadcast(base)), "_order", F.col("_max")).drop("_max", "_order"))
+    every = venues.groupBy("slug", F.coalesce("city_id", F.lit(-1)).alias("city_id")).agg(F.min("id").alias("id")).unionByName(new_venues.select("slug", "city_id", "id"))
+    d = (d.join(every.select(F.col("slug").alias("_nvs"), F.col("city_id").alias("_nvc"), F.col("id").alias("_nvid")),
+                (text.slugify(F.col("venue_name")) == F.col("_nvs")) & (F.coalesce("city_id", F.lit(-1)) == F.col("_nvc"))
+                & F.col("venue_id").isNull(), "left")
          .withColumn("venue_id", F.coalesce("venue_id", "_nvid"))
          .withColumn("venue_name", F.coalesce("matched_name", "venue_name"))
-         .drop("_nvs", "_nvid", "matched_name"))
+         .drop("_nvs", "_nvc", "_nvid", "matched_name"))
     out = events.join(d.select(key, "venue_id", "venue_name", "city_id", "state_id"), key, "left")
     return out, new_cities.select("id", "name", "slug", "state_id"), new_venues.select(
         "id", "name", "slug", "city_id", "state_id")

@@ -159,7 +159,7 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event", engine: str =
     # no per-token lambdas): location words, then either a decimal token
     # (skipped, no dates) or date tokens, then gross, attendance and the
     # promoter words up to the first '|' token; the rest continues.
-    d = d.withColumn("_rest", F.trim(F.substring("_line", F.col("_lc"), 1 << 30)))
+    d = d.withColumn("_rest", F.trim(F.substr("_line", F.col("_lc"))))
     # one regex pass: every group written into a \x01-delimited string
     groups = ["loc", "dec", "date", "gross", "att", "prom", "cont"]
     d = d.withColumn("_h", F.split(F.regexp_replace(
@@ -209,8 +209,14 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event", engine: str =
 
 
 # -- annual report lines -------------------------------------------------------
-_ONE_TOUR = r"^([0-9]+) (.+?) \$([0-9,]+) ([0-9,]+) ([0-9]+)/([0-9]+) (.+)$"
-_TWO_TOURS = r"^([0-9]+) (.+?) \$([0-9,]+) ([0-9]+) (.+?) \$([0-9,]+)$"
+# rank, gross in millions, artist, then from the first decimal number on: average price, average tickets and
+#   total tickets, average gross, cities/shows, agency        (one tour), or
+#   average gross, and rank .. average gross of a second tour (two tours side by side).
+_TOUR_HEAD = r"(\d+)\s+(\S+)\s+(.+?)\s+(\d*\.\d+)\s+(\S+)"
+_ONE_TOUR = rf"^{_TOUR_HEAD}\s+(\S+)\s+(\S+)\s+(\d+/\d+)\s+(.+)$"
+_TWO_TOURS = rf"^{_TOUR_HEAD}\s+(\S+)\s+{_TOUR_HEAD}\s+(\S+)\s*$"
+TOUR_FIELDS = ["rank", "revenue", "artist", "avg_ticket_price", "avg_tickets_per_show", "total_tickets_sold",
+               "avg_revenue_per_show", "num_cities_shows", "agency"]
 
 
 def admit_report_line(col) -> Column:
@@ -219,68 +225,93 @@ def admit_report_line(col) -> Column:
     return c.rlike("^[0-9]") & (F.length(c) >= 40)
 
 
-def parse_report_lines(df: DataFrame, line_col: str) -> DataFrame:
-    """Report lines in two layouts -> one row per tour.
+def _groups(col: Column, pattern: str, n: int) -> Column:
+    """The pattern's groups as an array, from one match; null if it does not match."""
+    marked = F.regexp_replace(col, pattern, "\x01".join(f"${i}" for i in range(1, n + 1)))
+    return F.when(col.rlike(pattern), F.split(marked, "\x01"))
 
-    Layout 1 (has ``cities/shows``): rank artist $revenue tickets c/s agency.
-    Layout 2: two tours side by side -> ``explode`` of two structs, so one
-    input line yields two rows.  Lines failing admission are dropped.
+
+def parse_report_lines(df: DataFrame, line_col: str, path_col: str, non_musicians: DataFrame | None = None,
+                       source: str = "pollstar_dir") -> DataFrame:
+    """Report lines in either layout -> the input columns and, per tour, the
+    report row (all text): year and scope from ``.../<year>/<scope>/<file>``,
+    artist and agency as slugs.  A line that gives no tour stays as one row
+    with a ``reason``.  ``is_musician`` is false for an artist whose name is in
+    ``non_musicians`` (column ``name``).
     """
-    d = df.filter(admit_report_line(line_col))
-    ln = F.col(line_col)
-    num = lambda c: F.regexp_replace(c, ",", "").try_cast("bigint")
-    # each layout pattern is matched once: its groups are written into a
-    # \x01-delimited string and split (one regex pass instead of one per group)
-    d = d.withColumn("_g1", F.split(F.regexp_replace(ln, _ONE_TOUR + "|^.*$", "\x01".join(
-        f"${i}" for i in range(1, 8))), "\x01"))
-    d = d.withColumn("_g2", F.split(F.regexp_replace(ln, _TWO_TOURS + "|^.*$", "\x01".join(
-        f"${i}" for i in range(1, 7))), "\x01"))
-    x1 = lambda i: F.get("_g1", i - 1)
-    x2 = lambda i: F.get("_g2", i - 1)
-    t = "struct<rank:int,artist:string,revenue:bigint,tickets:bigint,num_cities:int,num_shows:int,agency:string>"
-    one = F.array(F.struct(x1(1).cast("int").alias("rank"), x1(2).alias("artist"), num(x1(3)).alias("revenue"),
-                           num(x1(4)).alias("tickets"), x1(5).cast("int").alias("num_cities"),
-                           x1(6).cast("int").alias("num_shows"), x1(7).alias("agency")))
-    null = lambda typ: F.lit(None).cast(typ)
-    two = F.array(
-        F.struct(x2(1).cast("int").alias("rank"), x2(2).alias("artist"), num(x2(3)).alias("revenue"),
-                 null("bigint").alias("tickets"), null("int").alias("num_cities"), null("int").alias("num_shows"),
-                 null("string").alias("agency")),
-        F.struct(x2(4).cast("int").alias("rank"), x2(5).alias("artist"), num(x2(6)).alias("revenue"),
-                 null("bigint").alias("tickets"), null("int").alias("num_cities"), null("int").alias("num_shows"),
-                 null("string").alias("agency")))
-    tours = (F.when(F.get("_g1", 0) != "", one.cast(f"array<{t}>"))
-             .when(F.get("_g2", 0) != "", two.cast(f"array<{t}>")))
-    return d.select("*", F.explode(tours).alias("_t")).select("*", "_t.*").drop("_t", "_g1", "_g2")
+    from marquee.functions import text
+    d = df.withColumn("_l", text.remove_noisy_symbols(F.col(line_col)))
+    d = d.withColumn("_a", F.coalesce(admit_report_line(F.col(line_col)), F.lit(False)))
+    d = d.withColumn("_g1", F.when(F.col("_a"), _groups(F.col("_l"), _ONE_TOUR, 9)))
+    d = d.withColumn("_g2", F.when(F.col("_a") & F.col("_g1").isNull(), _groups(F.col("_l"), _TWO_TOURS, 12)))
+
+    def tour(group: str, at: list[int | None]) -> Column:
+        return F.struct(*[(F.lit(None).cast("string") if k is None else F.get(group, k)).alias(n) for n, k in zip(TOUR_FIELDS, at)])
+
+    one = F.array(tour("_g1", [0, 1, 2, 3, 4, 5, 6, 7, 8]))
+    two = F.array(tour("_g2", [0, 1, 2, 3, 4, None, 5, None, None]), tour("_g2", [6, 7, 8, 9, 10, None, 11, None, None]))
+    none = F.array(tour("_g1", [None] * 9))
+    reason = F.when(~F.col("_a"), "not a report row").when(F.col("_g1").isNull() & F.col("_g2").isNull(), "fits neither layout")
+    d = d.withColumn("reason", reason)
+    d = d.withColumn("_t", F.explode(F.when(F.col("_g1").isNotNull(), one).when(F.col("_g2").isNotNull(), two).otherwise(none)))
+    parts = F.split(F.col(path_col), "/")
+    found = F.col("reason").isNull()
+    d = d.select(
+        *[c for c in df.columns], F.when(found, F.element_at(parts, -3)).alias("year"), F.col("_t.rank").alias("rank"),
+        F.col("_t.revenue").alias("revenue"), F.when(found, F.lit("usd")).alias("currency"), F.col("_t.artist").alias("artist"),
+        text.slugify("_t.artist").alias("artist_id"), *[F.col(f"_t.{c}").alias(c) for c in TOUR_FIELDS[3:8]],
+        text.slugify("_t.agency").alias("agency_id"), F.when(found, F.element_at(parts, -2)).alias("scope"),
+        F.when(found, F.lit(source)).alias("source_id"), "reason")
+    if non_musicians is None:
+        return d.withColumn("is_musician", F.when(F.col("reason").isNull(), F.lit(True)))
+    names = non_musicians.select(F.col("name").alias("_nm")).distinct()
+    return d.join(names, F.col("artist") == F.col("_nm"), "left") \
+        .withColumn("is_musician", F.when(F.col("reason").isNull(), F.col("_nm").isNull())).drop("_nm")
 
 
 # -- tour lines (older one-line layout) ------------------------------------------
 # rank | ARTIST — promoter, venue, city, [State.] Mon. d[-[Mon.] d] sold $p1[-$p2] $gross[*]
 _TOUR_STATES = ["Ala.", "Calif.", "D.C.", "Fla.", "Georgia", "Kansas", "La.", "Maine", "Mass.", "Minn.",
                 "New Hampshire", "Tenn.", "Va.", "Wisc."]
-_TOUR_DATES = r"^([A-Z][a-z]+)\.?\s*([0-9]{1,2})(?:\s*-\s*(?:([A-Z][a-z]+)\.?\s*)?([0-9]{1,2}))?\s+(.*)$"
-_TOUR_SALES = r"^([0-9,]+)\s+\$([0-9.,]+)(?:\s*-\s*\$([0-9.,]+))?\s+\$([0-9,]+)(\*?)"
+# Month words of this layout.
+TOUR_MONTHS = ["Jan", "Feb", "March", "April", "May", "June", "July", "Aug", "Sept", "Oct", "Nov", "Dec"]
+# First day (it may stick to the month), then: & a second day, a/b/c, a range, or a second month with its day;
+# then the number of shows between bars, and the sales.
+_SECOND = r"(?:([A-Z][a-z]+)\.?\s*)?(\d{1,2})"
+_TOUR_DATES = (rf"^([A-Za-z]+)\.?\s*(?:\|\s*)?(\d{{1,2}})(?:\s*&\s*{_SECOND}|/\d{{1,2}}/(\d{{1,2}})|\s*-\s*{_SECOND}"
+               r"|,?\s+([A-Z][a-z]+)\.?\s+(\d{1,2}))?(?:,?\s*\|(\d+)\|)?\s+(.*)$")
+# Tickets, one or two prices, gross receipts, an asterisk for sold out; bars between columns, dollar signs as they come.
+_TOUR_SALES = (r"^\|?\s*([0-9][0-9,.]*)\s+(?:\|\s*)?\$?([0-9]*\.?[0-9]+)(?:\s*-\s*\$?([0-9]*\.?[0-9]+))?\s+(?:\|\s*)?"
+               r"\$?([0-9][0-9,.]*)\s*(\*?).*$")
+
+
+def nearest_month(word: Column) -> Column:
+    """The month itself, else the one month word within one edit, else null."""
+    months = F.array(*[F.lit(m) for m in TOUR_MONTHS])
+    near = F.filter(months, lambda m: F.levenshtein(m, word) == 1)
+    return F.when(F.array_contains(months, word), word).otherwise(F.get(near, 0))
 
 
 def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFrame:
     """Tour lines -> struct(rank, artist, promoter, venue, city, state_abbr,
     month_1, first_day, month_2, last_day, tickets_sold, ticket_price_1,
-    ticket_price_2, gross_receipts, was_sold_out) or null with a reason in
+    ticket_price_2, gross_receipts, was_sold_out, num_shows) or null with a reason in
     ``<out>_error`` (no rank, space in rank, no dash, not exactly four comma
-    parts, digit or month in the city)."""
-    from marquee.functions.dates import MONTH_PREFIXES
+    parts, digit or month in the city, no dates).  Dates without readable
+    sales give a record without sales fields and the reason "no sales"."""
+    from marquee.functions.dates import MONTHS
 
     ln = F.col(line_col)
     s = F.regexp_replace(ln, r"^[^0-9]*", "")                       # start at the first digit
     s = F.replace(F.translate(s, "[]{}'\"()", "||||||||"), F.lit("~"), F.lit("—"))   # char map, no regex
     d = df.withColumn("_s", s)
     rank = F.trim(F.substring_index("_s", "|", 1))
-    rest = F.trim(F.substring(F.col("_s"), F.instr(F.col("_s"), "|") + 1, 1 << 30))
+    rest = F.trim(F.substr(F.col("_s"), F.instr(F.col("_s"), "|") + 1))
     d = d.withColumn("_rank", rank).withColumn("_rest", F.when(F.instr(F.col("_s"), "|") > 0, rest))
     dash = F.when(F.instr("_rest", "—") > 0, F.instr("_rest", "—")).otherwise(F.instr("_rest", "-"))
     d = d.withColumn("_dash", dash)
     d = d.withColumn("_artist", F.trim(F.substring("_rest", F.lit(1), F.col("_dash") - 1)))
-    d = d.withColumn("_parts", F.split(F.trim(F.substring(F.col("_rest"), F.col("_dash") + 1, 1 << 30)), ",", 4))
+    d = d.withColumn("_parts", F.split(F.trim(F.substr(F.col("_rest"), F.col("_dash") + 1)), ",", 4))
     part = lambda i: F.trim(F.replace(F.get("_parts", i), F.lit("|"), F.lit("")))
     d = d.withColumn("_city", part(2)).withColumn("_tail", F.trim(F.get("_parts", 3)))
     first_seg = F.substring_index("_tail", ",", 1)
@@ -288,10 +319,10 @@ def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFra
     for st in _TOUR_STATES:
         has_state = has_state | first_seg.contains(st)
     d = d.withColumn("_state", F.when(has_state, F.substring_index("_tail", ".", 1)))
-    d = d.withColumn("_dt", F.when(has_state, F.ltrim(F.substring(F.col("_tail"), F.instr("_tail", " ") + 1, 1 << 30)))
+    d = d.withColumn("_dt", F.when(has_state, F.ltrim(F.substr(F.col("_tail"), F.instr("_tail", " ") + 1)))
                      .otherwise(F.col("_tail")))
     month_in_city = F.lit(False)
-    for m in MONTH_PREFIXES:
+    for m in sorted({m[:3] for m in MONTHS}):
         month_in_city = month_in_city | F.col("_city").contains(m)
     error = (F.when(F.col("_s") == "", "no rank").when(F.col("_rank").contains(" "), "space in rank")
              .when(F.col("_rest").isNull() | (F.col("_dash") == 0), "no dash")
@@ -300,25 +331,24 @@ def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFra
              .when(month_in_city, "month in city"))
     d = d.withColumn(f"{out}_error", error)
     # each pattern matched once; its groups written into a delimited string
-    d = d.withColumn("_dg", F.split(F.regexp_replace("_dt", _TOUR_DATES + "|^.*$", "\x01".join(
-        f"${i}" for i in range(1, 6))), "\x01"))
-    d = d.withColumn("_sg", F.split(F.regexp_replace(F.get("_dg", 4), _TOUR_SALES + ".*$|^.*$", "\x01".join(
-        f"${i}" for i in range(1, 6))), "\x01"))
+    d = d.withColumn("_dg", _groups(F.col("_dt"), _TOUR_DATES, 11))
+    d = d.withColumn("_sg", _groups(F.get("_dg", 10), _TOUR_SALES, 5)).withColumn("_month", nearest_month(F.get("_dg", 0)))
+    some = lambda *cs: F.coalesce(*[F.nullif(c, F.lit("")) for c in cs])
     dg = lambda i: F.get("_dg", i - 1)
     sg = lambda i: F.get("_sg", i - 1)
-    money = lambda c: F.regexp_replace(c, ",", "").try_cast("double")
+    digits = lambda c: F.regexp_replace(c, "[^0-9]", "").try_cast("bigint")
+    second = some(dg(3), dg(6), dg(8))
     rec = F.struct(
         F.col("_rank").alias("rank"), F.col("_artist").alias("artist"), part(0).alias("promoter"),
         part(1).alias("venue"), F.col("_city").alias("city"), F.col("_state").alias("state_abbr"),
-        F.nullif(dg(1), F.lit("")).alias("month_1"),
-        dg(2).try_cast("int").alias("first_day"),
-        F.nullif(dg(3), F.lit("")).alias("month_2"),
-        F.coalesce(dg(4).try_cast("int"), dg(2).try_cast("int")).alias("last_day"),
-        F.regexp_replace(sg(1), ",", "").try_cast("int").alias("tickets_sold"),
-        money(sg(2)).alias("ticket_price_1"),
-        money(F.nullif(sg(3), F.lit(""))).alias("ticket_price_2"),
-        F.regexp_replace(sg(4), ",", "").try_cast("bigint").alias("gross_receipts"),
-        (sg(5) == "*").alias("was_sold_out"))
-    d = d.withColumn(out, F.when(F.col(f"{out}_error").isNull(), rec))
+        F.col("_month").alias("month_1"), dg(2).try_cast("int").alias("first_day"),
+        F.when(second != F.col("_month"), second).alias("month_2"),
+        some(dg(4), dg(5), dg(7), dg(9), dg(2)).try_cast("int").alias("last_day"),
+        digits(sg(1)).try_cast("int").alias("tickets_sold"), sg(2).try_cast("double").alias("ticket_price_1"),
+        some(sg(3)).try_cast("double").alias("ticket_price_2"), digits(sg(4)).alias("gross_receipts"),
+        (sg(5) == "*").alias("was_sold_out"), F.coalesce(some(dg(10)).try_cast("int"), F.lit(1)).alias("num_shows"))
+    no_dates = F.col("_dg").isNull() | F.col("_month").isNull()
+    d = d.withColumn(f"{out}_error", F.coalesce(F.col(f"{out}_error"), F.when(no_dates, "no dates").when(F.col("_sg").isNull(), "no sales")))
+    d = d.withColumn(out, F.when(F.col(f"{out}_error").isNull() | (F.col(f"{out}_error") == "no sales"), rec))
     return d.drop("_s", "_rank", "_rest", "_dash", "_artist", "_parts", "_city", "_tail", "_state", "_dt", "_dg",
-                  "_sg")
+                  "_sg", "_month")

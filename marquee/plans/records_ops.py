@@ -80,64 +80,79 @@ def q41_event_records(spark, sf):
                      F.array_join(e["ticket_prices"], "; ").alias("ticket_prices"))
 
 
-_REPORT_SQL_LINE = """
-CASE WHEN l.l_returnflag = 'N'
-     THEN CAST(l.l_linenumber AS VARCHAR) || ' ' || upper(p.p_name) || ' $' || CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR)
-          || ' ' || CAST(CAST(l.l_quantity AS BIGINT) * 10 AS VARCHAR) || ' ' || CAST(p.p_size AS VARCHAR) || '/'
-          || CAST(l.l_linenumber AS VARCHAR) || ' ' || upper(p.p_type) || ' AGENCY'
-     ELSE CAST(l.l_linenumber AS VARCHAR) || ' ' || upper(p.p_name) || ' $' || CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR)
-          || ' ' || CAST(l.l_linenumber + 50 AS VARCHAR) || ' ' || upper(p.p_type) || ' $'
-          || CAST(CAST(l.l_quantity AS BIGINT) * 1000 AS VARCHAR) END
+_REPORT_SQL = """
+WITH x AS (
+  SELECT l.l_orderkey, l.l_linenumber AS n, l.l_returnflag AS f, CAST(l.l_quantity AS BIGINT) AS q, p.p_size, l.l_partkey % 7 = 0 AS broken,
+         CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR) AS gross, upper(p.p_name) AS artist, upper(p.p_type) AS other,
+         CAST(year(l.l_shipdate) AS VARCHAR) AS year, CASE WHEN l.l_linestatus = 'O' THEN 'worldwide' ELSE 'north_america' END AS scope
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+), k AS (
+  SELECT *, n || ' ' || q || '.5 ' || artist || ' ' || q || '.25 ' || (q * 10) || ' ' AS head,
+         CASE WHEN f = 'N' THEN (q * 100) || ' ' || gross || ' ' || p_size || '/' || n || ' ' || other || ' AGENCY'
+              ELSE gross || ' ' || (n + 50) || ' ' || (q + 1) || '.5 ' || other || ' ' || (q + 2) || '.75 ' || (q * 20) || ' ' || CASE WHEN broken THEN '' ELSE gross END END AS tail
+  FROM x
+), m AS (
+  SELECT *, CASE WHEN f = 'R' AND n = 1 THEN 'total' WHEN f = 'R' AND n = 2 THEN head ELSE head || tail END AS line FROM k
+), r AS (
+  SELECT *, CASE WHEN line = 'total' OR length(line) < 40 THEN 'not a report row'
+                 WHEN line = head OR (f <> 'N' AND broken) THEN 'fits neither layout' END AS reason FROM m
+)
+SELECT l_orderkey, n AS l_linenumber, year, CAST(n AS VARCHAR) AS rank, q || '.5' AS revenue, 'usd' AS currency, artist,
+       regexp_replace(lower(artist), '[^a-z0-9]+', '-', 'g') AS artist_id, q || '.25' AS avg_ticket_price, CAST(q * 10 AS VARCHAR) AS avg_tickets_per_show,
+       CASE WHEN f = 'N' THEN CAST(q * 100 AS VARCHAR) END AS total_tickets_sold, gross AS avg_revenue_per_show,
+       CASE WHEN f = 'N' THEN p_size || '/' || n END AS num_cities_shows,
+       CASE WHEN f = 'N' THEN regexp_replace(lower(other || ' AGENCY'), '[^a-z0-9]+', '-', 'g') END AS agency_id,
+       scope, 'pollstar_dir' AS source_id, CAST(NULL AS VARCHAR) AS reason, artist NOT IN (SELECT upper(p_name) FROM part WHERE p_partkey % 50 = 1) AS is_musician
+FROM r WHERE reason IS NULL
+UNION ALL
+SELECT l_orderkey, n, year, CAST(n + 50 AS VARCHAR), (q + 1) || '.5', 'usd', other, regexp_replace(lower(other), '[^a-z0-9]+', '-', 'g'),
+       (q + 2) || '.75', CAST(q * 20 AS VARCHAR), NULL, gross, NULL, NULL, scope, 'pollstar_dir', NULL,
+       other NOT IN (SELECT upper(p_name) FROM part WHERE p_partkey % 50 = 1)
+FROM r WHERE reason IS NULL AND f <> 'N'
+UNION ALL
+SELECT l_orderkey, n, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, reason, NULL FROM r WHERE reason IS NOT NULL
 """
 
 
-@query("q41_two_layouts", f"""
-WITH x AS (SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, l.l_extendedprice, l.l_quantity, p.p_name,
-                  p.p_type, p.p_size, {_REPORT_SQL_LINE} AS line
-           FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
-k AS (SELECT * FROM x WHERE regexp_matches(line, '^[0-9]') AND length(line) >= 40)
-SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS INTEGER) AS rank, upper(p_name) AS artist,
-       CAST(floor(l_extendedprice) AS BIGINT) AS revenue,
-       CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) * 10 END AS tickets,
-       CASE WHEN l_returnflag = 'N' THEN CAST(p_size AS INTEGER) END AS num_cities,
-       CASE WHEN l_returnflag = 'N' THEN CAST(l_linenumber AS INTEGER) END AS num_shows,
-       CASE WHEN l_returnflag = 'N' THEN upper(p_type) || ' AGENCY' END AS agency
-FROM k
-UNION ALL
-SELECT l_orderkey, l_linenumber, CAST(l_linenumber + 50 AS INTEGER), upper(p_type),
-       CAST(l_quantity AS BIGINT) * 1000, NULL, NULL, NULL, NULL
-FROM k WHERE l_returnflag <> 'N'
-""")
+@query("q41_two_layouts", _REPORT_SQL)
 def q41_two_layouts(spark, sf):
-    """Annual-report lines in two layouts: one tour per line (tickets,
-    cities/shows, agency) or two tours per line (one line -> two rows);
-    lines must start with a digit and be >= 40 chars."""
-    li = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    rev = F.floor("l_extendedprice").cast("bigint").cast("string")
-    one = F.concat_ws(" ", F.col("l_linenumber").cast("string"), F.upper("p_name"), F.concat(F.lit("$"), rev),
-                      (F.col("l_quantity").cast("bigint") * 10).cast("string"),
-                      F.format_string("%d/%d", F.col("p_size"), F.col("l_linenumber")),
-                      F.upper("p_type"), F.lit("AGENCY"))
-    two = F.concat_ws(" ", F.col("l_linenumber").cast("string"), F.upper("p_name"), F.concat(F.lit("$"), rev),
-                      (F.col("l_linenumber") + 50).cast("string"), F.upper("p_type"),
-                      F.concat(F.lit("$"), (F.col("l_quantity").cast("bigint") * 1000).cast("string")))
-    lines = li.select("l_orderkey", "l_linenumber",
-                      F.when(F.col("l_returnflag") == "N", one).otherwise(two).alias("line"))
-    return records.parse_report_lines(lines, "line").select(
-        "l_orderkey", "l_linenumber", "rank", "artist", "revenue", "tickets", "num_cities", "num_shows", "agency")
+    """Annual-report lines in both layouts (one tour with total tickets,
+    cities/shows and agency, or two tours side by side), rows that are none
+    and rows cut short; every line ends as records or a reason."""
+    part = table(spark, sf, "part")
+    li = table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    t = lambda c: c.cast("string")
+    n, q, gross = F.col("l_linenumber"), F.col("l_quantity").cast("bigint"), t(F.floor("l_extendedprice").cast("bigint"))
+    dec = lambda c, d: F.concat(t(c), F.lit(d))
+    head = F.concat_ws(" ", t(n), dec(q, ".5"), F.upper("p_name"), dec(q, ".25"), t(q * 10), F.lit(""))
+    one = F.concat_ws(" ", t(q * 100), gross, F.concat(t(F.col("p_size")), F.lit("/"), t(n)), F.upper("p_type"), F.lit("AGENCY"))
+    two = F.concat_ws(" ", gross, t(n + 50), dec(q + 1, ".5"), F.upper("p_type"), dec(q + 2, ".75"), t(q * 20),
+                      F.when(F.col("l_partkey") % 7 == 0, F.lit("")).otherwise(gross))
+    flag = F.col("l_returnflag")
+    line = F.when((flag == "R") & (n == 1), F.lit("total")).when((flag == "R") & (n == 2), head) \
+        .otherwise(F.concat(head, F.when(flag == "N", one).otherwise(two)))
+    path = F.concat_ws("/", F.lit("reports"), t(F.year("l_shipdate")),
+                       F.when(F.col("l_linestatus") == "O", F.lit("worldwide")).otherwise(F.lit("north_america")), F.lit("top.pdf"))
+    lines = li.select("l_orderkey", "l_linenumber", line.alias("line"), path.alias("path"))
+    listed = part.filter(F.col("p_partkey") % 50 == 1).select(F.upper("p_name").alias("name"))
+    return records.parse_report_lines(lines, "line", "path", listed).drop("line", "path")
 
 
 @query("q43_number_words", """
+WITH x AS (
+  SELECT *, CAST(CASE l_returnflag WHEN 'R' THEN 20 + l_linenumber WHEN 'A' THEN 100 + l_linenumber ELSE l_linenumber END AS BIGINT) AS k FROM lineitem)
 SELECT l_orderkey, l_linenumber,
-       CASE WHEN l_linestatus = 'O' THEN l_linenumber END AS num_shows,
-       CASE WHEN l_linestatus <> 'O' THEN l_linenumber END AS num_sellouts
-FROM lineitem
+       CASE WHEN l_linestatus = 'O' THEN k END AS num_shows,
+       CASE WHEN l_linestatus <> 'O' THEN k END AS num_sellouts
+FROM x
 """)
 def q43_number_words(spark, sf):
     """Counts written as words with OCR-damaged metric words
     (``three shovs``, ``seven satlouts``)."""
     li = table(spark, sf, "lineitem")
     word = F.element_at(F.array(*[F.lit(w) for w in _NUM_WORDS]), F.col("l_linenumber") + 1)
+    word = (F.when(F.col("l_returnflag") == "R", F.concat(F.lit("twenty-"), word))
+            .when(F.col("l_returnflag") == "A", F.concat(F.lit("One hundred and "), word)).otherwise(word))
     metric = F.when(F.col("l_linestatus") == "O", F.when(F.col("l_returnflag") == "R", F.lit("shovs"))
                     .otherwise(F.lit("shows"))).otherwise(
         F.when(F.col("l_returnflag") == "R", F.lit("satlouts")).otherwise(F.lit("sellouts")))
@@ -156,64 +171,69 @@ def q44_symbol_clean(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.remove_noisy_symbols("text").alias("text"))
 
 
-_TOUR_MONTHS = ["Jan", "Feb", "March", "April", "May", "June", "July", "Aug", "Sept", "Oct", "Nov", "Dec"]
-_TOUR_MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in _TOUR_MONTHS) + "]"
+_TOUR_MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in records.TOUR_MONTHS) + "]"
 
 
 @query("q41_tour_lines", f"""
 WITH x AS (
-  SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, l.l_linestatus, upper(p.p_name) AS artist,
-         'Promo ' || upper(p.p_brand[1]) || lower(p.p_brand[2:]) AS promoter, s.s_name AS venue,
-         array_to_string(list_transform(string_split(lower(r.r_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ')
-           || CASE WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'F' THEN ' 2' ELSE '' END AS city,
-         CAST(l.l_quantity AS INTEGER) AS sold,
-         day(l.l_shipdate) AS d1, {_TOUR_MONTHS_SQL}[month(l.l_shipdate)] AS m1,
-         CAST(p.p_size AS INTEGER) AS p1, CAST(floor(l.l_extendedprice) AS BIGINT) AS gross
+  SELECT l.l_orderkey, l.l_linenumber, l.l_linenumber AS n, l.l_returnflag AS f, l.l_linestatus AS st, upper(p.p_name) AS artist,
+         array_to_string(list_transform(string_split(lower(r.r_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS city,
+         CAST(l.l_quantity AS INTEGER) AS sold, CAST(day(l.l_shipdate) AS INTEGER) AS d1, {_TOUR_MONTHS_SQL}[month(l.l_shipdate)] AS m1,
+         {_TOUR_MONTHS_SQL}[month(l.l_shipdate) % 12 + 1] AS m2, CAST(p.p_size AS DOUBLE) AS p1,
+         CAST(floor(l.l_extendedprice) AS BIGINT) AS gross, l.l_partkey % 10 = 0 AS odd
   FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN supplier s ON s.s_suppkey = l.l_suppkey
-  JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey)
-SELECT l_orderkey, l_linenumber,
-       CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN 'not four comma parts'
-            WHEN regexp_matches(city, '[0-9]') THEN 'digit in city' END AS tour_error,
-       CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN NULL
-            WHEN regexp_matches(city, '[0-9]') THEN NULL ELSE artist END AS artist,
-       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
-            ELSE CASE WHEN l_returnflag = 'A' THEN 'Calif' END END AS state_abbr,
-       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
-            ELSE m1 END AS month_1,
-       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
-            ELSE CAST(d1 AS INTEGER) END AS first_day,
-       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
-            ELSE sold END AS tickets_sold,
-       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
-            ELSE gross END AS gross_receipts,
-       CASE WHEN (l_linestatus = 'O' AND l_returnflag = 'R') OR regexp_matches(city, '[0-9]') THEN NULL
-            ELSE l_returnflag = 'N' END AS was_sold_out
-FROM x
+  JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+), e AS (
+  SELECT *, CASE WHEN st = 'O' AND f = 'R' AND odd AND n = 3 THEN 'not four comma parts'  -- no city and no comma in the sales
+                 WHEN f = 'R' AND (st = 'O' OR n = 1) THEN 'digit in city'
+                 WHEN odd AND n = 2 THEN 'no dates' WHEN odd AND n = 3 THEN 'no sales' END AS tour_error FROM x
+), k AS (SELECT *, tour_error IS NULL OR tour_error = 'no sales' AS ok, tour_error IS NULL AS sales FROM e)
+SELECT l_orderkey, l_linenumber, tour_error, CASE WHEN ok THEN artist END AS artist,
+       CASE WHEN ok AND f = 'A' THEN 'Calif' END AS state_abbr, CASE WHEN ok THEN m1 END AS month_1, CASE WHEN ok THEN d1 END AS first_day,
+       CASE WHEN ok AND n = 5 THEN m2 WHEN ok AND n = 6 THEN m2 END AS month_2,
+       CASE WHEN ok THEN CASE n WHEN 2 THEN d1 + 1 WHEN 3 THEN d1 + 2 WHEN 4 THEN d1 + 3 WHEN 5 THEN 2 WHEN 6 THEN 4 ELSE d1 END END AS last_day,
+       CASE WHEN ok THEN CASE WHEN n IN (2, 4) THEN n ELSE 1 END END AS num_shows,
+       CASE WHEN sales THEN sold * 1000 END AS tickets_sold, CASE WHEN sales THEN p1 END AS ticket_price_1,
+       CASE WHEN sales AND f = 'A' THEN p1 + 5.5 END AS ticket_price_2,
+       CASE WHEN sales THEN gross END AS gross_receipts, CASE WHEN sales THEN f = 'N' END AS was_sold_out
+FROM k
 """)
 def q41_tour_lines(spark, sf):
     """Older one-line tour layout: ``rank | ARTIST — promoter, venue, city,
-    [State.] date sales``; malformed lines are kept with a reason."""
+    [State.] dates [|shows|] sales``, in every form of dates (one day, ``&``,
+    ``a/b/c``, a range, a second month, a misread month, a day that sticks to
+    its month), with one or two prices, bars, dollar signs and sell-outs;
+    malformed lines are kept with a reason."""
     li = (table(spark, sf, "lineitem")
           .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
           .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
           .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
           .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")))
-    month = F.element_at(F.array(*[F.lit(m) for m in _TOUR_MONTHS]), F.month("l_shipdate"))
-    state = F.when(F.col("l_returnflag") == "A", F.lit("Calif. ")).otherwise(F.lit(""))
-    city = F.concat(F.initcap("r_name"), F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
-                                                F.lit(" 2")).otherwise(F.lit("")))
-    parts = F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R"),
-                   F.concat_ws(", ", F.concat(F.lit("Promo "), F.initcap("p_brand")), "s_name"))\
-        .otherwise(F.concat_ws(", ", F.concat(F.lit("Promo "), F.initcap("p_brand")), "s_name", city))
-    line = F.concat(F.col("l_linenumber").cast("string"), F.lit(" | "), F.upper("p_name"), F.lit(" — "), parts,
-                    F.lit(", "), state, month, F.lit(". "), F.dayofmonth("l_shipdate").cast("string"), F.lit(" "),
-                    F.col("l_quantity").cast("int").cast("string"), F.lit(" $"), F.col("p_size").cast("string"),
-                    F.lit("-$"), (F.col("p_size") + 5).cast("string"), F.lit(" $"),
-                    F.floor("l_extendedprice").cast("string"),
-                    F.when(F.col("l_returnflag") == "N", F.lit("*")).otherwise(F.lit("")))
-    t = records.parse_tour_lines(li.select("l_orderkey", "l_linenumber", line.alias("line")), "line")
-    r = F.col("tour")
-    return t.select("l_orderkey", "l_linenumber", "tour_error", r["artist"].alias("artist"),
-                    r["state_abbr"].alias("state_abbr"), r["month_1"].alias("month_1"),
-                    r["first_day"].alias("first_day"), r["tickets_sold"].alias("tickets_sold"),
-                    r["gross_receipts"].alias("gross_receipts"), r["was_sold_out"].alias("was_sold_out"))
+    t = lambda c: c.cast("string")
+    n, flag, status, odd = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_partkey") % 10 == 0
+    months = F.array(*[F.lit(m) for m in records.TOUR_MONTHS])
+    m1, m2 = F.element_at(months, F.month("l_shipdate")), F.element_at(months, F.month("l_shipdate") % 12 + 1)
+    d1 = F.dayofmonth("l_shipdate")
+    first = F.concat(m1, F.lit(". "), t(d1))
+    dates = (F.when(odd & (n == 2), F.lit("sometime 12th"))
+             .when(n == 2, F.concat(first, F.lit(" & "), t(d1 + 1), F.lit(" |2|")))
+             .when(n == 3, F.concat(first, F.lit("/"), t(d1 + 1), F.lit("/"), t(d1 + 2)))
+             .when(n == 4, F.concat(first, F.lit("-"), t(d1 + 3), F.lit(" |4|")))
+             .when(n == 5, F.concat(first, F.lit(" & "), m2, F.lit(" 2")))
+             .when(n == 6, F.concat(first, F.lit(" "), m2, F.lit(". 4")))
+             .when(n == 7, F.concat(m1, t(d1)))
+             .otherwise(F.concat(m1, F.lit("x "), t(d1))))
+    price = F.when(flag == "A", F.concat(t(F.col("p_size")), F.lit(".00-"), t(F.col("p_size") + 5), F.lit(".50"))) \
+        .when(flag == "N", F.concat(F.lit("$"), t(F.col("p_size")))).otherwise(F.concat(F.lit("| "), t(F.col("p_size")), F.lit(".00 |")))
+    sales = F.when(odd & (n == 3), F.lit("none")).otherwise(F.concat_ws(
+        " ", F.concat(t(F.col("l_quantity").cast("int")), F.lit(",000")), price, F.format_string("%,d", F.floor("l_extendedprice")),
+        F.when(flag == "N", F.lit("*"))))
+    state = F.when(flag == "A", F.lit("Calif. ")).otherwise(F.lit(""))
+    city = F.concat(F.initcap("r_name"), F.when((flag == "R") & (status == "F") & (n == 1), F.lit(" 2")).otherwise(F.lit("")))
+    promoter = F.concat(F.lit("Promo "), F.initcap("p_brand"))
+    parts = F.when((status == "O") & (flag == "R"), F.concat_ws(", ", promoter, "s_name")).otherwise(F.concat_ws(", ", promoter, "s_name", city))
+    line = F.concat(t(n), F.lit(" | "), F.upper("p_name"), F.lit(" — "), parts, F.lit(", "), state, dates, F.lit(" "), sales)
+    tours = records.parse_tour_lines(li.select("l_orderkey", "l_linenumber", line.alias("line")), "line")
+    fields = ["artist", "state_abbr", "month_1", "first_day", "month_2", "last_day", "num_shows", "tickets_sold",
+              "ticket_price_1", "ticket_price_2", "gross_receipts", "was_sold_out"]
+    return tours.select("l_orderkey", "l_linenumber", "tour_error", *[F.col("tour")[c].alias(c) for c in fields])

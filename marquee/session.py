@@ -43,13 +43,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one only when unset.
 
     On a cluster the setting names a shared folder (HDFS/S3/...), which we
-    never override.  Only local runs (tests, bench) get a fresh temp folder.
+    never override.  Only local runs (tests, bench) get a fresh temp folder; on a
+    cluster without the setting the job stops, as executors share no local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="marquee-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

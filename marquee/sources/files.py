@@ -25,6 +25,7 @@ NUMERIC_COLUMNS = ["gross_receipts_us", "gross_receipts_canadian", "attendance",
 PROCESSED_COLUMNS = ["artists", "dates", "gross_receipts_us", "gross_receipts_canadian", "attendance", "capacity",
                      "num_shows", "num_sellouts", "promoter", "ticket_prices", "location", "source_id",
                      "schema_id", "s3_uri"]
+CORRUPT = "_corrupt_record"
 PROCESSED_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in PROCESSED_COLUMNS])
 
 DIMENSION_SCHEMAS = {
@@ -39,23 +40,48 @@ DIMENSION_SCHEMAS = {
 }
 
 
-def read_issue_csvs(spark: SparkSession, root: str, encoding: str = "UTF-8") -> DataFrame:
-    """All processed issue CSVs under ``root`` (recursive) in one scan.
-
-    The header line is skipped and the fixed schema applied by position;
-    malformed lines are dropped; issue year/month come from the path
-    (``.../<year>/<month>/<file>.csv``); ``row_pos`` keeps the row order
-    inside each file (a multi-line CSV file is read by one task, in order).
-    """
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-          .option("encoding", encoding).option("mode", "DROPMALFORMED")
-          .schema(PROCESSED_SCHEMA).csv(root))
+def with_issue_columns(df: DataFrame) -> DataFrame:
+    """Raw issue rows (with ``_metadata``) -> list columns as arrays, ``row_pos``,
+    the issue's year and month from ``.../<year>/<month>/<file>.csv``, and
+    ``file``: the full path, so issues of one file name stay apart."""
     df = df.withColumn("path", F.col("_metadata.file_path")).withColumn("row_pos", F.monotonically_increasing_id())
     for c in LIST_COLUMNS:
         df = df.withColumn(c, F.coalesce(py_list_text_to_array(F.col(c)), F.array().cast("array<string>")))
     return (df.withColumn("issue_year", issue_part("path", -3)).withColumn("issue_month", issue_part("path", -2))
-            .withColumn("file", F.element_at(F.split("path", "/"), -1)))
+            .withColumn("file", F.col("path")))
+
+
+def _scan_issue_csvs(spark: SparkSession, root: str, encoding: str) -> DataFrame:
+    schema = T.StructType([*PROCESSED_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    return (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+            .option("encoding", encoding).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("enforceSchema", True).option("columnPruning", False).schema(schema).csv(root).select("*", "_metadata"))
+
+
+def _is_reject() -> Column:
+    """Spark answers no query on the record column alone, so the first cell is read with it."""
+    return F.col(CORRUPT).isNotNull() & (F.coalesce(F.col("artists"), F.lit("")) != "\0")
+
+
+def read_issue_csvs(spark: SparkSession, root: str, encoding: str = "UTF-8") -> DataFrame:
+    """All processed issue CSVs under ``root`` (recursive) in one scan.
+
+    The header line is skipped and the fixed schema applied by position; rows
+    with too few or too many cells are left to ``read_issue_rejects``;
+    ``row_pos`` keeps the row order inside each file (a multi-line CSV file is
+    read by one task, in order).
+    """
+    scan = _scan_issue_csvs(spark, root, encoding)
+    return with_issue_columns(scan.filter(~_is_reject()).drop(CORRUPT))
+
+
+def read_issue_rejects(spark: SparkSession, root: str, encoding: str = "UTF-8") -> DataFrame:
+    """Quarantine of ``read_issue_csvs``: (file, record, reason) of every row that does not fit the schema."""
+    scan = _scan_issue_csvs(spark, root, encoding)
+    return scan.filter(_is_reject()).select(
+        F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("record"),
+        F.lit("wrong number of cells").alias("reason"))
 
 
 def read_dimension(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -76,10 +102,6 @@ def compact_ragged(lines: DataFrame, value: str = "value", sep: str = ",") -> Da
     return lines.select(F.array_join(cells, sep).alias(value))
 
 
-def strip_header_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.strip() for c in df.columns])
-
-
 def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     """Object listing with a suffix filter: (path, length, modificationTime);
     file contents are never read (``content`` is pruned)."""

@@ -57,6 +57,19 @@ def test_year_inference(spark):
     (["Jan.6"], "Jan 6"),
     (["Sept: 21"], "Sept 21"),
     (["March 23- 3435,694 21,174", "26"], "March 23-26"),
+    (["Sept. 28", "Sept. 30 9144.zia 10,894"], "Sept 28 Sept 30"),
+    (["Mayer Nov. 30,", "Dec. 1-4"], "Nov 30 Dec 1-4"),
+    (["June 14-17}"], "June 14-17"),
+    (["Oct. 3-48", "67"], "Oct 3"),
+    (["Feb. 10-15, 17-", "22, March 1"], "Feb 10-15 17-22 March 1"),
+    (["Auditorium/Charlotte Sept. 12", "101"], "Sept 12"),
+    (["Jan. 20-21 8141 22,130"], "Jan 20-21"),
+    (["Multt-Purpose"], ""),
+    (["Nov, 2"], "Nov 2"),
+    (["Nov. 10.00.5"], "Nov"),
+    (["Dec. 30-Jan.1"], "Dec 30-Jan 1"),
+    (["Jan5-6, 8"], "Jan 5-6 8"),
+    ([], ""),
 ])
 def test_date_clean(spark, cells, expected):
     assert one(spark, dates.clean_dates(F.col("d")), (cells,), "d array<string>") == expected
@@ -157,3 +170,36 @@ def test_ngrams(spark):
     r = one(spark, places.ngrams(F.col("t"), 2), (["a", "b", "c"],), "t array<string>")
     assert [(x["start"], x["len"], x["text"]) for x in r] == [
         (1, 1, "a"), (1, 2, "a b"), (2, 1, "b"), (2, 2, "b c"), (3, 1, "c")]
+
+
+@pytest.mark.parametrize("word,value", [("twenty-five", 25), ("one hundred", 100), ("One hundred and five", 105), ("7", 7), ("ninety nine", 99),
+                                        ("3000000000", 3_000_000_000), ("99999999999999999999", None), ("twenty-foo", None), ("", None), ("and", None)])
+def test_number_words(spark, word, value):
+    from marquee.functions import numbers
+    assert one(spark, numbers.number_value(F.col("s")), (word,), "s string") == value
+
+
+def test_no_length_limits(spark):
+    long = "a" * ((1 << 20) + 5)
+    assert one(spark, F.length(text.title_case(F.col("s"))), (long,), "s string") == len(long)
+
+
+@pytest.mark.parametrize("lines,score", [
+    (["WYNF BIRTHDAY PARTY:", "JOE WALSH"], 10),
+    (["RICHARD NADER'S VALENTINE'S", "DOO WOPP SHOW", "LITTLE ANTHONY", "FRED PARIS & THE LITTLE", "SATINS", "THE BELMONTS & MARVELETTES"], 7),
+    (["ROYAL NEW YORK DOO WOPP", "VOL. 13"], 7),
+    (["AGREAT NIGHT FOR THE IRISH: |", "FRANK PATTERSON", "GERALDINE O'GRADY", "DES KEOGH", "NA CASAIEIGH", "EILY O'GRADY, & OTHERS"], 7),
+    (["GUITAR GREATS: DAVID", "GILMOUR, DAVE EDMUNDS,", "JOHNNY WINTER, BRIAN SETZER,", "NEAL SCHON, DICKIE BETTS,", "TONY IOMMI, STEVE CROPPER,", "LINK WRAY"], 7),
+    (["KENNY ROGERS:", "THE FORESTER SISTERS,"], 7),
+    (["VAN HALEN'S MONSTERS OF", "ROCK:", "VAN HALEN", "SCORPIONS", "DOKKEN", "METALLICA", "KINGDOM COME"], 7),
+    (["O'JAYS:", "PHYLLIS HYMAN:"], 7),
+    (["CHICAGO/THE BEACH BOYS:"], 5),
+    (["RONNIE LAWS:", "ROYCE LYTEL", "JOHN AYD :"], 5),
+    (["WORLD PARTY", "WIRE TRAIN"], 5),
+    (["THE HIGHWAYWEN:", "JOHNNY CASH", "WILLIE NELSON", "WAYLON JENNINGS", "KRIS KRISTOFFERSON"], 5),
+    (["CROSBY, STILLS & NASH"], 2),
+    (["O'JAYS/LEVERT"], 2),
+    (["HUEY LEWIS & THE NEWS", "TOWER OF POWER", "LOS LOBOS", "EDDIE & THE TIDE"], 0),
+])
+def test_festival_scores(spark, lines, score):
+    assert one(spark, names.special_event_score(F.col("l")), (lines,), "l array<string>") == score

@@ -134,7 +134,7 @@ def test_issue_csv_scan(spark, tmp_path):
         "\"['15 & $12.50']\",\"['Reunion Arena', 'Dallas']\",billboard,bb_3,s3://x\n", encoding="utf-8")
     r = files.read_issue_csvs(spark, str(tmp_path / "processed")).first()
     assert r["artists"] == ["ALABAMA", "JUICE NEWTON"] and r["attendance"] == "17512.0"
-    assert (r["issue_year"], r["issue_month"], r["file"]) == (1984, 11, "BB-1984-11-03.csv")
+    assert (r["issue_year"], r["issue_month"], r["file"]) == (1984, 11, r["path"]) and r["file"].endswith("/1984/11/BB-1984-11-03.csv")
 
 
 def test_ragged_rows_and_py_lists(spark):
@@ -152,11 +152,34 @@ def test_latin1_read(spark, tmp_path):
     assert r["name"] == "Montréal"
 
 
-def test_spread_only_when_underpartitioned(spark):
-    from marquee.sources.tables import spread
-    par = spark.sparkContext.defaultParallelism
-    few = spark.range(0, 100, numPartitions=1)
-    many = spark.range(0, 100, numPartitions=par * 2)
-    assert spread(few).rdd.getNumPartitions() == par
-    assert spread(many).rdd.getNumPartitions() == par * 2      # untouched: no extra shuffle
-    assert sorted(r[0] for r in spread(few).collect()) == list(range(100))
+def test_rows_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    d = tmp_path / "processed" / "1984" / "11"
+    d.mkdir(parents=True)
+    good = "\"['RATT']\",\"['Nov. 12']\",1000.0,,100.0,,,,\"['X']\",\"['10']\",\"['Hall']\",billboard,bb_3,s3://y"
+    (d / "a.csv").write_text(",".join(f"c{k}" for k in range(14)) + "\n" + good + "\n" + "['SHORT'],1\n" + good + ",more,cells\n")
+    assert files.read_issue_csvs(spark, str(tmp_path)).count() == 1
+    assert files.read_issue_csvs(spark, str(tmp_path)).select("artists").count() == 1
+    bad = files.read_issue_rejects(spark, str(tmp_path)).collect()
+    assert len(bad) == 2 and {r.reason for r in bad} == {"wrong number of cells"} and any("SHORT" in r.record for r in bad)
+
+
+def test_venues_are_kept_per_city(spark):
+    from marquee.operators.places import curate_locations
+    cities = spark.createDataFrame([(1, "Providence", "providence", 39), (2, "Des Moines", "des-moines", 15), (3, "Dallas", "dallas", 43)],
+                                   "id int, name string, slug string, state_id int")
+    venues = spark.createDataFrame([(7, "Civic Center", "civic-center", 1, 39)], "id int, name string, slug string, city_id int, state_id int")
+    ev = spark.createDataFrame([("a", ["Civic", "Center", "Des", "Moines"]), ("b", ["Memorial", "Coliseum", "Des", "Moines"]),
+                                ("c", ["Memorial", "Coliseum", "Dallas"]), ("d", ["Civic", "Center", "Providence"]), ("e", ["Memorial", "Coliseum", "Dallas"])],
+                               "k string, location array<string>")
+    out, _, new = curate_locations(ev, "k", "location", cities, venues)
+    got = {r.k: (r.venue_id, r.city_id) for r in out.collect()}
+    assert got["d"] == (7, 1) and all(v is not None for v, _ in got.values())
+    assert len({got[k] for k in "abcd"}) == 4 and got["c"] == got["e"]
+    assert {(r.slug, r.city_id) for r in new.collect()} == {("civic-center", 2), ("memorial-coliseum", 2), ("memorial-coliseum", 3)}
+
+
+def test_issues_of_one_file_name_stay_apart(spark):
+    from marquee.operators import quality
+    df = spark.createDataFrame([("1984/10/issue.csv", -1.0), ("1984/10/issue.csv", 2.0), ("1984/11/issue.csv", 3.0)], "file string, v double")
+    got = {(r.file, r["_ok_v"]) for r in quality.gate_flags(df, ["file"], ["v"]).collect()}
+    assert got == {("1984/10/issue.csv", False), ("1984/11/issue.csv", True)}

@@ -34,3 +34,13 @@ def test_available_now_ingest(spark, tmp_path):
     assert got.count() == 2
     assert sorted(r["signature"] for r in got.collect()) == [
         "culture-club-capital-centre-1984-11-11", "ratt-capital-centre-1984-11-12"]
+    # a third issue brings a third artist: ids go on where the batches before ended
+    (d1 / "BB-1984-12-01.csv").write_text(HEADER + ROW2.replace("RATT", "DIO") + ROW.replace("Nov. 11", "Nov. 13"))
+    start_ingest(spark, str(root), events, ckpt, dims).awaitTermination(300)
+    by = {}
+    for r in spark.read.parquet(events).collect():
+        by.setdefault(r["signature"].split("-capital")[0], set()).add(tuple(r["artist_ids"]))
+    assert {k: len(v) for k, v in by.items()} == {"culture-club": 1, "ratt": 1, "dio": 1}
+    assert len(set().union(*by.values())) == 3
+    members = spark.read.parquet(events + "_dimensions/artists").collect()
+    assert len({m["id"] for m in members}) == len(members) == 3
