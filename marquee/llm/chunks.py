@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 # Entries kept per cache before it is emptied: bounds a worker's memory, never changes a result.
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 600_000
 # Fixed value of the vocabulary files: the end mark, encoded apart from its neighbours.
 END = "<|endoftext|>"
 
@@ -46,13 +46,13 @@ class PieceEncoder:
     """Encode texts as little-endian 32-bit ids; ``keep_space`` for byte-level vocabularies, where a
     word keeps the blank before it and a line feed is a token of its own."""
 
-    def __init__(self, path: str, keep_space: bool) -> None:
+    def __init__(self, path: str, keep_space: bool, entries: int) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.end = self.library.token_to_id(END)
-        self.keep_space = keep_space
+        self.keep_space, self.entries = keep_space, entries
         self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> np.ndarray:
@@ -69,7 +69,7 @@ class PieceEncoder:
     def _learn(self, pieces: set[str]) -> None:
         known = self.known
         new = [p for p in pieces if p not in known]
-        if len(known) + len(new) > CACHE_ENTRIES:
+        if len(known) + len(new) > self.entries:
             known.clear()
             new = list(pieces)
         other: list[str] = []
@@ -116,8 +116,8 @@ class PieceEncoder:
 _LOADED: dict[str, PieceEncoder] = {}
 
 
-def library_encoder(path: str, keep_space: bool) -> PieceEncoder:
+def library_encoder(path: str, keep_space: bool, entries: int = CACHE_ENTRIES) -> PieceEncoder:
     """The encoder of a ``tokenizers`` JSON file, loaded once per worker."""
     if path not in _LOADED:
-        _LOADED[path] = PieceEncoder(path, keep_space)
+        _LOADED[path] = PieceEncoder(path, keep_space, entries)
     return _LOADED[path]

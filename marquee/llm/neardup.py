@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marquee.llm.common import keyed, saved
 from marquee.llm.graph import components
-from marquee.llm.shingles import batches_of, common, shingle_sets
+from marquee.llm.shingles import batches_of, common, parts_of, shingle_sets
 
 ROWS, BANDS = 4, 32
 M = ROWS * BANDS
@@ -84,7 +84,7 @@ def _as_registers(column: pa.Array) -> np.ndarray:
 def sketches(docs: DataFrame) -> DataFrame:
     """Set size, two set hashes and the registers (a 64-bit value per band) of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, 500):
             texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             for a, b in batches_of(texts):
                 sets = shingle_sets(texts[a:b])
@@ -120,10 +120,9 @@ def likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
 def packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, z): the compressed texts of the given nodes, each once."""
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                z = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t in batch.column(1).slice(k, 1000).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(2).slice(k, 1000), pa.array(z, pa.binary())], names=["id", "z"])
+        for batch in parts_of(batches, 500):
+            z = [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(z, pa.binary())], names=["id", "z"])
 
     texts = docs.mapInArrow(squeeze, "id long, z binary").join(nodes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
     return saved(texts.dropDuplicates(["id"]), "texts")
@@ -137,7 +136,7 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes with 100 * intersection >= percent * union, counted on the full sets of the whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, 500):
             za, zb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out = []

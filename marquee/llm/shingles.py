@@ -93,3 +93,10 @@ def batches_of(texts: list, limit: int = 1 << 20):
         if size > limit or k == len(texts):
             yield a, k
             a, size = k, 0
+
+
+def parts_of(batches, rows: int):
+    """The batches in slices of at most ``rows`` rows, so that few texts are objects at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)

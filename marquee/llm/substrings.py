@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from marquee.llm.common import saved
-from marquee.llm.shingles import batches_of, mix, powers
+from marquee.llm.shingles import batches_of, mix, parts_of, powers
 from marquee.llm.suffixes import adjacent_common_prefixes, suffix_array, word_keys
 
 LENGTH, GRAM = 100, 32
@@ -101,7 +101,7 @@ class Picked:
 def _postings(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """(h, did): each document's distinct picked hashes, twice if picked at several places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, 500):
             dids = batch.column(0).to_numpy()
             texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
             for a, b in batches_of(texts):
@@ -169,7 +169,7 @@ def _segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """Segments to compare (seg set), and marks of segments that this task has met before (seg null)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in parts_of(batches, 2000):
             dids, ths, hs, hots = (batch.column(k).to_pylist() for k in (0, 1, 3, 4))
             texts = [unpack(z) for z in batch.column(2).to_pylist()]
             first: dict[bytes, list[tuple]] = {}  # segment -> (did, start, th, r) of its first places

@@ -137,7 +137,7 @@ def words_of(text: str) -> list[str]:
 class Matcher:
     """Hits of a lexicon in texts, with a bounded cache of words."""
 
-    CACHE = 500_000
+    CACHE = 200_000
 
     def __init__(self, lexicon: Lexicon) -> None:
         self.lexicon = lexicon
@@ -291,8 +291,10 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     """doc_id, held_out, score, predicted for every row, from the whole text alone; null texts are scored as empty."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [model.score(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())], names=["doc_id", "score"])
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, 500)
+                got = [model.score(t or "") for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.float64())], names=["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(score, "doc_id long, score double").select(
@@ -305,6 +307,8 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold:
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([model.score(t or "") < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, 500)
+                yield part.filter(pa.array([model.score(t or "") < threshold for t in part.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)
