@@ -13,12 +13,8 @@ from __future__ import annotations
 import os
 from array import array
 
-import numpy as np
-
 # Entries kept per cache before it is emptied: bounds a worker's memory, never changes a result.
 CACHE_ENTRIES = 600_000
-# Fixed value of the vocabulary files: the end mark, encoded apart from its neighbours.
-END = "<|endoftext|>"
 
 
 def byte_letters() -> dict[int, str]:
@@ -29,10 +25,13 @@ def byte_letters() -> dict[int, str]:
 
 
 LETTERS = byte_letters()
+BLANK = LETTERS[32]
 
 
 def plain(text: str) -> bool:
     """Whether single blanks and line feeds between other characters are the only white space, and no end mark is in the text."""
+    if not text:
+        return False
     flat = text.replace("\n", " ")
     return flat.isprintable() and "  " not in flat and flat[:1] != " " and flat[-1:] != " " and "<|" not in flat
 
@@ -42,75 +41,53 @@ def spaced_pieces(text: str) -> list[str]:
     return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
 
-class PieceEncoder:
+class PieceEncoder(dict):
     """Encode texts as little-endian 32-bit ids; ``keep_space`` for byte-level vocabularies, where a
-    word keeps the blank before it and a line feed is a token of its own."""
+    word keeps the blank before it and a line feed is a token of its own.
+
+    The dictionary itself is the cache: a piece that is missing is encoded when it is looked up.
+    """
 
     def __init__(self, path: str, keep_space: bool, entries: int) -> None:
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.model = self.library.model
-        self.end = self.library.token_to_id(END)
+        self.tokenize = self.library.model.tokenize
         self.keep_space, self.entries = keep_space, entries
-        self.known: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.asarray(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """The ids of one pre-token of Latin letters, with or without the blank before it."""
+    def _word(self, word: str, bare: str) -> bytes:
+        """The ids of one pre-token of Latin letters ``bare``, with or without the blank before it."""
         if not self.keep_space:
-            word = word.lower()
-        if not (self.keep_space and word.isascii() and " " not in word):
+            word = bare = bare.lower()
+        if bare.isascii():
+            word = word if len(word) == len(bare) else BLANK + bare
+        else:
             word = word.encode().decode("latin-1").translate(LETTERS)
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-
-    def _learn(self, pieces: set[str]) -> None:
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        if len(known) + len(new) > self.entries:
-            known.clear()
-            new = list(pieces)
-        other: list[str] = []
-        for p in new:
-            core = p.rstrip(".,")
-            bare = core.lstrip(" ")
-            if bare.isalpha() and max(bare) < "ɐ" and "İ" not in bare:
-                ids = known.get(core)
-                if ids is None:
-                    known[core] = ids = self._word(core)
-                if len(core) < len(p):
-                    tail = p[len(core):]
-                    if tail not in known:
-                        known[tail] = self._whole(tail).tobytes()
-                    known[p] = ids + known[tail]
-            else:
-                other.append(p)
-        if other:  # one call for many pieces: the end mark, which no piece holds, parts their ids
-            ids = self._whole(END.join(other))
-            ends = np.flatnonzero(ids == self.end)
-            for p, a, b in zip(other, [0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)], strict=True):
-                known[p] = ids[a:b].tobytes()
+        return array("I", [t.id for t in self.tokenize(word)]).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.entries:
+            self.clear()
+        core = piece.rstrip(".,")
+        bare = core.lstrip(" ")
+        if not bare.isalpha() or not (bare.isascii() or max(bare) < "ɐ" and "İ" not in bare):
+            ids = self._whole(piece)
+        elif len(core) < len(piece):
+            ids = self[core] + self[piece[len(core):]]
+        else:
+            ids = self._word(core, bare)
+        self[piece] = ids
+        return ids
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; works in groups of bounded size, so that one group's pieces fit beside the cache."""
-        out: list[bytes] = []
-        a = size = 0
-        for b, t in enumerate(texts, 1):
-            size += len(t)
-            if size > 1 << 20 or b == len(texts):
-                out += self._group(texts[a:b])
-                a, size = b, 0
-        return out
-
-    def _group(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
         pieces = spaced_pieces if self.keep_space else str.split
-        split = [pieces(t) if t and plain(t) else None for t in texts]
-        self._learn(set().union(*(p for p in split if p is not None)))
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) if p is not None else self._whole(t).tobytes() if t else b""
-                for t, p in zip(texts, split, strict=True)]
+        get = self.__getitem__
+        return [b"".join(map(get, pieces(t))) if plain(t) else self._whole(t) for t in texts]
 
 
 _LOADED: dict[str, PieceEncoder] = {}

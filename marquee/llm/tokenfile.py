@@ -16,6 +16,7 @@ Blocks decode on their own, each selector's words in one vector operation.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -226,15 +227,22 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, id_col:
     return saved(rows.mapInArrow(write, MANIFEST), "manifest")
 
 
-def read_token_files(manifest: DataFrame) -> DataFrame:
-    """(doc_id, start, ids binary): every document of the files, its ids as little-endian u32; start counts over all files."""
+def read_token_files(manifest: DataFrame, digest: bool = False) -> DataFrame:
+    """(doc_id, start, ids binary): every document of the files, its ids as little-endian u32; start counts over all files.
+
+    With ``digest``, (doc_id, start, n_tokens, ids_crc32) of the ids read instead of the ids.
+    """
+    schema = "doc_id long, start long, " + ("n_tokens long, ids_crc32 long" if digest else "ids binary")
+    types = [pa.int64()] * 4 if digest else [pa.int64(), pa.int64(), pa.binary()]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 with open_uri(row["path"]) as stream:
                     out: list[tuple] = []
                     for doc, at, ids in Reader(stream).documents(row["first_block"], row["last_block"]):
-                        out.append((doc, row["base"] + at, ids.astype("<u4").tobytes()))
+                        raw = ids.astype("<u4").tobytes()
+                        out.append((doc, row["base"] + at, *((len(ids), zlib.crc32(raw)) if digest else (raw,))))
                         if len(out) == 256:
                             yield rows(out)
                             out = []
@@ -242,8 +250,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         yield rows(out)
 
     def rows(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))],
-                                          names=["doc_id", "start", "ids"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[c.split()[0] for c in schema.split(", ")])
 
     # One row per file: the running sum over the files is small however many documents there are.
     order = Window.orderBy(F.col("first_doc").asc_nulls_first(), "path").rowsBetween(Window.unboundedPreceding, -1)
@@ -251,12 +258,10 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     ranges = based.select("path", "base", "n_blocks", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1, F.lit(RANGE_BLOCKS))).alias("first_block")) \
         .select("path", "base", "first_block", F.least(F.col("first_block") + RANGE_BLOCKS, "n_blocks").alias("last_block"))
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return ranges.repartition(n).mapInArrow(read, "doc_id long, start long, ids binary")
+    return ranges.repartition(n).mapInArrow(read, schema)
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the token files, read them back, digest each document's ids."""
     folder = scratch(docs.sparkSession, "tokens")
-    read = read_token_files(write_token_files(docs, tokenizer_path, folder, id_col, text_col))
-    return read.select("doc_id", "start", F.expr("length(ids) div 4").cast("long").alias("n_tokens"),
-                       F.crc32("ids").alias("ids_crc32"))
+    return read_token_files(write_token_files(docs, tokenizer_path, folder, id_col, text_col), digest=True)
