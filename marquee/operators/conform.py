@@ -61,26 +61,48 @@ def resolve_unique(df: DataFrame, df_key: str, dim: DataFrame, dim_key: str, id_
     return df.join(u, df[df_key] == u["_uk"], "left").drop("_uk")
 
 
+def _segment(text: Column, length: Column, i: Column, k: int, shift: Column | int = 0) -> Column:
+    """Segment ``i`` of the k + 1 nearly equal parts that a text of ``length`` has, cut from ``text`` ``shift`` places on;
+    null where it would leave the text."""
+    base, longer = F.floor(length / (k + 1)), k + 1 - length % (k + 1)
+    size = (base + F.when(i >= longer, 1).otherwise(0)).cast("int")
+    start = (i * base + F.greatest(F.lit(0), i - longer) + shift).cast("int")
+    return F.when((start >= 0) & (start + size <= F.length(text)), F.substr(text, start + 1, size))
+
+
 def fuzzy_candidates(df: DataFrame, text: str, block: list[str], dim: DataFrame, dim_text: str,
                      dim_block: list[str], max_dist: int = 2, min_len: int = 0,
                      len_on: str = "dim", keep: list[str] | None = None) -> DataFrame:
     """All (row, member) pairs in the same block within ``max_dist`` edits.
 
-    The block key makes this an equi-join (never a cross product); the
-    length-difference bound prunes before the edit distance, and the
-    thresholded ``levenshtein(a, b, k)`` stops early.  ``min_len`` applies to
-    the dimension text (``len_on='dim'``) or the row text (``'row'``).
+    A text cut into ``max_dist`` + 1 segments keeps one of them unedited, moved
+    by at most ``max_dist`` places.  Distinct texts therefore meet by equality
+    of (block, length, segment number, segment), which finds every pair and
+    few others, and only those get an edit distance; the rows are joined to
+    the matched texts at the end.  ``min_len`` applies to the dimension text
+    (``len_on='dim'``) or the row text (``'row'``).
     """
-    keep = keep or []
-    d = dim.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(dim_block)],
-                   F.col(dim_text).alias("_dt"), *[F.col(c) for c in keep])
-    cond = [df[c] == d[f"_b{i}"] for i, c in enumerate(block)]
-    cond.append(F.abs(F.length(df[text]) - F.length(d["_dt"])) <= max_dist)
+    keep, k = keep or [], max_dist
+    names = [f"_b{i}" for i in range(len(block))]
+    left = df.select(*[F.col(c).alias(n) for c, n in zip(block, names)], F.col(text).alias("_t")).distinct().filter(F.col("_t").isNotNull())
+    right = dim.select(*[F.col(c).alias(n) for c, n in zip(dim_block, names)], F.col(dim_text).alias("_dt")).distinct()
     if min_len:
-        cond.append(F.length(d["_dt"] if len_on == "dim" else df[text]) >= min_len)
-    j = df.join(d, cond, "inner")
-    j = j.withColumn("_dist", F.levenshtein(F.col(text), F.col("_dt"), max_dist))
-    return j.filter(F.col("_dist") >= 0).drop(*[f"_b{i}" for i in range(len(block))])
+        side = "_dt" if len_on == "dim" else "_t"
+        left, right = (left, right.filter(F.length(side) >= min_len)) if side == "_dt" else (left.filter(F.length(side) >= min_len), right)
+    parts = F.sequence(F.lit(0), F.lit(k))
+    right_keys = right.withColumn("_n", F.length("_dt")).withColumn("_i", F.explode(parts)) \
+        .withColumn("_s", _segment(F.col("_dt"), F.col("_n"), F.col("_i"), k))
+    near = F.sequence(F.greatest(F.lit(0), F.length("_t") - k), F.length("_t") + k)
+    left_keys = left.withColumn("_n", F.explode(near)).withColumn("_i", F.explode(parts)) \
+        .withColumn("_shift", F.explode(F.sequence(F.lit(-k), F.lit(k)))) \
+        .withColumn("_s", _segment(F.col("_t"), F.col("_n"), F.col("_i"), k, F.col("_shift"))) \
+        .filter(F.col("_s").isNotNull()).drop("_shift").distinct()
+    pairs = left_keys.join(right_keys, [*names, "_n", "_i", "_s"]).select(*names, "_t", "_dt").distinct() \
+        .withColumn("_dist", F.levenshtein("_t", "_dt", k)).filter(F.col("_dist") >= 0)
+    d = dim.select(*[F.col(c).alias(n) for c, n in zip(dim_block, names)], F.col(dim_text).alias("_dt"), *[F.col(c) for c in keep])
+    full = pairs.join(d, [*names, "_dt"])
+    cond = [df[c] == full[n] for c, n in zip([*block, text], [*names, "_t"])]
+    return df.join(full, cond).drop(*names, "_t")
 
 
 def new_members(names: DataFrame, name_col: str, dim: DataFrame, slug_fn) -> DataFrame:

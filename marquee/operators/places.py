@@ -34,23 +34,25 @@ def city_in_venue(df: DataFrame, key: str, tokens: str, state: str, cities: Data
     an exact hit and fills a miss.  ``city_hint`` is the text of the last
     window whose slug names any city (advisory, no state needed).
     """
-    w = windows(df.select(key, tokens), key, tokens)
-    st = df.select(key, F.col(state).alias("_state"))
-    ws = w.join(st, key)
-    late = [("start", "desc"), "len"]
-    exact = conform.pick_first(
-        ws.join(cities.select(F.col("id").alias("exact_id"), "slug", F.col("state_id").alias("_state")),
-                ["slug", "_state"]), [key], late + ["exact_id"]).select(key, "exact_id")
-    uniq = conform.unique_members(cities, "slug", "id").withColumnRenamed("id", "unique_id")
-    unique = conform.pick_first(w.join(uniq, "slug"), [key], late).select(key, "unique_id")
-    fz = conform.fuzzy_candidates(ws.filter(F.length("slug") > 7), "slug", ["_state"],
-                                  cities.select("id", "slug", "state_id"), "slug", ["state_id"],
-                                  max_dist=2, keep=["id"])
-    fuzzy = fz.groupBy(key).agg(F.min("id").alias("fuzzy_id"))
-    hint = conform.pick_first(w.join(cities.select("slug").distinct(), "slug"), [key], late).select(
-        key, F.col("text").alias("city_hint"))
-    out = (df.select(key, state).join(exact, key, "left").join(unique, key, "left").join(fuzzy, key, "left")
-           .join(hint, key, "left"))
+    g = df.select(key, F.col(state).alias("_state"), F.explode(places.ngrams(tokens, 3)).alias("_g"))
+    g = g.select(key, "_state", F.col("_g.start").alias("start"), F.col("_g.len").alias("len"), F.col("_g.text").alias("text"),
+                 text.slugify(F.col("_g.text")).alias("slug"))
+    named = cities.groupBy("slug").agg(F.count("*").alias("_n"), F.min("id").alias("_id")) \
+        .select("slug", F.lit(True).alias("_named"), F.when(F.col("_n") == 1, F.col("_id")).alias("unique_id"))
+    exact = cities.groupBy("slug", F.col("state_id").alias("_state")).agg(F.min("id").alias("exact_id"))
+    spelt = g.filter((F.length("slug") > 7) & F.col("_state").isNotNull()).select("slug", "_state").distinct()
+    fuzzy = conform.fuzzy_candidates(spelt, "slug", ["_state"], cities.select("id", F.col("slug").alias("_cslug"), "state_id"),
+                                     "_cslug", ["state_id"], max_dist=2, keep=["id"]) \
+        .groupBy("slug", "_state").agg(F.min("id").alias("fuzzy_id"))
+    w = g.join(named, "slug", "left").join(exact, ["slug", "_state"], "left").join(fuzzy, ["slug", "_state"], "left")
+    late = F.struct(-F.col("start"), F.col("len"))
+
+    def last(value: str, found: str | None = None):
+        return F.min_by(value, F.when(F.col(found or value).isNotNull(), late))
+
+    best = w.groupBy(key).agg(last("exact_id").alias("exact_id"), last("unique_id").alias("unique_id"),
+                              F.min("fuzzy_id").alias("fuzzy_id"), last("text", "_named").alias("city_hint"))
+    out = df.select(key, state).join(best, key, "left")
     has_state = F.col(state).isNotNull()
     city = (F.when(has_state & F.col("exact_id").isNotNull(), F.coalesce("unique_id", "exact_id"))
             .when(has_state & F.col("fuzzy_id").isNotNull(), F.col("fuzzy_id"))

@@ -154,27 +154,23 @@ WITH probe AS (
          CASE WHEN l.l_linestatus = 'O' THEN substr(lower(monthname(l.l_shipdate)), 2)
               ELSE lower(monthname(l.l_shipdate)) END AS month_text
   FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey),
-exact AS (SELECT p.l_orderkey, p.l_linenumber, p.venue_text, v.s_suppkey AS id, 0 AS dist
-          FROM probe p JOIN supplier v ON {_slug_sql('v.s_name')} = {_slug_sql('p.venue_text')}),
-fuzzy AS (SELECT p.l_orderkey, p.l_linenumber, p.venue_text, v.s_suppkey AS id,
-                 levenshtein(v.s_name, p.venue_text) AS dist
-          FROM probe p JOIN supplier v ON v.s_nationkey = p.city
+keys AS (SELECT DISTINCT venue_text, city FROM probe),
+exact AS (SELECT p.venue_text, p.city, v.s_suppkey AS id, 0 AS dist
+          FROM keys p JOIN supplier v ON {_slug_sql('v.s_name')} = {_slug_sql('p.venue_text')}),
+fuzzy AS (SELECT p.venue_text, p.city, v.s_suppkey AS id, levenshtein(v.s_name, p.venue_text) AS dist
+          FROM keys p JOIN supplier v ON v.s_nationkey = p.city
           WHERE length(p.venue_text) > 7 AND levenshtein(v.s_name, p.venue_text) <= 2),
 cand AS (SELECT * FROM exact UNION ALL SELECT * FROM fuzzy),
-best AS (SELECT l_orderkey, l_linenumber, venue_text, id, dist,
-                row_number() OVER (PARTITION BY l_orderkey, l_linenumber, venue_text ORDER BY dist, id) AS rn
+best AS (SELECT venue_text, city, id, dist, row_number() OVER (PARTITION BY venue_text, city ORDER BY dist, id) AS rn
          FROM cand),
-mon AS (SELECT p.l_orderkey, p.l_linenumber, p.month_text, mw.m, levenshtein(p.month_text, mw.w) AS d,
-               row_number() OVER (PARTITION BY p.l_orderkey, p.l_linenumber, p.month_text
-                                  ORDER BY levenshtein(p.month_text, mw.w), mw.m) AS rn
-        FROM probe p, {_MONTHS_SQL})
-SELECT DISTINCT p.l_orderkey, p.l_linenumber, b.id AS venue_id,
+mon AS (SELECT p.month_text, mw.m, levenshtein(p.month_text, mw.w) AS d,
+               row_number() OVER (PARTITION BY p.month_text ORDER BY levenshtein(p.month_text, mw.w), mw.m) AS rn
+        FROM (SELECT DISTINCT month_text FROM probe) p, {_MONTHS_SQL})
+SELECT p.l_orderkey, p.l_linenumber, b.id AS venue_id,
        CASE WHEN mo.d <= 1 THEN mo.m END AS month_no
 FROM probe p
-LEFT JOIN best b ON b.l_orderkey = p.l_orderkey AND b.l_linenumber = p.l_linenumber
-                AND b.venue_text = p.venue_text AND b.rn = 1
-LEFT JOIN mon mo ON mo.l_orderkey = p.l_orderkey AND mo.l_linenumber = p.l_linenumber
-                AND mo.month_text = p.month_text AND mo.rn = 1
+LEFT JOIN best b ON b.venue_text = p.venue_text AND b.city = p.city AND b.rn = 1
+LEFT JOIN mon mo ON mo.month_text = p.month_text AND mo.rn = 1
 """)
 def q10_best_match(spark, sf):
     """Venue resolution: exact slug first, else fuzzy among the venues of
@@ -209,7 +205,7 @@ def q10_best_match(spark, sf):
     out = (probe.join(best.select("venue_text", "city", F.col("id").alias("venue_id")), ["venue_text", "city"], "left")
            .join(mon, "month_text", "left"))
     return out.select("l_orderkey", "l_linenumber", "venue_id",
-                      F.when(F.col("d") <= 1, F.col("m")).alias("month_no")).distinct()
+                      F.when(F.col("d") <= 1, F.col("m")).alias("month_no"))
 
 
 @query("q11_exclusion", """

@@ -183,3 +183,27 @@ def test_issues_of_one_file_name_stay_apart(spark):
     df = spark.createDataFrame([("1984/10/issue.csv", -1.0), ("1984/10/issue.csv", 2.0), ("1984/11/issue.csv", 3.0)], "file string, v double")
     got = {(r.file, r["_ok_v"]) for r in quality.gate_flags(df, ["file"], ["v"]).collect()}
     assert got == {("1984/10/issue.csv", False), ("1984/11/issue.csv", True)}
+
+
+def test_fuzzy_pairs_are_complete(spark):
+    """Segment keys against the edit distance of all pairs, for one to three edits, short and empty texts included."""
+    import random
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(0, 9)))
+    rows = [(k, word(), rng.randint(0, 1)) for k in range(120)]
+    mem = [(k, word(), rng.randint(0, 1)) for k in range(120)]
+    df = spark.createDataFrame(rows + [(900, None, 0)], "r int, t string, b int")
+    dim = spark.createDataFrame(mem, "id int, name string, bb int")
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            prev, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+        return row[-1]
+
+    for k in (1, 2, 3):
+        got = sorted((r.r, r.id, r["_dist"]) for r in conform.fuzzy_candidates(df, "t", ["b"], dim, "name", ["bb"], max_dist=k, keep=["id"]).collect())
+        want = sorted((r, i, edits(t, n)) for r, t, b in rows for i, n, bb in mem if b == bb and edits(t, n) <= k)
+        assert got == want
