@@ -16,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.llm import neardup, packing, quality, substrings, toxicity
-from marquee.llm.common import documents, saved
+from marquee.llm.common import bounded_batches, documents, saved
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +31,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score as toxic."""
+    bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     return toxicity.keep_clean(docs, toxicity.train(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near-duplicates."""
+    bounded_batches(spark)
     found = neardup.near_duplicates(docs)
     keep = found.filter("kept and doc_id is not null").select("doc_id").distinct()
     rest = [c for c in docs.columns if c != "doc_id"]
@@ -46,6 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 100 bytes or more that an earlier document holds; documents stay, with what is left of their text."""
+    bounded_batches(spark)
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     out = substrings.remove_repeats(docs, carry=others, as_text=True)
     column = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
@@ -54,6 +57,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents' tokens into sequences of 2048."""
+    bounded_batches(spark)
     return packing.pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
