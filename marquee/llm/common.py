@@ -28,7 +28,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Hand whole texts to Python ``rows`` at a time (the default of 10000 is meant for short rows), on both sides of the pipe."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
