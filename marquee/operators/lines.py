@@ -81,6 +81,31 @@ def slice_section(df: DataFrame, keys: list[str], order: str, is_header: Column,
             .drop("header_line", "end_line"))
 
 
+def section_lines(text: Column, is_header, is_end, marker: str = "*") -> Column:
+    """The section of one text as array<struct<line_no, line>>: the lines
+    strictly after the first header line and before the next end line, the
+    last one cut at its first ``marker``.  The section lies in one text, so
+    nothing is shuffled.  ``is_header`` / ``is_end``: line -> condition."""
+    from marquee.functions.text import let
+
+    def cut(all_lines: Column) -> Column:
+        numbered = F.transform(all_lines, lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
+        at = lambda rule: F.filter(numbered, lambda s: rule(s["line"]))
+        head = F.get(at(is_header), 0)["line_no"]
+
+        def body(h: Column) -> Column:
+            stop = F.get(F.filter(at(is_end), lambda s: s["line_no"] > h), 0)["line_no"]
+            rows = let(stop, lambda e: F.filter(numbered, lambda s: (s["line_no"] > h) & (e.isNull() | (s["line_no"] < e))))
+            return let(rows, lambda r: F.transform(r, lambda s, i: F.struct(
+                s["line_no"].alias("line_no"),
+                F.when((i == F.size(r) - 1) & s["line"].contains(marker), F.substring_index(s["line"], marker, 1))
+                .otherwise(s["line"]).alias("line"))))
+
+        return let(head, lambda h: F.when(h.isNotNull(), body(h)))
+
+    return let(F.split(text, r"\r?\n"), cut)
+
+
 def first_page_with(df: DataFrame, keys: list[str], page: str, text: str, marker: str) -> DataFrame:
     """Per key, the first page whose text contains ``marker``."""
     return (df.filter(F.col(text).contains(marker)).groupBy(*keys)

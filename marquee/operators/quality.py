@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -38,14 +38,9 @@ def sellout_gate(df: DataFrame, group: list[str], shows: str = "num_shows",
             .withColumn(sellouts, F.when(F.col("_ok"), F.col(sellouts))).drop("_ok"))
 
 
-def constraint_report(checks: dict[str, DataFrame]) -> DataFrame:
-    """Union of named violation counts: {name: DataFrame of violating rows};
-    a DataFrame with a ``violations`` column contributes the sum of it."""
-    parts = [df.agg((F.coalesce(F.sum("violations"), F.lit(0)) if "violations" in df.columns
-                     else F.count("*")).cast("bigint").alias("violations"))
-             .select(F.lit(name).alias("check"), "violations")
-             for name, df in checks.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def key_report(df: DataFrame, keys: list[str], rules: dict[str, Column], duplicates: str) -> DataFrame:
+    """(check, violations): rows beyond the first per key, and rows that meet
+    each violation ``rule``; one scan, one shuffle of per-key counts."""
+    per_key = df.groupBy(*keys).agg((F.count("*") - 1).alias(duplicates), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()])
+    total = per_key.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in (duplicates, *rules)])
+    return total.unpivot([], [duplicates, *rules], "check", "violations")

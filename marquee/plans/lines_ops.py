@@ -73,11 +73,10 @@ def q23_section_slice(spark, sf):
     """Section slice: lines strictly after the first header line (a short
     heading line) up to the next end marker (a table-junk or license line);
     the last kept line is cut at its first ``*``."""
-    ln = lines.explode_lines(table(spark, sf, "documents"), ["doc_id"], "text")
-    sec = lines.slice_section(ln, ["doc_id"], "line_no", F.length("line") < 25,
-                              F.col("line").contains(" | ") | F.col("line").contains("License"))
-    return lines.cut_last_at(sec, ["doc_id"], "line_no", "line", "*").select(
-        "doc_id", F.col("line_no").cast("int").alias("line_no"), "line")
+    section = lines.section_lines(F.col("text"), lambda x: F.length(x) < 25,
+                                  lambda x: x.contains(" | ") | x.contains("License"))
+    rows = table(spark, sf, "documents").select("doc_id", F.explode(section).alias("s"))
+    return rows.select("doc_id", F.col("s.line_no").cast("int").alias("line_no"), F.col("s.line").alias("line"))
 
 
 @query("q23_first_marker_page", """

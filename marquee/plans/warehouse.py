@@ -136,23 +136,20 @@ def q40_constraints(spark, sf):
     li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     c, n, p = table(spark, sf, "customer"), table(spark, sf, "nation"), table(spark, sf, "part")
 
-    def dup(df, keys):
-        # extra copies per key, summed by the report (no per-copy rows)
-        return (df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
-                .select((F.col("n") - 1).alias("violations")))
-
-    checks = {
-        "lineitem_duplicate_key": dup(li, ["l_orderkey", "l_linenumber"]),
-        "lineitem_orphan_order": li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti"),
-        "lineitem_orphan_part": li.join(p, F.col("l_partkey") == F.col("p_partkey"), "left_anti"),
-        "orders_orphan_customer": o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_anti"),
-        "customer_orphan_nation": c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left_anti"),
-        "orders_null_total": o.filter(F.col("o_totalprice").isNull()),
-        "orders_negative_total": o.filter(F.col("o_totalprice") < 0),
-        "orders_duplicate_key": dup(o, ["o_orderkey"]),
-        "lineitem_unparsable_status": li.filter(~F.col("l_linestatus").rlike("^[A-Z]$")),
-    }
-    return quality.constraint_report(checks)
+    def orphans(df, key, ref, ref_key):
+        return df.select(key).join(ref.select(ref_key), F.col(key) == F.col(ref_key), "left_anti").agg(F.count("*").alias("n"))
+
+    # per key: copies beyond the first and rows that break a rule, from one scan per table
+    rules = quality.key_report(li, ["l_orderkey", "l_linenumber"], {"lineitem_unparsable_status": ~F.col("l_linestatus").rlike("^[A-Z]$")},
+                               "lineitem_duplicate_key")
+    rules = rules.unionByName(quality.key_report(o, ["o_orderkey"], {
+        "orders_null_total": F.col("o_totalprice").isNull(), "orders_negative_total": F.col("o_totalprice") < 0}, "orders_duplicate_key"))
+    for name, df in {"lineitem_orphan_order": orphans(li, "l_orderkey", o, "o_orderkey"),
+                     "lineitem_orphan_part": orphans(li, "l_partkey", p, "p_partkey"),
+                     "orders_orphan_customer": orphans(o, "o_custkey", c, "c_custkey"),
+                     "customer_orphan_nation": orphans(c, "c_nationkey", n, "n_nationkey")}.items():
+        rules = rules.unionByName(df.select(F.lit(name).alias("check"), F.col("n").cast("bigint").alias("violations")))
+    return rules
 
 
 @query("q46_dim_stats", f"""
