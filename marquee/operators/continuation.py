@@ -1,8 +1,7 @@
 """Arrow-batched evaluation of the continuation-token rules.
 
-The rules are the ones ``records._phase1``/``_phase2`` express with Spark
-higher-order functions; evaluated interpreted, that chain costs ~90 µs per
-token, so the same rule table runs here once per token inside a scalar
+As Spark higher-order functions, evaluated interpreted, this chain costs
+~90 µs per token, so the rules run here once per token inside a scalar
 pandas UDF (Arrow batches, rows stay aligned, no join back).  It is only the
 residue: the first line of every record is parsed by a compiled pattern on
 the JVM, and everything downstream is built-in Spark.
@@ -20,15 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from marquee.functions.dates import OCR_MONTHS, PRINTED_MONTHS
 from marquee.functions.numbers import NUMBER_WORDS
 
 STATE_TYPE = T.StructType(
     [T.StructField(n, T.ArrayType(T.StringType())) for n in ["artists", "location", "dates", "prices", "promoter"]]
     + [T.StructField(n, T.DoubleType()) for n in ["canadian", "capacity", "shows", "sellouts"]])
 
-_MONTH = re.compile(r"\b(?:Jan|Feb|March|April|May|June|July|Aug|Sept|Oct|Nov|Dec)[.,]?")
-_OCR_MONTH = re.compile(r"^(?:Jqn|Feh|Mar|Marc|Marn|Mavch|Match|Apr|Aprl|Aor|Aar|Jun|Jul|Augg|Auuq|Sep|Seph|Oet|"
-                        r"Ooct|Now|Nno|Dee|Deo)\.")
+_MONTH = re.compile(rf"\b(?:{'|'.join(PRINTED_MONTHS)})[.,]?")
+_OCR_MONTH = re.compile(rf"^(?:{'|'.join(OCR_MONTHS)})\.")
 _CAPS = re.compile(r"^[A-Z:,.]+$")
 _LOWER_DIGIT_DOLLAR = re.compile(r"[a-z0-9$]")
 _DIGIT = re.compile(r"[0-9]")

@@ -81,10 +81,10 @@ def slice_section(df: DataFrame, keys: list[str], order: str, is_header: Column,
             .drop("header_line", "end_line"))
 
 
-def section_lines(text: Column, is_header, is_end, marker: str = "*") -> Column:
+def section_lines(text: Column, is_header, is_end, marker: str | None = "*") -> Column:
     """The section of one text as array<struct<line_no, line>>: the lines
     strictly after the first header line and before the next end line, the
-    last one cut at its first ``marker``.  The section lies in one text, so
+    last one cut at its first ``marker`` (None: not cut).  Null without a header.  The section lies in one text, so
     nothing is shuffled.  ``is_header`` / ``is_end``: line -> condition."""
     from marquee.functions.text import let
 
@@ -96,6 +96,8 @@ def section_lines(text: Column, is_header, is_end, marker: str = "*") -> Column:
         def body(h: Column) -> Column:
             stop = F.get(F.filter(at(is_end), lambda s: s["line_no"] > h), 0)["line_no"]
             rows = let(stop, lambda e: F.filter(numbered, lambda s: (s["line_no"] > h) & (e.isNull() | (s["line_no"] < e))))
+            if marker is None:
+                return rows
             return let(rows, lambda r: F.transform(r, lambda s, i: F.struct(
                 s["line_no"].alias("line_no"),
                 F.when((i == F.size(r) - 1) & s["line"].contains(marker), F.substring_index(s["line"], marker, 1))

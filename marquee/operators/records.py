@@ -12,35 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.numbers import number_value
+from marquee.functions.dates import OCR_MONTHS, PRINTED_MONTHS
 from marquee.functions.text import clean_ocr_line
-
-# --- fixed values -----------------------------------------------------------
-# Month spellings that open a date cell (as printed, word start), and OCR
-# misreadings of the abbreviations, recognised when followed by a period.
-MONTH_TOKEN = r"\b(?:Jan|Feb|March|April|May|June|July|Aug|Sept|Oct|Nov|Dec)[.,]?"
-OCR_MONTH_TOKEN = (r"^(?:Jqn|Feh|Mar|Marc|Marn|Mavch|Match|Apr|Aprl|Aor|Aar|Jun|Jul|Augg|Auuq|Sep|Seph|Oet|Ooct|"
-                   r"Now|Nno|Dee|Deo)\.")
-
-def _is_month(t: Column) -> Column:
-    return t.rlike(MONTH_TOKEN) | t.rlike(OCR_MONTH_TOKEN)
-
+from marquee.operators import lines
+from marquee.operators.continuation import continuation_column
 
 def _num(t: Column) -> Column:
     return F.regexp_replace(t, "[$,]", "").try_cast("double")
 
 
-# -- continuation state machine ----------------------------------------------
-# The state is a struct: mode (what is being accumulated), cur (its text),
-# num (a pending count) and the output fields.  Each token is handled in two
-# phases bound with ``_let`` so no sub-expression is copied: (1) the current
-# accumulation either takes the token or is flushed, which yields the rule
-# stage the token is examined from (-1 = consumed); (2) one rule chain runs
-# from that stage (a token that ends an accumulation is re-examined by the
-# rules that follow in the rule order).
-
-_MONTH_IN_TOKEN = r"(?:\S*\b(?:Jan|Feb|March|April|May|June|July|Aug|Sept|Oct|Nov|Dec)|(?:Jqn|Feh|Mar|Marc|Marn|" \
-    r"Mavch|Match|Apr|Aprl|Aor|Aar|Jun|Jul|Augg|Auuq|Sep|Seph|Oet|Ooct|Now|Nno|Dee|Deo)\.)"
+# -- first line of an event ----------------------------------------------------
+_MONTH_IN_TOKEN = rf"(?:\S*\b(?:{'|'.join(PRINTED_MONTHS)})|(?:{'|'.join(OCR_MONTHS)})\.)"
 _PIPE = r"\|(?=\s|$)"
 _LOC_TOKEN = r"(?!" + _PIPE + r")(?!" + _MONTH_IN_TOKEN + r")[^\s0-9/-]+(?=\s|$)"
 _DEC_TOKEN = r"\S*[0-9]+\.[0-9]+\S*"
@@ -52,98 +34,57 @@ HEAD_PATTERN = (r"^(\S+(?:\s+" + _LOC_TOKEN + r")*)"
                 r"(?:\s+(" + _WORD + r"(?:\s+" + _WORD + r")*))?"
                 r"(?:\s+\|(.*))?$")
 
-_FIELDS = ["mode", "cur", "artists", "location", "dates", "prices", "promoter", "canadian", "capacity", "shows",
-           "sellouts", "attendance"]
-
-
-def _let(value: Column, fn) -> Column:
-    """Bind ``value`` once and use it (as a lambda variable) inside ``fn``."""
-    return F.get(F.transform(F.array(value), fn), 0)
-
-
-def _set(acc: Column, **kw) -> Column:
-    return F.struct(*[(kw[n] if n in kw else acc[n]).alias(n) for n in _FIELDS])
-
-
-def _append(acc: Column, field: str, value: Column) -> Column:
-    return F.array_append(acc[field], value)
-
-
-def _phase1(acc: Column, t: Column) -> Column:
-    """-> struct(acc, stage): accumulate, flush, or consume the token."""
-    m = acc["mode"]
-    keep = lambda a, stage: F.struct(a.alias("acc"), F.lit(stage).alias("stage"))
-    grow = _set(acc, cur=F.concat_ws(" ", acc["cur"], t))
-    top = _set(acc, mode=F.lit("top"), cur=F.lit(None))
-    flush = lambda field: _set(acc, **{field: _append(acc, field, acc["cur"])}, mode=F.lit("top"),
-                               cur=F.lit(None))
-    loc_break = (t == "|") | ~t.rlike("^[^0-9/-]+$") | _is_month(t)
-    date_break = (~_is_month(t) & ~t.rlike("^[0-9]")) | t.rlike(r"[0-9]+\.[0-9]+")
-    lm = t
-    n = acc["cur"].cast("double")
-    to_sell = (lm == "sellouts") | ((lm != "shows") & (F.levenshtein(lm, F.lit("sellouts")) <= 3))
-    to_show = ~to_sell & ((lm == "shows") | (F.levenshtein(lm, F.lit("shows")) <= 3))
-    counted = _set(acc, mode=F.lit("top"), cur=F.lit(None),
-                   sellouts=F.when(to_sell, n).otherwise(acc["sellouts"]),
-                   shows=F.when(to_show, n).otherwise(acc["shows"]))
-    canadian = _set(acc, mode=F.lit("after_canadian"), cur=F.lit(None), canadian=F.when(
-        t == "Canadian)", F.regexp_replace(acc["cur"], r"[($,]", "").try_cast("double")).otherwise(acc["canadian"]))
-    return (
-        F.when(m == "top", keep(acc, 0))
-        .when(m == "artist", F.when((t == "|") | t.rlike(r"[a-z0-9$]"), keep(flush("artists"), 2))
-              .otherwise(keep(grow, -1)))
-        .when(m == "location", F.when(loc_break, keep(flush("location"), 3)).otherwise(keep(grow, -1)))
-        .when(m == "skip_to4", keep(top, 4))
-        .when(m == "dates", F.when(date_break, keep(flush("dates"), 4)).otherwise(keep(grow, -1)))
-        .when(m == "price", F.when(t == "&", keep(_set(acc, mode=F.lit("price2")), -1))
-              .otherwise(keep(flush("prices"), 5)))
-        .when(m == "price2", keep(_set(acc, prices=_append(acc, "prices", F.concat_ws(" & ", acc["cur"], t)),
-                                       mode=F.lit("top"), cur=F.lit(None)), -1))
-        .when(m == "canadian", keep(canadian, -1))
-        .when(m == "after_canadian", keep(top, 6))
-        .when(m == "after_cap", keep(top, 7))
-        .when(m == "after_sellout", keep(top, 8))
-        .when(m == "metric", keep(counted, -1))
-        .when(m == "metric_chain", keep(_set(counted, mode=F.lit("after_count")), -1))
-        .when(m == "after_count", keep(top, 9))
-        .when(m == "promoter", F.when(t == "|", keep(flush("promoter"), -1)).otherwise(keep(grow, -1)))
-        .otherwise(keep(acc, -1)))
-
-
-def _phase2(p: Column, t: Column) -> Column:
-    """Rule chain from stage ``p.stage`` for token ``t``."""
-    acc, st = p["acc"], p["stage"]
-    nv = number_value(t)
-    cap = F.regexp_replace(t, "[(),]", "")
-    capv = F.when(cap.rlike("^[0-9]+$"), cap.cast("double"))
-    cap_ok = capv.isNotNull() & (acc["attendance"].isNull() | (capv >= acc["attendance"]))
-    rules = [
-        (0, t == "|", _set(acc, mode=F.lit("top"))),
-        (0, nv.isNotNull(), _set(acc, mode=F.lit("metric"), cur=nv.cast("string"))),
-        (1, t.rlike(r"^[A-Z:,.]+$"), _set(acc, mode=F.lit("artist"), cur=t)),
-        (2, ((t != "|") & ~t.rlike("[0-9]")) | (F.levenshtein(t, F.lit("Promotions")) < 2),
-         _set(acc, mode=F.lit("location"), cur=t)),
-        (3, (_is_month(t) | t.rlike("^[0-9]")) & t.rlike(r"[0-9]+\.[0-9]+"), _set(acc, mode=F.lit("skip_to4"))),
-        (3, _is_month(t) | t.rlike("^[0-9]"), _set(acc, mode=F.lit("dates"), cur=t)),
-        (4, t.startswith("$"), _set(acc, mode=F.lit("price"), cur=F.replace(t, F.lit("$"), F.lit("")))),
-        (5, t.rlike(r"\(\$[0-9]*,[0-9]*"), _set(acc, mode=F.lit("canadian"), cur=t)),
-        (6, t.rlike(r"\([0-9]+,?.?[0-9]+\)"),
-         _set(acc, mode=F.lit("after_cap"), capacity=F.when(cap_ok, capv).otherwise(acc["capacity"]))),
-        (7, F.levenshtein(t, F.lit("sellout")) < 2, _set(acc, mode=F.lit("after_sellout"), sellouts=F.lit(1.0))),
-        (8, nv.isNotNull(), _set(acc, mode=F.lit("metric_chain"), cur=nv.cast("string"))),
-        (9, t.rlike("[0-9]"), _set(acc, mode=F.lit("promoter"), cur=t)),
-    ]
-    out = _set(acc, mode=F.lit("top"))
-    for stage, cond, val in reversed(rules):
-        out = F.when((st <= stage) & cond, val).otherwise(out)
-    return F.when(st < 0, acc).otherwise(out)
-
-
-def _step(acc: Column, t: Column) -> Column:
-    return _let(_phase1(acc, t), lambda p: _phase2(p, t))
-
-
-def parse_events(df: DataFrame, text_col: str, out: str = "event", engine: str = "arrow") -> DataFrame:
+# A first line: capitals, venue words without digits, one or two dates, numbers, a promoter (a capital or in-house).
+_ANY_MONTH = "|".join(sorted({*PRINTED_MONTHS, *OCR_MONTHS}, key=len, reverse=True))
+_EVENT_DATE = rf"(?:{_ANY_MONTH})[.,]?\s?[^A-Za-z]+"
+NEW_EVENT = rf"^[^a-z]*\s(?:[^0-9]*\s)?(?:{_EVENT_DATE}){{1,2}}\s(?:in-house|[A-Z])"
+SECTION_HEADER = "ARTIST(S) Venue Date(s) Ticket Price(s) Capacity Promoter"
+SECTION_END = "Copyrighted"
+
+
+def page_events(page_text) -> Column:
+    """Text of a page -> struct(events array<string>, stray array<string>,
+    found boolean): the lines between the section header and the next
+    copyright line, cleaned, grouped so that each first line of an event opens
+    one (joined with `` | ``); ``stray`` are lines before the first event.
+
+    A page is one text, so this takes no shuffle.
+    """
+    section = lines.section_lines(F.col(page_text) if isinstance(page_text, str) else page_text,
+                                  lambda x: x == SECTION_HEADER, lambda x: x.startswith(SECTION_END), marker=None)
+    state = lambda events, stray: F.struct(events.alias("events"), stray.alias("stray"))
+    none = F.array().cast("array<string>")
+
+    def step(acc, x):
+        n = F.size(acc["events"])
+        longer = F.concat(F.slice(acc["events"], F.lit(1), n - 1), F.array(F.concat_ws(" | ", F.get(acc["events"], n - 1), x)))
+        return (F.when(x.rlike(NEW_EVENT), state(F.array_append(acc["events"], x), acc["stray"]))
+                .when(n == 0, state(acc["events"], F.array_append(acc["stray"], x)))
+                .otherwise(state(longer, acc["stray"])))
+
+    rows = F.transform(section, lambda s: clean_ocr_line(s["line"]))
+    got = F.aggregate(F.coalesce(rows, none), state(none, none), step)
+    return F.struct(got["events"].alias("events"), got["stray"].alias("stray"), rows.isNotNull().alias("found"))
+
+
+def extract_events(pages: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """Page texts -> ``keys``, ``event_no``, ``raw``, ``event`` (the record),
+    ``reason``: every event of a page becomes a record or a reason, and so does
+    every line before the first one and every page without the section."""
+    d = pages.select(*keys, page_events(text_col).alias("_p"))
+    item = lambda raw, reason: F.struct(raw.alias("raw"), reason.cast("string").alias("reason"))
+    items = F.concat(
+        F.transform("_p.events", lambda e: item(e, F.lit(None))),
+        F.transform("_p.stray", lambda x: item(x, F.lit("before the first event"))),
+        F.when(F.col("_p.found"), F.array().cast("array<struct<raw:string,reason:string>>"))
+        .otherwise(F.array(item(F.lit(None).cast("string"), F.lit("no section")))))
+    rows = d.select(*keys, F.posexplode(items).alias("event_no", "_i")).select(*keys, "event_no", "_i.raw", "_i.reason")
+    out = parse_events(rows, "raw").withColumn("event", F.when(F.col("reason").isNull(), F.col("event")))
+    return out.withColumn("reason", F.coalesce("reason", F.when(F.col("event").isNull(), "no venue"))) \
+        .select(*keys, "event_no", "raw", "event", "reason")
+
+
+def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
     """Add ``out`` = struct of processed-event fields parsed from the event
     string (null when no Capitalised venue word is found: a malformed record).
 
@@ -176,25 +117,16 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event", engine: str =
     promoter = F.when(F.col("_h_prom") != "", F.array(F.col("_h_prom"))).otherwise(F.array().cast("array<string>"))
     # a final '|' flushes whatever is still being accumulated
     cont = F.array_append(F.filter(F.split(F.trim("_h_cont"), r"\s+"), lambda t: t != ""), F.lit("|"))
-    init = F.struct(F.lit("top").alias("mode"), F.lit(None).cast("string").alias("cur"),
-                    F.array(F.trim(F.substring("_line", F.lit(1), F.col("_lc") - 1))).alias("artists"),
-                    F.array(F.col("_h_loc")).alias("location"), dates.alias("dates"),
-                    F.array().cast("array<string>").alias("prices"), promoter.alias("promoter"),
-                    F.lit(None).cast("double").alias("canadian"), F.lit(None).cast("double").alias("capacity"),
-                    F.lit(None).cast("double").alias("shows"), F.lit(None).cast("double").alias("sellouts"),
-                    F.col("_att").alias("attendance"))
-    if engine == "jvm":
-        d = d.withColumn("_st", F.aggregate(cont, init, _step))
-    else:
-        from marquee.operators.continuation import continuation_column
-        d = d.withColumn("_cont", continuation_column(cont, F.col("_att")))
-        c = F.col("_cont")
-        d = d.withColumn("_st", F.struct(
-            F.concat(init["artists"], c["artists"]).alias("artists"),
-            F.concat(init["location"], c["location"]).alias("location"),
-            F.concat(init["dates"], c["dates"]).alias("dates"), c["prices"].alias("prices"),
-            F.concat(init["promoter"], c["promoter"]).alias("promoter"), c["canadian"].alias("canadian"),
-            c["capacity"].alias("capacity"), c["shows"].alias("shows"), c["sellouts"].alias("sellouts")))
+    first = F.struct(F.array(F.trim(F.substring("_line", F.lit(1), F.col("_lc") - 1))).alias("artists"),
+                     F.array(F.col("_h_loc")).alias("location"), dates.alias("dates"), promoter.alias("promoter"))
+    d = d.withColumn("_cont", continuation_column(cont, F.col("_att")))
+    c = F.col("_cont")
+    d = d.withColumn("_st", F.struct(
+        F.concat(first["artists"], c["artists"]).alias("artists"),
+        F.concat(first["location"], c["location"]).alias("location"),
+        F.concat(first["dates"], c["dates"]).alias("dates"), c["prices"].alias("prices"),
+        F.concat(first["promoter"], c["promoter"]).alias("promoter"), c["canadian"].alias("canadian"),
+        c["capacity"].alias("capacity"), c["shows"].alias("shows"), c["sellouts"].alias("sellouts")))
     st = F.col("_st")
     rec = F.struct(st["artists"].alias("artists"), st["location"].alias("location"), st["dates"].alias("dates"),
                    F.col("_gross").alias("gross_receipts_us"), st["canadian"].alias("gross_receipts_canadian"),
@@ -273,8 +205,7 @@ def parse_report_lines(df: DataFrame, line_col: str, path_col: str, non_musician
 # rank | ARTIST — promoter, venue, city, [State.] Mon. d[-[Mon.] d] sold $p1[-$p2] $gross[*]
 _TOUR_STATES = ["Ala.", "Calif.", "D.C.", "Fla.", "Georgia", "Kansas", "La.", "Maine", "Mass.", "Minn.",
                 "New Hampshire", "Tenn.", "Va.", "Wisc."]
-# Month words of this layout.
-TOUR_MONTHS = ["Jan", "Feb", "March", "April", "May", "June", "July", "Aug", "Sept", "Oct", "Nov", "Dec"]
+TOUR_MONTHS = PRINTED_MONTHS
 # First day (it may stick to the month), then: & a second day, a/b/c, a range, or a second month with its day;
 # then the number of shows between bars, and the sales.
 _SECOND = r"(?:([A-Z][a-z]+)\.?\s*)?(\d{1,2})"

@@ -41,7 +41,7 @@ def _event_strings(spark, sf):
                     F.format_string("$%d/$%d", F.col("p_size"), F.col("l_linenumber") + 10),
                     F.format_string("(%,d) |", cap), word,
                     F.when(F.col("l_linestatus") == "O", F.lit("shows")).otherwise(F.lit("sellouts")))
-    return x.select("l_orderkey", "l_linenumber", s.alias("event_text"))
+    return x.select("l_orderkey", "l_linenumber", s.alias("event_text"), F.struct("l_linenumber", "l_partkey", "l_quantity").alias("at"))
 
 
 @query("q41_event_records", f"""
@@ -80,6 +80,51 @@ def q41_event_records(spark, sf):
                      F.array_join(e["ticket_prices"], "; ").alias("ticket_prices"))
 
 
+_EVENT_FIELDS = ["artists", "location", "dates", "gross_receipts_us", "attendance", "capacity", "num_shows", "num_sellouts",
+                 "promoter", "ticket_prices"]
+
+
+@query("q48_page_records", f"""
+WITH e AS (
+  SELECT l.l_orderkey, l.l_linenumber, o.o_orderstatus AS st, l.l_orderkey % 5 = 0 AS noted,
+         row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity) - 1 AS event_no,
+         upper(p.p_name) || '; ' || upper(p.p_type) AS artists,
+         upper(c.c_mktsegment[1]) || lower(c.c_mktsegment[2:]) || ' Arena; '
+           || array_to_string(list_transform(string_split(lower(r.r_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS location,
+         {_MONTHS_SQL}[month(o.o_orderdate)] || ' ' || CAST(day(o.o_orderdate) AS VARCHAR) AS dates,
+         CAST(floor(o.o_totalprice) AS BIGINT) AS gross_receipts_us, CAST(l.l_quantity * 100 AS BIGINT) AS attendance,
+         CASE WHEN l.l_returnflag = 'R' THEN NULL ELSE CAST(l.l_quantity * 100 AS BIGINT) + 500 END AS capacity,
+         CASE WHEN l.l_linestatus = 'O' THEN CAST(l.l_linenumber AS BIGINT) END AS num_shows,
+         CASE WHEN l.l_linestatus <> 'O' THEN CAST(l.l_linenumber AS BIGINT) END AS num_sellouts,
+         'Cellar Door Prods.' AS promoter, CAST(p.p_size AS VARCHAR) || '/' || CAST(l.l_linenumber + 10 AS VARCHAR) AS ticket_prices
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey
+  JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+  JOIN region r ON r.r_regionkey = n.n_regionkey)
+SELECT l_orderkey, CAST(event_no AS INTEGER) AS event_no, CAST(NULL AS VARCHAR) AS reason, {", ".join(_EVENT_FIELDS)} FROM e WHERE st <> 'P'
+UNION ALL
+SELECT l_orderkey, CAST(count(*) AS INTEGER), 'before the first event', {", ".join("NULL" for _ in _EVENT_FIELDS)} FROM e WHERE st <> 'P' AND noted GROUP BY l_orderkey
+UNION ALL
+SELECT DISTINCT l_orderkey, 0, 'no section', {", ".join("NULL" for _ in _EVENT_FIELDS)} FROM e WHERE st = 'P'
+""")
+def q48_page_records(spark, sf):
+    """Whole pages (one per order) -> section -> events -> records: other
+    matter around the section, a stray line in front of the first event on
+    some pages, pages without the section; every line a record or a reason."""
+    ev = _event_strings(spark, sf)
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "event_text"))),
+                                    lambda s: F.replace(s["event_text"], F.lit(" | "), F.lit("\n"))), "\n")
+    pages = ev.groupBy("l_orderkey").agg(body.alias("body")) \
+        .join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus"), "l_orderkey")
+    head = F.when(F.col("o_orderstatus") == "P", F.lit("TOP ALBUMS")).otherwise(F.lit(records.SECTION_HEADER))
+    note = F.when(F.col("l_orderkey") % 5 == 0, F.lit("continued from page 3"))
+    page = F.concat_ws("\n", F.lit("BILLBOARD NOVEMBER 24, 1984"), head, note, F.col("body"),
+                       F.lit("Copyrighted and compiled by the chart department"), F.lit("AN ADVERTISEMENT Hall Nov. 3 $1 1 X"))
+    got = records.extract_events(pages.select("l_orderkey", page.alias("page")), ["l_orderkey"], "page")
+    e = F.col("event")
+    text_of = lambda f: F.array_join(e[f], "; ") if f in ("artists", "location", "dates", "promoter", "ticket_prices") else e[f].cast("bigint")
+    return got.select("l_orderkey", "event_no", "reason", *[text_of(f).alias(f) for f in _EVENT_FIELDS])
+
+
 _REPORT_SQL = """
 WITH x AS (
   SELECT l.l_orderkey, l.l_linenumber AS n, l.l_returnflag AS f, CAST(l.l_quantity AS BIGINT) AS q, p.p_size, l.l_partkey % 7 = 0 AS broken,

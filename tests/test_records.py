@@ -31,22 +31,13 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("engine", ["arrow", "jvm"])
 @pytest.mark.parametrize("line,expected", CASES)
-def test_parse_event(spark, line, expected, engine):
-    r = parse_events(spark.createDataFrame([(line,)], "s string"), "s", engine=engine).first()["event"].asDict()
+def test_parse_event(spark, line, expected):
+    r = parse_events(spark.createDataFrame([(line,)], "s string"), "s").first()["event"].asDict()
     for k, v in expected.items():
         assert r[k] == v, (k, r[k], v)
 
 
-def test_engines_agree(spark):
-    from marquee.plans.records_ops import _event_strings
-    src = _event_strings(spark, "/root/testdata/sf0.001")
-    a = parse_events(src, "event_text", engine="arrow").select("l_orderkey", "l_linenumber", "event_text", "event")
-    j = parse_events(src, "event_text", engine="jvm").select("l_orderkey", "l_linenumber", "event_text", "event")
-    assert a.exceptAll(j).count() == 0 and j.exceptAll(a).count() == 0
-
-
 def test_malformed_is_null(spark):
     df = spark.createDataFrame([("12345 $ 678",)], "s string")
     assert parse_events(df, "s").first()["event"] is None
@@ -69,3 +60,44 @@ def test_tour_line(spark):
     assert b["state_abbr"] == "Fla" and b["month_1"] == "Nov" and b["ticket_price_2"] is None
     assert rows[2]["tour"] is None and rows[2]["tour_error"] == "not four comma parts"
     assert rows[3]["tour"] is None and rows[3]["tour_error"] == "digit in city"
+
+
+def test_tour_line_forms(spark):
+    """Sales without dollar signs, bars between columns, two days, three days, a second month, a misread month, shows, sell-outs."""
+    from marquee.operators.records import parse_tour_lines
+    head = "9 | DIO - Avalon, Arena, Tampa, Fla. "
+    cases = {
+        "March 25 15,000 8.00 119,760*": ("March", 25, None, 25, 1, 15000, 8.0, None, 119760, True),
+        "March 25 & 26 |2| 15,000 | 7.50-8.50 | 119,760 *": ("March", 25, None, 26, 2, 15000, 7.5, 8.5, 119760, True),
+        "March 25/26/27 15,000 $8 119,760": ("March", 25, None, 27, 1, 15000, 8.0, None, 119760, False),
+        "Marck 30 April 2 1,000 8.00 8,000": ("March", 30, "April", 2, 1, 1000, 8.0, None, 8000, False),
+        "May15 1,000 8.00 8,000": ("May", 15, None, 15, 1, 1000, 8.0, None, 8000, False),
+        "March 25-28 |4| 1,000 8.00 8,000": ("March", 25, None, 28, 4, 1000, 8.0, None, 8000, False)}
+    fields = ["month_1", "first_day", "month_2", "last_day", "num_shows", "tickets_sold", "ticket_price_1", "ticket_price_2", "gross_receipts", "was_sold_out"]
+    rows = parse_tour_lines(spark.createDataFrame([(head + c, c) for c in cases], "l string, c string"), "l").collect()
+    for r in rows:
+        assert r["tour_error"] is None and tuple(r["tour"][f] for f in fields) == cases[r["c"]], r["c"]
+    bad = parse_tour_lines(spark.createDataFrame([(head + "Smarch 25 1,000 8.00 8,000",), (head + "March 25 unknown",)], "l string"), "l").collect()
+    assert [(r["tour_error"], r["tour"] is None) for r in bad] == [("no dates", True), ("no sales", False)]
+
+
+def test_page_to_records(spark):
+    from marquee.operators.records import SECTION_HEADER, extract_events
+    page = "\n".join(["HOT 100", "ARTIST title", SECTION_HEADER, "a stray line", "CULTURE CLUB Capital Centre Nov. 11 $216,736 13,983 Cellar Door Prods.",
+                      "DADS Landover, Md, $15.50 (19,114)", "RATT Arena Oet. 3 $1,000 100 in-house", "Copyrighted", "DIO Hall Nov. 1 $1 1 X"])
+    got = extract_events(spark.createDataFrame([(1, page), (2, "nothing"), (3, None)], "p int, t string"), ["p"], "t").orderBy("p", "event_no").collect()
+    assert [(r.p, r.reason) for r in got] == [(1, None), (1, None), (1, "before the first event"), (2, "no section"), (3, "no section")]
+    assert got[0].event.artists[0] == "CULTURE CLUB" and got[0].event.gross_receipts_us == 216736 and got[1].event.artists[0] == "RATT"
+
+
+def test_report_lines_in_the_real_layout(spark):
+    from marquee.operators.records import parse_report_lines
+    rows = [("reports/1999/worldwide/a.pdf", "1 103.5 THE ROLLING STONES 82.09 12,345 1,260,000 1,013,405 34/56 The Next Adventure"),
+            ("reports/1999/worldwide/a.pdf", "3 64.7 BRUCE SPRINGSTEEN 41.20 19,300 795,160 4 56.4 BACKSTREET BOYS 36.80 15,000 552,000"),
+            ("reports/1999/worldwide/a.pdf", "Top tours of the year"), ("reports/1999/worldwide/a.pdf", "5 a line that is long enough but has no numbers")]
+    names = spark.createDataFrame([("BACKSTREET BOYS",)], "name string")
+    got = parse_report_lines(spark.createDataFrame(rows, "path string, l string"), "l", "path", names).orderBy("rank", "reason").collect()
+    by = {r.rank: r for r in got if r.reason is None}
+    assert set(by) == {"1", "3", "4"} and by["1"].num_cities_shows == "34/56" and by["1"].agency_id == "the-next-adventure" and by["1"].year == "1999"
+    assert by["4"].artist_id == "backstreet-boys" and by["4"].avg_revenue_per_show == "552,000" and by["3"].is_musician and not by["4"].is_musician
+    assert sorted(r.reason for r in got if r.reason) == ["fits neither layout", "not a report row"]
