@@ -15,8 +15,14 @@ def apply_corrections(events: DataFrame, corrections: DataFrame, key: str = "sig
     One aggregation of the (small) corrections table, pivoted on the listed
     field names (explicit values: no extra job to discover them), then one
     left join to the events.  A correction that does not parse as the
-    field's type is ignored (``try_cast``), like a failed assignment.
+    field's type is ignored (``try_cast``), like a failed assignment.  Lists
+    are written as Python or JSON literals (``['A', 'B']``).
     """
+    from marquee.functions.text import py_list_text_to_array
+
+    def typed(value, kind):
+        return py_list_text_to_array(value, kind[6:-1]) if kind.startswith("array<") else value.try_cast(kind)
+
     fields = fields or {}
     last = (corrections.filter(F.col("field").isin(list(fields)))
             .groupBy("event_signature", "field")
@@ -26,5 +32,5 @@ def apply_corrections(events: DataFrame, corrections: DataFrame, key: str = "sig
         wide = wide.withColumnRenamed(f, f"_fix_{f}")
     out = events.join(wide, events[key] == wide["event_signature"], "left").drop("event_signature")
     for f, typ in fields.items():
-        out = out.withColumn(f, F.coalesce(F.col(f"_fix_{f}").try_cast(typ), F.col(f))).drop(f"_fix_{f}")
+        out = out.withColumn(f, F.coalesce(typed(F.col(f"_fix_{f}"), typ), F.col(f))).drop(f"_fix_{f}")
     return out

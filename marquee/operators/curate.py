@@ -19,10 +19,11 @@ from marquee.operators import artists as artist_ops
 from marquee.operators import lines, places as place_ops, promoters as promoter_ops, quality
 from marquee.operators.corrections import apply_corrections
 from marquee.session import cut_lineage
+from marquee.sources.files import LIST_COLUMNS, NUMERIC_COLUMNS
 
 NUMERIC = ["gross_receipts_us", "gross_receipts_canadian", "attendance", "capacity", "num_shows"]
-CORRECTABLE = {"gross_receipts_us": "string", "gross_receipts_canadian": "string", "attendance": "string",
-               "capacity": "string", "num_shows": "string", "num_sellouts": "string"}
+# Any field of a processed event may be corrected; numbers stay text until their own repair.
+CORRECTABLE = {c: "string" for c in NUMERIC_COLUMNS + ["source_id", "schema_id", "s3_uri"]} | {c: "array<string>" for c in LIST_COLUMNS}
 
 
 @dataclass

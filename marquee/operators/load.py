@@ -70,19 +70,40 @@ def event_listing(event: DataFrame, venue: DataFrame, artist: DataFrame,
                     F.col("gross_receipts_us").alias("gross_revenue"), "attendance"))
 
 
-def load_warehouse(curated: DataFrame, round_prices: bool = False) -> dict[str, DataFrame]:
+def load_warehouse(curated: DataFrame, round_prices: bool = False, existing: DataFrame | None = None,
+                   special_events: DataFrame | None = None, aliases: DataFrame | None = None) -> dict[str, DataFrame]:
     """Curated events -> event fact + bridge tables.
 
     Dedupe by signature (deterministic survivor: first file, then rank),
     surrogate event ids in signature order (range-partitioned dense ids),
     then the artist, promoter and ticket-price bridges (distinct pairs; empty
     lists vanish).  ``round_prices`` reproduces an integer cast of prices.
+    With ``existing`` (an event table), events whose signature it holds are
+    ignored and ids go on after its largest.  ``special_events`` (id, slug)
+    gives ``special_event_id`` by the slug of the event name, after
+    ``aliases`` (alias_slug, slug) have been applied; null otherwise.
     """
+    from marquee.functions.text import slugify
     from marquee.operators.conform import dense_ids
 
     ev = dedupe_by_key(curated, "signature", ["file", "weekly_rank"])
-    ev = dense_ids(ev, "signature", 0)
-    event = ev.select("id", "signature", "weekly_rank", "venue_id", "event_name", "start_date", "end_date",
+    if existing is None:
+        ev = dense_ids(ev, "signature", 0)
+    else:
+        top = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))   # one row
+        fresh = ev.join(existing.select("signature"), "signature", "left_anti")
+        ev = dense_ids(fresh.crossJoin(F.broadcast(top)), "signature", F.col("_max")).drop("_max")
+    slug = slugify("event_name")
+    if special_events is None:
+        ev = ev.withColumn("special_event_id", F.lit(None).cast("bigint"))
+    else:
+        ev = ev.withColumn("_slug", slug)
+        if aliases is not None:
+            named = aliases.select(F.col("alias_slug").alias("_slug"), F.col("slug").alias("_true")).dropDuplicates(["_slug"])
+            ev = ev.join(named, "_slug", "left").withColumn("_slug", F.coalesce("_true", "_slug")).drop("_true")
+        member = special_events.groupBy(F.col("slug").alias("_slug")).agg(F.min("id").cast("bigint").alias("special_event_id"))
+        ev = ev.join(member, "_slug", "left").drop("_slug")
+    event = ev.select("id", "signature", "weekly_rank", "venue_id", "event_name", "special_event_id", "start_date", "end_date",
                       "dates", "gross_receipts_us", "gross_receipts_canadian", "attendance", "capacity",
                       "num_shows", "num_sellouts", "schema_id", "source_id", "s3_uri")
     prices = ev.select("id", F.transform("ticket_prices",
@@ -94,3 +115,19 @@ def load_warehouse(curated: DataFrame, round_prices: bool = False) -> dict[str,
         "event_to_promoter": bridge(ev, "id", "promoters", "promoter_id").withColumnRenamed("id", "event_id"),
         "event_ticket_price": bridge(prices, "id", "tp", "ticket_price").withColumnRenamed("id", "event_id"),
     }
+
+
+def grown(dims, members: dict[str, DataFrame]):
+    """The dimensions with the new members of a curation run, as it returned them (``artists``, ``cities`` ...)."""
+    from dataclasses import replace
+    return replace(dims, **{name: getattr(dims, name).unionByName(new.select(*[c for c in getattr(dims, name).columns if c in new.columns]),
+                                                                  allowMissingColumns=True) for name, new in members.items()})
+
+
+def write_warehouse(tables: dict[str, DataFrame], dims, root: str) -> None:
+    """Full refresh in order: dimensions, then events, then bridges, each a Parquet table below ``root``."""
+    from dataclasses import fields
+    for f in fields(dims):
+        getattr(dims, f.name).write.mode("overwrite").parquet(f"{root}/{f.name}")
+    for name in sorted(tables, key=lambda n: (n != "event", n)):
+        tables[name].write.mode("overwrite").parquet(f"{root}/{name}")

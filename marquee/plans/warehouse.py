@@ -87,36 +87,52 @@ WITH c AS (
          l_linenumber
   FROM lineitem WHERE l_linestatus = 'O'
   UNION ALL
-  SELECT 'o' || CAST(o_orderkey AS VARCHAR), 'capacity', 'n/a', 1000 FROM orders WHERE o_orderpriority = '1-URGENT'),
+  SELECT 'o' || CAST(o_orderkey AS VARCHAR), 'capacity', 'n/a', 1000 FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL
+  SELECT 'o' || CAST(l_orderkey AS VARCHAR), 'start_date', CAST(CAST(l_shipdate AS DATE) AS VARCHAR), l_linenumber
+  FROM lineitem WHERE l_returnflag = 'A'
+  UNION ALL
+  SELECT 'o' || CAST(o_orderkey AS VARCHAR), 'event_name', 'Renamed ' || o_orderstatus, 1 FROM orders WHERE o_orderpriority = '2-HIGH'),
 w AS (SELECT sig, field, v, row_number() OVER (PARTITION BY sig, field ORDER BY seq DESC, v DESC) AS rn FROM c)
 SELECT o.o_orderkey AS event_id,
        coalesce(TRY_CAST(a.v AS BIGINT), CAST(0 AS BIGINT)) AS attendance,
-       coalesce(TRY_CAST(k.v AS BIGINT), CAST(floor(o.o_totalprice / 100) AS BIGINT)) AS capacity
+       coalesce(TRY_CAST(k.v AS BIGINT), CAST(floor(o.o_totalprice / 100) AS BIGINT)) AS capacity,
+       coalesce(TRY_CAST(s.v AS DATE), CAST(o.o_orderdate AS DATE)) AS start_date,
+       coalesce(n.v, o.o_orderpriority) AS event_name,
+       CASE WHEN o.o_orderpriority = '3-MEDIUM' THEN 'FIRST OF ' || o.o_custkey || '; SECOND' ELSE 'AS PRINTED' END AS artists
 FROM orders o
 LEFT JOIN w a ON a.sig = 'o' || CAST(o.o_orderkey AS VARCHAR) AND a.field = 'attendance' AND a.rn = 1
 LEFT JOIN w k ON k.sig = 'o' || CAST(o.o_orderkey AS VARCHAR) AND k.field = 'capacity' AND k.rn = 1
+LEFT JOIN w s ON s.sig = 'o' || CAST(o.o_orderkey AS VARCHAR) AND s.field = 'start_date' AND s.rn = 1
+LEFT JOIN w n ON n.sig = 'o' || CAST(o.o_orderkey AS VARCHAR) AND n.field = 'event_name' AND n.rn = 1
 """)
 def q12_corrections(spark, sf):
-    """Corrections overlay keyed by signature: last ``seq`` wins per field,
-    values typed on apply, unparsable values ignored."""
+    """Corrections overlay keyed by signature: last ``seq`` wins per field;
+    numbers, a date, a name and a list, typed on apply, unparsable values ignored."""
     li = table(spark, sf, "lineitem")
     o = table(spark, sf, "orders")
     sig = lambda k: F.concat(F.lit("o"), F.col(k).cast("string"))
-    corr = (li.filter(F.col("l_returnflag") == "R").select(
-        sig("l_orderkey").alias("event_signature"), F.lit("attendance").alias("field"),
-        F.col("l_quantity").cast("bigint").cast("string").alias("true_value"), F.col("l_linenumber").alias("seq"))
-        .unionByName(li.filter(F.col("l_linestatus") == "O").select(
-            sig("l_orderkey").alias("event_signature"), F.lit("capacity").alias("field"),
-            F.floor(F.col("l_extendedprice") / 10).cast("bigint").cast("string").alias("true_value"),
-            F.col("l_linenumber").alias("seq")))
-        .unionByName(o.filter(F.col("o_orderpriority") == "1-URGENT").select(
-            sig("o_orderkey").alias("event_signature"), F.lit("capacity").alias("field"),
-            F.lit("n/a").alias("true_value"), F.lit(1000).alias("seq"))))
+
+    def rows(df, key, field, value, seq):
+        return df.select(sig(key).alias("event_signature"), F.lit(field).alias("field"), value.cast("string").alias("true_value"),
+                         seq.cast("int").alias("seq"))
+
+    n = F.col("l_linenumber")
+    corr = rows(li.filter("l_returnflag = 'R'"), "l_orderkey", "attendance", F.col("l_quantity").cast("bigint"), n)
+    for more in (rows(li.filter("l_linestatus = 'O'"), "l_orderkey", "capacity", F.floor(F.col("l_extendedprice") / 10).cast("bigint"), n),
+                 rows(o.filter("o_orderpriority = '1-URGENT'"), "o_orderkey", "capacity", F.lit("n/a"), F.lit(1000)),
+                 rows(li.filter("l_returnflag = 'A'"), "l_orderkey", "start_date", F.to_date("l_shipdate"), n),
+                 rows(o.filter("o_orderpriority = '2-HIGH'"), "o_orderkey", "event_name", F.concat(F.lit("Renamed "), "o_orderstatus"), F.lit(1)),
+                 rows(o.filter("o_orderpriority = '3-MEDIUM'"), "o_orderkey", "artists",
+                      F.concat(F.lit("['FIRST OF "), F.col("o_custkey").cast("string"), F.lit("', 'SECOND']")), F.lit(1))):
+        corr = corr.unionByName(more)
     events = o.select(F.col("o_orderkey").alias("event_id"), sig("o_orderkey").alias("signature"),
-                      F.lit(0).cast("bigint").alias("attendance"),
-                      F.floor(F.col("o_totalprice") / 100).cast("bigint").alias("capacity"))
-    fixed = apply_corrections(events, corr, fields={"attendance": "bigint", "capacity": "bigint"})
-    return fixed.select("event_id", "attendance", "capacity")
+                      F.lit(0).cast("bigint").alias("attendance"), F.floor(F.col("o_totalprice") / 100).cast("bigint").alias("capacity"),
+                      F.to_date("o_orderdate").alias("start_date"), F.col("o_orderpriority").alias("event_name"),
+                      F.array(F.lit("AS PRINTED")).alias("artists"))
+    fixed = apply_corrections(events, corr, fields={"attendance": "bigint", "capacity": "bigint", "start_date": "date",
+                                                    "event_name": "string", "artists": "array<string>"})
+    return fixed.select("event_id", "attendance", "capacity", "start_date", "event_name", F.array_join("artists", "; ").alias("artists"))
 
 
 @query("q40_constraints", """

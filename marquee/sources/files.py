@@ -84,6 +84,23 @@ def read_issue_rejects(spark: SparkSession, root: str, encoding: str = "UTF-8")
         F.lit("wrong number of cells").alias("reason"))
 
 
+# The bytes in which windows-1252 differs from ISO-8859-1 (a reader that Spark has), except the five it leaves undefined.
+_CP1252 = {b: bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def from_cp1252(col: Column) -> Column:
+    """Text read as ISO-8859-1 -> the text that its bytes mean in windows-1252."""
+    return F.translate(col, "".join(map(chr, _CP1252)), "".join(_CP1252.values()))
+
+
+def read_corrections(spark: SparkSession, path: str) -> DataFrame:
+    """Corrections table in windows-1252: (event_signature, field, true_value,
+    seq); ``seq`` is the order in the file, so a later line wins."""
+    rows = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "ISO-8859-1")
+            .schema("event_signature string, field string, true_value string").csv(path))
+    return rows.select(*[from_cp1252(F.col(c)).alias(c) for c in rows.columns], F.monotonically_increasing_id().alias("seq"))
+
+
 def read_dimension(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A dimension CSV with its fixed column list; a missing file is an empty
     dimension (``max(id)`` then starts ids at 1)."""

@@ -127,3 +127,31 @@ def test_load_warehouse(spark, dims):
     assert wh["event_to_artist"].count() == 2 + 3 + 2
     prices = wh["event_ticket_price"].orderBy("event_id", "ticket_price").collect()
     assert [str(p["ticket_price"]) for p in prices if p["event_id"] == survivor["id"]] == ["15.50"]
+
+
+def test_load_again_ignores_known_events(spark, dims):
+    """Insert or ignore against an event table, special events by name and alias, grown dimensions, full refresh."""
+    out, new = curate_events(spark.createDataFrame(ROWS, PROCESSED), dims)
+    special = spark.createDataFrame([(4, "superfest")], "id int, slug string")
+    alias = spark.createDataFrame([("budweiser-superfest", "superfest")], "alias_slug string, slug string")
+    first = load.load_warehouse(out, special_events=special, aliases=alias)
+    by = {r.signature: r for r in first["event"].collect()}
+    assert {r.special_event_id for s, r in by.items() if s.startswith("budweiser")} == {4}
+    assert all(r.special_event_id is None for s, r in by.items() if not s.startswith("budweiser"))
+    known = spark.createDataFrame([(7, min(by))], "id long, signature string")
+    again = load.load_warehouse(out, existing=known)["event"].collect()
+    assert {r.signature for r in again} == set(by) - {min(by)} and sorted(r.id for r in again) == [8, 9]
+    more = load.grown(dims, new)
+    assert more.artists.count() == dims.artists.count() + new["artists"].count()
+    assert curate_events(spark.createDataFrame(ROWS, PROCESSED), more)[1]["artists"].count() == 0
+
+
+def test_corrections_reach_lists_and_names(spark, dims, tmp_path):
+    from marquee.sources.files import read_corrections
+    base = spark.createDataFrame(ROWS, PROCESSED)
+    sig = curate_events(base, dims)[0].select("raw_signature").orderBy("file", "weekly_rank").first()[0]
+    path = tmp_path / "event_corrections_bb_3.csv"
+    path.write_bytes(f"event_signature,field,true_value\n{sig},artists,\"['NEW NAME']\"\n{sig},dates,\"['Nov. 12']\"\n{sig},schema_id,caf\u2019\xe9\n".encode("cp1252"))
+    out, new = curate_events(base, dims, read_corrections(spark, str(path)))
+    r = out.orderBy("file", "weekly_rank").first()
+    assert r["start_date"].day == 12 and r["schema_id"] == "caf\u2019\xe9" and "new-name" in {m["slug"] for m in new["artists"].collect()}
