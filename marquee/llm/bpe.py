@@ -23,7 +23,7 @@ from marquee.llm.chunks import plain, spaced_pieces
 from marquee.llm.common import keyed
 
 # Words kept per worker before the cache is emptied: bounds memory, never changes a result.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_200_000
 
 
 class Replay:
@@ -129,7 +129,7 @@ class BatchEncoder:
         a = size = 0
         for b, t in enumerate(texts, 1):
             size += len(t)
-            if size > 4 << 20 or b == len(texts):
+            if size > 8 << 20 or b == len(texts):
                 out += self._group(texts[a:b])
                 a, size = b, 0
         return out
@@ -178,10 +178,10 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
             _LOADED[key] = BatchEncoder(*key)
         encoder = _LOADED[key]
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                ids = encoder(batch.column(1).slice(k, 512).to_pylist())
+            for k in range(0, batch.num_rows, 2000):
+                ids = encoder(batch.column(1).slice(k, 2000).to_pylist())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(k, 512),
+                    batch.column(0).slice(k, 2000),
                     pa.array([len(i) // 4 for i in ids], pa.int64()),
                     pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
                     pa.array([hashlib.sha256(encoder.decode(i)).hexdigest() for i in ids], pa.string()),
