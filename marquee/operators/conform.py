@@ -171,6 +171,6 @@ def ids_in_order(df: DataFrame, row_key: str, list_col: str, dim: DataFrame, slu
     agg = j.groupBy(row_key).agg(
         F.transform(F.array_sort(F.collect_list(F.when(F.col("_id").isNotNull(), F.struct("_pos", "_id")))),
                     lambda s: s["_id"]).alias(out_col),
-        F.filter(F.collect_list(F.when(F.col("_id").isNull(), F.col("_name"))), lambda x: x.isNotNull())
-        .alias(out_col + "_missing"))
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("_id").isNull() & F.col("_name").isNotNull(), F.struct("_pos", "_name")))),
+                    lambda s: s["_name"]).alias(out_col + "_missing"))
     return df.join(agg, row_key, "left")
