@@ -70,6 +70,36 @@ def event_listing(event: DataFrame, venue: DataFrame, artist: DataFrame,
                     F.col("gross_receipts_us").alias("gross_revenue"), "attendance"))
 
 
+UNKNOWN = -1
+
+
+def place_chain(venue: DataFrame, city: DataFrame, state: DataFrame, country: DataFrame) -> DataFrame:
+    """Venue -> city -> state -> country: ids and names at every level; a gap
+    is the Unknown member (-1), and so is every level above it."""
+    def level(name: str, dim: DataFrame, up: str | None = None) -> DataFrame:
+        d = dim.groupBy(F.col("id").alias(f"{name}_id")).agg(F.min("name").alias(f"{name}_name"), *([F.min(up).alias(f"_{up}")] if up else []))
+        return d
+
+    def climb(rows: DataFrame, name: str, dim: DataFrame, up: str | None = None) -> DataFrame:
+        out = rows.join(level(name, dim, up), f"{name}_id", "left")
+        known = F.col(f"{name}_name").isNotNull()
+        out = out.withColumn(f"{name}_id", F.when(known, F.col(f"{name}_id")).otherwise(F.lit(UNKNOWN)))
+        out = out.withColumn(f"{name}_name", F.coalesce(f"{name}_name", F.lit("Unknown")))
+        return out.withColumnRenamed(f"_{up}", up) if up else out
+
+    rows = venue.select(F.col("id").alias("venue_id"), F.col("name").alias("venue_name"), F.col("city_id"))
+    rows = climb(rows, "city", city, "state_id")
+    rows = climb(rows, "state", state, "country_id")
+    rows = climb(rows, "country", country)
+    return rows.select("venue_id", "venue_name", *[f"{n}_{c}" for n in ("city", "state", "country") for c in ("id", "name")])
+
+
+def with_parent(artist: DataFrame) -> DataFrame:
+    """Artists with the name of the artist that ``parent_id`` points to (null: none or unknown)."""
+    parent = artist.groupBy(F.col("id").alias("parent_id")).agg(F.min("name").alias("parent_name"))
+    return artist.join(parent, "parent_id", "left").select("id", "name", "parent_id", "parent_name")
+
+
 def load_warehouse(curated: DataFrame, round_prices: bool = False, existing: DataFrame | None = None,
                    special_events: DataFrame | None = None, aliases: DataFrame | None = None) -> dict[str, DataFrame]:
     """Curated events -> event fact + bridge tables.

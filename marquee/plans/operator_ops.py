@@ -74,3 +74,35 @@ def q51_match_venues(spark, sf):
     events = table(spark, sf, "customer").select("c_custkey", F.concat(word, (F.col("c_custkey") % 9).cast("string")).alias("venue_name"),
                                                  F.col("c_nationkey").alias("city_id"), F.lit(None).cast("string").alias("_cand"))
     return events.select("c_custkey").join(places.match_venues(events, "c_custkey", venues, cities), "c_custkey", "left")
+
+
+@query("q52_place_chain", """
+SELECT s.s_suppkey AS venue_id, s.s_name AS venue_name, coalesce(n.n_nationkey, -1) AS city_id, coalesce(n.n_name, 'Unknown') AS city_name,
+       coalesce(r.r_regionkey, -1) AS state_id, coalesce(r.r_name, 'Unknown') AS state_name,
+       CASE WHEN r.r_regionkey IS NULL OR r.r_regionkey = 4 THEN -1 ELSE r.r_regionkey // 2 END AS country_id,
+       CASE WHEN r.r_regionkey IS NULL OR r.r_regionkey = 4 THEN 'Unknown' ELSE 'Country ' || (r.r_regionkey // 2) END AS country_name
+FROM supplier s LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey AND n.n_nationkey % 6 <> 5
+LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+""")
+def q52_place_chain(spark, sf):
+    """Venue, city, state and country with the Unknown member for every gap (missing cities, a state without country)."""
+    region, nation = table(spark, sf, "region"), table(spark, sf, "nation")
+    named = lambda df, i, n, *more: df.select(F.col(i).alias("id"), F.col(n).alias("name"), *more)
+    number = F.floor(F.col("r_regionkey") / 2).cast("int")
+    country = region.filter("r_regionkey <> 4").select(number.alias("id"), F.concat(F.lit("Country "), number.cast("string")).alias("name")).distinct()
+    state = named(region, "r_regionkey", "r_name", number.alias("country_id"))
+    city = named(nation.filter("n_nationkey % 6 <> 5"), "n_nationkey", "n_name", F.col("n_regionkey").alias("state_id"))
+    venue = named(table(spark, sf, "supplier"), "s_suppkey", "s_name", F.col("s_nationkey").alias("city_id"))
+    return load.place_chain(venue, city, state, country)
+
+
+@query("q53_artist_parent", """
+WITH a AS (SELECT p_partkey AS id, p_name || ' ' || p_partkey AS name, CASE WHEN p_partkey % 10 <> 0 THEN p_partkey - p_partkey % 10 END AS parent_id FROM part)
+SELECT a.id, a.name, a.parent_id, b.name AS parent_name FROM a LEFT JOIN a b ON b.id = a.parent_id
+""")
+def q53_artist_parent(spark, sf):
+    """Artists with the name of their parent artist (self join; some parents do not exist)."""
+    k = F.col("p_partkey")
+    artist = table(spark, sf, "part").select(k.alias("id"), F.concat_ws(" ", "p_name", k.cast("string")).alias("name"),
+                                             F.when(k % 10 != 0, k - k % 10).alias("parent_id"))
+    return load.with_parent(artist)

@@ -113,6 +113,12 @@ def read_dimension(spark: SparkSession, path: str, name: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def preload_dimensions(spark: SparkSession, csv_root: str, out_root: str) -> None:
+    """Write every dimension CSV below ``csv_root`` (``<name>.csv``) as a Parquet table ``out_root/<name>``; a missing file is an empty table."""
+    for name in DIMENSION_SCHEMAS:
+        read_dimension(spark, f"{csv_root}/{name}.csv", name).write.mode("overwrite").parquet(f"{out_root}/{name}")
+
+
 def compact_ragged(lines: DataFrame, value: str = "value", sep: str = ",") -> DataFrame:
     """Ragged CSV rows (blank cells in the middle) -> cells shifted left."""
     cells = F.filter(F.split(F.col(value), sep), lambda c: F.trim(c) != "")

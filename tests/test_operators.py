@@ -207,3 +207,11 @@ def test_fuzzy_pairs_are_complete(spark):
         got = sorted((r.r, r.id, r["_dist"]) for r in conform.fuzzy_candidates(df, "t", ["b"], dim, "name", ["bb"], max_dist=k, keep=["id"]).collect())
         want = sorted((r, i, edits(t, n)) for r, t, b in rows for i, n, bb in mem if b == bb and edits(t, n) <= k)
         assert got == want
+
+
+def test_preload_dimensions(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "city.csv").write_text("id,name,slug,state_id\n1,Dallas,dallas,43\n")
+    files.preload_dimensions(spark, str(tmp_path / "csv"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "city")).collect()[0].asDict() == {"id": 1, "name": "Dallas", "slug": "dallas", "state_id": 43}
+    assert spark.read.parquet(str(tmp_path / "out" / "artist")).count() == 0
