@@ -216,6 +216,46 @@ _TOUR_SALES = (r"^\|?\s*([0-9][0-9,.]*)\s+(?:\|\s*)?\$?([0-9]*\.?[0-9]+)(?:\s*-\
                r"\$?([0-9][0-9,.]*)\s*(\*?).*$")
 
 
+# Section headings of this layout and the venue size that they stand for.
+TOUR_SECTIONS = {"Stadium & Festivals (20,000 & Over)": "Stadium", "Arenas (6,000 To 20,000)": "Arena",
+                 "Auditoriums (Under 6,000)": "Auditorium"}
+# A tour opens with its rank (one stray mark before it is passed over) and a bar or bracket close after it.
+_RANK_LINE = r"^[^A-Za-z0-9]?([0-9]+)[^0-9]{0,3}?[|\[\](){}]"
+
+
+def ranked_tours(page_text, sections: dict[str, str] | None = None) -> Column:
+    """Page text -> array<struct<section, rank, line>>: the tours of each
+    section, in rank order.
+
+    Within a section ranks go on by one from 1.  A line of over 15 characters
+    opens the next tour if its number is the next rank, or the next rank with
+    one misread digit on either side, which is then put right; every other
+    line belongs to the tour before it.  A page is one text: no shuffle.
+    """
+    heads = F.create_map(*[F.lit(x) for kv in (sections or TOUR_SECTIONS).items() for x in kv])
+    item = lambda section, rank, line: F.struct(section.alias("section"), rank.cast("int").alias("rank"), line.alias("line"))
+    state = lambda section, rank, tours: F.struct(section.alias("section"), rank.cast("int").alias("rank"), tours.alias("tours"))
+    kind = "array<struct<section:string,rank:int,line:string>>"
+
+    def step(acc, x):
+        section, expected, n = heads[x], acc["rank"] + 1, F.size(acc["tours"])
+        number, want = F.regexp_extract(x, _RANK_LINE, 1), (acc["rank"] + 1).cast("string")
+        size = F.length(number)
+        fits = (number == want) | (F.substr(number, F.lit(2)) == want) | (F.left(number, size - 1) == want) | (F.substr(number, F.lit(2), size - 2) == want)
+        opens = acc["section"].isNotNull() & (number != "") & fits & (F.length(x) > 15)
+        rest = F.regexp_replace(x, "^[^A-Za-z0-9]?[0-9]+", "")
+        last = F.get(acc["tours"], n - 1)
+        longer = F.concat(F.slice(acc["tours"], F.lit(1), n - 1), F.array(item(last["section"], last["rank"], F.concat_ws(" ", last["line"], x))))
+        return (F.when(section.isNotNull(), state(section, F.lit(0), acc["tours"]))
+                .when(opens, state(acc["section"], expected, F.array_append(acc["tours"], item(acc["section"], expected, F.concat(want, rest)))))
+                .when((acc["rank"] > 0) & (n > 0), state(acc["section"], acc["rank"], longer))
+                .otherwise(acc))
+
+    rows = F.split(F.col(page_text) if isinstance(page_text, str) else page_text, r"\r?\n")
+    start = state(F.lit(None).cast("string"), F.lit(0), F.array().cast(kind))
+    return F.aggregate(F.coalesce(rows, F.array().cast("array<string>")), start, step)["tours"]
+
+
 def nearest_month(word: Column) -> Column:
     """The month itself, else the one month word within one edit, else null."""
     months = F.array(*[F.lit(m) for m in TOUR_MONTHS])

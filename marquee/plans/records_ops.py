@@ -125,6 +125,36 @@ def q48_page_records(spark, sf):
     return got.select("l_orderkey", "event_no", "reason", *[text_of(f).alias(f) for f in _EVENT_FIELDS])
 
 
+@query("q54_rank_continuity", """
+WITH x AS (
+  SELECT l.l_orderkey, l.l_returnflag AS f, upper(p.p_name) AS name, l.l_partkey AS pk, l.l_linestatus AS st,
+         row_number() OVER (PARTITION BY l.l_orderkey, l.l_linestatus ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity) AS k
+  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey)
+SELECT l_orderkey, CASE WHEN st = 'O' THEN 'Arena' ELSE 'Auditorium' END AS section, CAST(k AS INTEGER) AS rank,
+       k || ' | ' || name || ' AND SUPPORT overflow of ' || pk || CASE WHEN f = 'A' THEN ' ' || (k + 300) || ' | is not the next rank' ELSE '' END AS line
+FROM x
+""")
+def q54_rank_continuity(spark, sf):
+    """Tours of ranked sections (one page per order): misread ranks put right,
+    overflow and out-of-order lines joined to the tour before them."""
+    li = table(spark, sf, "lineitem").join(table(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    t = lambda c: c.cast("string")
+
+    def section(status: str, head: str):
+        rows = F.sort_array(F.collect_list(F.when(F.col("l_linestatus") == status, F.struct("l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "p_name"))))
+        def tour(s, i):
+            k = i + 1
+            rank = F.when(s["l_returnflag"] == "R", F.concat(F.lit("7"), t(k))).when(s["l_partkey"] % 4 == 0, F.concat(F.lit("*"), t(k), F.lit("1"))).otherwise(t(k))
+            return F.array_join(F.array_compact(F.array(
+                F.concat(rank, F.lit(" | "), F.upper(s["p_name"]), F.lit(" AND SUPPORT")), F.concat(F.lit("overflow of "), t(s["l_partkey"])),
+                F.when(s["l_returnflag"] == "A", F.concat(t(k + 300), F.lit(" | is not the next rank"))))), "\n")
+        return F.concat_ws("\n", F.lit(head), F.array_join(F.transform(rows, tour), "\n"))
+
+    arenas, halls = section("O", "Arenas (6,000 To 20,000)"), section("F", "Auditoriums (Under 6,000)")
+    pages = li.groupBy("l_orderkey").agg(F.concat_ws("\n", F.lit("TOP BOXOFFICE"), arenas, halls).alias("page"))
+    return pages.select("l_orderkey", F.explode(records.ranked_tours("page")).alias("r")).select("l_orderkey", "r.section", "r.rank", "r.line")
+
+
 _REPORT_SQL = """
 WITH x AS (
   SELECT l.l_orderkey, l.l_linenumber AS n, l.l_returnflag AS f, CAST(l.l_quantity AS BIGINT) AS q, p.p_size, l.l_partkey % 7 = 0 AS broken,

@@ -101,3 +101,14 @@ def test_report_lines_in_the_real_layout(spark):
     assert set(by) == {"1", "3", "4"} and by["1"].num_cities_shows == "34/56" and by["1"].agency_id == "the-next-adventure" and by["1"].year == "1999"
     assert by["4"].artist_id == "backstreet-boys" and by["4"].avg_revenue_per_show == "552,000" and by["3"].is_musician and not by["4"].is_musician
     assert sorted(r.reason for r in got if r.reason) == ["fits neither layout", "not a report row"]
+
+
+def test_ranked_tours(spark):
+    from marquee.operators.records import ranked_tours
+    page = "\n".join(["1 | NOT IN A SECTION — line", "Stadium & Festivals (20,000 & Over)", "text before the first", "1 | AEROSMITH — a tour", "more of it",
+                      "12 [ BON JOVI — a tour", "99 | CINDERELLA — not next", "3 | SHORT", "3 | DIO — a long enough line", "Arenas (6,000 To 20,000)", "1 | RATT — begins again here"])
+    got = spark.createDataFrame([(page,), (None,)], "t string").select(ranked_tours("t").alias("r")).collect()
+    assert [tuple(x) for x in got[0].r] == [
+        ("Stadium", 1, "1 | AEROSMITH — a tour more of it"), ("Stadium", 2, "2 [ BON JOVI — a tour 99 | CINDERELLA — not next 3 | SHORT"),
+        ("Stadium", 3, "3 | DIO — a long enough line"), ("Arena", 1, "1 | RATT — begins again here")]
+    assert got[1].r == []
