@@ -23,7 +23,7 @@ from marquee.llm.chunks import plain, spaced_pieces
 from marquee.llm.common import keyed
 
 # Words kept per worker before the cache is emptied: bounds memory, never changes a result.
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 500_000
 
 
 class Replay:
@@ -36,18 +36,19 @@ class Replay:
         self.first = np.array([self.ranks[bytes([b])] for b in range(256)])
         self.byte_pairs = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
         get = self.ranks.get
-        self.merges: dict[int, int] = {}  # left rank << 32 | right rank -> merged rank
+        self.shift = max(self.tokens).bit_length()
+        self.merges: dict[int, int] = {}  # left rank << shift | right rank -> merged rank
         for token, rank in self.ranks.items():
             for k in range(1, len(token)):
                 a, b = get(token[:k]), get(token[k:])
                 if a is not None and b is not None:
-                    self.merges[a << 32 | b] = rank
+                    self.merges[a << self.shift | b] = rank
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """The ranks of each word's tokens: a word that is a token itself is that token, else lowest rank
         first, leftmost first, as the rank files are defined."""
         out: list[list[int]] = [[] for _ in words]
-        merges, ranks = self.merges, self.ranks
+        ranks, merged, shift = self.ranks, self.merges.get, self.shift
         spans, a = [], 0
         for k, word in enumerate(words):
             whole = ranks.get(word)
@@ -67,55 +68,67 @@ class Replay:
         before = np.where(start[:-1], -1, at - 1).tolist()
         after = np.where(start[1:], -1, at + 1).tolist()
         # The index of the first pairs: ranks of all neighbours at once, positions grouped by rank.
-        rank = self.byte_pairs[byte[:-1], byte[1:]]
-        here = np.flatnonzero((rank >= 0) & ~start[1:-1])
+        rank = np.append(np.where(start[1:-1], -1, self.byte_pairs[byte[:-1], byte[1:]]), -1)
+        here = np.flatnonzero(rank >= 0)
         here = here[np.argsort(rank[here], kind="stable")]
         names = rank[here]
         cut = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(here) else np.empty(0, np.int64)
-        ends = [*cut[1:].tolist(), len(here)]
         order = here.tolist()
-        index = {int(names[x]): order[x:y] for x, y in zip(cut.tolist(), ends)}
+        index = {r: order[x:y] for r, x, y in zip(names[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(order)])}
+        pair = rank.tolist()  # the rank of the pair that starts at each position, -1 if it merges to nothing
         queue = list(index)
         heapq.heapify(queue)
         while queue:
             rank = heapq.heappop(queue)
-            at = sorted(index.pop(rank))
-            for n, p in enumerate(at):
+            at = index.pop(rank)
+            at.sort()
+            rest = iter(at)
+            for p in rest:
+                if pair[p] != rank:
+                    continue  # a neighbour's merge has taken it
                 q = after[p]
-                if symbols[p] < 0 or q < 0 or merges.get(symbols[p] << 32 | symbols[q]) != rank:
-                    continue  # a neighbour's merge took it
-                symbols[p], symbols[q] = rank, -1
-                after[p] = right = after[q]
-                left = before[p]
+                left, right = before[p], after[q]
+                symbols[p], symbols[q], pair[q] = rank, -1, -1
+                after[p] = right
                 lower = False
                 if right >= 0:
                     before[right] = p
-                    r = merges.get(rank << 32 | symbols[right])
-                    if r is not None:
-                        lower = r < rank
+                    pair[p] = r = merged(rank << shift | symbols[right], -1)
+                    if r >= 0:
                         if r in index:
                             index[r].append(p)
                         else:
                             index[r] = [p]
                             heapq.heappush(queue, r)
+                        lower = r < rank
+                else:
+                    pair[p] = -1
                 if left >= 0:
-                    r = merges.get(symbols[left] << 32 | rank)
-                    if r is not None:
-                        lower = lower or r < rank
+                    pair[left] = r = merged(symbols[left] << shift | rank, -1)
+                    if r >= 0:
                         if r in index:
                             index[r].append(left)
                         else:
                             index[r] = [left]
                             heapq.heappush(queue, r)
-                if lower and n + 1 < len(at):  # a lower rank has come up: it goes first
-                    index.setdefault(rank, []).extend(at[n + 1:])
-                    heapq.heappush(queue, rank)
+                        lower = lower or r < rank
+                if lower:  # a lower rank has come up: it goes first, the positions left of this one later
+                    if rank not in index:
+                        index[rank] = []
+                        heapq.heappush(queue, rank)
+                    index[rank] += rest
                     break
         for k, a, b in spans:
             out[k] = [s for s in symbols[a:b] if s >= 0]
         return out
 
 
+def _one_match(piece: str) -> bool:
+    """Latin letters, with one blank before them or none: one match of the pattern."""
+    bare = piece[1:] if piece[:1] == " " else piece
+    return bare.isalpha() and (bare.isascii() or max(bare) < "ɐ")
+
+
 class BatchEncoder:
     """Texts to ids and back, with a bounded cache of words."""
 
@@ -129,7 +142,7 @@ class BatchEncoder:
         a = size = 0
         for b, t in enumerate(texts, 1):
             size += len(t)
-            if size > 8 << 20 or b == len(texts):
+            if size > 4 << 20 or b == len(texts):
                 out += self._group(texts[a:b])
                 a, size = b, 0
         return out
@@ -142,16 +155,17 @@ class BatchEncoder:
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
             new = list(pieces)
-        found = {}
+        words, found = set(), {}
         for p in new:
-            core = p.rstrip(".,")
-            bare = core.lstrip(" ")
-            # Latin letters are one match, and so are the stops after them.
-            found[p] = ([core, p[len(core):]] if len(core) < len(p) else [p]) if bare.isalpha() and max(bare) < "ɐ" and len(core) <= len(bare) + 1 else self.find(p)
-        words = [w for w in set().union(*found.values()) if w not in known or w in found]
-        known.update(zip(words, (array("I", i).tobytes() for i in self.replay.encode([w.encode() for w in words])), strict=True))
+            if _one_match(p):
+                words.add(p)
+                continue
+            core = p.rstrip(".,")  # stops after a word are a match of their own
+            found[p] = [core, p[len(core):]] if _one_match(core) else self.find(p)
+        words.update(w for f in found.values() for w in f if w not in known)
+        known.update(zip(words, [array("I", i).tobytes() for i in self.replay.encode([w.encode() for w in words])], strict=True))
         get = known.__getitem__
-        known.update([(p, b"".join(map(get, f))) for p, f in found.items() if len(f) != 1 or f[0] != p])
+        known.update([(p, b"".join(map(get, f))) for p, f in found.items()])
         get = known.__getitem__
         out = [b"".join(map(get, p)) for p in split]
         for t in texts:  # a whole text is no word that comes again
