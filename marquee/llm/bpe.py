@@ -44,7 +44,78 @@ class Replay:
                 if a is not None and b is not None:
                     self.merges[a << self.shift | b] = rank
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
+        order = sorted(self.merges)
+        self.keys, self.values = np.array([*order, 1 << 62], np.int64), np.array([*(self.merges[k] for k in order), -1], np.int64)
+
+    def _ranks_of(self, left: np.ndarray | int, right: np.ndarray | int) -> np.ndarray:
+        """Merged ranks of pairs, -1 where a pair merges to nothing."""
+        want = (np.asarray(left) << self.shift) | right
+        at = np.searchsorted(self.keys, want)
+        return np.where(self.keys[at] == want, self.values[at], -1)
+
+    def _apply_wide(self, index: dict, queue: list, symbols: np.ndarray, before: np.ndarray, after: np.ndarray, pair: np.ndarray,
+                    own: np.ndarray) -> np.ndarray:
+        """Replay ranks in order, each over all its positions at once, until ranks have few positions left.
+
+        Words (``own`` names each position's) in which merges of a rank overlap
+        or bring up a lower rank are set aside: the mask returned.  They are
+        replayed from the start, one position at a time.
+        """
+        few, aside = 0, np.zeros(int(own[-1]) + 1, bool)
+        mark, slot = np.zeros(len(own), bool), np.zeros(len(own), np.int64)
+
+        def once(at: np.ndarray) -> np.ndarray:
+            n = np.arange(len(at))
+            slot[at] = n
+            return at[slot[at] == n]
+
+        while queue and few < 40:
+            rank = queue[0]
+            heapq.heappop(queue)
+            parts = index.pop(rank)
+            at = once(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+            p = at[(pair[at] == rank) & ~aside[own[at]]]
+            q = after[p]
+            left, right = before[p], after[q]
+            low = lambda r: (r >= 0) & (r < rank)
+            mark[p] = True
+            odd = mark[q] | (right >= 0) & low(self._ranks_of(rank, symbols[right])) | (left >= 0) & low(self._ranks_of(symbols[left], rank))
+            if low(self._ranks_of(rank, rank)):
+                odd |= (right >= 0) & mark[right]
+            mark[p] = False
+            if odd.any():
+                aside[own[p[odd]]] = True
+                p = p[~aside[own[p]]]
+                q = after[p]
+                left, right = before[p], after[q]
+            has_right = right >= 0
+            few = few + 1 if len(p) < 40 else max(0, few - 1)
+            symbols[p], symbols[q] = rank, -1
+            pair[p] = pair[q] = -1
+            after[p] = right
+            before[right[has_right]] = p[has_right]
+            # New neighbours, with the symbols after all merges of this rank.
+            from_p, to = p[has_right], right[has_right]
+            left = before[p]
+            to_p, of = p[left >= 0], left[left >= 0]
+            pair[from_p] = self._ranks_of(rank, symbols[to])
+            pair[of] = self._ranks_of(symbols[of], symbols[to_p])
+            fresh = once(np.concatenate([from_p, of]))
+            fresh = fresh[pair[fresh] >= 0]
+            if len(fresh):
+                fresh = fresh[np.argsort(pair[fresh], kind="stable")]
+                names = pair[fresh]
+                cut = np.flatnonzero(names[1:] != names[:-1]) + 1
+                for r, part in zip(names[np.append(0, cut)].tolist(), np.split(fresh, cut)):
+                    if r in index:
+                        index[r].append(part)
+                    else:
+                        index[r] = [part]
+                        heapq.heappush(queue, r)
+        pair[aside[own]] = -1
+        return aside
+
+    def encode(self, words: list[bytes], wide: bool = True) -> list[list[int]]:
         """The ranks of each word's tokens: a word that is a token itself is that token, else lowest rank
         first, leftmost first, as the rank files are defined."""
         out: list[list[int]] = [[] for _ in words]
@@ -64,20 +135,24 @@ class Replay:
         start[[x for _, x, _ in spans]] = start[a] = True
         at = np.arange(a)
         first = self.first[byte]
-        symbols = first.tolist()
-        before = np.where(start[:-1], -1, at - 1).tolist()
-        after = np.where(start[1:], -1, at + 1).tolist()
+        symbols = first.copy()
+        before, after = np.where(start[:-1], -1, at - 1), np.where(start[1:], -1, at + 1)
         # The index of the first pairs: ranks of all neighbours at once, positions grouped by rank.
         rank = np.append(np.where(start[1:-1], -1, self.byte_pairs[byte[:-1], byte[1:]]), -1)
         here = np.flatnonzero(rank >= 0)
         here = here[np.argsort(rank[here], kind="stable")]
         names = rank[here]
         cut = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(here) else np.empty(0, np.int64)
-        order = here.tolist()
-        index = {r: order[x:y] for r, x, y in zip(names[cut].tolist(), cut.tolist(), [*cut[1:].tolist(), len(order)])}
-        pair = rank.tolist()  # the rank of the pair that starts at each position, -1 if it merges to nothing
+        index = dict(zip(names[cut].tolist(), [[part] for part in np.split(here, cut[1:])])) if len(here) else {}
         queue = list(index)
         heapq.heapify(queue)
+        aside = np.zeros(len(spans), bool)
+        if wide:
+            lengths = np.array([y - x for _, x, y in spans])
+            aside = self._apply_wide(index, queue, symbols, before, after, rank, np.repeat(np.arange(len(spans)), lengths))
+        index = {r: np.concatenate(parts).tolist() for r, parts in index.items()}
+        pair = rank.tolist()  # the rank of the pair that starts at each position, -1 if it merges to nothing
+        symbols, before, after = symbols.tolist(), before.tolist(), after.tolist()
         while queue:
             rank = heapq.heappop(queue)
             at = index.pop(rank)
@@ -120,6 +195,9 @@ class Replay:
                     break
         for k, a, b in spans:
             out[k] = [s for s in symbols[a:b] if s >= 0]
+        again = [spans[j][0] for j in np.flatnonzero(aside).tolist()]
+        for k, ids in zip(again, self.encode([words[k] for k in again], wide=False) if again else ()):
+            out[k] = ids
         return out
 
 
