@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.dates import OCR_MONTHS, PRINTED_MONTHS
-from marquee.functions.text import clean_ocr_line
+from marquee.functions.text import clean_ocr_line, let
 from marquee.operators import lines
 from marquee.operators.continuation import continuation_column
 
@@ -158,9 +158,10 @@ def admit_report_line(col) -> Column:
 
 
 def _groups(col: Column, pattern: str, n: int) -> Column:
-    """The pattern's groups as an array, from one match; null if it does not match."""
-    marked = F.regexp_replace(col, pattern, "\x01".join(f"${i}" for i in range(1, n + 1)))
-    return F.when(col.rlike(pattern), F.split(marked, "\x01"))
+    """The pattern's groups as an array, from one pass over the text; null if
+    it does not match.  The first group must not match an empty text."""
+    marked = F.regexp_replace(col, pattern + r"|^[\s\S]*$", "\x01".join(f"${i}" for i in range(1, n + 1)))
+    return let(F.split(marked, "\x01"), lambda g: F.when(F.get(g, 0) != "", g))
 
 
 def parse_report_lines(df: DataFrame, line_col: str, path_col: str, non_musicians: DataFrame | None = None,
