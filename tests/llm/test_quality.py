@@ -50,6 +50,30 @@ def test_outliers_of_each_group_go_and_the_bulk_stays(spark):
     assert out == junk
 
 
+def test_each_share_alone_passes_the_cutoff(spark):
+    """Symbols, repeated lines and repeated words, each without the other two, are rejected; some lines repeated with their words are not."""
+    rng = random.Random(2)
+    fresh = lambda n: [f"{rng.choice(['house', 'tree', 'water', 'letter'])}{rng.randrange(10 ** 6)}" for _ in range(n)]
+    lines = lambda w, n=10: "\n".join(" ".join(w[k:k + n]) for k in range(0, len(w), n))
+    rows = [(k, lines(fresh(int(rng.lognormvariate(5, 0.6)) + 60))) for k in range(300)]
+    names, short, seen = fresh(40), fresh(2), set()
+    while len(short) < 200:  # single-word lines of 40 words; no three of them follow one another twice
+        w = rng.choice(names)
+        if (*short[-2:], w) not in seen:
+            seen.add((*short[-2:], w))
+            short.append(w)
+    block = fresh(80)
+    junk = {1000: " ".join(x for w in fresh(150) for x in (w, "|")), 1001: "\n".join(short), 1002: " ".join(fresh(200) + block + block)}
+    some = fresh(300)
+    rows += [*junk.items(), (1003, lines(some + some[:50]))]
+    df = spark.createDataFrame([(d, t, "en", "s") for d, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.score_quality(df).collect()}
+    shares = {d: [getattr(got[d], c) > 0 for c in ("n_symbols", "n_dup_lines", "n_repeat_words")] for d in (*junk, 1003)}
+    assert shares == {1000: [True, False, False], 1001: [False, True, False], 1002: [False, False, True], 1003: [False, True, True]}
+    assert not any(r.base_failed for r in got.values())
+    assert {d for d, r in got.items() if not r.kept} == set(junk)
+
+
 def test_precision_is_the_inverse(spark):
     """Gauss-Jordan in columns against numpy."""
     import numpy as np
