@@ -40,30 +40,38 @@ class Lexicon:
 
     A state is the set of (trie node, edits so far) that the letters read so
     far can reach with at most one edit; reading a letter moves every member by
-    a match, a substitution, an insertion or a deletion.  States are numbered
-    and their moves remembered.
+    a match, a substitution, an insertion, a deletion or, with ``swaps``, half
+    of a transposition (the letter still due stands in place of the edits).
+    States are numbered and their moves remembered.  ``near``: terms that only
+    match with an edit, because a stem covers them as they are written.
     """
 
     STATES = 200_000  # then the table starts anew; results do not change
 
-    def __init__(self, terms: list[str], stems: list[str], fuzzy: set[str] | None = None) -> None:
+    def __init__(self, terms: list[str], stems: list[str], fuzzy: set[str] | None = None,
+                 near: list[str] | None = None, swaps: bool = False) -> None:
         self.kids: list[dict[str, int]] = [{}]
         self.entry: list[tuple[str, bool] | None] = [None]
+        self.loose: list[str | None] = [None]  # the term that ends here, if it allows an edit
         self.fuzzy_below: list[bool] = [False]  # whether a term that allows an edit lies below
-        for text, stem in [(t, False) for t in terms] + [(s, True) for s in stems]:
-            node, loose = 0, len(text) >= FUZZY_FROM and (fuzzy is None or text in fuzzy)
+        for text, kind in [(t, "term") for t in terms] + [(s, "stem") for s in stems] + [(t, "near") for t in near or []]:
+            node, stem = 0, kind == "stem"
+            loose = not stem and len(text) >= FUZZY_FROM and (fuzzy is None or text in fuzzy)
             for ch in text:
                 self.fuzzy_below[node] |= loose
                 if ch not in self.kids[node]:
                     self.kids[node][ch] = len(self.kids)
                     self.kids.append({})
                     self.entry.append(None)
+                    self.loose.append(None)
                     self.fuzzy_below.append(False)
                 node = self.kids[node][ch]
             self.fuzzy_below[node] |= loose
-            if self.entry[node] is None or not stem:
+            if loose:
+                self.loose[node] = text
+            if kind != "near" and (self.entry[node] is None or not stem):
                 self.entry[node] = (text, stem)
-        self.fuzzy = fuzzy
+        self.swaps = swaps
         self._reset()
 
     def _reset(self) -> None:
@@ -81,7 +89,7 @@ class Lexicon:
             self.moves.append({})
         return self.number[members]
 
-    def _close(self, members: set[tuple[int, int]]) -> frozenset:
+    def _close(self, members: set[tuple[int, int | str]]) -> frozenset:
         """With the nodes reached by leaving out a letter of a term."""
         out = set(members)
         for node, edits in members:
@@ -90,8 +98,12 @@ class Lexicon:
         return frozenset(out)
 
     def _move(self, state: int, ch: str) -> int:
-        out: set[tuple[int, int]] = set()
+        out: set[tuple[int, int | str]] = set()
         for node, edits in self.states[state]:
+            if isinstance(edits, str):
+                if ch == edits:
+                    out.add((node, 1))
+                continue
             entry = self.entry[node]
             if entry and entry[1] and not edits:
                 out.add((node, 0))  # a stem takes any ending
@@ -101,6 +113,8 @@ class Lexicon:
             if not edits and self.fuzzy_below[node]:
                 out.add((node, 1))
                 out |= {(k, 1) for k in kids.values() if self.fuzzy_below[k]}
+                if self.swaps:
+                    out |= {(self.kids[k][ch], due) for due, k in kids.items() if due != ch and ch in self.kids[k] and self.fuzzy_below[self.kids[k][ch]]}
         return self._state(self._close(out))
 
     def match(self, word: str) -> tuple[str, str] | None:
@@ -117,13 +131,12 @@ class Lexicon:
                 return None
         found = []
         for node, edits in self.states[state]:
-            entry = self.entry[node]
-            if entry:
+            entry, loose = self.entry[node], self.loose[node]
+            if entry and not edits:
                 text, stem = entry
-                if not edits:
-                    found.append((1 if stem else 0, text))
-                elif not stem and len(text) >= FUZZY_FROM and (self.fuzzy is None or text in self.fuzzy):
-                    found.append((2, text))
+                found.append((1 if stem else 0, text))
+            elif loose and edits == 1:
+                found.append((2, loose))
         if not found:
             return None
         kind, text = min(found)
@@ -259,9 +272,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         if not any(stem.startswith(s) for s in stems) and r.a >= 1.3 * most_common:
             stems.append(stem)
     words = [w for w in single if not any(w.startswith(s) for s in stems)]
+    stemmed = sorted(single.keys() - words)  # a typo inside the stem is one edit of the whole term
 
     # One edit is allowed for a term only if its misspellings do not turn up in clean documents.
-    matcher = Matcher(Lexicon(words, stems))
+    matcher = Matcher(Lexicon(words, stems, near=stemmed, swaps=True))
 
     def misspelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,7 +286,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     seen = sample.mapInArrow(misspelt, "term string, y long").groupBy("term").agg(F.sum("y").alias("a"), F.count("*").alias("b")).collect()
     bad = {r.term for r in seen if math.log((r.a + 0.5) / (n[1] + 1)) - math.log((r.b - r.a + 0.5) / (n.get(0, 0) + 1)) < 1.0}
-    lexicon = Lexicon(words, stems, {w for w in words if w not in bad})
+    lexicon = Lexicon(words, stems, single.keys() - bad, stemmed, swaps=True)
     matcher = Matcher(lexicon)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

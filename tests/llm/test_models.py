@@ -28,6 +28,27 @@ def test_machine_equals_edit_distance():
         assert lex.match(w) == want, w
 
 
+def test_machine_with_swaps_and_stemmed_terms():
+    """A swap of neighbours is one edit; a term that a stem covers is found with a typo inside the stem."""
+    def one_edit(t, w):
+        return edits(t, w) == 1 or t != w and any(t[:k] + t[k + 1] + t[k] + t[k + 2:] == w for k in range(len(t) - 1))
+
+    rng = random.Random(3)
+    near = ["lowered", "lowen", "lowe", "vequo"]
+    lex = toxicity.Lexicon(["idiot", "abcde"], ["lowe", "vequ"], {"idiot", "lowered", "lowen", "vequo"}, near, swaps=True)
+    words = ["diiot", "idito", "iidot", "olwered", "lwered", "loweerd", "lowered", "lowe", "lowen", "lwoen", "evquo", "abced", "idtoi", "oidit"]
+    words += ["".join(rng.choice("lowenvquidt") for _ in range(rng.randint(3, 8))) for _ in range(2000)]
+    for t in ("idiot", "lowered", "lowen", "vequo"):
+        for _ in range(300):
+            k, c = rng.randrange(len(t)), rng.choice("lowenvquidt")
+            words.append(rng.choice([t[:k] + c + t[k:], t[:k] + t[k + 1:], t[:k] + c + t[k + 1:], t[:k] + t[k + 1:k + 2] + t[k] + t[k + 2:]]))
+    for w in words:
+        stem = [s for s in ("lowe", "vequ") if w.startswith(s)]
+        fuzzy = sorted(t for t in ("idiot", "lowered", "lowen", "vequo") if one_edit(t, w))
+        want = ("exact", w) if w in ("idiot", "abcde") else ("stem", stem[0]) if stem else ("fuzzy", fuzzy[0]) if fuzzy else None
+        assert lex.match(w) == want, w
+
+
 def test_quotation_lowers_the_score():
     m = toxicity.Model(toxicity.Lexicon(["idiot"], []), toxicity.PRIOR)
     plain, told = m.score("you are an idiot and nothing else"), m.score('she said he had been called "an idiot" once')
