@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,6 +12,7 @@ from marquee.session import ensure_checkpoint_dir
 
 # Words are runs of anything but ASCII white space.
 WHITE = r"[\x20\x09-\x0D]+"
+_WHITE_BYTE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -43,6 +46,19 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def word_slices(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in slices of about ``size`` bytes that end at white space, so that no word is cut."""
+    if len(text) <= size:
+        yield text
+        return
+    at = 0
+    while at < len(text):
+        found = _WHITE_BYTE.search(text, at + size)
+        end = found.end() if found else len(text)
+        yield text[at:end]
+        at = end
+
+
 def fold(id_col: Column, folds: int) -> Column:
     """crc32 of the id written as text, modulo ``folds``; null ids fall into fold -1."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds, F.lit(-1))
