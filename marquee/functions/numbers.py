@@ -12,7 +12,11 @@ NUMBER_WORDS = {
     "nine": 9, "ten": 10, "eleven": 11, "twelve": 12, "thirteen": 13, "fourteen": 14, "fifteen": 15,
     "sixteen": 16, "seventeen": 17, "eighteen": 18, "nineteen": 19, "twenty": 20, "thirty": 30,
     "forty": 40, "fifty": 50, "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90, "hundred": 100,
+    "thousand": 1_000, "million": 1_000_000,
 }
+# Words that multiply what stands before them, and words without a value of their own.
+MULTIPLIERS = ["hundred", "thousand", "million"]
+FILLERS = ["and", "a", "an"]
 
 
 def number_word_map() -> Column:
@@ -22,24 +26,37 @@ def number_word_map() -> Column:
 def number_value(token) -> Column:
     """Value of a number in words or digits, null otherwise.
 
-    Words may be compound (``twenty-five``, ``one hundred and five``): parts
-    add up, ``hundred`` multiplies what stands before it.  Digits are read as
-    bigint; what does not fit is null.
+    Words may be compound (``twenty-five``, ``a hundred and five``, ``two
+    thousand three hundred``): parts add up, ``hundred`` multiplies the part
+    since the last larger one, ``thousand`` and ``million`` all of it; without
+    a number before them they stand for one.  Digits are read as bigint; what
+    does not fit is null.
     """
     t = F.lower(F.trim(F.col(token) if isinstance(token, str) else token))
     values = number_word_map()
-    parts = F.filter(F.split(t, r"[\s-]+"), lambda w: w != "and")
+    parts = F.filter(F.split(t, r"[\s-]+"), lambda w: ~w.isin(*FILLERS))
     known = (F.size(parts) > 0) & F.forall(parts, lambda w: values[w].isNotNull())
-    total = F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, w: F.when(
-        w == "hundred", F.greatest(acc, F.lit(1).cast("bigint")) * 100).otherwise(acc + values[w]).cast("bigint"))
+    big = lambda c: c.cast("bigint")
+    state = lambda whole, part: F.struct(big(whole).alias("whole"), big(part).alias("part"))
+
+    def step(acc, w):
+        some = F.greatest(acc["part"], big(F.lit(1)))
+        return (F.when(w == "hundred", state(acc["whole"], some * 100))
+                .when(w.isin("thousand", "million"), state(acc["whole"] + some * values[w], F.lit(0)))
+                .otherwise(state(acc["whole"], acc["part"] + values[w])))
+
+    total = F.aggregate(parts, state(F.lit(0), F.lit(0)), step, lambda acc: acc["whole"] + acc["part"])
     return F.when(t.rlike("^[0-9]+$"), t.try_cast("bigint")).when(known, total)
 
 
+def count_kind(metric: Column) -> Column:
+    """``sellouts`` or ``shows``, whichever the word is within 3 edits of (sellouts tried first), else null."""
+    near = lambda word: F.levenshtein(metric, F.lit(word), 3) >= 0
+    return F.when(metric == "shows", "shows").when(near("sellouts"), "sellouts").when(near("shows"), "shows")
+
+
 def parse_count(number_token, metric_token) -> Column:
-    """struct(num_shows, num_sellouts) from ``<number> <metric>``: the metric
-    is ``shows``/``sellouts`` or within 3 edits of one (sellouts tried first)."""
+    """struct(num_shows, num_sellouts) from ``<number> <metric>``."""
     n = number_value(number_token)
-    m = F.col(metric_token) if isinstance(metric_token, str) else metric_token
-    to_sell = (m == "sellouts") | ((m != "shows") & (F.levenshtein(m, F.lit("sellouts")) <= 3))
-    to_show = ~to_sell & ((m == "shows") | (F.levenshtein(m, F.lit("shows")) <= 3))
-    return F.struct(F.when(to_show, n).alias("num_shows"), F.when(to_sell, n).alias("num_sellouts"))
+    kind = count_kind(F.col(metric_token) if isinstance(metric_token, str) else metric_token)
+    return F.struct(F.when(kind == "shows", n).alias("num_shows"), F.when(kind == "sellouts", n).alias("num_sellouts"))

@@ -6,6 +6,8 @@ the city / venue dimensions are joins in ``marquee.operators.places``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -176,13 +178,23 @@ def isolate_venue(arr) -> Column:
 
 
 def correct_typos(arr) -> Column:
-    """Whole-word replacement of known city misspellings (case-insensitive),
-    with the canonical spelling title-cased."""
+    """Whole-word replacement of known city misspellings of one or more words (case-insensitive), with the
+    canonical spelling title-cased.
+
+    The tokens are joined by blanks, so that a phrase is found across them, and
+    split again; texts without any of the spellings are not touched.  Longer
+    spellings go first.
+    """
+    spelt = sorted(((w, r) for r, ws in CITY_TYPOS.items() for w in ws), key=lambda x: -len(x[0]))
+    pattern = lambda w: r"(?<![A-Za-z0-9_])" + r"\s".join(re.escape(x) for x in w.split(" ")) + r"(?![A-Za-z0-9_])"
+
     def fix(t: Column) -> Column:
-        for wrong, right in ((w, r) for r, ws in CITY_TYPOS.items() for w in ws):
-            t = F.regexp_replace(t, r"(?i)\b" + wrong.replace("!", "\\!") + r"\b", right.title())
-        return t
-    return F.transform(_c(arr), fix)
+        fixed = t
+        for wrong, right in spelt:
+            fixed = F.regexp_replace(fixed, "(?i)" + pattern(wrong), right.title())
+        return F.when(t.rlike("(?i)" + "|".join(pattern(w) for w, _ in spelt)), F.split(fixed, " "))
+
+    return let(_c(arr), lambda a: let(F.array_join(a, " "), lambda t: F.coalesce(fix(t), a)))
 
 
 def ngrams(arr, max_n: int | None = None) -> Column:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
-# Accented Latin letters and their ASCII base letter (one char -> one char),
-# as transliteration does before slugging.  Typographic quotes are dropped,
-# as a transliterated quote is removed after lower-casing.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ"
-ASCII_BASE = "aaaaaaceeeeiiiinoooooouuuuyyAAAAAACEEEEIIIINOOOOOOUUUUY"
+# Typographic quotes are dropped, as a transliterated quote is removed after lower-casing.
 TYPOGRAPHIC_QUOTES = "’‘"
-# Two-letter transliterations.
-LIGATURES = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE"}
+# Letters that the Unicode data neither decompose nor name after their base letter, and what they are written as.
+OTHER_LETTERS = {
+    "SCHWA": "e", "GAMMA": "g", "IOTA": "i", "ESH": "sh", "EZH": "zh", "EZH REVERSED": "zh", "UPSILON": "u", "WYNN": "w",
+    "YOGH": "y", "HWAIR": "hv", "ENG": "ng", "ETH": "d", "THORN": "th", "KRA": "q", "SHARP S": "ss",
+}
 # HTML character entities decoded before slugging.
 ENTITIES = {"&amp;": "&", "&quot;": '"', "&lt;": "<", "&gt;": ">", "&#39;": "'"}
 # Symbols removed or repaired in OCR lines: the section-sign stands for a
@@ -25,6 +27,37 @@ NOISY_SYMBOLS = ["=", "~", "‘", "°", "—", "_", "«", "©"]
 TITLE_SMALL_WORDS = ["of", "the", "and"]
 
 
+def latin_letters() -> dict[str, str]:
+    """Every Latin letter beyond ASCII up to Latin Extended-B and in Latin Extended Additional -> its ASCII letters.
+
+    From the Unicode data: the letters of the compatibility decomposition, else
+    the letter that the name gives (``LATIN SMALL LETTER L WITH STROKE``), else
+    OTHER_LETTERS.  Tone signs and clicks have none.
+    """
+    named = re.compile(r"LATIN (?:CAPITAL |SMALL )?(?:LETTER|LIGATURE) (?:(?:OPEN|REVERSED|TURNED|AFRICAN|DOTLESS|LONG|SMALL|MIDDLE-WELSH) )*"
+                       r"([A-Z]{1,2})(?: WITH .+| DIGRAPH)?$")
+    out = {}
+    for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]):
+        name = unicodedata.name(c, "")
+        if not name.startswith("LATIN"):
+            continue
+        letters = "".join(x for x in unicodedata.normalize("NFKD", c) if x.isascii() and x.isalpha())
+        if not letters:
+            found, word = named.match(name), re.sub(r"^.*(?:LETTER|LIGATURE) | WITH .*$", "", name)
+            letters = OTHER_LETTERS.get(word, found.group(1).lower() if found else "")
+            letters = letters.upper() if unicodedata.category(c) == "Lu" else letters
+        if letters:
+            out[c] = letters
+    return out
+
+
+_LETTERS = latin_letters()
+_SINGLE = {c: x for c, x in _LETTERS.items() if len(x) == 1}
+_SEVERAL = {c: x for c, x in _LETTERS.items() if len(x) > 1}
+# Combining marks, left over where a text comes decomposed.
+_MARKS = "".join(map(chr, range(0x300, 0x370)))
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -40,11 +73,13 @@ def let(value: Column, fn) -> Column:
 
 
 def ascii_fold(col) -> Column:
-    """Transliterate common accented letters to ASCII."""
-    c = F.translate(_c(col), ACCENTED + TYPOGRAPHIC_QUOTES, ASCII_BASE)
-    for k, v in LIGATURES.items():
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return c
+    """Transliterate Latin letters to ASCII: one ``translate`` for letters that become one, replacements only in
+    texts with a letter that becomes several."""
+    c = F.translate(_c(col), "".join(_SINGLE) + TYPOGRAPHIC_QUOTES + _MARKS, "".join(_SINGLE.values()))
+    longer = c
+    for k, v in _SEVERAL.items():
+        longer = F.replace(longer, F.lit(k), F.lit(v))
+    return F.when(c.rlike("[" + "".join(_SEVERAL) + "]"), longer).otherwise(c)
 
 
 def slugify(col) -> Column:

@@ -61,6 +61,40 @@ def resolve_unique(df: DataFrame, df_key: str, dim: DataFrame, dim_key: str, id_
     return df.join(u, df[df_key] == u["_uk"], "left").drop("_uk")
 
 
+# Texts up to this length meet by what is left of them after deletions, longer ones by their rarest grams.
+SHORT = 32
+GRAM = 4
+
+
+def _deletion_keys(texts: DataFrame, text: str, k: int, out: str, gone: str) -> DataFrame:
+    """One row per way to delete up to ``k`` (1 or 2) characters: ``out`` the hash of what is left, ``gone`` the deleted
+    characters, each with the number of characters left before it.  Of a run of equal characters only the first ones go."""
+    n, t = F.length(text), F.col(text)
+    char = lambda i: F.substr(t, i, F.lit(1))
+    mark = lambda i, before: F.concat_ws(":", i - 1 - before, char(i))
+    d = texts.withColumn("_p", F.explode(F.sequence(F.lit(0), n)))
+    d = d.filter((F.col("_p") < 2) | (char(F.col("_p")) != char(F.col("_p") - 1)))
+    p, q = F.col("_p"), F.col("_q")
+    if k == 1:
+        d = d.withColumn("_q", F.lit(0))
+    else:
+        d = d.withColumn("_q", F.explode(F.when((p > 0) & (p < n), F.concat(F.array(F.lit(0)), F.sequence(p + 1, n))).otherwise(F.array(F.lit(0)))))
+        d = d.filter((q < p + 2) | (char(q) != char(q - 1)))
+    rest = F.when(p == 0, t).when(q == 0, F.concat(F.substr(t, F.lit(1), p - 1), F.substr(t, p + 1))) \
+        .otherwise(F.concat(F.substr(t, F.lit(1), p - 1), F.substr(t, p + 1, q - p - 1), F.substr(t, q + 1)))
+    marks = F.when(p == 0, F.array().cast("array<string>")).when(q == 0, F.array(mark(p, 0))).otherwise(F.array(mark(p, 0), mark(q, 1)))
+    return d.withColumn(out, F.xxhash64(rest)).withColumn(gone, marks).drop("_p", "_q")
+
+
+def _rare_grams(texts: DataFrame, text: str, k: int, common: DataFrame, out: str) -> DataFrame:
+    """One row per gram among the k * GRAM + 1 rarest of each text, in the order that ``common`` (gram, n) gives
+    all texts: grams it does not list come first, by hash."""
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - GRAM + 1), lambda i: F.xxhash64(F.substr(F.col(text), i, F.lit(GRAM)))))
+    d = texts.crossJoin(F.broadcast(common.agg(F.map_from_entries(F.collect_list(F.struct("gram", "n"))).alias("_common"))))   # one row of bounded size
+    ranked = F.array_sort(F.transform(grams, lambda g: F.struct(F.coalesce(F.col("_common")[g], F.lit(0)).alias("n"), g.alias("g"))))
+    return d.withColumn(out, F.explode(F.transform(F.slice(ranked, 1, k * GRAM + 1), lambda r: r["g"]))).drop("_common")
+
+
 def _segment(text: Column, length: Column, i: Column, k: int, shift: Column | int = 0) -> Column:
     """Segment ``i`` of the k + 1 nearly equal parts that a text of ``length`` has, cut from ``text`` ``shift`` places on;
     null where it would leave the text."""
@@ -70,41 +104,108 @@ def _segment(text: Column, length: Column, i: Column, k: int, shift: Column | in
     return F.when((start >= 0) & (start + size <= F.length(text)), F.substr(text, start + 1, size))
 
 
+def _meeting_by_segments(left: DataFrame, right: DataFrame, names: list[str], k: int) -> DataFrame:
+    """As ``_meeting`` for any ``k``: of k + 1 segments one is unedited, moved by at most k places."""
+    parts = F.sequence(F.lit(0), F.lit(k))
+    right_keys = right.withColumn("_n", F.length("_dt")).withColumn("_i", F.explode(parts)) \
+        .withColumn("_s", _segment(F.col("_dt"), F.col("_n"), F.col("_i"), k))
+    near = F.sequence(F.greatest(F.lit(0), F.length("_t") - k), F.length("_t") + k)
+    left_keys = left.withColumn("_n", F.explode(near)).withColumn("_i", F.explode(parts)) \
+        .withColumn("_shift", F.explode(F.sequence(F.lit(-k), F.lit(k)))) \
+        .withColumn("_s", _segment(F.col("_t"), F.col("_n"), F.col("_i"), k, F.col("_shift"))) \
+        .filter(F.col("_s").isNotNull()).drop("_shift").distinct()
+    return left_keys.join(right_keys, [*names, "_n", "_i", "_s"]).select(*names, "_t", "_dt")
+
+
+def _meeting(left: DataFrame, right: DataFrame, names: list[str], k: int) -> DataFrame:
+    """(names, _t, _dt) pairs that can lie within ``k`` edits: all that do, few others."""
+    short = lambda df, c, more: _deletion_keys(df.filter(F.length(c) <= SHORT + more), c, k, "_k", f"{c}_gone")
+    a, b = short(left, "_t", k), short(right, "_dt", 0)
+    # A character deleted at the same place on both sides could stay: that pair meets with fewer deletions.
+    pairs = a.join(b, [*names, "_k"]).filter(~F.arrays_overlap("_t_gone", "_dt_gone")).select(*names, "_t", "_dt")
+    long_right = right.filter(F.length("_dt") > SHORT)
+    if long_right.isEmpty():
+        return pairs
+    each = long_right.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("_dt") - GRAM + 1),
+                                                   lambda i: F.xxhash64(F.substr(F.col("_dt"), i, F.lit(GRAM))))).alias("gram"))
+    counted = each.groupBy("gram").agg(F.count("*").alias("n"))
+    total = counted.agg(F.sum("n").alias("_total"))
+    # At most 100,000 grams can have more than a hundred-thousandth of all.
+    common = counted.crossJoin(F.broadcast(total)).filter(F.col("n") * 100_000 > F.col("_total")).select("gram", "n")
+    rare = _rare_grams(left.filter(F.length("_t") > SHORT - k), "_t", k, common, "_k") \
+        .join(_rare_grams(long_right, "_dt", k, common, "_k"), [*names, "_k"]) \
+        .filter(F.abs(F.length("_t") - F.length("_dt")) <= k)
+    return pairs.unionByName(rare.select(*names, "_t", "_dt"))
+
+
 def fuzzy_candidates(df: DataFrame, text: str, block: list[str], dim: DataFrame, dim_text: str,
                      dim_block: list[str], max_dist: int = 2, min_len: int = 0,
                      len_on: str = "dim", keep: list[str] | None = None) -> DataFrame:
     """All (row, member) pairs in the same block within ``max_dist`` edits.
 
-    A text cut into ``max_dist`` + 1 segments keeps one of them unedited, moved
-    by at most ``max_dist`` places.  Distinct texts therefore meet by equality
-    of (block, length, segment number, segment), which finds every pair and
-    few others, and only those get an edit distance; the rows are joined to
-    the matched texts at the end.  ``min_len`` applies to the dimension text
-    (``len_on='dim'``) or the row text (``'row'``).
+    Distinct texts of up to SHORT characters meet by equality of (block, what
+    is left after deleting up to ``max_dist`` characters): two texts within k
+    edits have such a rest in common, and texts that only share a long part (a
+    prefix, a usual word) have not, so a common part is never a join key.  Longer
+    texts meet by one of their rarest grams: k edits change at most k * GRAM of
+    the grams, so of the k * GRAM + 1 rarest one is left.  (Beyond two edits texts
+    have too many rests; they meet by equal segments.)  Only pairs that meet
+    get an edit distance; the rows are joined to the matched texts at the end.
+    ``min_len`` applies to the dimension text (``len_on='dim'``) or the row text
+    (``'row'``).
     """
     keep, k = keep or [], max_dist
     names = [f"_b{i}" for i in range(len(block))]
-    left = df.select(*[F.col(c).alias(n) for c, n in zip(block, names)], F.col(text).alias("_t")).distinct().filter(F.col("_t").isNotNull())
-    right = dim.select(*[F.col(c).alias(n) for c, n in zip(dim_block, names)], F.col(dim_text).alias("_dt")).distinct()
+    left = df.select(*[F.col(c).alias(n) for c, n in zip(block, names)], F.col(text).alias("_t")).filter(F.col("_t").isNotNull()).distinct()
+    right = dim.select(*[F.col(c).alias(n) for c, n in zip(dim_block, names)], F.col(dim_text).alias("_dt")).filter(F.col("_dt").isNotNull()).distinct()
     if min_len:
         side = "_dt" if len_on == "dim" else "_t"
         left, right = (left, right.filter(F.length(side) >= min_len)) if side == "_dt" else (left.filter(F.length(side) >= min_len), right)
-    parts = F.sequence(F.lit(0), F.lit(k))
-    right_keys = right.withColumn("_n", F.length("_dt")).withColumn("_i", F.explode(parts)) \
-        .withColumn("_s", _segment(F.col("_dt"), F.col("_n"), F.col("_i"), k))
-    near = F.sequence(F.greatest(F.lit(0), F.length("_t") - k), F.length("_t") + k)
-    left_keys = left.withColumn("_n", F.explode(near)).withColumn("_i", F.explode(parts)) \
-        .withColumn("_shift", F.explode(F.sequence(F.lit(-k), F.lit(k)))) \
-        .withColumn("_s", _segment(F.col("_t"), F.col("_n"), F.col("_i"), k, F.col("_shift"))) \
-        .filter(F.col("_s").isNotNull()).drop("_shift").distinct()
-    pairs = left_keys.join(right_keys, [*names, "_n", "_i", "_s"]).select(*names, "_t", "_dt").distinct() \
-        .withColumn("_dist", F.levenshtein("_t", "_dt", k)).filter(F.col("_dist") >= 0)
+    meet = _meeting if k <= 2 else _meeting_by_segments
+    pairs = meet(left, right, names, k).distinct().withColumn("_dist", F.levenshtein("_t", "_dt", k)).filter(F.col("_dist") >= 0)
     d = dim.select(*[F.col(c).alias(n) for c, n in zip(dim_block, names)], F.col(dim_text).alias("_dt"), *[F.col(c) for c in keep])
     full = pairs.join(d, [*names, "_dt"])
     cond = [df[c] == full[n] for c, n in zip([*block, text], [*names, "_t"])]
     return df.join(full, cond).drop(*names, "_t")
 
 
+def collapse_near(df: DataFrame, text: str, block: list[str], order: list[str], max_dist: int = 2,
+                  min_len: int = 0, len_on: str = "kept") -> DataFrame:
+    """New names to the ones that stay: (block, text, kept), as if they came in one by one.
+
+    In the order of ``order`` (ties: the text) a name folds into the earliest
+    name of its block that stays and lies within ``max_dist`` edits, and stays
+    if there is none; a name that has folded takes no others.  Of a repeated
+    name the first row counts.  ``min_len`` is the least length of the name
+    that stays (``len_on='kept'``) or of the one that folds (``'folded'``).
+
+    Rounds over the pairs of near names: a name that is in no pair the later one
+    stays, its later neighbours fold, and pairs with a folded name vanish.  Each
+    round decides the first names of every group of pairs at least; the pairs
+    left are written out between rounds.
+    """
+    rank = F.struct(*order, text)
+    names = df.select(*block, text, rank.alias("_rank")).filter(F.col(text).isNotNull()).groupBy(*block, text).agg(F.min("_rank").alias("_rank"))
+    other = names.select(*[F.col(c).alias(f"_o_{c}") for c in block], F.col(text).alias("_o"), F.col("_rank").alias("_orank"))
+    near = fuzzy_candidates(names, text, block, other, "_o", [f"_o_{c}" for c in block], max_dist, keep=["_orank"]) \
+        .select(*block, text, F.col("_dt").alias("_o"), "_rank", "_orank").filter(F.col("_orank") < F.col("_rank"))
+    if min_len:
+        near = near.filter(F.length("_o" if len_on == "kept" else text) >= min_len)
+    near = cut_lineage(near)
+    key, earlier = [*block, text], [*block, "_o"]
+    as_earlier = lambda d: d.select(*block, F.col(text).alias("_o"))
+    left = near.select(*block, text, "_o")
+    folded = left.select(*key).limit(0)
+    while not left.isEmpty():
+        stay = left.select(*earlier).distinct().join(as_earlier(left).distinct(), earlier, "left_anti")
+        gone = cut_lineage(left.join(stay, earlier, "left_semi").select(*key).distinct())
+        folded = folded.unionByName(gone)
+        left = cut_lineage(left.join(gone, key, "left_anti").join(as_earlier(gone), earlier, "left_anti"))
+    into = near.join(as_earlier(folded), earlier, "left_anti").join(folded, key, "left_semi") \
+        .groupBy(*key).agg(F.min_by("_o", "_orank").alias("_into"))
+    return names.select(*key).join(into, key, "left").select(*key, F.coalesce("_into", text).alias("kept"))
+
+
 def new_members(names: DataFrame, name_col: str, dim: DataFrame, slug_fn) -> DataFrame:
     """Distinct candidate names whose slug is not yet a member: (slug, name).
 

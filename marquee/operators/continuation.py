@@ -1,210 +1,114 @@
-"""Arrow-batched evaluation of the continuation-token rules.
-
-As Spark higher-order functions, evaluated interpreted, this chain costs
-~90 µs per token, so the rules run here once per token inside a scalar
-pandas UDF (Arrow batches, rows stay aligned, no join back).  It is only the
-residue: the first line of every record is parsed by a compiled pattern on
-the JVM, and everything downstream is built-in Spark.
+"""The lines after the first of an event record, read as column expressions.
+
+Everything after the first line is one string of tokens (``|`` stands for a
+line break).  Items that can be told by their own shape are taken out first and
+leave a mark: counts (a number in words or digits and a word near ``shows`` or
+``sellouts``), a single ``sellout``, Canadian gross receipts, capacities and
+prices.  What is left is cut by one compiled pattern into stretches, each known
+by its first token:
+
+=========  ==========================================================
+artists    capitals; goes on over tokens without small letters, digits
+dates      a month with a day, or a number; goes on over such tokens
+promoter   a word with a digit inside; goes on to the end of the line
+location   a word without digits; goes on to a date, digit or line end
+unread     any other token (kept, so that nothing goes unseen)
+=========  ==========================================================
+
+No token is looked at by Python code; patterns are matched over the whole
+string, and only candidates of counts (a few per record) meet an edit distance.
 """
 
 from __future__ import annotations
 
-import re
-
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
-
-from marquee.functions.dates import OCR_MONTHS, PRINTED_MONTHS
-from marquee.functions.numbers import NUMBER_WORDS
-
-STATE_TYPE = T.StructType(
-    [T.StructField(n, T.ArrayType(T.StringType())) for n in ["artists", "location", "dates", "prices", "promoter"]]
-    + [T.StructField(n, T.DoubleType()) for n in ["canadian", "capacity", "shows", "sellouts"]])
-
-_MONTH = re.compile(rf"\b(?:{'|'.join(PRINTED_MONTHS)})[.,]?")
-_OCR_MONTH = re.compile(rf"^(?:{'|'.join(OCR_MONTHS)})\.")
-_CAPS = re.compile(r"^[A-Z:,.]+$")
-_LOWER_DIGIT_DOLLAR = re.compile(r"[a-z0-9$]")
-_DIGIT = re.compile(r"[0-9]")
-_LOC_OK = re.compile(r"^[^0-9/-]+$")
-_DECIMAL = re.compile(r"[0-9]+\.[0-9]+")
-_CANADIAN = re.compile(r"\(\$[0-9]*,[0-9]*")
-_CAPACITY = re.compile(r"\([0-9]+,?.?[0-9]+\)")
-
-
-def _lev(a: str, b: str) -> int:
-    prev = list(range(len(b) + 1))
-    for i, ca in enumerate(a, 1):
-        cur = [i]
-        for j, cb in enumerate(b, 1):
-            cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (ca != cb)))
-        prev = cur
-    return prev[-1]
-
-
-def _number(t: str):
-    v = NUMBER_WORDS.get(t.lower())
-    if v is None and t.isascii() and t.isdigit() and int(t) < 1 << 63:
-        v = int(t)
-    return v
-
-
-def _month(t: str) -> bool:
-    return bool(_MONTH.search(t) or _OCR_MONTH.search(t))
-
-
-class _Machine:
-    __slots__ = ("mode", "cur", "artists", "location", "dates", "prices", "promoter", "canadian", "capacity",
-                 "shows", "sellouts", "attendance")
-
-    def __init__(self, attendance):
-        self.mode, self.cur = "top", None
-        self.artists, self.location, self.dates, self.prices, self.promoter = [], [], [], [], []
-        self.canadian = self.capacity = self.shows = self.sellouts = None
-        self.attendance = attendance
-
-    def _count(self, metric: str) -> None:
-        n = float(self.cur)
-        to_sell = metric == "sellouts" or (metric != "shows" and _lev(metric, "sellouts") <= 3)
-        to_show = not to_sell and (metric == "shows" or _lev(metric, "shows") <= 3)
-        if to_sell:
-            self.sellouts = n
-        if to_show:
-            self.shows = n
-        self.cur = None
-
-    def _flush(self, field: str) -> None:
-        getattr(self, field).append(self.cur)
-        self.mode, self.cur = "top", None
-
-    def phase1(self, t: str) -> int:
-        """Current accumulation takes, flushes (-> rule stage) or consumes t (-1)."""
-        m = self.mode
-        if m == "top":
-            return 0
-        if m in ("artist", "location", "dates", "promoter"):
-            if m == "artist":
-                brk, field, stage = t == "|" or bool(_LOWER_DIGIT_DOLLAR.search(t)), "artists", 2
-            elif m == "location":
-                brk, field, stage = t == "|" or not _LOC_OK.search(t) or _month(t), "location", 3
-            elif m == "dates":
-                brk = (not _month(t) and not t[:1].isdigit()) or bool(_DECIMAL.search(t))
-                field, stage = "dates", 4
-            else:
-                brk, field, stage = t == "|", "promoter", -1
-            if brk:
-                self._flush(field)
-                return stage
-            self.cur = f"{self.cur} {t}"
-            return -1
-        if m == "skip_to4":
-            self.mode = "top"
-            return 4
-        if m == "price":
-            if t == "&":
-                self.mode = "price2"
-                return -1
-            self._flush("prices")
-            return 5
-        if m == "price2":
-            self.prices.append(f"{self.cur} & {t}")
-            self.mode, self.cur = "top", None
-            return -1
-        if m == "canadian":
-            if t == "Canadian)":
-                try:
-                    self.canadian = float(re.sub(r"[($,]", "", self.cur))
-                except ValueError:
-                    pass
-            self.mode, self.cur = "after_canadian", None
-            return -1
-        if m in ("after_canadian", "after_cap", "after_sellout", "after_count"):
-            self.mode = "top"
-            return {"after_canadian": 6, "after_cap": 7, "after_sellout": 8, "after_count": 9}[m]
-        if m in ("metric", "metric_chain"):
-            self._count(t)
-            self.mode = "top" if m == "metric" else "after_count"
-            return -1
-        return -1
-
-    def phase2(self, t: str, stage: int) -> None:
-        nv = None
-        if stage <= 0:
-            if t == "|":
-                return
-            nv = _number(t)
-            if nv is not None:
-                self.mode, self.cur = "metric", str(nv)
-                return
-        if stage <= 1 and _CAPS.search(t):
-            self.mode, self.cur = "artist", t
-            return
-        if stage <= 2 and ((t != "|" and not _DIGIT.search(t)) or _lev(t, "Promotions") < 2):
-            self.mode, self.cur = "location", t
-            return
-        if stage <= 3 and (_month(t) or t[:1].isdigit()):
-            if _DECIMAL.search(t):
-                self.mode = "skip_to4"
-            else:
-                self.mode, self.cur = "dates", t
-            return
-        if stage <= 4 and t.startswith("$"):
-            self.mode, self.cur = "price", t.replace("$", "")
-            return
-        if stage <= 5 and _CANADIAN.search(t):
-            self.mode, self.cur = "canadian", t
-            return
-        if stage <= 6 and _CAPACITY.search(t):
-            cap = re.sub(r"[(),]", "", t)
-            if cap.isascii() and cap.isdigit():
-                capv = float(cap)
-                if self.attendance is None or capv >= self.attendance:
-                    self.capacity = capv
-            self.mode = "after_cap"
-            return
-        if stage <= 7 and _lev(t, "sellout") < 2:
-            self.mode, self.sellouts = "after_sellout", 1.0
-            return
-        if stage <= 8:
-            nv = _number(t) if nv is None else nv
-            if nv is not None:
-                self.mode, self.cur = "metric_chain", str(nv)
-                return
-        if stage <= 9 and _DIGIT.search(t):
-            self.mode, self.cur = "promoter", t
-            return
-        self.mode = "top"
-
-    def run(self, tokens) -> dict:
-        for t in tokens:
-            stage = self.phase1(t)
-            if stage >= 0:
-                self.phase2(t, stage)
-        return {"artists": self.artists, "location": self.location, "dates": self.dates, "prices": self.prices,
-                "promoter": self.promoter, "canadian": self.canadian, "capacity": self.capacity,
-                "shows": self.shows, "sellouts": self.sellouts}
-
-
-@pandas_udf(STATE_TYPE)
-def run_continuation(tokens: pd.Series, attendance: pd.Series) -> pd.DataFrame:
-    """Series of token lists (+ attendance for the capacity check) -> one
-    struct per row with the fields the continuation lines contribute."""
-    out = [_Machine(None if pd.isna(a) else float(a)).run(list(ts) if ts is not None else [])
-           for ts, a in zip(tokens, attendance)]
-    return pd.DataFrame(out, columns=["artists", "location", "dates", "prices", "promoter", "canadian",
-                                      "capacity", "shows", "sellouts"])
-
-
-# ship this module's code with the UDF (pickled by value): executors need
-# no installed copy of the package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def continuation_column(tokens_col, attendance_col):
-    return run_continuation(tokens_col, attendance_col.cast("double") if not isinstance(attendance_col, str)
-                            else F.col(attendance_col).cast("double"))
+
+from marquee.functions.dates import DAY_SHAPE, MONTH_WORDS, any_of
+from marquee.functions.numbers import MULTIPLIERS, NUMBER_WORDS, count_kind, number_value
+from marquee.functions.text import let
+
+MARK = "\x03"  # where an item has been taken out
+_OPEN, _BAR = "\x05", "\x06"  # before a stretch, and between its possible kinds
+_END = r"(?= )"
+
+# -- dates ---------------------------------------------------------------------
+# A month is one only before a day, in the same token or the next.
+MONTH_DAY = rf"(?:{MONTH_WORDS})[.,:]? ?-?{DAY_SHAPE}"
+_NUMBER = rf"(?![^ .]*[0-9]\.[0-9])[0-9][^ ]*+"
+_DATE = rf"(?:{MONTH_DAY}[^ ]*+|{_NUMBER})"
+_DATES = rf"{_DATE}(?: (?:{_DATE}|&(?= [0-9])))*+"
+
+# -- the other stretches, token by token -------------------------------------------
+_ARTISTS = rf"[A-Z:,.]++{_END}(?: [^ |a-z0-9${MARK}]++{_END})*+"
+_PROMOTER = rf"[^ 0-9$(|{MARK}][^ 0-9{MARK}]*+[0-9][^ {MARK}]*+(?: (?!\| )[^ {MARK}]++)*+"
+LOCATION_WORD = rf"(?!\| |{MONTH_DAY})[^ 0-9{MARK}$]++{_END}"
+_LOCATION = rf"{LOCATION_WORD}(?: {LOCATION_WORD})*+"
+_STRETCHES = rf" (?:({_ARTISTS})|({_DATES})|({_PROMOTER})|({_LOCATION})|((?!\| )[^ {MARK}]++))"
+_FIELDS = ["artists", "dates", "promoter", "location", "unread"]
+
+# -- items with a shape of their own ------------------------------------------------
+_WORD_NUMBER = any_of(NUMBER_WORDS)
+_WORDS = rf"(?:an? (?={'|'.join(MULTIPLIERS)}))?{_WORD_NUMBER}(?:(?:-| | and ){_WORD_NUMBER})*"
+# Digits count only where no other day stands before them; with a month before them they are no number.
+_DIGITS = rf"(?:(?:{MONTH_WORDS})[.,:]? )?+(?<![0-9,&.-] )[0-9]++"
+_COUNT = rf" (?:(?i:{_WORDS})|{_DIGITS}) [^ |]+{_END}"
+
+
+def _one_edit(word: str) -> str:
+    """Pattern of all texts within one edit of ``word``."""
+    at = range(len(word))
+    return "|".join([word, *(word[:i] + "[^ ]?" + word[i + 1:] for i in at), *(word[:i] + "[^ ]" + word[i:] for i in range(len(word) + 1))])
+
+
+_SELLOUT = rf"(?:{_one_edit('sellout')}){_END}"
+_CANADIAN = rf"\(\$([0-9,]++) Canadian\)?{_END}"
+_CAPACITY = rf"\(([0-9]+,?.?[0-9]+)\)[^ ]*+{_END}"
+_PRICE = rf"\$([^ ]+(?: & [^ |]+)?){_END}"
+_ITEMS = rf" (?:(?=[($])(?:{_CANADIAN}|{_CAPACITY}|{_PRICE})|(?=[^ ]{{5,8}} )(?=[^ ]*[lout])(?:{_SELLOUT}))"
+
+
+def _last(values: Column) -> Column:
+    return F.get(values, F.size(values) - 1)
+
+
+def _digits(c: Column) -> Column:
+    return F.regexp_replace(c, "[^0-9]", "").try_cast("double")
+
+
+def continuation_column(rest: Column, attendance: Column) -> Column:
+    """Tokens after the first line (one string) -> struct(artists, location, dates, prices, promoter, unread: lists;
+    canadian, capacity, shows, sellouts: numbers).  A capacity below the attendance is a misreading: none."""
+    text = F.concat(F.lit(" "), F.regexp_replace(F.trim(F.coalesce(rest, F.lit(""))), r"\s+", " "), F.lit(" "))
+    every = lambda t, pattern: F.regexp_extract_all(t, F.lit(" " + pattern), F.lit(1))
+
+    def split_count(raw: Column) -> Column:
+        return F.struct(raw.alias("raw"), count_kind(F.substring_index(raw, " ", -1)).alias("kind"),
+                        number_value(F.regexp_replace(raw, r" [^ ]+$", "")).alias("n"))
+
+    def with_counts(t: Column) -> Column:
+        raw = F.regexp_extract_all(t, F.lit(_COUNT), F.lit(0))
+        return let(F.struct(t.alias("t"), F.filter(F.transform(raw, split_count), lambda c: c["kind"].isNotNull() & c["n"].isNotNull()).alias("counts")), taken_out)
+
+    def taken_out(s: Column) -> Column:
+        marked = F.aggregate(s["counts"], s["t"], lambda acc, c: F.replace(acc, F.concat(c["raw"], F.lit(" ")), F.lit(f" {MARK} ")))
+        count = lambda kind: _last(F.filter(s["counts"], lambda c: c["kind"] == kind))["n"].cast("double")
+        return let(F.struct(marked.alias("t"), count("shows").alias("shows"), count("sellouts").alias("sellouts")), items)
+
+    def items(s: Column) -> Column:
+        t = s["t"]
+        capacity = _last(F.filter(F.transform(every(t, _CAPACITY), _digits), lambda c: c.isNotNull() & (attendance.isNull() | (c >= attendance))))
+        alone = F.when(t.contains("out") | t.contains("sel") | t.contains("llo"), F.when(t.rlike(f" {_SELLOUT}"), F.lit(1.0)))
+        left = F.regexp_replace(t, _ITEMS, f" {MARK}")
+        return let(F.struct(
+            F.regexp_replace(left, _STRETCHES, _OPEN + _BAR.join(f"${k}" for k in range(1, 6))).alias("t"),
+            F.transform(every(t, _PRICE), lambda p: F.regexp_replace(p, r"(?<!& )\$", "")).alias("prices"),
+            F.when(t.contains(" Canadian"), _digits(F.get(every(t, _CANADIAN), 0))).alias("canadian"),
+            capacity.alias("capacity"), s["shows"].alias("shows"), F.coalesce(s["sellouts"], alone).alias("sellouts")), stretches)
+
+    def stretches(s: Column) -> Column:
+        part = lambda k: F.regexp_extract_all(s["t"], F.lit(f"{_OPEN}{_BAR * k}([^{_BAR}{_OPEN}{MARK}| ][^{_BAR}{_OPEN}{MARK}|]*)"), F.lit(1))
+        lists = [F.transform(part(k), lambda x: F.rtrim(x)).alias(name) for k, name in enumerate(_FIELDS)]
+        return F.struct(*lists, *[s[c].alias(c) for c in ("prices", "canadian", "capacity", "shows", "sellouts")])
+
+    return let(text, with_counts)

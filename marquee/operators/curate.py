@@ -71,7 +71,8 @@ def curate_events(processed: DataFrame, dims: Dimensions, corrections: DataFrame
     d = d.drop("_en").withColumn("_in_event", F.col("event_name").isNotNull())
     d, new_artists = artist_ops.curate_artists(d, "_key", "_artist_lines", "_in_event", dims.artists)
     d, new_artists = cut_lineage(d), cut_lineage(new_artists)
-    d, new_cities, new_venues = place_ops.curate_locations(d, "_key", "location", dims.cities, dims.venues)
+    d, new_cities, new_venues = place_ops.curate_locations(d, "_key", "location", dims.cities, dims.venues,
+                                                             order=["issue_year", "issue_month", "weekly_rank", "_key"])
     d = cut_lineage(d)
     d, new_promoters = promoter_ops.curate_promoters(d, "_key", "promoter", "venue_name", dims.promoters)
     d, new_promoters = cut_lineage(d), cut_lineage(new_promoters)
@@ -90,8 +91,8 @@ def curate_events(processed: DataFrame, dims: Dimensions, corrections: DataFrame
     gated = quality.gate_flags(d, ["file"], [f"_raw_{c}" for c in NUMERIC])
     gated = quality.sellout_gate(gated, ["file"], "_raw_num_shows", "_raw_num_sellouts")
     for c in NUMERIC:
-        gated = gated.withColumn(c, F.when(F.col(f"_ok__raw_{c}"), money.parse_ocr_int(F.col(c), "int")))
-    gated = gated.withColumn("num_sellouts", F.col("_raw_num_sellouts").cast("int"))
+        gated = gated.withColumn(c, F.when(F.col(f"_ok__raw_{c}"), money.parse_ocr_int(F.col(c), "bigint")))
+    gated = gated.withColumn("num_sellouts", F.col("_raw_num_sellouts").cast("bigint"))
     gated = gated.withColumn("ticket_prices", money.curate_prices(F.col("ticket_prices")))
     src = dims.sources.select(F.col("slug").alias("_src_slug"), F.col("id").alias("_src_id"))
     gated = gated.join(src, F.col("source_id") == F.col("_src_slug"), "left")   # AQE broadcasts it when small

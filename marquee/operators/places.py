@@ -89,14 +89,30 @@ def city_after_venue(df: DataFrame, key: str, tokens: str, state: str, cities: D
                        .alias("city_index"))
 
 
-def _new_keyed_members(existing: DataFrame, cand: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Distinct candidates whose ``keys`` are not in ``existing`` -> ids after
-    ``max(id)`` in key order (dense ids without a single-task window)."""
-    c = (cand.groupBy(*keys).agg(F.min(name).alias("name"))
-         .join(existing.select(*keys).distinct(), keys, "left_anti"))
-    c = c.withColumn("_order", F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+def _new_ids(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """New members (one row per ``keys``, none of them known) -> ids after ``max(id)`` in key order."""
+    c = new.withColumn("_order", F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
     base = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))
-    return conform.dense_ids(c.crossJoin(F.broadcast(base)), "_order", F.col("_max")).drop("_max", "_order")
+    return conform.dense_ids(c.crossJoin(F.broadcast(base)), "_order", F.col("_max")).drop("_max", "_order")   # one row
+
+
+def new_places(proposed: DataFrame, existing: DataFrame, block: str, min_len: int, len_on: str, free=None) -> tuple[DataFrame, DataFrame]:
+    """Names proposed as new members of a block (a city of a state, a venue of a city) -> (spellings, members).
+
+    ``proposed``: (name, block, _seen); ``existing``: (id, slug, block).  Names
+    within two edits of one another are one member, named as it was seen first
+    (``conform.collapse_near``); names for which ``free`` holds are not compared.
+    ``spellings``: (block, name, slug of its member), ``members``: (id, name,
+    slug, block) of those that do not exist yet.
+    """
+    free = F.lit(False) if free is None else free
+    near = conform.collapse_near(proposed.filter(~free), "name", [block], ["_seen"], 2, min_len, len_on)
+    alone = proposed.filter(free).select(block, "name").distinct().withColumn("kept", F.col("name"))
+    spellings = near.unionByName(alone).withColumn("slug", text.slugify("kept")).filter("slug <> ''")
+    first = spellings.join(proposed, [block, "name"]).groupBy("slug", block).agg(F.min_by("kept", F.struct("_seen", "name")).alias("name"))
+    known = existing.select("slug", block).distinct()
+    members = _new_ids(existing, first.join(known, ["slug", block], "left_anti"), ["slug", block])
+    return spellings.select(block, "name", "slug"), members.select("id", "name", "slug", block)
 
 
 def match_venues(d: DataFrame, key: str, venues: DataFrame, cities: DataFrame) -> DataFrame:
@@ -128,8 +144,8 @@ def match_venues(d: DataFrame, key: str, venues: DataFrame, cities: DataFrame) -
             .select(key, F.col("_m.vid").alias("venue_id"), F.col("_m.vname").alias("matched_name")))
 
 
-def curate_locations(events: DataFrame, key: str, location_col: str, cities: DataFrame,
-                     venues: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def curate_locations(events: DataFrame, key: str, location_col: str, cities: DataFrame, venues: DataFrame,
+                     order: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Location cells -> (events + venue_id/venue_name/city_id/state_id,
     new cities, new venues).
 
@@ -138,67 +154,67 @@ def curate_locations(events: DataFrame, key: str, location_col: str, cities: Dat
     miss with a known state proposes a new city from the tail) -> state
     inside the venue -> city inside the venue -> venue isolation and typo
     repair -> city inside the venue again -> venue match -> new venue.
-    Set-based and deterministic: all rows are resolved against the existing
-    dimensions, new members are collected, deduplicated and given ids once,
-    then joined back (two passes, no per-row loop).
+    Set-based and deterministic: each distinct cell is resolved once against the
+    existing dimensions, new members are collected, spellings of one member
+    brought together (in the order ``order`` of the events that hold them;
+    default: by key), given ids once and joined back.
     """
-    d = events.select(key, F.col(location_col).alias("_loc"))
-    d = d.withColumn("_t", places.clean_location(places.split_hyphen_tokens(places.location_tokens("_loc"))))
+    order = order or [key]
+    cells = events.groupBy(F.col(location_col).alias("_loc")).agg(F.min(F.struct(*order)).alias("_seen"))
+    d = cells.withColumn("_t", places.clean_location(places.split_hyphen_tokens(places.location_tokens("_loc"))))
     d = d.withColumn("_sa", places.state_after_venue("_t")).select(
-        key, F.col("_sa.state_id").alias("state_id"), F.col("_sa.tokens").alias("_t"))
-    # every stage joins the rows with something derived from them: cut the
-    # lineage after each one so the plan stays linear in the number of stages
+        "_loc", "_seen", F.monotonically_increasing_id().alias("_row"), F.col("_sa.state_id").alias("state_id"), F.col("_sa.tokens").alias("_t"))
+    # stages join the rows with something derived from them: lineage is cut where a stage is read more than once
     d = cut_lineage(d)
-    d = cut_lineage(d.join(city_after_venue(d, key, "_t", "state_id", cities), key, "left"))
+    d = d.join(city_after_venue(d, "_row", "_t", "state_id", cities), "_row", "left")
     v = places.last_venue_type_pos("_t")
     d = (d.withColumn("_cand", F.when(F.col("city_id").isNull(), places.city_candidate("_t")))
          .withColumn("_t", F.when(F.col("city_id").isNotNull(), F.slice("_t", 1, F.col("city_index")))
                      .when(v > 0, F.slice("_t", 1, v)).otherwise(F.col("_t"))))
-    # new cities: a tail after the venue word, with a known state
-    nc_src = (d.filter(F.col("city_id").isNull() & F.col("state_id").isNotNull() & (F.col("_cand") != ""))
-              .select(text.slugify("_cand").alias("slug"), "state_id", F.col("_cand").alias("name")))
-    new_cities = cut_lineage(_new_keyed_members(cities, nc_src, ["slug", "state_id"], "name"))
-    d = d.join(new_cities.select(F.col("slug").alias("_cslug"), F.col("state_id").alias("_nst"),
-                                 F.col("id").alias("_ncid")),
-               (text.slugify(F.col("_cand")) == F.col("_cslug")) & (F.col("state_id") == F.col("_nst"))
-               & F.col("city_id").isNull(), "left")
-    d = d.withColumn("city_id", F.coalesce("city_id", "_ncid")).drop("_cslug", "_nst", "_ncid")
-    all_cities = cities.select("id", "name", "slug", "state_id").unionByName(
-        new_cities.select("id", "name", "slug", "state_id"))
-    # state written inside the venue name
+    # state written inside the venue name (it proposes no city: the tail had none with a known state)
+    d = d.withColumn("_proposes", F.col("city_id").isNull() & F.col("state_id").isNotNull() & (F.col("_cand") != ""))
     d = d.withColumn("_siv", F.when(F.col("state_id").isNull(), places.state_in_venue("_t")))
     d = (d.withColumn("_t", F.coalesce(F.col("_siv.tokens"), F.col("_t")))
          .withColumn("state_id", F.coalesce(F.col("state_id"), F.col("_siv.state_id"))).drop("_siv"))
     d = cut_lineage(d)
+    # new cities: a tail after the venue word, with a known state
+    low = F.lower("_cand")
+    proposed = d.filter("_proposes").select(low.alias("name"), "state_id", "_seen")
+    spelt, new_cities = new_places(proposed, cities, "state_id", 5, "kept")
+    all_cities = cities.select("id", "name", "slug", "state_id").unionByName(
+        new_cities.select("id", text.title_case("name").alias("name"), "slug", "state_id"))
+    ids = all_cities.groupBy("slug", "state_id").agg(F.min("id").alias("_ncid"))
+    named = spelt.join(ids, ["slug", "state_id"]).select(F.col("name").alias("_cname"), F.col("state_id").alias("_cstate"), "_ncid")
+    d = d.join(named, F.col("_proposes") & (low == F.col("_cname")) & (F.col("state_id") == F.col("_cstate")), "left") \
+        .withColumn("city_id", F.coalesce("city_id", "_ncid")).drop("_cname", "_cstate", "_ncid", "_proposes")
 
     def city_inside(df):
-        civ = city_in_venue(df.filter(F.col("city_id").isNull()), key, "_t", "state_id", all_cities)
-        return cut_lineage(df.join(civ.select(key, F.col("city_id").alias("_civ")), key, "left")
+        civ = city_in_venue(df.filter(F.col("city_id").isNull()), "_row", "_t", "state_id", all_cities)
+        return cut_lineage(df.join(civ.select("_row", F.col("city_id").alias("_civ")), "_row", "left")
                            .withColumn("city_id", F.coalesce("city_id", "_civ")).drop("_civ"))
 
     d = city_inside(d)
     d = d.withColumn("_t", places.correct_typos(places.isolate_venue("_t")))
     d = city_inside(d)
     d = d.withColumn("venue_name", F.array_join("_t", " "))
-    m = match_venues(d, key, venues, all_cities)
-    d = cut_lineage(d.join(m, key, "left"))
-    nv_src = (d.filter(F.col("venue_id").isNull() & (F.col("venue_name") != ""))
-              .select(text.slugify("venue_name").alias("slug"), F.col("venue_name").alias("name"),
-                      F.coalesce("city_id", F.lit(-1)).alias("city_id"), "state_id"))
-    # a venue is its slug in its city; -1 stands for an unknown city
-    known = venues.select("slug", F.coalesce("city_id", F.lit(-1)).alias("city_id")).distinct()
-    nv = (nv_src.groupBy("slug", "city_id").agg(F.min_by(F.struct("name", "state_id"), "name").alias("_v"))
-          .select("slug", "city_id", "_v.*").join(known, ["slug", "city_id"], "left_anti")
-          .withColumn("_order", F.concat_ws("|", "slug", F.col("city_id").cast("string"))))
-    base = venues.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))
-    new_venues = cut_lineage(conform.dense_ids(nv.crossJoin(F.broadcast(base)), "_order", F.col("_max")).drop("_max", "_order"))
-    every = venues.groupBy("slug", F.coalesce("city_id", F.lit(-1)).alias("city_id")).agg(F.min("id").alias("id")).unionByName(new_venues.select("slug", "city_id", "id"))
-    d = (d.join(every.select(F.col("slug").alias("_nvs"), F.col("city_id").alias("_nvc"), F.col("id").alias("_nvid")),
-                (text.slugify(F.col("venue_name")) == F.col("_nvs")) & (F.coalesce("city_id", F.lit(-1)) == F.col("_nvc"))
-                & F.col("venue_id").isNull(), "left")
+    d = cut_lineage(d.join(match_venues(d, "_row", venues, all_cities), "_row", "left"))
+    # a venue is its slug in its city; -1 stands for an unknown city, whose venues are told apart by slug alone
+    city = F.coalesce("city_id", F.lit(-1))
+    missing = d.filter(F.col("venue_id").isNull() & (F.col("venue_name") != ""))
+    spelt, new_venues = new_places(
+        missing.select(F.col("venue_name").alias("name"), city.alias("city_id"), "_seen"),
+        venues.withColumn("city_id", city), "city_id", 8, "folded", F.col("city_id") == -1)
+    every = venues.select("slug", city.alias("city_id"), "id").unionByName(new_venues.select("slug", "city_id", "id")) \
+        .groupBy("slug", "city_id").agg(F.min("id").alias("_nvid"))
+    # spellings that came together go by the name of their member
+    new_names = new_venues.select("slug", "city_id", F.col("name").alias("_nvname"))
+    named = spelt.join(every, ["slug", "city_id"]).join(new_names, ["slug", "city_id"], "left") \
+        .select(F.col("name").alias("_vname"), F.col("city_id").alias("_vcity"), "_nvid", "_nvname")
+    d = (d.join(named, F.col("venue_id").isNull() & (F.col("venue_name") == F.col("_vname")) & (city == F.col("_vcity")), "left")
          .withColumn("venue_id", F.coalesce("venue_id", "_nvid"))
-         .withColumn("venue_name", F.coalesce("matched_name", "venue_name"))
-         .drop("_nvs", "_nvc", "_nvid", "matched_name"))
-    out = events.join(d.select(key, "venue_id", "venue_name", "city_id", "state_id"), key, "left")
-    return out, new_cities.select("id", "name", "slug", "state_id"), new_venues.select(
-        "id", "name", "slug", "city_id", "state_id")
+         .withColumn("venue_name", F.coalesce("matched_name", "_nvname", "venue_name")))
+    d = d.select("_loc", "venue_id", "venue_name", "city_id", "state_id")
+    state = d.groupBy("venue_id").agg(F.min("state_id").alias("state_id"))
+    out = events.join(d, F.col(location_col).eqNullSafe(F.col("_loc")), "left").drop("_loc")
+    return out, all_cities.join(new_cities.select("id"), "id", "left_semi"), new_venues.join(state, F.col("id") == F.col("venue_id"), "left") \
+        .select("id", "name", "slug", "city_id", "state_id")

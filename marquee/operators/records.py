@@ -2,9 +2,9 @@
 
 An event string is the physical lines of one event joined with `` | ``.
 The first line has a fixed order (ARTIST venue date $gross attendance
-promoter); the continuation tokens are read by a small state machine written
-as one ``aggregate`` over the token array -- a built-in higher-order
-function, so extraction stays in the JVM with no per-row Python.
+promoter) and is read by one compiled pattern; the lines after it are read by
+the grammar of ``marquee.operators.continuation``.  Both are column
+expressions: no Python code sees a row.
 """
 
 from __future__ import annotations
@@ -12,21 +12,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.dates import OCR_MONTHS, PRINTED_MONTHS
+from marquee.functions.dates import DAY_SHAPE, MONTH_WORDS, PRINTED_MONTHS
 from marquee.functions.text import clean_ocr_line, let
 from marquee.operators import lines
-from marquee.operators.continuation import continuation_column
+from marquee.operators.continuation import MONTH_DAY, continuation_column
+
 
 def _num(t: Column) -> Column:
     return F.regexp_replace(t, "[$,]", "").try_cast("double")
 
 
 # -- first line of an event ----------------------------------------------------
-_MONTH_IN_TOKEN = rf"(?:\S*\b(?:{'|'.join(PRINTED_MONTHS)})|(?:{'|'.join(OCR_MONTHS)})\.)"
 _PIPE = r"\|(?=\s|$)"
-_LOC_TOKEN = r"(?!" + _PIPE + r")(?!" + _MONTH_IN_TOKEN + r")[^\s0-9/-]+(?=\s|$)"
+_LOC_TOKEN = r"(?!" + _PIPE + r")(?!" + MONTH_DAY + r")[^\s0-9$]+(?=\s|$)"
 _DEC_TOKEN = r"\S*[0-9]+\.[0-9]+\S*"
-_DATE_TOKEN = r"(?=" + _MONTH_IN_TOKEN + r"|[0-9])(?!" + _DEC_TOKEN + r"(?:\s|$))\S+"
+# After the first token of a date: months, days (read as letters in part) and tokens that start with a digit.
+_DATE_TOKEN = rf"(?!{_DEC_TOKEN}(?:\s|$))(?:{MONTH_DAY}\S*|{DAY_SHAPE}\S*|(?:{MONTH_WORDS})[.,]?(?=\s)|[0-9]\S*)"
 _WORD = r"(?!" + _PIPE + r")\S+"
 HEAD_PATTERN = (r"^(\S+(?:\s+" + _LOC_TOKEN + r")*)"
                 r"(?:\s+(" + _DEC_TOKEN + r")(?=\s|$)|\s+(" + _WORD + r"(?:\s+" + _DATE_TOKEN + r")*))?"
@@ -34,10 +35,14 @@ HEAD_PATTERN = (r"^(\S+(?:\s+" + _LOC_TOKEN + r")*)"
                 r"(?:\s+(" + _WORD + r"(?:\s+" + _WORD + r")*))?"
                 r"(?:\s+\|(.*))?$")
 
-# A first line: capitals, venue words without digits, one or two dates, numbers, a promoter (a capital or in-house).
-_ANY_MONTH = "|".join(sorted({*PRINTED_MONTHS, *OCR_MONTHS}, key=len, reverse=True))
-_EVENT_DATE = rf"(?:{_ANY_MONTH})[.,]?\s?[^A-Za-z]+"
-NEW_EVENT = rf"^[^a-z]*\s(?:[^0-9]*\s)?(?:{_EVENT_DATE}){{1,2}}\s(?:in-house|[A-Z])"
+# A first line: capitals, venue words, one or two dates, numbers, a promoter (a capital or in-house); or, whatever
+# stands before it, a date and right after it dollars and an attendance.
+_EVENT_DATE = rf"(?:{MONTH_WORDS})[.,:]?\s?-?{DAY_SHAPE}"
+_GROSS = r"\$[0-9][0-9,.]*\s+[0-9][0-9,.]*"
+NEW_EVENT = (rf"^[^a-z]*\s(?:[^0-9]*\s)?(?:{_EVENT_DATE}[^A-Za-z]*){{1,2}}\s(?:in-house|[A-Z])"
+             rf"|\s{_EVENT_DATE}[^A-Za-z$]*(?:{_EVENT_DATE}[^A-Za-z$]*)?\s{_GROSS}\s")
+# Dollars of four digits or more and an attendance: once in a record.
+_SECOND_SALES = r"\$[0-9][0-9,.]{3,}\s+[0-9][0-9,.]*\s[\s\S]*\$[0-9][0-9,.]{3,}\s+[0-9][0-9,.]*(?:\s|$)"
 SECTION_HEADER = "ARTIST(S) Venue Date(s) Ticket Price(s) Capacity Promoter"
 SECTION_END = "Copyrighted"
 
@@ -52,25 +57,27 @@ def page_events(page_text) -> Column:
     """
     section = lines.section_lines(F.col(page_text) if isinstance(page_text, str) else page_text,
                                   lambda x: x == SECTION_HEADER, lambda x: x.startswith(SECTION_END), marker=None)
-    state = lambda events, stray: F.struct(events.alias("events"), stray.alias("stray"))
     none = F.array().cast("array<string>")
 
-    def step(acc, x):
-        n = F.size(acc["events"])
-        longer = F.concat(F.slice(acc["events"], F.lit(1), n - 1), F.array(F.concat_ws(" | ", F.get(acc["events"], n - 1), x)))
-        return (F.when(x.rlike(NEW_EVENT), state(F.array_append(acc["events"], x), acc["stray"]))
-                .when(n == 0, state(acc["events"], F.array_append(acc["stray"], x)))
-                .otherwise(state(longer, acc["stray"])))
+    def grouped(rows: Column) -> Column:
+        starts = F.filter(F.transform(rows, lambda x, i: F.when(x.rlike(NEW_EVENT), i)), lambda i: i.isNotNull())
+        return let(F.struct(rows.alias("rows"), starts.alias("at")), lambda s: F.struct(
+            F.transform(s["at"], lambda a, k: F.array_join(F.slice(
+                s["rows"], a + 1, F.coalesce(F.get(s["at"], k + 1), F.size(s["rows"])) - a), " | ")).alias("events"),
+            F.slice(s["rows"], F.lit(1), F.coalesce(F.get(s["at"], 0), F.size(s["rows"]))).alias("stray")))
 
     rows = F.transform(section, lambda s: clean_ocr_line(s["line"]))
-    got = F.aggregate(F.coalesce(rows, none), state(none, none), step)
-    return F.struct(got["events"].alias("events"), got["stray"].alias("stray"), rows.isNotNull().alias("found"))
+    return let(F.struct(F.coalesce(rows, none).alias("rows"), rows.isNotNull().alias("found")),
+               lambda p: let(grouped(p["rows"]), lambda g: F.struct(
+                   g["events"].alias("events"), g["stray"].alias("stray"), p["found"].alias("found"))))
 
 
 def extract_events(pages: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     """Page texts -> ``keys``, ``event_no``, ``raw``, ``event`` (the record),
     ``reason``: every event of a page becomes a record or a reason, and so does
-    every line before the first one and every page without the section."""
+    every line before the first one and every page without the section.  A
+    record in which gross receipts and attendance come twice has taken in an
+    event whose first line cannot be told; it is kept, with the reason."""
     d = pages.select(*keys, page_events(text_col).alias("_p"))
     item = lambda raw, reason: F.struct(raw.alias("raw"), reason.cast("string").alias("reason"))
     items = F.concat(
@@ -79,9 +86,15 @@ def extract_events(pages: DataFrame, keys: list[str], text_col: str) -> DataFram
         F.when(F.col("_p.found"), F.array().cast("array<struct<raw:string,reason:string>>"))
         .otherwise(F.array(item(F.lit(None).cast("string"), F.lit("no section")))))
     rows = d.select(*keys, F.posexplode(items).alias("event_no", "_i")).select(*keys, "event_no", "_i.raw", "_i.reason")
-    out = parse_events(rows, "raw").withColumn("event", F.when(F.col("reason").isNull(), F.col("event")))
-    return out.withColumn("reason", F.coalesce("reason", F.when(F.col("event").isNull(), "no venue"))) \
-        .select(*keys, "event_no", "raw", "event", "reason")
+    return with_reasons(rows, "raw").select(*keys, "event_no", "raw", "event", "reason")
+
+
+def with_reasons(rows: DataFrame, text_col: str) -> DataFrame:
+    """Add ``event``, the record of the event string, where ``reason`` is null, and a reason where there is none or
+    where the string holds a second event."""
+    out = parse_events(rows, text_col).withColumn("event", F.when(F.col("reason").isNull(), F.col("event")))
+    two = F.col(text_col).rlike(_SECOND_SALES)
+    return out.withColumn("reason", F.coalesce("reason", F.when(F.col("event").isNull(), "no venue").when(two, "holds a second event")))
 
 
 def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
@@ -115,27 +128,18 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
     d = d.withColumn("_att", F.when(F.col("_h_att").rlike(r"^[0-9,.]+$"),
                                     F.regexp_replace("_h_att", "[,.]", "").try_cast("double")))
     promoter = F.when(F.col("_h_prom") != "", F.array(F.col("_h_prom"))).otherwise(F.array().cast("array<string>"))
-    # a final '|' flushes whatever is still being accumulated
-    cont = F.array_append(F.filter(F.split(F.trim("_h_cont"), r"\s+"), lambda t: t != ""), F.lit("|"))
     first = F.struct(F.array(F.trim(F.substring("_line", F.lit(1), F.col("_lc") - 1))).alias("artists"),
                      F.array(F.col("_h_loc")).alias("location"), dates.alias("dates"), promoter.alias("promoter"))
-    d = d.withColumn("_cont", continuation_column(cont, F.col("_att")))
+    d = d.withColumn("_cont", continuation_column(F.col("_h_cont"), F.col("_att")))
     c = F.col("_cont")
-    d = d.withColumn("_st", F.struct(
-        F.concat(first["artists"], c["artists"]).alias("artists"),
-        F.concat(first["location"], c["location"]).alias("location"),
-        F.concat(first["dates"], c["dates"]).alias("dates"), c["prices"].alias("prices"),
-        F.concat(first["promoter"], c["promoter"]).alias("promoter"), c["canadian"].alias("canadian"),
-        c["capacity"].alias("capacity"), c["shows"].alias("shows"), c["sellouts"].alias("sellouts")))
-    st = F.col("_st")
-    rec = F.struct(st["artists"].alias("artists"), st["location"].alias("location"), st["dates"].alias("dates"),
-                   F.col("_gross").alias("gross_receipts_us"), st["canadian"].alias("gross_receipts_canadian"),
-                   F.col("_att").alias("attendance"), st["capacity"].alias("capacity"),
-                   st["shows"].alias("num_shows"), st["sellouts"].alias("num_sellouts"),
-                   st["promoter"].alias("promoter"), st["prices"].alias("ticket_prices"))
+    rec = F.struct(*[F.concat(first[f], c[f]).alias(f) for f in ("artists", "location", "dates")],
+                   F.col("_gross").alias("gross_receipts_us"), c["canadian"].alias("gross_receipts_canadian"),
+                   F.col("_att").alias("attendance"), c["capacity"].alias("capacity"),
+                   c["shows"].alias("num_shows"), c["sellouts"].alias("num_sellouts"),
+                   F.concat(first["promoter"], c["promoter"]).alias("promoter"), c["prices"].alias("ticket_prices"), c["unread"].alias("unread"))
     # explode of a one-element array is a Generate: a projection barrier, so
     # the optimizer cannot inline the aggregate into every field access
-    # downstream (which would re-run the state machine once per field)
+    # downstream (which would re-run the patterns once per field)
     keep = [c for c in df.columns]
     return d.select(*keep, F.explode(F.array(F.when((F.col("_lc") > 0) & (F.col("_h_loc") != ""), rec))).alias(out))
 
@@ -221,7 +225,7 @@ _TOUR_SALES = (r"^\|?\s*([0-9][0-9,.]*)\s+(?:\|\s*)?\$?([0-9]*\.?[0-9]+)(?:\s*-\
 TOUR_SECTIONS = {"Stadium & Festivals (20,000 & Over)": "Stadium", "Arenas (6,000 To 20,000)": "Arena",
                  "Auditoriums (Under 6,000)": "Auditorium"}
 # A tour opens with its rank (one stray mark before it is passed over) and a bar or bracket close after it.
-_RANK_LINE = r"^[^A-Za-z0-9]?([0-9]+)[^0-9]{0,3}?[|\[\](){}]"
+RANK_LINE = r"^[^A-Za-z0-9]?([0-9]+)[^0-9]{0,3}?[|\[\](){}]"
 
 
 def ranked_tours(page_text, sections: dict[str, str] | None = None) -> Column:
@@ -240,7 +244,7 @@ def ranked_tours(page_text, sections: dict[str, str] | None = None) -> Column:
 
     def step(acc, x):
         section, expected, n = heads[x], acc["rank"] + 1, F.size(acc["tours"])
-        number, want = F.regexp_extract(x, _RANK_LINE, 1), (acc["rank"] + 1).cast("string")
+        number, want = F.regexp_extract(x, RANK_LINE, 1), (acc["rank"] + 1).cast("string")
         size = F.length(number)
         fits = (number == want) | (F.substr(number, F.lit(2)) == want) | (F.left(number, size - 1) == want) | (F.substr(number, F.lit(2), size - 2) == want)
         opens = acc["section"].isNotNull() & (number != "") & fits & (F.length(x) > 15)
@@ -316,7 +320,7 @@ def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFra
         F.col("_month").alias("month_1"), dg(2).try_cast("int").alias("first_day"),
         F.when(second != F.col("_month"), second).alias("month_2"),
         some(dg(4), dg(5), dg(7), dg(9), dg(2)).try_cast("int").alias("last_day"),
-        digits(sg(1)).try_cast("int").alias("tickets_sold"), sg(2).try_cast("double").alias("ticket_price_1"),
+        digits(sg(1)).alias("tickets_sold"), sg(2).try_cast("double").alias("ticket_price_1"),
         some(sg(3)).try_cast("double").alias("ticket_price_2"), digits(sg(4)).alias("gross_receipts"),
         (sg(5) == "*").alias("was_sold_out"), F.coalesce(some(dg(10)).try_cast("int"), F.lit(1)).alias("num_shows"))
     no_dates = F.col("_dg").isNull() | F.col("_month").isNull()

@@ -14,6 +14,26 @@ from marquee.sources.tables import table
 _NUM_WORDS = list(numbers.NUMBER_WORDS)   # index = value for 0..20
 _NUM_WORDS_SQL = "[" + ", ".join(f"'{w}'" for w in _NUM_WORDS[:21]) + "]"
 _MONTHS_SQL = "[" + ", ".join(f"'{m}'" for m in PRINTED_MONTHS) + "]"
+# How text recognition misreads the twelve months in every fourth line of the event queries.
+_MISREAD = ["Jqn.", "Feh.", "Marn", "Aprl", "May", "dune", "duly", "Augg.", "Seph.", "Ooet.", "Now.", "Deo."]
+_MISREAD_SQL = "[" + ", ".join(f"'{m}'" for m in _MISREAD) + "]"
+
+# The fields of an event string from l, p, o, c and r: every rule of the grammar is in some of the lines.
+_EVENT_SQL = f"""
+       upper(p.p_name) || '; ' || upper(p.p_type) AS artists,
+       upper(c.c_mktsegment[1]) || lower(c.c_mktsegment[2:]) || ' Arena; '
+         || array_to_string(list_transform(string_split(lower(r.r_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ')
+         AS location,
+       CASE WHEN l.l_linenumber = 4 THEN {_MISREAD_SQL}[month(o.o_orderdate)] ELSE {_MONTHS_SQL}[month(o.o_orderdate)] END || ' '
+         || CASE WHEN l.l_linenumber = 5 AND day(o.o_orderdate) BETWEEN 10 AND 19 THEN 'l' || (day(o.o_orderdate) - 10) ELSE CAST(day(o.o_orderdate) AS VARCHAR) END AS dates,
+       CAST(floor(o.o_totalprice) AS BIGINT) AS gross_receipts_us,
+       CASE WHEN l.l_linenumber = 3 AND l.l_returnflag = 'A' THEN CAST(floor(o.o_totalprice) AS BIGINT) + 1000 END AS gross_receipts_canadian,
+       CAST(l.l_quantity * 100 AS BIGINT) AS attendance,
+       CASE WHEN l.l_returnflag = 'R' THEN NULL ELSE CAST(l.l_quantity * 100 AS BIGINT) + 500 END AS capacity,
+       CASE WHEN l.l_linestatus = 'O' THEN CAST(l.l_linenumber + CASE l.l_linenumber WHEN 7 THEN 20 WHEN 4 THEN 2100 ELSE 0 END AS BIGINT) END AS num_shows,
+       CASE WHEN l.l_linestatus <> 'O' THEN CAST(l.l_linenumber + CASE l.l_linenumber WHEN 7 THEN 20 WHEN 4 THEN 2100 ELSE 0 END AS BIGINT) END AS num_sellouts,
+       CASE WHEN l.l_linenumber = 2 THEN 'Cellar Door Prods.; K101 Concerts' ELSE 'Cellar Door Prods.' END AS promoter,
+       CASE WHEN l.l_linenumber = 6 THEN p.p_size || ' & $16.50' ELSE p.p_size || '/' || (l.l_linenumber + 10) END AS ticket_prices"""
 
 
 def _event_strings(spark, sf):
@@ -31,40 +51,32 @@ def _event_strings(spark, sf):
                F.col("n_regionkey") == F.col("r_regionkey")))
     att = (F.col("l_quantity") * 100).cast("bigint")
     cap = F.when(F.col("l_returnflag") == "R", att - 50).otherwise(att + 500)
-    month = F.element_at(F.array(*[F.lit(m) for m in PRINTED_MONTHS]), F.month("o_orderdate"))
-    word = F.element_at(F.array(*[F.lit(w) for w in _NUM_WORDS]), F.col("l_linenumber") + 1)
-    s = F.concat_ws(" ", F.upper("p_name"), F.initcap("c_mktsegment"), F.lit("Arena"), month,
-                    F.dayofmonth("o_orderdate").cast("string"),
+    n, of = F.col("l_linenumber"), lambda words, at: F.element_at(F.array(*[F.lit(w) for w in words]), at)
+    month = F.when(n == 4, of(_MISREAD, F.month("o_orderdate"))).otherwise(of(PRINTED_MONTHS, F.month("o_orderdate")))
+    day = F.dayofmonth("o_orderdate")
+    day = F.when((n == 5) & day.between(10, 19), F.concat(F.lit("l"), day - 10)).otherwise(day.cast("string"))
+    word = F.when(n == 7, "twenty-seven").when(n == 4, "two thousand one hundred and four").otherwise(of(_NUM_WORDS, n + 1))
+    price = F.when(n == 6, F.format_string("$%d & $16.50", "p_size")).otherwise(F.format_string("$%d/$%d", F.col("p_size"), n + 10))
+    canadian = F.when((n == 3) & (F.col("l_returnflag") == "A"), F.format_string("($%,d Canadian)", F.floor("o_totalprice") + 1000))
+    count = F.when(F.col("l_linestatus") == "O", F.concat_ws(" ", word, F.lit("shows"))).when(n == 1, "sellout").otherwise(F.concat_ws(" ", word, F.lit("sellouts")))
+    s = F.concat_ws(" ", F.upper("p_name"), F.initcap("c_mktsegment"), F.lit("Arena"), month, day,
                     F.concat(F.lit("$"), F.format_string("%,d", F.floor("o_totalprice"))),
                     F.format_string("%,d", att), F.lit("Cellar Door Prods. |"), F.upper("p_type"),
-                    F.initcap("r_name"),
-                    F.format_string("$%d/$%d", F.col("p_size"), F.col("l_linenumber") + 10),
-                    F.format_string("(%,d) |", cap), word,
-                    F.when(F.col("l_linestatus") == "O", F.lit("shows")).otherwise(F.lit("sellouts")))
+                    F.initcap("r_name"), price, canadian, F.format_string("(%,d) |", cap), count,
+                    F.when(n == 2, F.lit("| K101 Concerts")))
     return x.select("l_orderkey", "l_linenumber", s.alias("event_text"), F.struct("l_linenumber", "l_partkey", "l_quantity").alias("at"))
 
 
 @query("q41_event_records", f"""
-SELECT l.l_orderkey, l.l_linenumber,
-       upper(p.p_name) || '; ' || upper(p.p_type) AS artists,
-       upper(c.c_mktsegment[1]) || lower(c.c_mktsegment[2:]) || ' Arena; '
-         || array_to_string(list_transform(string_split(lower(r.r_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ')
-         AS location,
-       {_MONTHS_SQL}[month(o.o_orderdate)] || ' ' || CAST(day(o.o_orderdate) AS VARCHAR) AS dates,
-       CAST(floor(o.o_totalprice) AS BIGINT) AS gross_receipts_us,
-       CAST(l.l_quantity * 100 AS BIGINT) AS attendance,
-       CASE WHEN l.l_returnflag = 'R' THEN NULL ELSE CAST(l.l_quantity * 100 AS BIGINT) + 500 END AS capacity,
-       CASE WHEN l.l_linestatus = 'O' AND l.l_linenumber >= 0 THEN CAST(l.l_linenumber AS BIGINT) END AS num_shows,
-       CASE WHEN l.l_linestatus <> 'O' THEN CAST(l.l_linenumber AS BIGINT) END AS num_sellouts,
-       'Cellar Door Prods.' AS promoter,
-       CAST(p.p_size AS VARCHAR) || '/' || CAST(l.l_linenumber + 10 AS VARCHAR) AS ticket_prices
+SELECT l.l_orderkey, l.l_linenumber, {_EVENT_SQL}
 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey
 JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey
 """)
 def q41_event_records(spark, sf):
-    """Box-score event strings -> processed-event records (first line in
-    fixed order, continuation tokens by the extraction state machine)."""
+    """Box-score event strings -> processed-event records: misread months and
+    days, Canadian gross, joined prices, counts in words, a lone sellout,
+    promoters that go on in the next line."""
     ev = records.parse_events(_event_strings(spark, sf), "event_text")
     e = F.col("event")
     return ev.select("l_orderkey", "l_linenumber",
@@ -72,6 +84,7 @@ def q41_event_records(spark, sf):
                      F.array_join(e["location"], "; ").alias("location"),
                      F.array_join(e["dates"], "; ").alias("dates"),
                      e["gross_receipts_us"].cast("bigint").alias("gross_receipts_us"),
+                     e["gross_receipts_canadian"].cast("bigint").alias("gross_receipts_canadian"),
                      e["attendance"].cast("bigint").alias("attendance"),
                      e["capacity"].cast("bigint").alias("capacity"),
                      e["num_shows"].cast("bigint").alias("num_shows"),
@@ -80,7 +93,7 @@ def q41_event_records(spark, sf):
                      F.array_join(e["ticket_prices"], "; ").alias("ticket_prices"))
 
 
-_EVENT_FIELDS = ["artists", "location", "dates", "gross_receipts_us", "attendance", "capacity", "num_shows", "num_sellouts",
+_EVENT_FIELDS = ["artists", "location", "dates", "gross_receipts_us", "gross_receipts_canadian", "attendance", "capacity", "num_shows", "num_sellouts",
                  "promoter", "ticket_prices"]
 
 
@@ -88,15 +101,7 @@ _EVENT_FIELDS = ["artists", "location", "dates", "gross_receipts_us", "attendanc
 WITH e AS (
   SELECT l.l_orderkey, l.l_linenumber, o.o_orderstatus AS st, l.l_orderkey % 5 = 0 AS noted,
          row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity) - 1 AS event_no,
-         upper(p.p_name) || '; ' || upper(p.p_type) AS artists,
-         upper(c.c_mktsegment[1]) || lower(c.c_mktsegment[2:]) || ' Arena; '
-           || array_to_string(list_transform(string_split(lower(r.r_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS location,
-         {_MONTHS_SQL}[month(o.o_orderdate)] || ' ' || CAST(day(o.o_orderdate) AS VARCHAR) AS dates,
-         CAST(floor(o.o_totalprice) AS BIGINT) AS gross_receipts_us, CAST(l.l_quantity * 100 AS BIGINT) AS attendance,
-         CASE WHEN l.l_returnflag = 'R' THEN NULL ELSE CAST(l.l_quantity * 100 AS BIGINT) + 500 END AS capacity,
-         CASE WHEN l.l_linestatus = 'O' THEN CAST(l.l_linenumber AS BIGINT) END AS num_shows,
-         CASE WHEN l.l_linestatus <> 'O' THEN CAST(l.l_linenumber AS BIGINT) END AS num_sellouts,
-         'Cellar Door Prods.' AS promoter, CAST(p.p_size AS VARCHAR) || '/' || CAST(l.l_linenumber + 10 AS VARCHAR) AS ticket_prices
+{_EVENT_SQL}
   FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN orders o ON o.o_orderkey = l.l_orderkey
   JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
   JOIN region r ON r.r_regionkey = n.n_regionkey)
@@ -215,7 +220,7 @@ def q41_two_layouts(spark, sf):
 
 @query("q43_number_words", """
 WITH x AS (
-  SELECT *, CAST(CASE l_returnflag WHEN 'R' THEN 20 + l_linenumber WHEN 'A' THEN 100 + l_linenumber ELSE l_linenumber END AS BIGINT) AS k FROM lineitem)
+  SELECT *, CAST(CASE l_returnflag WHEN 'R' THEN 20 + l_linenumber WHEN 'A' THEN 100 + l_linenumber ELSE 1000 * l_linenumber + 100 END AS BIGINT) AS k FROM lineitem)
 SELECT l_orderkey, l_linenumber,
        CASE WHEN l_linestatus = 'O' THEN k END AS num_shows,
        CASE WHEN l_linestatus <> 'O' THEN k END AS num_sellouts
@@ -227,7 +232,7 @@ def q43_number_words(spark, sf):
     li = table(spark, sf, "lineitem")
     word = F.element_at(F.array(*[F.lit(w) for w in _NUM_WORDS]), F.col("l_linenumber") + 1)
     word = (F.when(F.col("l_returnflag") == "R", F.concat(F.lit("twenty-"), word))
-            .when(F.col("l_returnflag") == "A", F.concat(F.lit("One hundred and "), word)).otherwise(word))
+            .when(F.col("l_returnflag") == "A", F.concat(F.lit("One hundred and "), word)).otherwise(F.concat(word, F.lit(" thousand a hundred"))))
     metric = F.when(F.col("l_linestatus") == "O", F.when(F.col("l_returnflag") == "R", F.lit("shovs"))
                     .otherwise(F.lit("shows"))).otherwise(
         F.when(F.col("l_returnflag") == "R", F.lit("satlouts")).otherwise(F.lit("sellouts")))

@@ -137,10 +137,18 @@ def _slug_sql(expr: str) -> str:
     return f"regexp_replace({s}, '^-+|-+$', '', 'g')"
 
 
+# Names beyond ASCII and how they are written in ASCII: stroke and dotless letters, carons, cedillas, ligatures, eszett, decomposed marks.
+ACCENTED_NAMES = {"Dvořák": "Dvorak", "Łódź": "Lodz", "Şebnem": "Sebnem", "Đorđe": "Dorde", "Ísland": "Island", "Straße": "Strasse",
+                  "Þór": "Thor", "Œuvre": "Oeuvre", "Ősi": "Osi", "Iğdır": "Igdir", "Håkon Ærø": "Hakon AEro", "Zoe\u0308": "Zoe"}
+_PLAIN_SQL = "[" + ", ".join(f"'{v}'" for v in ACCENTED_NAMES.values()) + "]"
+
+
 @query("q29_slug", f"""
 SELECT 'part' AS kind, p_partkey AS id, {_slug_sql("p_name || ' ' || p_brand || ' RJ''s'")} AS slug FROM part
 UNION ALL
 SELECT 'page' AS kind, page_id AS id, {_slug_sql('url')} AS slug FROM pages
+UNION ALL
+SELECT 'accented' AS kind, p_partkey AS id, {_slug_sql(f"{_PLAIN_SQL}[p_partkey % {len(ACCENTED_NAMES)} + 1] || ' ' || p_name")} AS slug FROM part
 """)
 def q29_slug(spark, sf):
     """Slug keys for names and URLs."""
@@ -148,7 +156,11 @@ def q29_slug(spark, sf):
                                         text.slugify(F.concat_ws(" ", "p_name", "p_brand", F.lit("RJ's"))).alias("slug"))
     g = table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"),
                                          text.slugify("url").alias("slug"))
-    return p.unionByName(g)
+    names_ = F.array(*[F.lit(n) for n in ACCENTED_NAMES])
+    accented = table(spark, sf, "part").select(
+        F.lit("accented").alias("kind"), F.col("p_partkey").alias("id"),
+        text.slugify(F.concat_ws(" ", F.element_at(names_, (F.col("p_partkey") % len(ACCENTED_NAMES) + 1).cast("int")), "p_name")).alias("slug"))
+    return p.unionByName(g).unionByName(accented)
 
 
 @query("q30_merge_split", """

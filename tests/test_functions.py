@@ -203,3 +203,32 @@ def test_no_length_limits(spark):
 ])
 def test_festival_scores(spark, lines, score):
     assert one(spark, names.special_event_score(F.col("l")), (lines,), "l array<string>") == score
+
+
+def test_every_latin_letter_has_a_slug(spark):
+    """All Latin Extended-A and -B letters but tone signs, clicks and the like; names with stroke letters, carons, decomposed marks."""
+    import unicodedata
+    letters = [chr(c) for c in [*range(0x100, 0x250)] if "LETTER" in unicodedata.name(chr(c), "")]
+    rows = spark.createDataFrame([(x,) for x in letters], "t string").select("t", text.slugify("t").alias("s")).collect()
+    odd = {r.t for r in rows if not r.s}
+    assert all(any(w in unicodedata.name(x) for w in ("TONE", "CLICK", "GLOTTAL", "STOP", "TWO WITH STROKE", "ESH LOOP")) for x in odd), [unicodedata.name(x) for x in odd]
+    plain = {r.t: r.s for r in rows}
+    assert all(plain[x] == unicodedata.normalize("NFKD", x)[0].lower() for x in letters if len(unicodedata.normalize("NFKD", x)) == 2 and unicodedata.normalize("NFKD", x)[0].isascii())
+    names = {"Dvořák": "dvorak", "Łódź": "lodz", "Şebnem": "sebnem", "Straße": "strasse", "Zoe\u0308": "zoe", "Þór Øye": "thor-oye", "İstanbul": "istanbul", "That’s": "thats"}
+    got = spark.createDataFrame([(k,) for k in names], "t string").select("t", text.slugify("t").alias("s")).collect()
+    assert {r.t: r.s for r in got} == names
+
+
+@pytest.mark.parametrize("words,value", [
+    ("twenty-five", 25), ("one hundred and five", 105), ("a hundred", 100), ("one thousand two hundred", 1200), ("two hundred thousand", 200_000),
+    ("a million and one", 1_000_001), ("seven hundred twenty-three thousand four", 723_004), ("12", 12), ("9999999999", 9_999_999_999), ("several", None), ("", None)])
+def test_number_words(spark, words, value):
+    from marquee.functions.numbers import number_value
+    assert one(spark, number_value("t"), (words,), "t string") == value
+
+
+@pytest.mark.parametrize("tokens,expected", [
+    (["Laguna", "Hilts", "Arena"], ["Laguna", "Hills", "Arena"]), (["The", "EAST", "RUTERFORD", "Hall"], ["The", "East", "Rutherford", "Hall"]),
+    (["St", "Lous"], ["St", "Louis"]), (["Daltas,"], ["Dallas,"]), (["Lagunas", "Hilts"], ["Lagunas", "Hilts"]), ([], []), (None, None)])
+def test_phrases_are_repaired_across_tokens(spark, tokens, expected):
+    assert one(spark, places.correct_typos("t"), (tokens,), "t array<string>") == expected

@@ -31,6 +31,18 @@ CASES = [
 ]
 
 
+CASES += [
+    ("RUSH Joel Coliseum Winston-Salem Nov. l5 $86,736 7,983 In House | FASTWAY $15 & $12.50 (9,000) twenty-five shows, two thousand one hundred sellouts",
+     dict(artists=["RUSH", "FASTWAY"], location=["Joel Coliseum Winston-Salem"], dates=["Nov. l5"], ticket_prices=["15 & $12.50"], capacity=9000,
+          num_shows=25, num_sellouts=2100, attendance=7983)),
+    ("DIO March Field Arena duly 4 $86,736 7,983 Feyline | Decatur, Ill. $15 one hundred and five shows | K101 Concerts Inc. | 16, 18-20, | Ooet. 2- | (R.I.) 15.75",
+     dict(artists=["DIO"], location=["March Field Arena", "Decatur, Ill.", "(R.I.)"], dates=["duly 4", "16, 18-20,", "Ooet. 2-"],
+          promoter=["Feyline", "K101 Concerts Inc."], num_shows=105, unread=["15.75"])),
+    ("RATT Arena tune 4-5 $1,736 783 Avalon | Landover a hundred shows ($2,100 Canadian) sellcut | Seven Springs Resort",
+     dict(location=["Arena", "Landover", "Seven Springs Resort"], dates=["tune 4-5"], num_shows=100, num_sellouts=1, gross_receipts_canadian=2100)),
+]
+
+
 @pytest.mark.parametrize("line,expected", CASES)
 def test_parse_event(spark, line, expected):
     r = parse_events(spark.createDataFrame([(line,)], "s string"), "s").first()["event"].asDict()
@@ -90,6 +102,28 @@ def test_page_to_records(spark):
     assert got[0].event.artists[0] == "CULTURE CLUB" and got[0].event.gross_receipts_us == 216736 and got[1].event.artists[0] == "RATT"
 
 
+FIRST_LINES = ["RATT Arena duly 4 $1,000 100 in-house", "DIO Hall tune 4-5 $12,000 1,000 Avalon", "RUSH Civic Center Ooet. 4 $1,200 900 Feyline",
+               "KISS Arena Nov. l5 $114,780 8,472 Bill Graham", "u2 San Francisco Cwic Auditorium Dee. 15 $114,780 8.472 Bill Graham Presents",
+               "ABBA The Forum Sul 3 $1,500 90 In-House", "Y&T Hall Sept:21 $1,500 90 X"]
+OTHER_LINES = ["DADS Landover, Md, $15.50 (19,114)", "Nov. 4-5 two shows", "| June Carter", "THE MAY QUEENS Decatur $15", "22-23 $12 (8,000)"]
+
+
+def test_first_lines(spark):
+    from marquee.operators.records import NEW_EVENT
+    got = spark.createDataFrame([(x,) for x in FIRST_LINES + OTHER_LINES], "l string").selectExpr("l", f"rlike(l, r'{NEW_EVENT}') as first").collect()
+    assert {r.l: r.first for r in got} == {**dict.fromkeys(FIRST_LINES, True), **dict.fromkeys(OTHER_LINES, False)}
+
+
+def test_every_event_gives_a_record_or_a_reason(spark):
+    from marquee.operators.records import SECTION_HEADER, extract_events
+    page = "\n".join([SECTION_HEADER, *[x for pair in zip(FIRST_LINES, OTHER_LINES + OTHER_LINES) for x in pair]])
+    got = extract_events(spark.createDataFrame([(page,)], "t string"), [], "t").collect()
+    assert [r.raw.split(" | ")[0] for r in sorted(got, key=lambda r: r.event_no)] == FIRST_LINES and all(r.event for r in got)
+    glued = "\n".join([SECTION_HEADER, FIRST_LINES[0], "RUSH Civic Center sometime $12,000 9,000 Feyline", "DIO Hall Nov. 3 $1,200 90 X"])
+    got = sorted(extract_events(spark.createDataFrame([(glued,)], "t string"), [], "t").collect(), key=lambda r: r.event_no)
+    assert [r.reason for r in got] == ["holds a second event", None] and got[0].event.artists[0] == "RATT"
+
+
 def test_report_lines_in_the_real_layout(spark):
     from marquee.operators.records import parse_report_lines
     rows = [("reports/1999/worldwide/a.pdf", "1 103.5 THE ROLLING STONES 82.09 12,345 1,260,000 1,013,405 34/56 The Next Adventure"),
