@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 from array import array
 
-# Entries kept per cache before it is emptied: bounds a worker's memory, never changes a result.
+# Entries of a cache's newer half before it becomes the older half: bounds a worker's memory, never changes a result.
 CACHE_ENTRIES = 600_000
 
 
@@ -45,7 +45,9 @@ class PieceEncoder(dict):
     """Encode texts as little-endian 32-bit ids; ``keep_space`` for byte-level vocabularies, where a
     word keeps the blank before it and a line feed is a token of its own.
 
-    The dictionary itself is the cache: a piece that is missing is encoded when it is looked up.
+    The dictionary itself is the newer half of the cache: a piece that is missing
+    there is taken from the older half or encoded.  A full newer half becomes the
+    older one, so pieces that turn up again and again are never encoded twice.
     """
 
     def __init__(self, path: str, keep_space: bool, entries: int) -> None:
@@ -55,6 +57,7 @@ class PieceEncoder(dict):
         self.library = Tokenizer.from_file(path)
         self.tokenize = self.library.model.tokenize
         self.keep_space, self.entries = keep_space, entries
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
@@ -63,23 +66,30 @@ class PieceEncoder(dict):
         """The ids of one pre-token of Latin letters ``bare``, with or without the blank before it."""
         if not self.keep_space:
             word = bare = bare.lower()
-        if bare.isascii():
-            word = word if len(word) == len(bare) else BLANK + bare
+        elif bare.isascii():
+            word = bare if len(word) == len(bare) else BLANK + bare
         else:
             word = word.encode().decode("latin-1").translate(LETTERS)
         return array("I", [t.id for t in self.tokenize(word)]).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        bare = piece[1:] if piece[:1] == " " else piece
+        if bare.isalpha():
+            if bare.isascii() or max(bare) < "ɐ" and "İ" not in bare:
+                return self._word(piece, bare)
+        elif piece[-1:] in (".", ","):
+            core = piece.rstrip(".,")
+            if core.lstrip(" ").isalpha():
+                return self[core] + self[piece[len(core):]]
+        return self._whole(piece)
+
     def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self._piece(piece)
         if len(self) >= self.entries:
+            self.older = dict(self)
             self.clear()
-        core = piece.rstrip(".,")
-        bare = core.lstrip(" ")
-        if not bare.isalpha() or not (bare.isascii() or max(bare) < "ɐ" and "İ" not in bare):
-            ids = self._whole(piece)
-        elif len(core) < len(piece):
-            ids = self[core] + self[piece[len(core):]]
-        else:
-            ids = self._word(core, bare)
         self[piece] = ids
         return ids
 

@@ -203,7 +203,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, id_col:
     task leaves nothing that is read.
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(tokenizer_path, keep_space=True, entries=1_200_000)
+        encoder = library_encoder(tokenizer_path, keep_space=True, entries=800_000)
         writer = stream = path = None
         first = None
         for batch in batches:
