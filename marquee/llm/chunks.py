@@ -66,7 +66,7 @@ class PieceEncoder(dict):
         """The ids of one pre-token of Latin letters ``bare``, with or without the blank before it."""
         if not self.keep_space:
             word = bare = bare.lower()
-        elif bare.isascii():
+        if bare.isascii():
             word = bare if len(word) == len(bare) else BLANK + bare
         else:
             word = word.encode().decode("latin-1").translate(LETTERS)
