@@ -23,7 +23,6 @@ from marquee.llm.common import fold, saved
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 # Labelled rows that the lexicon and the weights are learned from, per class; everything else covers all rows.
 TRAIN_TOXIC, TRAIN_CLEAN = 4000, 8000
-MAX_TERMS = 4000  # of the lexicon
 MIN_DOCS, MIN_LOG_ODDS = 3, 3.0
 FUZZY_FROM = 5  # shorter terms match exactly only
 STEMS = (4, 5, 6)
@@ -262,7 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     stats = sample.mapInArrow(terms, "term string, a long, b long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b")) \
         .filter(F.col("a") >= MIN_DOCS).withColumn("odds", odds(F.col("a"), F.col("b"))).filter(F.col("odds") >= MIN_LOG_ODDS)
-    top = stats.orderBy(F.desc("odds"), "term").limit(MAX_TERMS).collect()
+    top = stats.collect()  # terms of the drawn rows, of which each holds MIN_DOCS or more: bounded by the parameters
     single = {r.term: r.a for r in top if not r.term.endswith("*")}
     stems: list[str] = []
     for r in sorted((r for r in top if r.term.endswith("*")), key=lambda r: (len(r.term), -r.odds, r.term)):
