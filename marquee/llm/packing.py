@@ -2,10 +2,10 @@
 
 Every piece of a document is a row (length, document, piece).  Pieces are
 spread over shards so that each shard gets the same mixture of lengths, and
-each shard packs its own pieces by best-fit decreasing; a shard leaves at most
-a few bins partly empty, so with shards of some hundred thousand pieces the
-number of sequences stays within a fraction of a percent of one global run,
-and a lost task repeats one shard only.
+each shard packs its own pieces by best-fit decreasing.  What the shards leave
+partly empty, a few sequences each, is packed again together, so the number of
+sequences does not grow with that of the shards, and a lost task repeats one
+shard only.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from marquee.llm.chunks import library_encoder
 from marquee.llm.common import keyed, saved
 
 SHARD_DOCS = 32_768
+SPARE = 1 / 32  # a sequence with so much room left is packed again
 
 
 class Bins:
@@ -117,26 +118,47 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, id_col:
     return keyed(docs, id_col, text_col).mapInArrow(cut, PIECES)
 
 
-def pack_sequences(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, id_col: str = "doc_id",
-                   text_col: str = "text", end_id: int = 0, shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece.
-
-    Repeated rows and null ids are packed like any other row.  A shard holds
-    the pieces of about ``shard_docs`` documents, drawn by a hash of the row
-    number, whatever the size of the input.
-    """
-    cut = saved(pieces(docs, tokenizer_path, max_tokens, id_col, text_col, end_id), "pieces")
-    full = cut.filter(F.col("length") == max_tokens)  # a full piece is a sequence of its own
-    rest = cut.filter(F.col("length") < max_tokens)
+def _packed(rest: DataFrame, max_tokens: int, shard_docs: int, first: int) -> tuple[DataFrame, int]:
+    """Pieces with their sequence (numbers from ``first`` on), packed in shards of about ``shard_docs`` pieces; the number of shards."""
     shards = max(1, -(-rest.count() // shard_docs))
 
     def place(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([(c, "ascending") for c in ("doc_id", "piece", "start", "ids_crc32")])
         number, at = best_fit(table["length"].to_numpy(), max_tokens)
-        return pa.table([*table.drop_columns(["shard"]).columns, pa.array(number * shards + key[0].as_py()), pa.array(at)],
+        return pa.table([*table.drop_columns(["shard"]).columns, pa.array(first + number * shards + key[0].as_py()), pa.array(at)],
                         names=[*table.column_names[:-1], "sequence_id", "offset"])
 
     placed = rest.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int")) \
         .groupBy("shard").applyInArrow(place, PIECES + ", sequence_id long, offset long")
+    return placed, shards
+
+
+def pack_sequences(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, id_col: str = "doc_id",
+                   text_col: str = "text", end_id: int = 0, shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece.
+
+    Repeated rows and null ids are packed like any other row.  A shard holds
+    the pieces of about ``shard_docs`` documents, drawn by a hash of the row
+    number, whatever the size of the input.  The sequences that the shards have
+    left with room for ``SPARE`` of their tokens or more are taken apart and
+    packed once more together, in shards of their own, while that makes fewer shards.
+    """
+    cut = saved(pieces(docs, tokenizer_path, max_tokens, id_col, text_col, end_id), "pieces")
+    full = cut.filter(F.col("length") == max_tokens)  # a full piece is a sequence of its own
+    rest, out, first = cut.filter(F.col("length") < max_tokens), None, 0
+    while True:
+        placed, shards = _packed(rest, max_tokens, shard_docs, first)
+        if shards == 1:
+            break
+        placed, first = saved(placed, "placed"), first + (1 << 40)
+        used = placed.groupBy("sequence_id").agg(F.sum("length").alias("used")).filter(F.col("used") <= max_tokens * (1 - SPARE)).select("sequence_id")
+        again = saved(placed.join(used, "sequence_id", "left_semi").drop("sequence_id", "offset"), "open")
+        done = placed.join(used, "sequence_id", "left_anti").select(*placed.columns)
+        out = done if out is None else out.unionByName(done)
+        if -(-again.count() // shard_docs) >= shards:  # most sequences have room that no piece fits: another round would change little
+            placed, _ = _packed(again, max_tokens, shard_docs, first)
+            break
+        rest = again
+    out = placed if out is None else out.unionByName(placed)
     alone = full.withColumn("sequence_id", -F.monotonically_increasing_id() - 1).withColumn("offset", F.lit(0).cast("long"))
-    return placed.unionByName(alone)
+    return out.unionByName(alone)

@@ -146,3 +146,22 @@ def test_replay_takes_a_lower_rank_that_comes_up(tmp_path):
     rng = random.Random(4)
     words = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 14))) for _ in range(400)]
     assert bpe.Replay(str(tmp_path / "r")).encode(words) == [ref.encode_ordinary(w.decode()) for w in words]
+
+
+def test_packing_in_many_shards_stays_near_the_least(spark, monkeypatch):
+    """Sequences over ceil(tokens / capacity) with one shard and with 25."""
+    rng = random.Random(9)
+    lengths = [min(2047, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(20_000)]
+    df = spark.createDataFrame([(k, 0, 0, n, k) for k, n in enumerate(lengths)], packing.PIECES)
+    monkeypatch.setattr(packing, "pieces", lambda *a: df)
+    least = -(-sum(lengths) // 2048)
+    for shard_docs in (100_000, 800):
+        rows = packing.pack_sequences(df, "", 2048, shard_docs=shard_docs).collect()
+        assert sorted(r.doc_id for r in rows) == list(range(20_000))
+        used: dict = {}
+        for r in sorted(rows, key=lambda r: r.offset):
+            assert used.get(r.sequence_id, 0) == r.offset
+            used[r.sequence_id] = r.offset + r.length
+        assert max(used.values()) <= 2048
+        print(shard_docs, "shard documents:", len(used), "sequences, least", least)
+        assert len(used) <= least + 2
