@@ -151,23 +151,43 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return saved(full.mapInArrow(run, "a long, b long"), "links")
 
 
+def open_buckets(labelled: DataFrame) -> DataFrame:
+    """(band, key, main, others, blocks) of the buckets with several components: the largest one, and how many blocks the
+    rows outside and inside of it make."""
+    each = labelled.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
+    sizes = each.groupBy("band", "key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("size"))
+    return sizes.filter("size > most").select("band", "key", "main", F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int").alias("others"),
+                                              F.ceil(F.col("most") / BLOCK).cast("int").alias("blocks"))
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of open buckets, once for every pair of blocks (bi <= bj) that they take part in; ``own`` is their block.
+
+    Blocks 0 .. others - 1 hold the rows outside of the largest component and
+    meet every block; the later ones hold its own rows and meet the former only.
+    So a bucket of one component and a few strangers goes round as often as the
+    strangers have blocks.
+    """
+    inside, hashed = F.col("component") == F.col("main"), F.xxhash64("rep")
+    own = F.when(inside, F.col("others") + F.pmod(hashed, F.col("blocks"))).otherwise(F.pmod(hashed, F.col("others"))).cast("int")
+    last = F.when(inside, F.col("others")).otherwise(F.col("others") + F.col("blocks")) - 1
+    return rows.withColumn("own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), last))) \
+        .withColumn("bi", F.least("own", "_other")).withColumn("bj", F.greatest("own", "_other")).drop("_other", "main", "others", "blocks")
+
+
 def _across(members: DataFrame, reps: DataFrame, texts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links within a bucket whose ends lie in different components, from buckets in which some are left.
 
-    A bucket is compared in pairs of blocks of bounded size, each row going to
-    as many tasks as its bucket has blocks.  A pair is looked at in the first
+    A bucket is compared in pairs of blocks of bounded size; rows of its largest
+    component are not compared with one another.  A pair is looked at in the first
     band that it shares; if its registers allow the threshold, its full sets
     are compared at once.  A task gives out no more links than tie its components together.
     """
     threshold = percent / 100
     labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
         .withColumn("component", F.coalesce("component", "rep"))
-    open_ = labelled.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")) \
-        .filter("lo <> hi").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).select("band", "key", "blocks")
-    rows = labelled.join(open_, ["band", "key"]).join(reps, "rep").join(texts.withColumnRenamed("id", "rep"), "rep")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("band", "key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "rep", "component", "n", "regs", "z")
+    rows = labelled.join(open_buckets(labelled), ["band", "key"]).join(reps, "rep").join(texts.withColumnRenamed("id", "rep"), "rep")
+    rows = in_blocks(rows).select("band", "key", "bi", "bj", "own", "rep", "component", "n", "regs", "z")
     keys = ["band", "key", "bi", "bj"]
 
     def compare(t: pa.Table) -> list[tuple[int, int]]:

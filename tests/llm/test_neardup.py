@@ -104,3 +104,31 @@ def test_groups_of_copies(spark, monkeypatch, block):
     rows += [(900 + k, rows[k][1].upper()) for k in range(0, 100, 9)] + [(5, "an id that has another text too")]
     rng.shuffle(rows)
     assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+
+
+def test_strangers_do_not_multiply_a_large_component(spark):
+    """Rows of a bucket of 20,000 near-copies and one stranger: every copy goes round once, the stranger once per block."""
+    from pyspark.sql import functions as F
+    from marquee.llm.neardup import BLOCK, in_blocks, open_buckets
+    rows = spark.range(20_001).select(F.lit(0).alias("band"), F.lit(7).alias("key"), F.col("id").alias("rep"), F.when(F.col("id") == 5, 5).otherwise(0).cast("long").alias("component"))
+    alone = spark.range(300).select(F.lit(1).alias("band"), F.lit(8).alias("key"), F.col("id").alias("rep"), F.lit(0).cast("long").alias("component"))
+    got = in_blocks(rows.unionByName(alone).join(open_buckets(rows.unionByName(alone)), ["band", "key"])).cache()
+    blocks = -(-20_000 // BLOCK)
+    assert got.count() == 20_000 + 1 + blocks
+    meets = got.filter("component = 5").select("bi", "bj").distinct()
+    assert got.filter("component = 0").join(meets, ["bi", "bj"]).select("rep").distinct().count() == 20_000
+
+
+def test_rows_of_different_components_share_a_pair_of_blocks(spark):
+    import itertools
+    import random
+    from marquee.llm import neardup
+    rnd = random.Random(4)
+    rows = [(0, 1, i, rnd.choice([0, 0, 0, 1, 2, 3])) for i in range(900)]
+    df = spark.createDataFrame(rows, "band int, key int, rep long, component long")
+    got = neardup.in_blocks(df.join(neardup.open_buckets(df), ["band", "key"])).collect()
+    sides: dict = {}
+    for r in got:
+        sides.setdefault((r.bi, r.bj), []).append((r.own, r.rep, r.component))
+    met = {(min(a, b), max(a, b)) for (bi, bj), rs in sides.items() for oa, a, ca in rs if oa == bi for ob, b, cb in rs if ob == bj and ca != cb and a != b}
+    assert met >= {(a[2], b[2]) for a, b in itertools.combinations(rows, 2) if a[3] != b[3]}
