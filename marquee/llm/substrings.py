@@ -8,14 +8,16 @@ with the least hash, leftmost among equals; equal windows pick equal grams.
 2. Consecutive windows of a document with the same repeated gram form a short
    segment.  Segments meet by the hash of their gram.  A task that has seen the
    same segment before marks the later one at once and ships the first only.
-   Grams that very many documents share are split further: their windows go
+   Grams that very many places pick are split further: their windows go
    one by one, by the hash of the whole window.
 3. In each partition equal segments are reduced to the first; over the others
    a suffix array is built, and neighbours that share ``LENGTH`` bytes are equal
    windows, of which all but the first are marked.
 4. Marks and texts meet by document, and marked bytes are cut.
 
-Memory is bounded by a batch in every step, and no step compares pairs.
+A step holds a batch of texts (or the longest text, about 90 bytes a byte), the
+segments of HOT_PLACES places at most, or one suffix array of SORT_BYTES and
+the segments of one gram; no step compares pairs.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from marquee.llm.shingles import batches_of, mix, parts_of, powers
 from marquee.llm.suffixes import adjacent_common_prefixes, suffix_array, word_keys
 
 LENGTH, GRAM = 100, 32
-# A gram in more documents than this has its windows sent one by one.
-HOT_DOCS = 20_000
+# A gram that more places pick than this has its windows sent one by one.
+HOT_PLACES = 20_000
 SORT_BYTES = 1 << 20  # text per suffix array
 SEPARATOR = 255  # no byte of UTF-8
 
@@ -99,7 +101,7 @@ class Picked:
 
 
 def _postings(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """(h, did): each document's distinct picked hashes, twice if picked at several places."""
+    """(h, did, places): each document's distinct picked hashes with the number of windows that picked them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts_of(batches, 500):
             dids = batch.column(0).to_numpy()
@@ -110,53 +112,54 @@ def _postings(rows: DataFrame, length: int, gram: int) -> DataFrame:
                     continue
                 order = np.lexsort((got.hash, got.text))
                 h, d = got.hash[order], got.text[order]
-                equal = np.append(False, (h[1:] == h[:-1]) & (d[1:] == d[:-1]))
-                keep = ~equal | ~np.append(False, equal[:-1])  # the first two of a run
-                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(dids[a:b][d[keep]])], names=["h", "did"])
+                first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
+                places = np.diff(np.append(first, len(h)))
+                yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(dids[a:b][d[first]]), pa.array(places.astype(np.int32))],
+                                                 names=["h", "did", "places"])
 
-    return rows.mapInArrow(run, "h long, did long")
+    return rows.mapInArrow(run, "h long, did long, places int")
 
 
-def _repeated(postings: DataFrame, hot_docs: int) -> DataFrame:
-    """(did, hs, hot): per document the hashes that occur again, those in very many documents apart."""
+def _repeated(postings: DataFrame, hot_places: int) -> DataFrame:
+    """(did, hs, hot): per document the hashes that are picked at two places or more, those picked at very many apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_h, held_d = np.empty(0, np.int64), np.empty(0, np.int64)
+        empty = np.empty(0, np.int64)
+        held = (empty, empty, empty)
         hot_run = None  # the hash of a run that has been found hot and is passed on
 
         def out(h: np.ndarray, d: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(d), pa.array(h), pa.array(hot)], names=["did", "h", "hot"])
 
-        def settled(h: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
-            start = np.append(True, h[1:] != h[:-1])
-            n = np.diff(np.append(np.flatnonzero(start), len(h)))
-            n = np.repeat(n, n)
+        def settled(h: np.ndarray, d: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+            start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            n = np.repeat(np.add.reduceat(places, start), np.diff(np.append(start, len(h))))
             twice = np.append(False, (h[1:] == h[:-1]) & (d[1:] == d[:-1]))  # one row per document is enough
             keep = (n > 1) & ~twice
-            return out(h[keep], d[keep], n[keep] > hot_docs)
+            return out(h[keep], d[keep], n[keep] > hot_places)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h, d = np.append(held_h, batch.column(0).to_numpy()), np.append(held_d, batch.column(1).to_numpy())
+            h, d, places = (np.append(x, batch.column(k).to_numpy()) for k, x in enumerate(held))
             if hot_run is not None:
                 k = int(np.searchsorted(h != hot_run, True)) if (h != hot_run).any() else len(h)
                 if k:
                     yield out(h[:k], d[:k], np.ones(k, bool))
-                h, d = h[k:], d[k:]
+                h, d, places = h[k:], d[k:], places[k:]
                 if not len(h):
-                    held_h, held_d = h, d
+                    held = (empty, empty, empty)
                     continue
                 hot_run = None
             cut = len(h) - int(np.argmax(h[::-1] != h[-1])) if (h != h[-1]).any() else 0  # the last run may go on
             if cut:
-                yield settled(h[:cut], d[:cut])
-            held_h, held_d = h[cut:], d[cut:]
-            if len(held_h) > hot_docs:
-                hot_run = held_h[0]
-                yield out(held_h, held_d, np.ones(len(held_h), bool))
-                held_h, held_d = held_h[:0], held_d[:0]
-        if len(held_h):
-            yield settled(held_h, held_d)
+                yield settled(h[:cut], d[:cut], places[:cut])
+            held = (h[cut:], d[cut:], places[cut:])
+            if held[2].sum() > hot_places:
+                hot_run = held[0][0]
+                yield out(held[0], held[1], np.ones(len(held[0]), bool))
+                held = (empty, empty, empty)
+        if len(held[0]):
+            yield settled(*held)
 
     found = postings.repartition("h").sortWithinPartitions("h", "did").mapInArrow(run, "did long, h long, hot boolean")
     return found.groupBy("did").agg(F.collect_list(F.when(~F.col("hot"), F.col("h"))).alias("hs"), F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"))
@@ -300,7 +303,7 @@ def _marks(segments: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), as_text: bool = False, length: int = LENGTH,
-                   gram: int = GRAM, hot_docs: int = HOT_DOCS) -> DataFrame:
+                   gram: int = GRAM, hot_docs: int = HOT_PLACES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept, and the columns ``carry`` in the struct extra, for every row.
 
     ``kept`` are the bytes left, or with ``as_text`` the text that they make,
@@ -309,7 +312,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A byte goes if a ``length``-byte string that covers it also starts earlier:
     in a row with a smaller id, or at a smaller offset of the same id.  Null
     texts are empty; null ids come before all others; rows that repeat an id do
-    not remove each other's bytes at the same offset.
+    not remove each other's bytes at the same offset.  ``hot_docs``: places (of all
+    documents) from which on the windows of a gram go one by one.
     """
     did = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -78,3 +78,10 @@ def test_planted(spark, hot):
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert run(df, length=24, gram=8, hot_docs=hot) == brute(rows, 24)
+
+
+def test_a_gram_at_many_places_of_few_documents_is_hot(spark):
+    from marquee.llm.substrings import _repeated
+    df = spark.createDataFrame([(5, 1, 30), (6, 1, 1), (6, 2, 1), (7, 3, 1), (8, 4, 2)], "h long, did long, places int")
+    got = {r.did: (sorted(r.hs), sorted(r.hot)) for r in _repeated(df, 20).collect()}
+    assert got == {1: ([6], [5]), 2: ([6], []), 4: ([8], [])}
