@@ -2,8 +2,8 @@
 
 DataFrame expressions only.  The counts give a vector of transformed
 statistics; per (language, source) a minimum-covariance-determinant estimate of
-centre and covariance is found by concentration steps from a median/MAD start,
-and documents whose Mahalanobis distance is beyond the cut-off are rejected.
+centre and covariance is found by concentration steps from a median/MAD start
+and drawn towards that of the language and of all documents, and documents whose Mahalanobis distance is beyond the cut-off are rejected.
 Each step is one aggregation of moments and one of a distance histogram, both
 combined before their shuffle, so a source that holds a third of the rows
 costs no more than the others.
@@ -16,15 +16,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from marquee.llm.arrays import let, positions, words
 from marquee.llm.common import saved
 
-# Below this many documents a group takes the estimate of its language, then that of all documents.
-MIN_GROUP = 100
+# A group's estimate is drawn towards that of its language, a language's towards that of all documents and the last
+# towards a wide one, as if so many documents of the larger group were in it: no number of documents switches anything.
+PRIOR_DOCS = 30
+WIDE = {"x1": 1.0, "x2": 0.5, "x3": 1.0, "x4": 1.0, "x5": 1.0}
 # Share of each group that the estimate rests on.
 CORE = 0.75
 STEPS = 3
 SALTS = 16
 # Chi-square quantiles for 5 degrees of freedom: the median, and the default cut-off (a tail of about 1e-9).
 CHI2_MEDIAN, CUTOFF = 4.351, 52.0
-# Standard deviations are not taken below these: a statistic that is constant in the core of a group
+# The squares of these are added to every variance: a statistic that is constant in the core of a group
 # must not reject every document that differs a little.  Each share alone can pass the cut-off: from 36 symbols in
 # a hundred words, 57 % of the lines, or 32 % of the words (the base rules let 50 % through) where the core has none.
 FLOORS = {"x1": 0.5, "x2": 0.1, "x3": 0.5, "x4": 0.63, "x5": 0.54}
@@ -144,6 +146,30 @@ def _floor(a: str, b: str) -> float:
     return FLOORS[a] * FLOORS[b] * (1.0 if a == b else FLOOR_CORRELATIONS.get((a, b), 0.0))
 
 
+def _drawn(t: DataFrame, top, below) -> DataFrame:
+    """Group table, from all documents down: ``top`` makes the columns of the first level, ``below`` those of a group from
+    its own, the weight ``w`` of its documents and its parent's (prefixed ``up_``)."""
+    part = F.split("g", r"\|")
+    t = t.withColumn("w", F.col("n") / (F.col("n") + PRIOR_DOCS)).withColumn("level", F.get(part, 0)) \
+        .withColumn("up", F.when(F.col("level") == "2", F.concat(F.lit("1|"), F.get(part, 1), F.lit("|-"))).otherwise(F.lit("0|-|-")))
+    done = level = t.filter("level = '0'").select("g", "n", *top)
+    for k in ("1", "2"):
+        parent = level.select(*[F.col(c).alias(f"up_{c}") for c in level.columns])
+        level = t.filter(F.col("level") == k).join(parent, F.col("up") == F.col("up_g")).select("g", "n", *below)
+        done = done.unionByName(level)
+    return done
+
+
+def _shrunk(cov: DataFrame) -> DataFrame:
+    """Centres and covariances drawn towards those of the larger group, with what the distance of the two centres adds."""
+    w, pairs = F.col("w"), [(a, b) for i, a in enumerate(X) for b in X[i:]]
+    top = [*[f"m_{x}" for x in X], *[(w * F.col(f"c_{a}_{b}") + ((1 - w) * WIDE[a] ** 2 if a == b else F.lit(0.0))).alias(f"c_{a}_{b}") for a, b in pairs]]
+    mix = lambda c: w * F.col(c) + (1 - w) * F.col(f"up_{c}")
+    off = lambda x: F.col(f"m_{x}") - F.col(f"up_m_{x}")
+    return _drawn(cov, top, [*[mix(f"m_{x}").alias(f"m_{x}") for x in X],
+                             *[(mix(f"c_{a}_{b}") + w * (1 - w) * off(a) * off(b)).alias(f"c_{a}_{b}") for a, b in pairs]])
+
+
 def estimates(vectors: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFrame:
     """Group table: key ``g``, rows ``n``, centre and precision of each (language, source), language, and all."""
     rows = saved(_groups(vectors).withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")), "vectors")
@@ -164,29 +190,29 @@ def estimates(vectors: DataFrame, core: float = CORE, steps: int = STEPS) -> Dat
             (F.col(f"e_{a}_{b}") - F.col(f"e_{a}") * F.col(f"e_{b}") + _floor(a, b)).alias(f"c_{a}_{b}")
             for i, a in enumerate(X) for b in X[i:]])
         est = saved(_invert(cov), "estimate")
+    est = saved(_invert(_shrunk(saved(cov, "covariance"))), "estimate")
     # The core is narrower than the whole: scale so that the median distance is that of a normal sample, never inflating distances.
     dist = _beside(rows, est).select("g", _distance().alias("d"))
-    return saved(est.join(_quantile(dist, 0.5), "g").withColumn("scale", F.least(F.lit(1.0), CHI2_MEDIAN / F.col("q"))).drop("q"), "estimate")
+    scale = est.select("g", "n").join(_quantile(dist, 0.5), "g").withColumn("scale", F.least(F.lit(1.0), CHI2_MEDIAN / F.col("q")))
+    w = F.col("w")
+    scale = _drawn(scale, ["scale"], [(w * F.col("scale") + (1 - w) * F.col("up_scale")).alias("scale")])
+    return saved(est.join(scale.select("g", "scale"), "g"), "estimate")
 
 
 def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-                  cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -> DataFrame:
+                  cutoff: float = CUTOFF) -> DataFrame:
     """Counts, ``distance`` and ``kept`` for every row.
 
-    The estimates rest on the documents that pass the base rules.  ``distance``
-    is null for rows that fail them and where no group has ``min_group``
-    documents; such rows are judged by the base rules alone.
+    The estimates rest on the documents that pass the base rules; ``distance``
+    is null for rows that fail them.  Rows are judged one by one, so repeated
+    rows and null ids get the same verdicts; they count in the estimates as
+    often as they are there.
     """
     counts = saved(vector(base_counts(docs, id_col, text_col, lang_col, source_col)), "counts")
-    est = estimates(counts.filter(~F.col("base_failed"))).filter(F.col("n") >= min_group)
-    rows = counts
-    for level in (2, 1, 0):
-        own = est.select(F.col("g").alias(f"g{level}"), F.struct(*[c for c in est.columns if c != "g"]).alias(f"est{level}"))
-        rows = rows.join(own, _key(level) == F.col(f"g{level}"), "left")
-    rows = rows.withColumn("est", F.coalesce("est2", "est1", "est0"))
-    for c in est.columns:
-        if c[:2] in ("m_", "p_") or c == "scale":
-            rows = rows.withColumn(c, F.col(f"est.{c}"))
+    est = estimates(counts.filter(~F.col("base_failed"))).filter(F.col("g").startswith("2|")).withColumnRenamed("g", "group")
+    rows = counts.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    own = est.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.join(own, (_key(2) == F.col("group")) & (F.col("salt") == F.col("_salt")), "left")
     distance = F.when(~F.col("base_failed"), _distance() * F.col("scale"))
     return rows.withColumn("distance", distance).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

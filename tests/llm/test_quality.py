@@ -86,3 +86,65 @@ def test_precision_is_the_inverse(spark):
     for i, x in enumerate(quality.X):
         for j in range(i, 5):
             assert abs(row[f"p_{x}_{quality.X[j]}"] - want[i, j]) < 1e-6 * abs(want).max()
+
+
+def mcd(x, start, core, steps, floor):
+    """The concentration steps of one group in numpy, with the histogram's quantile."""
+    import numpy as np
+
+    def quantile(d, share):
+        step = np.floor(np.log2(d + 1e-9) * quality.BINS_PER_POWER)
+        values, n = np.unique(step, return_counts=True)
+        return 2.0 ** ((values[np.argmax(np.cumsum(n) >= share * len(d))] + 1) / quality.BINS_PER_POWER)
+
+    m, p = start
+    for _ in range(steps):
+        d = np.einsum("ij,jk,ik->i", x - m, p, x - m)
+        near = x[d <= quantile(d, core)]
+        m, c = near.mean(axis=0), np.cov(near.T, bias=True) + floor
+        p = np.linalg.inv(c)
+    return m, c, quantile
+
+
+def test_estimates_against_numpy(spark):
+    """Three sources of very different size in two languages: every centre, precision and scale, drawn to the larger group."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    groups = {("en", "a"): 400, ("en", "b"): 30, ("de", "a"): 3}
+    rows = [(lang, src, *(rng.normal(size=5) * [0.6, 0.2, 0.4, 0.3, 0.5] + k).tolist()) for k, ((lang, src), n) in enumerate(groups.items()) for _ in range(n)]
+    got = {r.g: r for r in quality.estimates(spark.createDataFrame(rows, ["lang", "source", *quality.X])).collect()}
+    floor = np.array([[quality._floor(a, b) if a <= b else quality._floor(b, a) for b in quality.X] for a in quality.X])
+    key = lambda *p: "|".join([str(len(p)), *[x.encode().hex().upper() for x in p], *["-"] * (2 - len(p))])
+    want = {}
+    for part in [(), ("en",), ("de",), *groups]:
+        x = np.array([r[2:] for r in rows if r[:len(part)] == part])
+        mid = np.array([np.sort(c)[(len(c) - 1) // 2] for c in x.T])
+        mad = np.array([np.sort(np.abs(c - k))[(len(c) - 1) // 2] for c, k in zip(x.T, mid)])
+        sd = np.maximum(1.4826 * mad, list(quality.FLOORS.values()))
+        m, c, quantile = mcd(x, (mid, np.diag(1 / sd ** 2)), quality.CORE, quality.STEPS, floor)
+        w, up = len(x) / (len(x) + quality.PRIOR_DOCS), want.get(part[:-1]) if part else None
+        if up is None:
+            c = w * c + (1 - w) * np.diag(np.square(list(quality.WIDE.values())))
+        else:
+            c = w * c + (1 - w) * up[1] + w * (1 - w) * np.outer(m - up[0], m - up[0])
+            m = w * m + (1 - w) * up[0]
+        d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+        scale = min(1.0, quality.CHI2_MEDIAN / quantile(d, 0.5))
+        want[part] = (m, c, scale if up is None else w * scale + (1 - w) * up[2])
+        r = got[key(*part)]
+        assert np.allclose([r[f"m_{a}"] for a in quality.X], m, atol=1e-6), part
+        p = np.linalg.inv(c)
+        assert np.allclose([r[f"p_{a}_{b}"] for i, a in enumerate(quality.X) for b in quality.X[i:]], p[np.triu_indices(5)], rtol=1e-5, atol=1e-6), part
+        assert abs(r.scale - want[part][2]) < 1e-6, part
+
+
+def test_no_number_of_documents_switches_the_verdict(spark):
+    """A document of symbols among n clean ones: its distance moves little from 99 to 101 rows."""
+    rng = random.Random(8)
+    clean = [" ".join(f"house{rng.randrange(10 ** 6)}" for _ in range(rng.randint(60, 300))) for _ in range(101)]
+    odd = " ".join(x for k in range(150) for x in (f"tree{k}", "|"))
+    got = []
+    for n in (99, 100, 101):
+        df = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate(clean[:n])] + [(-1, odd, "en", "s")], "doc_id long, text string, lang string, source string")
+        got.append(quality.score_quality(df).filter("doc_id = -1").first().distance)
+    assert max(got) < 1.1 * min(got)
