@@ -100,6 +100,36 @@ def with_parent(artist: DataFrame) -> DataFrame:
     return artist.join(parent, "parent_id", "left").select("id", "name", "parent_id", "parent_name")
 
 
+def hierarchy(nodes: DataFrame) -> DataFrame:
+    """(id, parent_id) of any depth -> (id, root_id, depth, reason).
+
+    ``depth`` counts the steps up to the root.  A parent that does not exist
+    makes the node a root with the reason ``no such parent``; nodes on or below
+    a cycle have no root and the reason ``cycle``.  Pointers double each round:
+    after k rounds all nodes up to depth 2^k know their root, and the round that
+    settles no more node leaves the cycles.  Repeated ids count once (smallest parent).
+    """
+    from marquee.session import cut_lineage
+
+    one = nodes.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min("parent_id").alias("parent_id"))
+    known = one.select(F.col("id").alias("parent_id"), F.lit(True).alias("_known"))
+    d = one.join(known, "parent_id", "left")
+    up = F.when(F.col("_known"), F.col("parent_id"))
+    d = cut_lineage(d.select("id", F.coalesce(up, "id").alias("to"), up.isNotNull().cast("long").alias("depth"), up.isNull().alias("end"),
+                             F.when(F.col("parent_id").isNotNull() & up.isNull(), F.lit("no such parent")).alias("reason")))
+    left = d.filter("not end").count()
+    while left:
+        on = d.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("depth").alias("_depth"), F.col("end").alias("_end"))
+        d = cut_lineage(d.join(on, "to").select("id", F.col("_to").alias("to"), (F.col("depth") + F.when(F.col("end"), 0).otherwise(F.col("_depth"))).alias("depth"),
+                                                (F.col("end") | F.col("_end")).alias("end"), "reason"))
+        now = d.filter("not end").count()
+        if now == left:
+            break
+        left = now
+    return d.select("id", F.when(F.col("end"), F.col("to")).alias("root_id"), F.when(F.col("end"), F.col("depth")).alias("depth"),
+                    F.when(F.col("end"), F.col("reason")).otherwise(F.lit("cycle")).alias("reason"))
+
+
 def load_warehouse(curated: DataFrame, round_prices: bool = False, existing: DataFrame | None = None,
                    special_events: DataFrame | None = None, aliases: DataFrame | None = None) -> dict[str, DataFrame]:
     """Curated events -> event fact + bridge tables.
@@ -155,9 +185,18 @@ def grown(dims, members: dict[str, DataFrame]):
 
 
 def write_warehouse(tables: dict[str, DataFrame], dims, root: str) -> None:
-    """Full refresh in order: dimensions, then events, then bridges, each a Parquet table below ``root``."""
+    """Full refresh in order: dimensions, then events, then bridges, each a Parquet table below ``root``
+    (``commit_warehouse`` makes the tables visible together)."""
     from dataclasses import fields
     for f in fields(dims):
         getattr(dims, f.name).write.mode("overwrite").parquet(f"{root}/{f.name}")
     for name in sorted(tables, key=lambda n: (n != "event", n)):
         tables[name].write.mode("overwrite").parquet(f"{root}/{name}")
+
+
+def commit_warehouse(tables: dict[str, DataFrame], dims, root: str) -> int:
+    """The warehouse as the next version of ``root``: all tables of a load are seen together, or none (``sources.versions``)."""
+    from dataclasses import fields
+
+    from marquee.sources import versions
+    return versions.commit({**{f.name: getattr(dims, f.name) for f in fields(dims)}, **tables}, root)

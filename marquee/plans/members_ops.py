@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.functions import text
-from marquee.operators import conform, places
+from marquee.operators import conform, load, places
 from marquee.plans.registry import query
 from marquee.sources.tables import table
 
@@ -75,3 +75,20 @@ def q56_locations(spark, sf):
     top = spark.createDataFrame([(100, "Elsewhere Dome", "elsewhere-dome", -1)], "id long, name string, slug string, city_id long")
     out, _, _ = places.curate_locations(events, "c_custkey", "location", cities, old.unionByName(top), order=["c_custkey"])
     return out.select("c_custkey", "venue_id", "venue_name", "city_id", "state_id")
+
+
+@query("q58_hierarchy", """
+WITH RECURSIVE n AS (
+  SELECT p_partkey AS id, CASE WHEN p_partkey = 4 THEN 40 WHEN p_partkey % 50 = 49 THEN -p_partkey WHEN p_partkey >= 3 THEN p_partkey // 3 END AS parent_id FROM part
+), r AS (
+  SELECT id, id AS root_id, 0 AS depth, CASE WHEN parent_id IS NOT NULL THEN 'no such parent' END AS reason FROM n
+  WHERE parent_id IS NULL OR parent_id NOT IN (SELECT id FROM n)
+  UNION ALL SELECT n.id, r.root_id, r.depth + 1, NULL FROM n JOIN r ON n.parent_id = r.id
+)
+SELECT n.id, r.root_id, CAST(r.depth AS BIGINT) AS depth, CASE WHEN r.id IS NULL THEN 'cycle' ELSE r.reason END AS reason FROM n LEFT JOIN r ON r.id = n.id
+""")
+def q58_hierarchy(spark, sf):
+    """Parents of parents up to the root, at any depth: parents that do not exist, and a planted cycle (4, 40, 13) with all below it."""
+    k = F.col("p_partkey")
+    parent = F.when(k == 4, F.lit(40)).when(k % 50 == 49, -k).when(k >= 3, F.floor(k / 3).cast("long"))
+    return load.hierarchy(table(spark, sf, "part").select(k.alias("id"), parent.alias("parent_id")))

@@ -93,6 +93,28 @@ def from_cp1252(col: Column) -> Column:
     return F.translate(col, "".join(map(chr, _CP1252)), "".join(_CP1252.values()))
 
 
+def read_mixed_csvs(spark: SparkSession, root: str) -> DataFrame:
+    """Processed issue CSVs of different encodings below ``root`` in one plan -> as ``read_issue_csvs``, and ``encoding``, ``reason``.
+
+    Lines are read as bytes.  A file all of whose lines are valid UTF-8 is
+    UTF-8; any other is windows-1252, which holds ISO-8859-1's letters at the
+    same bytes.  Records are single lines; one with a wrong number of cells
+    keeps its text in ``_corrupt_record`` and has a ``reason``.
+    """
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root).select("value", "_metadata")
+    file = F.col("_metadata.file_path")
+    kinds = raw.groupBy(file.alias("_file")).agg(F.min(F.is_valid_utf8("value")).alias("_utf8"))
+    rows = raw.withColumn("_file", file).join(kinds, "_file")
+    line = F.when(F.col("_utf8"), F.col("value")).otherwise(from_cp1252(F.decode(F.col("value").cast("binary"), "ISO-8859-1")))
+    rows = rows.withColumn("_line", F.regexp_replace(line, "^\ufeff|\r$", "")) \
+        .filter((F.col("_line") != "") & ~F.col("_line").startswith(",".join(PROCESSED_COLUMNS[:2]) + ","))   # the header line
+    schema = T.StructType([*PROCESSED_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    cells = F.from_csv("_line", schema.simpleString()[len("struct<"):-1].replace(":", " "), {"escape": '"', "columnNameOfCorruptRecord": CORRUPT})
+    rows = rows.select(cells.alias("_c"), "_metadata", F.when(F.col("_utf8"), "UTF-8").otherwise("windows-1252").alias("encoding"))
+    out = with_issue_columns(rows.select("_c.*", "_metadata", "encoding"))
+    return out.withColumn("reason", F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of cells")))
+
+
 def read_corrections(spark: SparkSession, path: str) -> DataFrame:
     """Corrections table in windows-1252: (event_signature, field, true_value,
     seq); ``seq`` is the order in the file, so a later line wins."""
@@ -158,6 +180,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
+def refresh_partitions(df: DataFrame, path: str, partition_by: list[str], files_per_value: int = 4) -> None:
+    """Replace the partitions that ``df`` has rows of; the others keep their files."""
+    _salted(df, partition_by, files_per_value).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*partition_by).parquet(path)
+
+
+def read_issues(spark: SparkSession, path: str, year: int, month: int | None = None) -> DataFrame:
+    """The curated issues of a year or month: only their partitions are listed and read."""
+    df = spark.read.parquet(path).filter(F.col("issue_year") == year)
+    return df if month is None else df.filter(F.col("issue_month") == month)
+
+
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, files_per_value: int = 4) -> None:
     out = lists_to_json(df)
     w = (_salted(out, partition_by, files_per_value) if partition_by else out).write.mode("overwrite") \
