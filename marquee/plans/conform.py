@@ -18,17 +18,19 @@ MONTH_WORDS = ["january", "february", "march", "april", "may", "june", "july", "
                "october", "november", "december"]
 
 
-def _known_artists(spark, sf, max_size):
-    """Artist dimension stand-in: part names of parts up to ``max_size``
-    (id = smallest part key per slug)."""
-    return (table(spark, sf, "part").filter(F.col("p_size") <= max_size)
-            .select(text.slugify("p_name").alias("slug"), F.col("p_name").alias("name"),
-                    F.col("p_partkey").alias("id"))
-            .groupBy("slug").agg(F.min("id").alias("id"), F.min_by("name", "id").alias("name")))
+def known_members(parts, below: str):
+    """A dimension that lacks some names, the feature of the queries on new and missing members: (slug, id, name) of the
+    part names whose slug's md5 is below ``below`` (hexadecimal); the id is the smallest part key per slug."""
+    slugs = parts.select(text.slugify("p_name").alias("slug"), F.col("p_name").alias("name"), F.col("p_partkey").alias("id"))
+    return slugs.filter(F.md5(F.col("slug").cast("binary")) < below).groupBy("slug").agg(F.min("id").alias("id"), F.min_by("name", "id").alias("name"))
+
+
+def known_members_sql(below: str) -> str:
+    return f"(SELECT slug, min(id) AS id FROM (SELECT {_slug_sql('p_name')} AS slug, p_partkey AS id FROM part) WHERE md5(slug) < '{below}' GROUP BY slug)"
 
 
 @query("q05_conform_new_members", f"""
-WITH dim AS (SELECT {_slug_sql('p_name')} AS slug, p_partkey AS id FROM part WHERE p_size <= 1),
+WITH dim AS {known_members_sql('4')},
 cand AS (SELECT {_slug_sql('p.p_name')} AS slug, min(p.p_name) AS name
          FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey GROUP BY 1)
 SELECT slug, name, CAST((SELECT max(id) FROM dim) + row_number() OVER (ORDER BY slug) AS BIGINT) AS id
@@ -37,7 +39,7 @@ FROM cand WHERE slug NOT IN (SELECT slug FROM dim)
 def q05_conform_new_members(spark, sf):
     """Names sold but not yet in the artist dimension get ids after max(id),
     in slug order (anti join + scalable dense ids)."""
-    dim = _known_artists(spark, sf, 1)
+    dim = known_members(table(spark, sf, "part"), "4")
     sold = (table(spark, sf, "lineitem").select("l_partkey")
             .join(table(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")))
     return conform.add_members(dim, sold, "p_name", text.slugify).select("slug", "name", "id")

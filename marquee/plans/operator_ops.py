@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import text
 from marquee.operators import conform, load, places
+from marquee.plans.conform import known_members, known_members_sql
 from marquee.plans.listing import Q01_SQL
 from marquee.plans.registry import query
 from marquee.plans.text_ops import _slug_sql
@@ -32,7 +33,7 @@ def q49_listing_from_bridges(spark, sf):
 
 
 @query("q50_ids_in_order", f"""
-WITH dim AS (SELECT {_slug_sql('p_name')} AS slug, min(p_partkey) AS id FROM part WHERE p_partkey % 9 <> 1 GROUP BY 1),
+WITH dim AS {known_members_sql('c')},
 n AS (SELECT l.l_orderkey, row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity) AS pos, p.p_name
       FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
 j AS (SELECT n.*, dim.id FROM n LEFT JOIN dim ON dim.slug = {_slug_sql('n.p_name')})
@@ -46,7 +47,7 @@ def q50_ids_in_order(spark, sf):
     names = table(spark, sf, "lineitem").join(part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     lists = names.groupBy("l_orderkey").agg(F.transform(F.sort_array(F.collect_list(
         F.struct("l_linenumber", "l_partkey", "l_quantity", "p_name"))), lambda s: s["p_name"]).alias("names"))
-    dim = part.filter(F.col("p_partkey") % 9 != 1).select(text.slugify("p_name").alias("slug"), F.col("p_partkey").alias("id"))
+    dim = known_members(part, "c")
     got = conform.ids_in_order(lists, "l_orderkey", "names", dim, text.slugify)
     joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
     return got.select("l_orderkey", joined("ids").alias("ids"), joined("ids_missing").alias("missing"))

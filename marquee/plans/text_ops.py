@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.functions import names, text
+from marquee.operators import artists
 from marquee.plans.registry import query
 from marquee.sources.tables import table
 
@@ -192,7 +193,7 @@ def q30_merge_split(spark, sf):
 
 
 Q31_SQL = f"""
-WITH dim AS (SELECT DISTINCT {_slug_sql('p_name')} AS slug FROM part WHERE p_size <= 10),
+WITH dim AS (SELECT DISTINCT slug FROM (SELECT {_slug_sql('p_name')} AS slug FROM part) WHERE md5(slug) < '4'),
 x AS (SELECT l.l_orderkey, l.l_linenumber, upper(a.p_name) || '/' || upper(b.p_name) AS s,
              upper(a.p_name) AS lft, upper(b.p_name) AS rgt
       FROM lineitem l JOIN part a ON a.p_partkey = l.l_partkey JOIN part b ON b.p_partkey = l.l_suppkey)
@@ -210,35 +211,19 @@ FROM x
 def q31_candidates(spark, sf):
     """Candidate resolution: a ``LEFT/RIGHT`` cell resolves to the first
     candidate (itself, without delimiter, left, right) that is a known
-    artist; known artists = the part-name dimension of parts up to size 10."""
+    artist; known are the part names whose slug's md5 is below 4 (that others are not is the feature)."""
     part = table(spark, sf, "part")
-    dim = (part.filter(F.col("p_size") <= 10).select(text.slugify("p_name").alias("slug")).distinct()
-           .withColumn("_hit", F.lit(True)))
+    dim = part.select(text.slugify("p_name").alias("slug")).distinct().filter(F.md5(F.col("slug").cast("binary")) < "4")
     a = part.select(F.col("p_partkey").alias("_ak"), F.upper("p_name").alias("_an"))
     b = part.select(F.col("p_partkey").alias("_bk"), F.upper("p_name").alias("_bn"))
     x = (table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
          .join(a, F.col("l_partkey") == F.col("_ak")).join(b, F.col("l_suppkey") == F.col("_bk"))
          .select("l_orderkey", "l_linenumber", F.concat_ws("/", "_an", "_bn").alias("s")))
     # resolve each distinct cell text once, then join back to the rows
-    resolved = resolve_candidates(x.select("s").distinct(), [], "s", dim)
+    resolved = artists.resolve_names(x.select("s").distinct(), "s", dim)
     return x.join(resolved, "s", "left").select("l_orderkey", "l_linenumber", F.col("resolved").alias("artist"))
 
 
-def resolve_candidates(df, keys, col, dim):
-    """Explode candidates with priority, probe the corrections map and the
-    dimension (join on slug), keep the best hit per row, else the input."""
-    cands = df.select(*keys, col, F.explode(names.artist_candidates(F.col(col))).alias("c")).select(
-        *keys, col, F.col("c.prio").alias("prio"), F.col("c.name").alias("name"),
-        text.slugify(F.col("c.name")).alias("slug"))
-    fixed = names.corrections_map()[F.col("slug")]
-    j = cands.join(dim, "slug", "left")
-    hit = F.when(fixed.isNotNull(), F.struct(F.lit(-1).alias("p"), fixed.alias("n"))).when(
-        F.col("_hit"), F.struct(F.col("prio").alias("p"), F.col("name").alias("n")))
-    best = j.groupBy(*keys, col).agg(F.min(hit).alias("_best"))
-    return best.select(*keys, col, F.when(~names.plausible_artist(F.col(col)), F.lit(None))
-                       .otherwise(F.coalesce(F.col("_best.n"), F.col(col))).alias("resolved"))
-
-
 @query("q36_multi_owner_split", """
 SELECT l.l_orderkey, l.l_linenumber,
        upper(p.p_name) || ' Prods.' || '; ' ||
