@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marquee.functions import text
-from marquee.operators import conform, load, places
+from marquee.operators import artists, conform, load, places
 from marquee.plans.conform import known_members, known_members_sql
 from marquee.plans.listing import Q01_SQL
 from marquee.plans.registry import query
@@ -107,3 +107,35 @@ def q53_artist_parent(spark, sf):
     artist = table(spark, sf, "part").select(k.alias("id"), F.concat_ws(" ", "p_name", k.cast("string")).alias("name"),
                                              F.when(k % 10 != 0, k - k % 10).alias("parent_id"))
     return load.with_parent(artist)
+
+
+@query("q59_artist_lists", f"""
+WITH dim AS {known_members_sql('4')},
+x AS (SELECT l.l_orderkey, l.l_orderkey % 3 AS kind, upper(p.p_name) AS name,
+             row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity) AS pos,
+             count(*) OVER (PARTITION BY l.l_orderkey) AS n FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+r AS (SELECT a.l_orderkey, a.pos, CASE WHEN a.kind = 0 AND a.n > 2 AND a.pos = 2 THEN a.name || '/' || b.name ELSE a.name END AS raw, a.name AS lft, b.name AS rgt
+      FROM x a LEFT JOIN x b ON b.l_orderkey = a.l_orderkey AND b.pos = a.pos + 1 WHERE NOT (a.kind = 0 AND a.n > 2 AND a.pos = 3)),
+s AS (SELECT l_orderkey, pos, CASE WHEN NOT contains(raw, '/') OR {_slug_sql('raw')} IN (SELECT slug FROM dim) THEN raw
+             WHEN {_slug_sql("replace(raw, '/', ' ')")} IN (SELECT slug FROM dim) THEN replace(raw, '/', ' ')
+             WHEN {_slug_sql('lft')} IN (SELECT slug FROM dim) THEN lft WHEN {_slug_sql('rgt')} IN (SELECT slug FROM dim) THEN rgt ELSE raw END AS name FROM r),
+k AS (SELECT *, {_slug_sql('name')} AS slug FROM s),
+new AS (SELECT slug, (SELECT max(id) FROM dim) + row_number() OVER (ORDER BY slug) AS id FROM (SELECT DISTINCT slug FROM k WHERE slug NOT IN (SELECT slug FROM dim))),
+every AS (SELECT slug, id FROM dim UNION ALL SELECT slug, id FROM new)
+SELECT l_orderkey, string_agg(name, '; ' ORDER BY pos) AS names, string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) AS ids
+FROM k JOIN every ON every.slug = k.slug GROUP BY l_orderkey
+""")
+def q59_artist_lists(spark, sf):
+    """Artist cells to ids end to end: plain cells, a slash whose right half takes in the next cell, festival lines cut at
+    commas; names resolved to known members by their candidates, new members after the largest id."""
+    part = table(spark, sf, "part")
+    li = table(spark, sf, "lineitem").join(part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    lists = li.groupBy("l_orderkey").agg(F.transform(F.sort_array(F.collect_list(
+        F.struct("l_linenumber", "l_partkey", "l_quantity", F.upper("p_name").alias("n")))), lambda s: s["n"]).alias("n"))
+    kind, n = F.col("l_orderkey") % 3, F.size("n")
+    slash = F.when(n > 1, F.concat(F.array(F.concat_ws("/", F.get("n", 0), F.get("n", 1))), F.slice("n", F.lit(3), F.greatest(n - 2, F.lit(0))))).otherwise(F.col("n"))
+    festival = F.transform("n", lambda x, i: F.when(i < n - 1, F.concat(x, F.lit(","))).otherwise(x))
+    events = lists.select("l_orderkey", F.when(kind == 0, slash).when(kind == 1, festival).otherwise(F.col("n")).alias("cells"), (kind == 1).alias("festival"))
+    out, _ = artists.curate_artists(events, "l_orderkey", "cells", "festival", known_members(part, "4"))
+    return out.select("l_orderkey", F.array_join("artist_names", "; ").alias("names"),
+                      F.array_join(F.transform("artist_ids", lambda i: i.cast("string")), ",").alias("ids"))
