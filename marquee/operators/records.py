@@ -238,27 +238,35 @@ def ranked_tours(page_text, sections: dict[str, str] | None = None) -> Column:
     line belongs to the tour before it.  A page is one text: no shuffle.
     """
     heads = F.create_map(*[F.lit(x) for kv in (sections or TOUR_SECTIONS).items() for x in kv])
-    item = lambda section, rank, line: F.struct(section.alias("section"), rank.cast("int").alias("rank"), line.alias("line"))
-    state = lambda section, rank, tours: F.struct(section.alias("section"), rank.cast("int").alias("rank"), tours.alias("tours"))
-    kind = "array<struct<section:string,rank:int,line:string>>"
+    mark = lambda section, rank, at: F.struct(section.alias("section"), rank.cast("int").alias("rank"), at.cast("int").alias("at"))
+    state = lambda section, rank, marks: F.struct(section.alias("section"), rank.cast("int").alias("rank"), marks.alias("marks"))
 
-    def step(acc, x):
-        section, expected, n = heads[x], acc["rank"] + 1, F.size(acc["tours"])
-        number, want = F.regexp_extract(x, RANK_LINE, 1), (acc["rank"] + 1).cast("string")
+    def step(acc, s):
+        x, section, expected = s["x"], heads[s["x"]], acc["rank"] + 1
+        number, want = F.regexp_extract(x, RANK_LINE, 1), expected.cast("string")
         size = F.length(number)
         fits = (number == want) | (F.substr(number, F.lit(2)) == want) | (F.left(number, size - 1) == want) | (F.substr(number, F.lit(2), size - 2) == want)
         opens = acc["section"].isNotNull() & (number != "") & fits & (F.length(x) > 15)
-        rest = F.regexp_replace(x, "^[^A-Za-z0-9]?[0-9]+", "")
-        last = F.get(acc["tours"], n - 1)
-        longer = F.concat(F.slice(acc["tours"], F.lit(1), n - 1), F.array(item(last["section"], last["rank"], F.concat_ws(" ", last["line"], x))))
-        return (F.when(section.isNotNull(), state(section, F.lit(0), acc["tours"]))
-                .when(opens, state(acc["section"], expected, F.array_append(acc["tours"], item(acc["section"], expected, F.concat(want, rest)))))
-                .when((acc["rank"] > 0) & (n > 0), state(acc["section"], acc["rank"], longer))
+        noted = lambda sec, rank: F.array_append(acc["marks"], mark(sec, rank, s["i"]))
+        return (F.when(section.isNotNull(), state(section, F.lit(0), noted(section, F.lit(0))))
+                .when(opens, state(acc["section"], expected, noted(acc["section"], expected)))
                 .otherwise(acc))
 
+    def tours(rows: Column) -> Column:
+        """The fold notes where headings and tours begin; a tour is the lines up to the next such place."""
+        start = state(F.lit(None).cast("string"), F.lit(0), F.array().cast("array<struct<section:string,rank:int,at:int>>"))
+        marks = F.aggregate(F.transform(rows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), start, step)["marks"]
+
+        def line(m: Column, stop: Column) -> Column:
+            first = F.concat(m["rank"].cast("string"), F.regexp_replace(F.get(rows, m["at"]), "^[^A-Za-z0-9]?[0-9]+", ""))
+            return F.concat_ws(" ", F.array(first), F.slice(rows, m["at"] + 2, stop - m["at"] - 1))
+
+        each = let(marks, lambda ms: F.transform(ms, lambda m, k: F.struct(
+            m["section"].alias("section"), m["rank"].alias("rank"), line(m, F.coalesce(F.get(ms, k + 1)["at"], F.size(rows))).alias("line"))))
+        return F.filter(each, lambda t: t["rank"] > 0)
+
     rows = F.split(F.col(page_text) if isinstance(page_text, str) else page_text, r"\r?\n")
-    start = state(F.lit(None).cast("string"), F.lit(0), F.array().cast(kind))
-    return F.aggregate(F.coalesce(rows, F.array().cast("array<string>")), start, step)["tours"]
+    return let(F.coalesce(rows, F.array().cast("array<string>")), tours)
 
 
 def nearest_month(word: Column) -> Column:
