@@ -148,9 +148,10 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
 # rank, gross in millions, artist, then from the first decimal number on: average price, average tickets and
 #   total tickets, average gross, cities/shows, agency        (one tour), or
 #   average gross, and rank .. average gross of a second tour (two tours side by side).
-_TOUR_HEAD = r"(\d+)\s+(\S+)\s+(.+?)\s+(\d*\.\d+)\s+(\S+)"
-_ONE_TOUR = rf"^{_TOUR_HEAD}\s+(\S+)\s+(\S+)\s+(\d+/\d+)\s+(.+)$"
-_TWO_TOURS = rf"^{_TOUR_HEAD}\s+(\S+)\s+{_TOUR_HEAD}\s+(\S+)\s*$"
+# Single blanks stand between the words; the artist ends before the first decimal number, so nothing is tried twice.
+_TOUR_HEAD = r"(\d+) (\S+) (\S+(?: (?!\d*\.\d+ )\S+)*+) (\d*\.\d+) (\S+)"
+_ONE_TOUR = rf"^{_TOUR_HEAD} (\S+) (\S+) (\d+/\d+) (.+)$"
+_TWO_TOURS = rf"^{_TOUR_HEAD} (\S+) {_TOUR_HEAD} (\S+)$"
 TOUR_FIELDS = ["rank", "revenue", "artist", "avg_ticket_price", "avg_tickets_per_show", "total_tickets_sold",
                "avg_revenue_per_show", "num_cities_shows", "agency"]
 
@@ -206,6 +207,16 @@ def parse_report_lines(df: DataFrame, line_col: str, path_col: str, non_musician
         .withColumn("is_musician", F.when(F.col("reason").isNull(), F.col("_nm").isNull())).drop("_nm")
 
 
+def report_table(pages: DataFrame, text_col: str, path_col: str, non_musicians: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Page texts of annual reports -> (rows, rejects): lines in either layout, non-musicians left out, the others ranked anew
+    per file and scope in the order of their printed rank (``org_rank``); every other line with its reason."""
+    got = parse_report_lines(lines.explode_lines(pages, [path_col], text_col), "line", path_col, non_musicians)
+    rejects = got.filter("reason is not null").select(path_col, "line_no", "line", "reason")
+    kept = got.filter(F.col("reason").isNull() & F.col("is_musician")).withColumn("org_rank", F.col("rank").try_cast("long"))
+    ranked = lines.rank_in_group(kept.drop("rank"), [path_col], "org_rank", "rank")
+    return ranked.drop("line", "line_no", "reason", "is_musician"), rejects
+
+
 # -- tour lines (older one-line layout) ------------------------------------------
 # rank | ARTIST — promoter, venue, city, [State.] Mon. d[-[Mon.] d] sold $p1[-$p2] $gross[*]
 _TOUR_STATES = ["Ala.", "Calif.", "D.C.", "Fla.", "Georgia", "Kansas", "La.", "Maine", "Mass.", "Minn.",

@@ -146,3 +146,16 @@ def test_ranked_tours(spark):
         ("Stadium", 1, "1 | AEROSMITH — a tour more of it"), ("Stadium", 2, "2 [ BON JOVI — a tour 99 | CINDERELLA — not next 3 | SHORT"),
         ("Stadium", 3, "3 | DIO — a long enough line"), ("Arena", 1, "1 | RATT — begins again here")]
     assert got[1].r == []
+
+
+def test_report_chain(spark):
+    """Pages to ranked rows: two layouts, a non-musician left out, ranks closed up, other lines with a reason."""
+    from marquee.operators.records import report_table
+    page = "\n".join(["Top tours of the year", "1 103.5 THE ROLLING STONES 82.09 12,345 1,260,000 1,013,405 34/56 The Next Adventure",
+                      "2 99.1 DISNEY ON ICE 40.11 11,000 1,000,000 900,000 30/300 Feld Entertainment",
+                      "3 64.7 BRUCE SPRINGSTEEN 41.20 19,300 795,160 4 56.4 BACKSTREET BOYS 36.80 15,000 552,000"])
+    pages = spark.createDataFrame([("reports/1999/worldwide/a.pdf", page), ("reports/2000/worldwide/b.pdf", None)], "path string, t string")
+    rows, rejects = report_table(pages, "t", "path", spark.createDataFrame([("DISNEY ON ICE",)], "name string"))
+    assert [(r.rank, r.org_rank, r.artist_id, r.year) for r in rows.orderBy("rank").collect()] == [
+        (1, 1, "the-rolling-stones", "1999"), (2, 3, "bruce-springsteen", "1999"), (3, 4, "backstreet-boys", "1999")]
+    assert [(r.line_no, r.reason) for r in rejects.collect()] == [(0, "not a report row")]
