@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,6 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="marquee-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)   # a local run's tables end with it
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -47,9 +47,12 @@ def load_dimensions(spark: SparkSession, dims: Dimensions, path: str, before: in
 
 
 def start_ingest(spark: SparkSession, processed_root: str, events_path: str, checkpoint: str,
-                 dims: Dimensions, max_files_per_trigger: int = 100, dims_path: str | None = None):
+                 dims: Dimensions, max_files_per_trigger: int = 100, dims_path: str | None = None,
+                 corrections: DataFrame | None = None):
     """Start the availableNow stream; returns the StreamingQuery.
 
+    ``corrections`` are applied to every batch as they are when it runs.
+
     ``dims`` are the dimensions before the first batch; new members are kept
     below ``dims_path`` (by default beside the events), one folder per batch,
     which a batch that runs again overwrites.
@@ -61,7 +64,7 @@ def start_ingest(spark: SparkSession, processed_root: str, events_path: str, che
               .select("*", "_metadata"))
 
     def run_batch(batch: DataFrame, epoch: int) -> None:
-        curated, members = curate_events(with_issue_columns(batch), load_dimensions(spark, dims, dims_path, epoch))
+        curated, members = curate_events(with_issue_columns(batch), load_dimensions(spark, dims, dims_path, epoch), corrections)
         for name, new in members.items():
             new.write.mode("overwrite").parquet(f"{dims_path}/{name}/batch={epoch}")
         known = _existing(spark, events_path)

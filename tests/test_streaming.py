@@ -44,3 +44,20 @@ def test_available_now_ingest(spark, tmp_path):
     assert len(set().union(*by.values())) == 3
     members = spark.read.parquet(events + "_dimensions/artists").collect()
     assert len({m["id"] for m in members}) == len(members) == 3
+
+
+def test_corrections_reach_the_stream(spark, tmp_path):
+    dims = Dimensions(
+        artists=spark.createDataFrame([], "id int, name string, slug string, parent_id int"),
+        venues=spark.createDataFrame([(2, "Capital Centre", "capital-centre", 5, 20)], "id int, name string, slug string, city_id int, state_id int"),
+        cities=spark.createDataFrame([(5, "Landover", "landover", 20)], "id int, name string, slug string, state_id int"),
+        promoters=spark.createDataFrame([], "id int, name string, slug string"),
+        sources=spark.createDataFrame([(1, "Billboard", "billboard", 2)], "id int, name string, slug string, reliability int"))
+    folder = tmp_path / "processed" / "1984" / "11"
+    folder.mkdir(parents=True)
+    (folder / "BB-1984-11-17.csv").write_text(HEADER + ROW)
+    fixes = spark.createDataFrame([("culture-club-capital-centre-1984-11-11", "attendance", "14001", 1)],
+                                  "event_signature string, field string, true_value string, seq int")
+    events = str(tmp_path / "events")
+    start_ingest(spark, str(tmp_path / "processed"), events, str(tmp_path / "ckpt"), dims, corrections=fixes).awaitTermination(300)
+    assert [r.attendance for r in spark.read.parquet(events).collect()] == [14001]
