@@ -90,3 +90,32 @@ def test_one_versus_one_inside_a_family(spark):
     got = langid.identify(df, langid.train(df, train_rows=120)).collect()
     want = {d: v for d, _, v in rows}
     assert sum(r.lang_pred == want[r.doc_id] for r in got) >= 396
+
+
+def test_misspelt_and_quoted_terms_through_training(spark):
+    """Planted terms are learned; in the held-out fold their misspellings score above clean texts (labels without any misspelling
+    teach no more than the prior weight), and quoted ones below plain ones."""
+    import zlib
+    rng = random.Random(12)
+    vocabulary = [f"{a}{b}{c}" for a in ("ma", "lo", "ri", "te") for b in ("nu", "ke", "sa", "vo") for c in ("", "l", "n", "ra")]
+    terms = ["grobnik", "snarfel", "blottik", "wermlig", "dorkfis"]
+
+    def text(middle=""):
+        w = rng.choices(vocabulary, k=40)
+        return " ".join([*w[:20], middle, *w[20:]]) if middle else " ".join(w)
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    learn, probe = [i for i in range(1500) if not held(i)], iter([i for i in range(1500) if held(i)])
+    rows = [(i, text(terms[k % 5]), 1) for k, i in enumerate(learn[:150])] + [(i, text(), 0) for i in learn[150:500]]
+    rows += [(i, text(f'he said "{t}" once'), 0) for i, t in zip(learn[500:505], terms)]
+    wrong = [t[:3] + t[4:] for t in terms] + [t[:2] + t[3] + t[2] + t[4:] for t in terms] + [t[:4] + "z" + t[5:] for t in terms]
+    kinds = {"plain": [text(t) for t in terms], "misspelt": [text(w) for w in wrong], "quoted": [text(f'she wrote "{t}" there') for t in terms],
+             "clean": [text() for _ in range(20)]}
+    placed = {next(probe): (kind, t) for kind, ts in kinds.items() for t in ts}
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(i, t) for i, (_, t) in placed.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs, toxicity.train(docs, labels)).collect()}
+    score = {kind: [got[i].score for i, (k, _) in placed.items() if k == kind] for kind in kinds}
+    assert all(got[i].held_out for i in placed)
+    assert min(score["plain"]) >= toxicity.THRESHOLD > max(score["clean"])
+    assert min(score["misspelt"]) > max(score["clean"]) and max(score["quoted"]) < min(score["plain"])
