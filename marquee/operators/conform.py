@@ -114,15 +114,18 @@ def _meeting_by_segments(left: DataFrame, right: DataFrame, names: list[str], k:
         .withColumn("_shift", F.explode(F.sequence(F.lit(-k), F.lit(k)))) \
         .withColumn("_s", _segment(F.col("_t"), F.col("_n"), F.col("_i"), k, F.col("_shift"))) \
         .filter(F.col("_s").isNotNull()).drop("_shift").distinct()
-    return left_keys.join(right_keys, [*names, "_n", "_i", "_s"]).select(*names, "_t", "_dt")
+    return left_keys.join(right_keys.hint("merge"), [*names, "_n", "_i", "_s"]).select(*names, "_t", "_dt")
 
 
 def _meeting(left: DataFrame, right: DataFrame, names: list[str], k: int) -> DataFrame:
-    """(names, _t, _dt) pairs that can lie within ``k`` edits: all that do, few others."""
+    """(names, _t, _dt) pairs that can lie within ``k`` edits: all that do, few others.
+
+    Both sides of these joins hold many rows per text, which Spark's size estimate does not see (it takes an exploded
+    table to be as small as the file): the ``merge`` hint keeps them from being broadcast through the driver."""
     short = lambda df, c, more: _deletion_keys(df.filter(F.length(c) <= SHORT + more), c, k, "_k", f"{c}_gone")
     a, b = short(left, "_t", k), short(right, "_dt", 0)
     # A character deleted at the same place on both sides could stay: that pair meets with fewer deletions.
-    pairs = a.join(b, [*names, "_k"]).filter(~F.arrays_overlap("_t_gone", "_dt_gone")).select(*names, "_t", "_dt")
+    pairs = a.join(b.hint("merge"), [*names, "_k"]).filter(~F.arrays_overlap("_t_gone", "_dt_gone")).select(*names, "_t", "_dt")
     long_right = right.filter(F.length("_dt") > SHORT)
     if long_right.isEmpty():
         return pairs
@@ -133,7 +136,7 @@ def _meeting(left: DataFrame, right: DataFrame, names: list[str], k: int) -> Dat
     # At most 100,000 grams can have more than a hundred-thousandth of all.
     common = counted.crossJoin(F.broadcast(total)).filter(F.col("n") * 100_000 > F.col("_total")).select("gram", "n")
     rare = _rare_grams(left.filter(F.length("_t") > SHORT - k), "_t", k, common, "_k") \
-        .join(_rare_grams(long_right, "_dt", k, common, "_k"), [*names, "_k"]) \
+        .join(_rare_grams(long_right, "_dt", k, common, "_k").hint("merge"), [*names, "_k"]) \
         .filter(F.abs(F.length("_t") - F.length("_dt")) <= k)
     return pairs.unionByName(rare.select(*names, "_t", "_dt"))
 

@@ -87,3 +87,13 @@ def test_collapse_against_a_plain_loop(spark, on, min_len):
 def test_collapse_of_nothing(spark):
     df = spark.createDataFrame([], "o int, b int, t string")
     assert conform.collapse_near(df, "t", ["b"], ["o"]).collect() == []
+
+
+def test_keys_of_texts_are_not_broadcast(spark):
+    """The rests of a small table's texts are many rows: both sides of their join are shuffled, whatever the file's size."""
+    s = spark.range(60).selectExpr("concat('Supplier#', lpad(id, 9, '0')) as _t", "id % 3 as _b0")
+    for k, meet in ((2, conform._meeting), (3, conform._meeting_by_segments)):
+        met = meet(s, s.withColumnRenamed("_t", "_dt"), ["_b0"], k)
+        met.collect()
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
