@@ -130,17 +130,26 @@ def match_venues(d: DataFrame, key: str, venues: DataFrame, cities: DataFrame) -
         .select(key, F.col("_vslug").alias("kslug"))
     fz_src = rows.join(exact, key, "left_anti").filter(F.col("city_id").isNotNull() & (F.col("city_id") != -1)
                                                        & (F.length("venue_name") > 7))
-    fz = conform.fuzzy_candidates(fz_src, "venue_name", ["city_id"], vs, "vname", ["vcity"], max_dist=2,
-                                  keep=["vid", "vslug"])
-    fz = fz.groupBy(key).agg(F.max_by("vslug", "vid").alias("kslug"))
+    # a name stands for all its rows, and the highest id for all venues of its name in the city
+    spelt = fz_src.select("venue_name", "city_id").distinct()
+    called = vs.groupBy("vname", "vcity").agg(F.max_by("vslug", "vid").alias("kslug"), F.max("vid").alias("vid"))
+    near = conform.fuzzy_candidates(spelt, "venue_name", ["city_id"], called, "vname", ["vcity"], max_dist=2, keep=["vid", "kslug"]) \
+        .groupBy("venue_name", "city_id").agg(F.max_by("kslug", "vid").alias("kslug"), F.max("vid").alias("vid"))
+    fz = fz_src.select(key, "venue_name", "city_id").join(near, ["venue_name", "city_id"]).groupBy(key).agg(F.max_by("kslug", "vid").alias("kslug"))
     keyed = rows.join(exact.unionByName(fz), key)
-    cn = cities.select(F.col("id").alias("ccity"), F.col("name").alias("ccity_name"))
-    cands = keyed.join(vs, keyed["kslug"] == vs["vslug"]).join(cn, F.col("vcity") == F.col("ccity"), "left")
+    # of the venues that share a slug each rule needs only the first: anywhere, in a city, in cities of a name
+    first = F.min_by(F.struct("vid", "vname"), "vid")
+    cn = cities.select(F.col("id").alias("vcity"), F.col("name").alias("_cand"))
+    anywhere = vs.groupBy(F.col("vslug").alias("kslug")).agg(first.alias("_m0"), F.lit(True).alias("_ok0"))
+    same_city = vs.groupBy(F.col("vslug").alias("kslug"), F.col("vcity").alias("city_id")).agg(first.alias("_m1"), F.lit(True).alias("_ok1"))
+    same_name = vs.join(cn, "vcity").groupBy(F.col("vslug").alias("kslug"), "_cand").agg(first.alias("_m2"), F.lit(True).alias("_ok2"))
     edu = F.lit(False)
     for t in places.EDUCATIONAL_TOKENS:
         edu = edu | F.col("kslug").contains(t)
-    ok = edu | (F.col("vcity") == F.col("city_id")) | (F.col("ccity_name") == F.col("_cand"))
-    return (cands.filter(ok).groupBy(key).agg(F.min_by(F.struct("vid", "vname"), "vid").alias("_m"))
+    cands = keyed.join(anywhere, "kslug").join(same_city, ["kslug", "city_id"], "left").join(same_name, ["kslug", "_cand"], "left")
+    found = F.array_min(F.array_compact(F.array(F.when(edu, F.col("_m0")), "_m1", "_m2")))
+    return (cands.filter(edu | F.col("_ok1") | F.col("_ok2")).select(key, found.alias("_f"))
+            .groupBy(key).agg(F.min_by("_f", "_f.vid").alias("_m"))
             .select(key, F.col("_m.vid").alias("venue_id"), F.col("_m.vname").alias("matched_name")))
 
 

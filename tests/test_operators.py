@@ -215,3 +215,25 @@ def test_preload_dimensions(spark, tmp_path):
     files.preload_dimensions(spark, str(tmp_path / "csv"), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "city")).collect()[0].asDict() == {"id": 1, "name": "Dallas", "slug": "dallas", "state_id": 43}
     assert spark.read.parquet(str(tmp_path / "out" / "artist")).count() == 0
+
+
+def _most_rows(plan):
+    """Rows that the busiest node of an executed plan gave."""
+    name, rows = plan.nodeName(), plan.metrics().get("numOutputRows")
+    inner = [plan.executedPlan()] if name == "AdaptiveSparkPlan" else [plan.plan()] if name.endswith("QueryStage") else []
+    kids = [plan.children().apply(i) for i in range(plan.children().size())]
+    return max([rows.get().value() if rows.isDefined() else 0, *(_most_rows(p) for p in inner + kids)])
+
+
+def test_venues_of_one_name_are_not_paired_with_all_events(spark):
+    """300 venues and 300 events of one name, right and misspelt: no join gives more than a few rows per event."""
+    from marquee.operators.places import match_venues
+    venues = spark.range(300).selectExpr("id", "'Memorial Hall' AS name", "'memorial-hall' AS slug", "id % 2 AS city_id")
+    cities = spark.createDataFrame([(0, "Salem"), (1, "Troy"), (2, "Troy"), (3, "Rome")], "id long, name string")
+    events = spark.range(300).selectExpr("id AS k", "IF(id % 3 = 0, 'Memorial Hxll', 'Memorial Hall') AS venue_name", "id % 4 AS city_id",
+                                         "IF(id % 4 = 2, 'Troy', NULL) AS _cand")
+    out = match_venues(events, "k", venues, cities)
+    got = {r.k: r.venue_id for r in out.collect()}
+    want = {k: k % 4 for k in range(300) if k % 4 < 2} | {k: 1 for k in range(300) if k % 4 == 2 and k % 3}
+    assert got == want
+    assert _most_rows(out._jdf.queryExecution().executedPlan()) < 2000
