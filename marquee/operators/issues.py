@@ -27,6 +27,7 @@ from marquee.operators import lines, records
 from marquee.session import cut_lineage
 
 MAX_LINES = 200
+FOLDED = 2048   # lines with a rank up to which a section is one array: bounds the array and the fold over it
 
 
 def _is_end(line: Column) -> Column:
@@ -80,9 +81,33 @@ def _chain(d: DataFrame, keys: list[str], order: str, line: str) -> DataFrame:
     number = F.regexp_extract(line, records.RANK_LINE, 1)
     size = F.length(number)
     could = F.array_distinct(F.array(number, F.substr(number, F.lit(2)), F.left(number, size - 1), F.substr(number, F.lit(2), size - 2)))
-    c = d.filter((F.length(line) > 15) & (number != "")).select(*keys, "_head", F.col(order).cast("long").alias("at"), F.explode(could).alias("_v"))
-    c = cut_lineage(c.filter(F.col("_v").rlike("^[1-9][0-9]{0,8}$")).select(*keys, "_head", "at", F.col("_v").cast("int").alias("rank")))
+    could = F.transform(F.filter(could, lambda v: v.rlike("^[1-9][0-9]{0,8}$")), lambda v: v.cast("int"))
     section = [*keys, "_head"]
+    c = d.filter((F.length(line) > 15) & (number != "")).select(*section, F.col(order).cast("long").alias("at"), could.alias("ranks")).filter(F.size("ranks") > 0)
+    large = cut_lineage(c.groupBy(*section).count().filter(F.col("count") > FOLDED).select(*section))
+    if large.isEmpty():
+        return _folded(c, section)
+    same = [c[k].eqNullSafe(large[k]) for k in section]
+    return _folded(c.join(large, same, "left_anti"), section).unionByName(_doubled(c.join(large, same, "left_semi"), section))
+
+
+def _folded(c: DataFrame, section: list[str]) -> DataFrame:
+    """The chain of each section (at, ranks), line after line."""
+    state = lambda at, rank, marks: F.struct(at.alias("at"), rank.alias("rank"), marks.alias("marks"))
+
+    def step(acc, s):
+        want = acc["rank"] + 1
+        opens = (s["at"] > acc["at"]) & F.array_contains(s["ranks"], want)
+        return F.when(opens, state(s["at"], want, F.array_append(acc["marks"], F.struct(s["at"].alias("at"), want.alias("rank"))))).otherwise(acc)
+
+    start = state(F.lit(-(1 << 63)), F.lit(0), F.array().cast("array<struct<at:bigint,rank:int>>"))
+    rows = c.groupBy(*section).agg(F.array_sort(F.collect_list(F.struct("at", "ranks"))).alias("_rows"))
+    return rows.select(*section, F.explode(F.aggregate("_rows", start, step)["marks"]).alias("_m")).select(*section, "_m.at", "_m.rank")
+
+
+def _doubled(c: DataFrame, section: list[str]) -> DataFrame:
+    """As ``_folded``, by pointer doubling: no section is one array."""
+    c = cut_lineage(c.select(*section, "at", F.explode("ranks").alias("rank")))
     # each place that can be rank r looks for the nearest later one that can be rank r + 1
     both = c.withColumn("_have", F.col("at")).unionByName(c.select(*section, "at", (F.col("rank") + 1).alias("rank"), F.lit(None).cast("long").alias("_have")))
     later = Window.partitionBy(*section, "rank").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, -1)

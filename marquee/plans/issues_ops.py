@@ -53,7 +53,7 @@ def q57_issue_tours(spark, sf):
     around = {"O": [(0, heads["Arena"]), (1, "a note under the heading")],
               "F": [(0, heads["Auditorium"]), (-7, "AN ADVERTISEMENT"), (-8, "Copyrighted and compiled by the chart department"),
                     (-9, "1 | NOT A TOUR — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000")]}   # below 0: behind the last tour
-    matter = x.groupBy("l_suppkey", "l_linestatus").agg(F.max(base).alias("base"), F.max(10 * F.col("k")).alias("last"))
+    matter = li.groupBy("l_suppkey", "l_linestatus").agg((10 * F.count("*")).alias("last")).withColumn("base", base)
     extra = None
     for status, rows in around.items():
         one = matter.filter(F.col("l_linestatus") == status).select("l_suppkey", "base", "last", F.explode(F.array(*[

@@ -123,3 +123,24 @@ def test_a_long_file_in_bounded_tasks(spark):
 def test_no_lines(spark):
     df = spark.createDataFrame([], "file int, line_no long, line string")
     assert issues.issue_tours(df, ["file"]).count() == 0 and issues.issue_events(df, ["file"]).count() == 0
+
+
+@pytest.mark.parametrize("folded", [0, 25])
+def test_folded_and_doubled_chains_agree(spark, monkeypatch, folded):
+    """Sections above and below the length up to which they are folded."""
+    monkeypatch.setattr(issues, "FOLDED", folded)
+    rnd = random.Random(folded)
+    files = {f: random_lines(rnd, 30 * (f + 1)) for f in range(3)}
+    df = spark.createDataFrame([(f, no, t) for f, rows in files.items() for no, t in rows], "file int, line_no long, line string").repartition(5)
+    got = issues.issue_tours(df, ["file"]).collect()
+    for f, rows in files.items():
+        assert sorted((r.first_line, r.size, r["rank"], r.raw) for r in got if r.file == f and r["rank"]) == tours_by_loop(rows)[0]
+
+
+def test_few_tables_are_written(spark, monkeypatch):
+    """A section of 300 tours is not written again for every doubling of its ranks."""
+    written = []
+    monkeypatch.setattr(issues, "cut_lineage", lambda d: written.append(1) or d.checkpoint())
+    rows = [(0, HEADS[1])] + [(k, f"{k} | DIO {k} — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000") for k in range(1, 301)]
+    got = issues.issue_tours(spark.createDataFrame(rows, "line_no long, line string"), [])
+    assert got.where("rank is not null and reason is null").count() == 300 and len(written) <= 4
