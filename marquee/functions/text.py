@@ -75,11 +75,13 @@ def let(value: Column, fn) -> Column:
 def ascii_fold(col) -> Column:
     """Transliterate Latin letters to ASCII: one ``translate`` for letters that become one, replacements only in
     texts with a letter that becomes several."""
-    c = F.translate(_c(col), "".join(_SINGLE) + TYPOGRAPHIC_QUOTES + _MARKS, "".join(_SINGLE.values()))
-    longer = c
-    for k, v in _SEVERAL.items():
-        longer = F.replace(longer, F.lit(k), F.lit(v))
-    return F.when(c.rlike("[" + "".join(_SEVERAL) + "]"), longer).otherwise(c)
+    def several(c: Column) -> Column:
+        longer = c
+        for k, v in _SEVERAL.items():
+            longer = F.replace(longer, F.lit(k), F.lit(v))
+        return F.when(c.rlike("[" + "".join(_SEVERAL) + "]"), longer).otherwise(c)
+
+    return let(F.translate(_c(col), "".join(_SINGLE) + TYPOGRAPHIC_QUOTES + _MARKS, "".join(_SINGLE.values())), several)
 
 
 def slugify(col) -> Column:
@@ -87,18 +89,22 @@ def slugify(col) -> Column:
 
     Straight apostrophes split words (``RJ's`` -> ``rj-s``), typographic ones
     vanish (``That’s`` -> ``thats``), thousands separators between digits are
-    dropped, every other run of non ``[a-z0-9-]`` becomes one dash, repeated
-    dashes collapse and the slug is trimmed of dashes.
+    dropped, every other run of non ``[a-z0-9]`` becomes one dash and the slug
+    is trimmed of dashes.  ASCII texts are not transliterated, and those
+    without ``&``, ``'`` and ``,`` need the dashes alone.
     """
-    c = F.regexp_replace(_c(col), "'+", "-")
-    for k, v in ENTITIES.items():
-        c = F.replace(c, F.lit(k), F.lit(v))
-    c = F.lower(ascii_fold(c))
-    c = F.regexp_replace(c, "'+", "")
-    c = F.regexp_replace(c, "(?<=[0-9]),(?=[0-9])", "")
-    c = F.regexp_replace(c, "[^-a-z0-9]+", "-")
-    c = F.regexp_replace(c, "-{2,}", "-")
-    return F.regexp_replace(c, "^-+|-+$", "")
+    dashed = lambda x: F.btrim(F.regexp_replace(x, "[^a-z0-9]+", "-"), F.lit("-"))
+
+    def other(t: Column) -> Column:
+        c = F.regexp_replace(t, "'+", "-")
+        for k, v in ENTITIES.items():
+            c = F.replace(c, F.lit(k), F.lit(v))
+        c = F.lower(F.when(t.rlike(r"[^\x00-\x7F]"), ascii_fold(c)).otherwise(c))
+        c = F.regexp_replace(c, "'+", "")
+        return dashed(F.regexp_replace(c, "(?<=[0-9]),(?=[0-9])", ""))
+
+    t = _c(col)   # the longer way is kept out of the compiled code, which it would make too large for the JVM to optimise
+    return F.when(t.rlike(r"[^\x00-\x7F]|[&',]"), let(t, other)).otherwise(dashed(F.lower(t)))
 
 
 def slugify_underscore(col) -> Column:
@@ -134,23 +140,28 @@ def event_title(col) -> Column:
     return fix_title(title_case(col))
 
 
+def single_spaces(col) -> Column:
+    """Every run of whitespace -> one blank; runs that are one are left as they are."""
+    return F.regexp_replace(_c(col), r"\s{2,}|[\t-\r]", " ")
+
+
 def squeeze_spaces(col) -> Column:
-    return F.trim(F.regexp_replace(_c(col), r"\s+", " "))
+    return F.trim(single_spaces(col))
 
 
 def clean_ocr_line(col) -> Column:
     """Symbol repair of an OCR line: section sign -> ``$``; drop stray quote
     and em dash; trim."""
-    c = _c(col)
+    c = fixed = _c(col)
     for k, v in OCR_SYMBOL_FIX.items():
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return F.trim(c)
+        fixed = F.replace(fixed, F.lit(k), F.lit(v))
+    return F.trim(F.when(c.rlike(f"[{''.join(OCR_SYMBOL_FIX)}]"), fixed).otherwise(c))
 
 
 def remove_noisy_symbols(col) -> Column:
     """Drop the generic noisy symbols and squeeze whitespace."""
-    c = F.translate(_c(col), "".join(NOISY_SYMBOLS), "")
-    return squeeze_spaces(c)
+    c, noisy = _c(col), "".join(NOISY_SYMBOLS)
+    return squeeze_spaces(F.when(c.rlike(f"[{noisy}]"), F.translate(c, noisy, "")).otherwise(c))
 
 
 def tokens(col) -> Column:
