@@ -70,7 +70,8 @@ def _merge(a: Column, in_event) -> Column:
                 .otherwise(F.struct(F.array_append(acc["out"], clean_artist_name(tok, in_event)).alias("out"),
                                     F.lit(False).alias("skip"))))
 
-    return F.aggregate(idx, init, step)["out"]
+    return F.when(F.exists(a, lambda tok: _overflow(tok).isNotNull()), F.aggregate(idx, init, step)["out"]) \
+        .otherwise(F.transform(a, lambda tok: clean_artist_name(tok, in_event)))
 
 
 def separate_artists(arr, in_event) -> Column:
@@ -102,7 +103,8 @@ def _separate(a: Column, in_event) -> Column:
                 .otherwise(F.struct(F.array_append(acc["out"], clean_artist_name(tok, no_event)).alias("out"),
                                     F.lit(False).alias("skip"))))
 
-    plain = F.aggregate(idx, init, step)["out"]
+    plain = F.when(F.exists(a, lambda tok: tok.contains("/")), F.aggregate(idx, init, step)["out"]) \
+        .otherwise(F.transform(a, lambda tok: clean_artist_name(tok, no_event)))
     return F.when(_c(in_event), festival).otherwise(plain)
 
 

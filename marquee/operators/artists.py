@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import names, text
 from marquee.operators import conform
+from marquee.session import cut_lineage
 
 
 def resolve_names(distinct_names: DataFrame, col: str, dim: DataFrame) -> DataFrame:
@@ -31,20 +32,19 @@ def curate_artists(events: DataFrame, key: str, artists_col: str, in_event_col:
                    dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """-> (events + ``artist_ids``/``artist_names``, new artist members).
 
-    Names are resolved once per distinct spelling (the distinct set is far
-    smaller than the events), new members get ids after ``max(id)``, then
-    one explode/join/regroup maps each event's names to ids in order.
+    Names are resolved, slugged and given ids once per distinct spelling (the
+    distinct set is far smaller than the events and written out, as three steps
+    read it), new members after ``max(id)``; then one explode/join/regroup
+    maps each event's names to ids in order.
     """
     ev = events.withColumn("_names", names.split_artist_cells(F.col(artists_col), F.col(in_event_col)))
     ex = ev.select(key, F.posexplode("_names").alias("_pos", "_raw"))
-    resolved = resolve_names(ex.select("_raw").distinct(), "_raw", dim)
-    ex = ex.join(resolved, "_raw", "left").filter(F.col("resolved").isNotNull())
-    new = conform.add_members(dim, ex.select("resolved"), "resolved", text.slugify,
-                              extra={"parent_id": F.lit(None).cast("int")})
+    resolved = cut_lineage(resolve_names(ex.select("_raw").distinct(), "_raw", dim).filter(F.col("resolved").isNotNull()))
+    new = conform.add_members(dim, resolved, "resolved", text.slugify, extra={"parent_id": F.lit(None).cast("int")})
     full = dim.select("id", "slug").unionByName(new.select("id", "slug"))
-    ids = (ex.withColumn("slug", text.slugify("resolved"))
-           .join(full.groupBy("slug").agg(F.min("id").alias("_id")), "slug", "left")
-           .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_id", "resolved"))).alias("_l")))
+    named = resolved.withColumn("slug", text.slugify("resolved")) \
+        .join(full.groupBy("slug").agg(F.min("id").alias("_id")), "slug", "left").drop("slug")
+    ids = (ex.join(named, "_raw").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "_id", "resolved"))).alias("_l")))
     ids = ids.select(key, F.transform("_l", lambda s: s["_id"].cast("int")).alias("artist_ids"),
                      F.transform("_l", lambda s: s["resolved"]).alias("artist_names"))
     out = (ev.drop("_names").join(ids, key, "left")
