@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marquee.functions.text import let
+
 # --- fixed values -----------------------------------------------------------
 # Single-word English numbers and their value.
 NUMBER_WORDS = {
@@ -32,10 +34,7 @@ def number_value(token) -> Column:
     a number before them they stand for one.  Digits are read as bigint; what
     does not fit is null.
     """
-    t = F.lower(F.trim(F.col(token) if isinstance(token, str) else token))
     values = number_word_map()
-    parts = F.filter(F.split(t, r"[\s-]+"), lambda w: ~w.isin(*FILLERS))
-    known = (F.size(parts) > 0) & F.forall(parts, lambda w: values[w].isNotNull())
     big = lambda c: c.cast("bigint")
     state = lambda whole, part: F.struct(big(whole).alias("whole"), big(part).alias("part"))
 
@@ -45,8 +44,15 @@ def number_value(token) -> Column:
                 .when(w.isin("thousand", "million"), state(acc["whole"] + some * values[w], F.lit(0)))
                 .otherwise(state(acc["whole"], acc["part"] + values[w])))
 
-    total = F.aggregate(parts, state(F.lit(0), F.lit(0)), step, lambda acc: acc["whole"] + acc["part"])
-    return F.when(t.rlike("^[0-9]+$"), t.try_cast("bigint")).when(known, total)
+    def in_words(parts: Column) -> Column:
+        known = (F.size(parts) > 0) & F.forall(parts, lambda w: values[w].isNotNull())
+        return F.when(known, F.aggregate(parts, state(F.lit(0), F.lit(0)), step, lambda acc: acc["whole"] + acc["part"]))
+
+    def value(t: Column) -> Column:
+        words = let(F.filter(F.split(t, r"[\s-]+"), lambda w: ~w.isin(*FILLERS)), in_words)
+        return F.when(t.rlike("^[0-9]+$"), t.try_cast("bigint")).otherwise(words)
+
+    return let(F.lower(F.trim(F.col(token) if isinstance(token, str) else token)), value)
 
 
 def count_kind(metric: Column) -> Column:

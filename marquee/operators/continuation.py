@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.dates import DAY_SHAPE, MONTH_WORDS, any_of
 from marquee.functions.numbers import MULTIPLIERS, NUMBER_WORDS, count_kind, number_value
-from marquee.functions.text import let
+from marquee.functions.text import let, single_spaces
 
 MARK = "\x03"  # where an item has been taken out
 _OPEN, _BAR = "\x05", "\x06"  # before a stretch, and between its possible kinds
@@ -79,7 +79,7 @@ def _digits(c: Column) -> Column:
 def continuation_column(rest: Column, attendance: Column) -> Column:
     """Tokens after the first line (one string) -> struct(artists, location, dates, prices, promoter, unread: lists;
     canadian, capacity, shows, sellouts: numbers).  A capacity below the attendance is a misreading: none."""
-    text = F.concat(F.lit(" "), F.regexp_replace(F.trim(F.coalesce(rest, F.lit(""))), r"\s+", " "), F.lit(" "))
+    text = F.concat(F.lit(" "), single_spaces(F.trim(F.coalesce(rest, F.lit("")))), F.lit(" "))
     every = lambda t, pattern: F.regexp_extract_all(t, F.lit(" " + pattern), F.lit(1))
 
     def split_count(raw: Column) -> Column:

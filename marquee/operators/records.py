@@ -9,6 +9,8 @@ expressions: no Python code sees a row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,7 +109,7 @@ def parse_events(df: DataFrame, text_col: str, out: str = "event") -> DataFrame:
     d = df.withColumn("_line", clean_ocr_line(F.col(text_col)))
     # the venue starts at the first word that is Capitalised (upper then
     # lower case); everything before it is the first artist line
-    m = F.regexp_instr("_line", F.lit(r"(?:^|\s)[A-Z][a-z]"))
+    d, m = d.withColumn("_m", F.regexp_instr("_line", F.lit(r"(?:^|\s)[A-Z][a-z]"))), F.col("_m")
     d = d.withColumn("_lc", F.when(m == 0, F.lit(0)).when(F.substring("_line", m, 1) == " ", m + 1).otherwise(m))
     # First line, fixed order, as ONE compiled pattern (evaluated by codegen,
     # no per-token lambdas): location words, then either a decimal token
@@ -163,10 +165,11 @@ def admit_report_line(col) -> Column:
 
 
 def _groups(col: Column, pattern: str, n: int) -> Column:
-    """The pattern's groups as an array, from one pass over the text; null if
-    it does not match.  The first group must not match an empty text."""
-    marked = F.regexp_replace(col, pattern + r"|^[\s\S]*$", "\x01".join(f"${i}" for i in range(1, n + 1)))
-    return let(F.split(marked, "\x01"), lambda g: F.when(F.get(g, 0) != "", g))
+    """The groups of a pattern of whole texts (``^...$``) as an array, from one pass over the text; null if it does not
+    match.  A match begins with a mark, which the pattern itself must not begin with."""
+    mark = "\x01"
+    marked = F.regexp_replace(col, pattern, "".join(f"{mark}${i}" for i in range(1, n + 1)))
+    return let(marked, lambda m: F.when(m.startswith(mark) & ~col.startswith(mark), F.split(F.substr(m, F.lit(2)), mark)))
 
 
 def parse_report_lines(df: DataFrame, line_col: str, path_col: str, non_musicians: DataFrame | None = None,
@@ -253,8 +256,8 @@ def ranked_tours(page_text, sections: dict[str, str] | None = None) -> Column:
     state = lambda section, rank, marks: F.struct(section.alias("section"), rank.cast("int").alias("rank"), marks.alias("marks"))
 
     def step(acc, s):
-        x, section, expected = s["x"], heads[s["x"]], acc["rank"] + 1
-        number, want = F.regexp_extract(x, RANK_LINE, 1), expected.cast("string")
+        x, section, expected = s["x"], s["section"], acc["rank"] + 1
+        number, want = s["number"], expected.cast("string")
         size = F.length(number)
         fits = (number == want) | (F.substr(number, F.lit(2)) == want) | (F.left(number, size - 1) == want) | (F.substr(number, F.lit(2), size - 2) == want)
         opens = acc["section"].isNotNull() & (number != "") & fits & (F.length(x) > 15)
@@ -266,7 +269,9 @@ def ranked_tours(page_text, sections: dict[str, str] | None = None) -> Column:
     def tours(rows: Column) -> Column:
         """The fold notes where headings and tours begin; a tour is the lines up to the next such place."""
         start = state(F.lit(None).cast("string"), F.lit(0), F.array().cast("array<struct<section:string,rank:int,at:int>>"))
-        marks = F.aggregate(F.transform(rows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), start, step)["marks"]
+        each_line = F.transform(rows, lambda x, i: F.struct(
+            x.alias("x"), i.alias("i"), heads[x].alias("section"), F.regexp_extract(x, RANK_LINE, 1).alias("number")))
+        marks = F.aggregate(F.filter(each_line, lambda s: s["section"].isNotNull() | (s["number"] != "")), start, step)["marks"]
 
         def line(m: Column, stop: Column) -> Column:
             first = F.concat(m["rank"].cast("string"), F.regexp_replace(F.get(rows, m["at"]), "^[^A-Za-z0-9]?[0-9]+", ""))
@@ -310,15 +315,12 @@ def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFra
     part = lambda i: F.trim(F.replace(F.get("_parts", i), F.lit("|"), F.lit("")))
     d = d.withColumn("_city", part(2)).withColumn("_tail", F.trim(F.get("_parts", 3)))
     first_seg = F.substring_index("_tail", ",", 1)
-    has_state = F.lit(False)
-    for st in _TOUR_STATES:
-        has_state = has_state | first_seg.contains(st)
-    d = d.withColumn("_state", F.when(has_state, F.substring_index("_tail", ".", 1)))
-    d = d.withColumn("_dt", F.when(has_state, F.ltrim(F.substr(F.col("_tail"), F.instr("_tail", " ") + 1)))
+    has_state = first_seg.rlike("|".join(re.escape(st) for st in _TOUR_STATES))
+    d = d.withColumn("_has", has_state)
+    d = d.withColumn("_state", F.when(F.col("_has"), F.substring_index("_tail", ".", 1)))
+    d = d.withColumn("_dt", F.when(F.col("_has"), F.ltrim(F.substr(F.col("_tail"), F.instr("_tail", " ") + 1)))
                      .otherwise(F.col("_tail")))
-    month_in_city = F.lit(False)
-    for m in sorted({m[:3] for m in MONTHS}):
-        month_in_city = month_in_city | F.col("_city").contains(m)
+    month_in_city = F.col("_city").rlike("|".join(sorted({m[:3] for m in MONTHS})))
     error = (F.when(F.col("_s") == "", "no rank").when(F.col("_rank").contains(" "), "space in rank")
              .when(F.col("_rest").isNull() | (F.col("_dash") == 0), "no dash")
              .when(F.size("_parts") != 4, "not four comma parts")
@@ -329,21 +331,25 @@ def parse_tour_lines(df: DataFrame, line_col: str, out: str = "tour") -> DataFra
     d = d.withColumn("_dg", _groups(F.col("_dt"), _TOUR_DATES, 11))
     d = d.withColumn("_sg", _groups(F.get("_dg", 10), _TOUR_SALES, 5)).withColumn("_month", nearest_month(F.get("_dg", 0)))
     some = lambda *cs: F.coalesce(*[F.nullif(c, F.lit("")) for c in cs])
-    dg = lambda i: F.get("_dg", i - 1)
-    sg = lambda i: F.get("_sg", i - 1)
     digits = lambda c: F.regexp_replace(c, "[^0-9]", "").try_cast("bigint")
-    second = some(dg(3), dg(6), dg(8))
-    rec = F.struct(
-        F.col("_rank").alias("rank"), F.col("_artist").alias("artist"), part(0).alias("promoter"),
-        part(1).alias("venue"), F.col("_city").alias("city"), F.col("_state").alias("state_abbr"),
-        F.col("_month").alias("month_1"), dg(2).try_cast("int").alias("first_day"),
-        F.when(second != F.col("_month"), second).alias("month_2"),
-        some(dg(4), dg(5), dg(7), dg(9), dg(2)).try_cast("int").alias("last_day"),
-        digits(sg(1)).alias("tickets_sold"), sg(2).try_cast("double").alias("ticket_price_1"),
-        some(sg(3)).try_cast("double").alias("ticket_price_2"), digits(sg(4)).alias("gross_receipts"),
-        (sg(5) == "*").alias("was_sold_out"), F.coalesce(some(dg(10)).try_cast("int"), F.lit(1)).alias("num_shows"))
+
+    def record(r: Column) -> Column:
+        dg, sg = (lambda i: F.get(r["_dg"], i - 1)), (lambda i: F.get(r["_sg"], i - 1))
+        name = lambda i: F.trim(F.replace(F.get(r["_parts"], i), F.lit("|"), F.lit("")))
+        return let(some(dg(3), dg(6), dg(8)), lambda second: F.struct(
+            r["_rank"].alias("rank"), r["_artist"].alias("artist"), name(0).alias("promoter"),
+            name(1).alias("venue"), r["_city"].alias("city"), r["_state"].alias("state_abbr"),
+            r["_month"].alias("month_1"), dg(2).try_cast("int").alias("first_day"),
+            F.when(second != r["_month"], second).alias("month_2"),
+            some(dg(4), dg(5), dg(7), dg(9), dg(2)).try_cast("int").alias("last_day"),
+            digits(sg(1)).alias("tickets_sold"), sg(2).try_cast("double").alias("ticket_price_1"),
+            some(sg(3)).try_cast("double").alias("ticket_price_2"), digits(sg(4)).alias("gross_receipts"),
+            (sg(5) == "*").alias("was_sold_out"), F.coalesce(some(dg(10)).try_cast("int"), F.lit(1)).alias("num_shows")))
+
+    # the fields are read in one function: spelt out, they make the compiled code too large for the JVM to optimise
+    rec = let(F.struct("_rank", "_artist", "_parts", "_city", "_state", "_month", "_dg", "_sg"), record)
     no_dates = F.col("_dg").isNull() | F.col("_month").isNull()
     d = d.withColumn(f"{out}_error", F.coalesce(F.col(f"{out}_error"), F.when(no_dates, "no dates").when(F.col("_sg").isNull(), "no sales")))
     d = d.withColumn(out, F.when(F.col(f"{out}_error").isNull() | (F.col(f"{out}_error") == "no sales"), rec))
-    return d.drop("_s", "_rank", "_rest", "_dash", "_artist", "_parts", "_city", "_tail", "_state", "_dt", "_dg",
+    return d.drop("_s", "_rank", "_rest", "_dash", "_artist", "_parts", "_city", "_tail", "_has", "_state", "_dt", "_dg",
                   "_sg", "_month")

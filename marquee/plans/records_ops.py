@@ -292,9 +292,12 @@ def q41_tour_lines(spark, sf):
     t = lambda c: c.cast("string")
     n, flag, status, odd = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_partkey") % 10 == 0
     months = F.array(*[F.lit(m) for m in records.TOUR_MONTHS])
-    m1, m2 = F.element_at(months, F.month("l_shipdate")), F.element_at(months, F.month("l_shipdate") % 12 + 1)
-    d1 = F.dayofmonth("l_shipdate")
-    first = F.concat(m1, F.lit(". "), t(d1))
+    # each part that the line repeats is a column: spelt out, they make the compiled code too large for the JVM to optimise
+    li = (li.withColumn("_m1", F.element_at(months, F.month("l_shipdate"))).withColumn("_m2", F.element_at(months, F.month("l_shipdate") % 12 + 1))
+          .withColumn("_d1", F.dayofmonth("l_shipdate")))
+    m1, m2, d1 = F.col("_m1"), F.col("_m2"), F.col("_d1")
+    li = li.withColumn("_first", F.concat(m1, F.lit(". "), t(d1)))
+    first = F.col("_first")
     dates = (F.when(odd & (n == 2), F.lit("sometime 12th"))
              .when(n == 2, F.concat(first, F.lit(" & "), t(d1 + 1), F.lit(" |2|")))
              .when(n == 3, F.concat(first, F.lit("/"), t(d1 + 1), F.lit("/"), t(d1 + 2)))
