@@ -50,7 +50,7 @@ def number_value(token) -> Column:
 
     def value(t: Column) -> Column:
         words = let(F.filter(F.split(t, r"[\s-]+"), lambda w: ~w.isin(*FILLERS)), in_words)
-        return F.when(t.rlike("^[0-9]+$"), t.try_cast("bigint")).otherwise(words)
+        return F.coalesce(big(values[t]), F.when(t.rlike("^[0-9]+$"), t.try_cast("bigint")).otherwise(words))   # most are one word
 
     return let(F.lower(F.trim(F.col(token) if isinstance(token, str) else token)), value)
 

@@ -14,7 +14,7 @@ TYPOGRAPHIC_QUOTES = "’‘"
 # Letters that the Unicode data neither decompose nor name after their base letter, and what they are written as.
 OTHER_LETTERS = {
     "SCHWA": "e", "GAMMA": "g", "IOTA": "i", "ESH": "sh", "EZH": "zh", "EZH REVERSED": "zh", "UPSILON": "u", "WYNN": "w",
-    "YOGH": "y", "HWAIR": "hv", "ENG": "ng", "ETH": "d", "THORN": "th", "KRA": "q", "SHARP S": "ss",
+    "YOGH": "y", "HWAIR": "hv", "ENG": "ng", "ETH": "d", "THORN": "th", "KRA": "q", "SHARP S": "ss", "U BAR": "u", "TURNED DELTA": "d", "LAMBDA": "l",
 }
 # HTML character entities decoded before slugging.
 ENTITIES = {"&amp;": "&", "&quot;": '"', "&lt;": "<", "&gt;": ">", "&#39;": "'"}
@@ -158,6 +158,13 @@ def clean_ocr_line(col) -> Column:
     return F.trim(F.when(c.rlike(f"[{''.join(OCR_SYMBOL_FIX)}]"), fixed).otherwise(c))
 
 
+def clean_ocr_lines(col) -> Column:
+    """``clean_ocr_line`` for every line of a text in one go."""
+    before = lambda c: F.when(c.contains("\n "), F.regexp_replace(c, "\n +", "\n")).otherwise(c)
+    after = lambda c: F.when(c.contains(" \n"), F.regexp_replace(c, "(?<! ) ++\n", "\n")).otherwise(c)
+    return let(let(clean_ocr_line(col), before), after)
+
+
 def remove_noisy_symbols(col) -> Column:
     """Drop the generic noisy symbols and squeeze whitespace."""
     c, noisy = _c(col), "".join(NOISY_SYMBOLS)

@@ -84,7 +84,7 @@ def continuation_column(rest: Column, attendance: Column) -> Column:
 
     def split_count(raw: Column) -> Column:
         return F.struct(raw.alias("raw"), count_kind(F.substring_index(raw, " ", -1)).alias("kind"),
-                        number_value(F.regexp_replace(raw, r" [^ ]+$", "")).alias("n"))
+                        number_value(F.left(raw, F.length(raw) - F.length(F.substring_index(raw, " ", -1)) - 1)).alias("n"))
 
     def with_counts(t: Column) -> Column:
         raw = F.regexp_extract_all(t, F.lit(_COUNT), F.lit(0))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.dates import DAY_SHAPE, MONTH_WORDS, PRINTED_MONTHS
-from marquee.functions.text import clean_ocr_line, let
+from marquee.functions.text import clean_ocr_line, clean_ocr_lines, let
 from marquee.operators import lines
 from marquee.operators.continuation import MONTH_DAY, continuation_column
 
@@ -38,11 +38,16 @@ HEAD_PATTERN = (r"^(\S+(?:\s+" + _LOC_TOKEN + r")*)"
                 r"(?:\s+\|(.*))?$")
 
 # A first line: capitals, venue words, one or two dates, numbers, a promoter (a capital or in-house); or, whatever
-# stands before it, a date and right after it dollars and an attendance.
-_EVENT_DATE = rf"(?:{MONTH_WORDS})[.,:]?\s?-?{DAY_SHAPE}"
-_GROSS = r"\$[0-9][0-9,.]*\s+[0-9][0-9,.]*"
-NEW_EVENT = (rf"^[^a-z]*\s(?:[^0-9]*\s)?(?:{_EVENT_DATE}[^A-Za-z]*){{1,2}}\s(?:in-house|[A-Z])"
-             rf"|\s{_EVENT_DATE}[^A-Za-z$]*(?:{_EVENT_DATE}[^A-Za-z$]*)?\s{_GROSS}\s")
+# stands before it, a date and right after it dollars and an attendance.  Lines without a date are told at once.  Every
+# month word has a small letter in one of its first two places, so of the blanks after the capitals the last one alone
+# can come before the venue words.  Nothing goes over a line feed: first lines are told within a longer text as well.
+_BLANK = r"[ \t\x0B\f\r]"
+_EVENT_DATE = rf"(?:{MONTH_WORDS})[.,:]?{_BLANK}?-?{DAY_SHAPE}"
+_GROSS = rf"\$[0-9][0-9,.]*{_BLANK}+[0-9][0-9,.]*"
+_FIRST_LINE = (rf"(?=.*?{_BLANK}{_EVENT_DATE})"
+               rf"(?:.*?{_BLANK}{_EVENT_DATE}[^A-Za-z$\n]*(?:{_EVENT_DATE}[^A-Za-z$\n]*)?{_BLANK}{_GROSS}{_BLANK}"
+               rf"|(?>[^a-z\n]*{_BLANK})(?:[^0-9\n]*{_BLANK})?(?:{_EVENT_DATE}[^A-Za-z\n]*){{1,2}}{_BLANK}(?:in-house|[A-Z]))")
+NEW_EVENT = f"(?d)^{_FIRST_LINE}"
 # Dollars of four digits or more and an attendance: once in a record.
 _SECOND_SALES = r"\$[0-9][0-9,.]{3,}\s+[0-9][0-9,.]*\s[\s\S]*\$[0-9][0-9,.]{3,}\s+[0-9][0-9,.]*(?:\s|$)"
 SECTION_HEADER = "ARTIST(S) Venue Date(s) Ticket Price(s) Capacity Promoter"
@@ -55,23 +60,31 @@ def page_events(page_text) -> Column:
     copyright line, cleaned, grouped so that each first line of an event opens
     one (joined with `` | ``); ``stray`` are lines before the first event.
 
-    A page is one text, so this takes no shuffle.
+    A page is one text, so this takes no shuffle.  The section is cut, cleaned
+    and marked as one string: no line of it is looked at by itself.
     """
-    section = lines.section_lines(F.col(page_text) if isinstance(page_text, str) else page_text,
-                                  lambda x: x == SECTION_HEADER, lambda x: x.startswith(SECTION_END), marker=None)
+    text = F.col(page_text) if isinstance(page_text, str) else page_text
     none = F.array().cast("array<string>")
-
-    def grouped(rows: Column) -> Column:
-        starts = F.filter(F.transform(rows, lambda x, i: F.when(x.rlike(NEW_EVENT), i)), lambda i: i.isNotNull())
-        return let(F.struct(rows.alias("rows"), starts.alias("at")), lambda s: F.struct(
-            F.transform(s["at"], lambda a, k: F.array_join(F.slice(
-                s["rows"], a + 1, F.coalesce(F.get(s["at"], k + 1), F.size(s["rows"])) - a), " | ")).alias("events"),
-            F.slice(s["rows"], F.lit(1), F.coalesce(F.get(s["at"], 0), F.size(s["rows"]))).alias("stray")))
-
-    rows = F.transform(section, lambda s: clean_ocr_line(s["line"]))
-    return let(F.struct(F.coalesce(rows, none).alias("rows"), rows.isNotNull().alias("found")),
-               lambda p: let(grouped(p["rows"]), lambda g: F.struct(
-                   g["events"].alias("events"), g["stray"].alias("stray"), p["found"].alias("found"))))
+    head = f"\n{SECTION_HEADER}\n"
+
+    def section(t: Column) -> Column:
+        """The lines of the section, a line feed before each; null without a header."""
+        after = F.substr(t, F.instr(t, head) + len(head) - 1)
+        return F.when(t.contains(head), F.substring_index(after, f"\n{SECTION_END}", 1))
+
+    def grouped(parts: Column) -> Column:
+        return F.struct(
+            F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), lambda e: F.replace(e, F.lit("\n"), F.lit(" | "))).alias("events"),
+            F.when(parts[0] == "", none).otherwise(F.split(F.substr(parts[0], F.lit(2)), "\n")).alias("stray"), F.lit(True).alias("found"))
+
+    def events(s: Column) -> Column:
+        """Events begin at a blank after a line feed, which no trimmed line has."""
+        marked = F.regexp_replace(clean_ocr_lines(s), f"(?md)^(?={_FIRST_LINE})", " ")
+        return F.when(s.isNotNull(), let(F.split(marked, "\n "), grouped)).otherwise(
+            F.struct(none.alias("events"), none.alias("stray"), F.lit(False).alias("found")))
+
+    whole = F.concat(F.lit("\n"), F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit(f"\n{SECTION_END}"))
+    return let(let(whole, section), events)
 
 
 def extract_events(pages: DataFrame, keys: list[str], text_col: str) -> DataFrame:

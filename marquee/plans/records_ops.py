@@ -37,8 +37,11 @@ _EVENT_SQL = f"""
 
 
 def _event_strings(spark, sf):
+    # the patterns take far more time than the bytes suggest by which files are split and partitions put together:
+    # several even tasks per core, by the key that the joins and the pages need anyway
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-                                             "l_returnflag", "l_linestatus")
+                                             "l_returnflag", "l_linestatus").repartition(tasks, "l_orderkey")
     x = (li.join(table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size"),
                  F.col("l_partkey") == F.col("p_partkey"))
          .join(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
@@ -116,8 +119,7 @@ def q48_page_records(spark, sf):
     matter around the section, a stray line in front of the first event on
     some pages, pages without the section; every line a record or a reason."""
     ev = _event_strings(spark, sf)
-    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "event_text"))),
-                                    lambda s: F.replace(s["event_text"], F.lit(" | "), F.lit("\n"))), "\n")
+    body = F.replace(F.array_join(F.sort_array(F.collect_list(F.struct("at", "event_text")))["event_text"], "\n"), F.lit(" | "), F.lit("\n"))
     pages = ev.groupBy("l_orderkey").agg(body.alias("body")) \
         .join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus"), "l_orderkey")
     head = F.when(F.col("o_orderstatus") == "P", F.lit("TOP ALBUMS")).otherwise(F.lit(records.SECTION_HEADER))
