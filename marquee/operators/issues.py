@@ -12,6 +12,10 @@ and joins that cut anywhere:
   to the next one that can be rank r + 1; the chain from rank 1 is marked by pointer
   doubling, in as many rounds as its length has binary digits.
 
+That writes every line several times.  Tours of files of up to ``FOLDED`` lines are
+therefore read in one pass: their lines come together once (not at all where the input
+is dealt out by its keys already) and are folded as one array of bounded size.
+
 A record takes at most ``MAX_LINES`` lines from its first; lines further on,
 lines before the first record and lines behind the cut of a section's last tour
 stay as rows with a reason.  Lines outside of sections are no part of the result.
@@ -22,12 +26,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.text import clean_ocr_line
+from marquee.functions.text import clean_ocr_line, let
 from marquee.operators import lines, records
 from marquee.session import cut_lineage
 
 MAX_LINES = 200
-FOLDED = 2048   # lines with a rank up to which a section is one array: bounds the array and the fold over it
+FOLDED = 8192   # lines of a file, or lines with a rank of a section, up to which they are one array: bounds the array and the fold over it
 
 
 def _is_end(line: Column) -> Column:
@@ -126,7 +130,74 @@ def _doubled(c: DataFrame, section: list[str]) -> DataFrame:
             *section, "at", "rank", F.col("_far").alias("_to"), F.col("_far_rank").alias("_to_rank")))
 
 
-def issue_tours(df: DataFrame, keys: list[str], order: str = "line_no", line: str = "line", sections: dict[str, str] | None = None) -> DataFrame:
+def _is_rank(number: Column, rank: Column) -> Column:
+    """The number of a line is ``rank``, or ``rank`` with one misread digit on either side."""
+    want, size = rank.cast("string"), F.length(number)
+    return (number == want) | (F.substr(number, F.lit(2)) == want) | (F.left(number, size - 1) == want) | (F.substr(number, F.lit(2), size - 2) == want)
+
+
+def _short_tours(d: DataFrame, keys: list[str], order: str, line: str, head: Column) -> DataFrame:
+    """Tours and loose lines of files that are one array each: keys, _name, rank, first_line, raw, _last, _why."""
+    number = F.when(F.length(line) > 15, F.nullif(F.regexp_extract(line, records.RANK_LINE, 1), F.lit("")))
+    for k in keys:   # lines of no file are no tours
+        number = F.when(F.col(k).isNotNull(), number)
+    one = F.struct(F.col(order).cast("long").alias("at"), F.col(line).alias("line"), head.alias("name"), _is_end(F.col(line)).alias("ends"), number.alias("number"))
+    files = d.filter(F.col(order).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("_rows"))
+    # A mark is the place of a line that opens something, and one more than the number of the mark of its heading (0
+    # outside of sections): a tour's rank is its distance from that mark.  The state is copied for every line, so marks are numbers.
+    state = lambda head, at, marks: F.struct(head.alias("head"), at.alias("at"), marks.alias("marks"))
+
+    def step(acc, s):
+        n = F.size(acc["marks"])
+        noted = lambda head: state(head, s["at"], F.array_append(acc["marks"], F.shiftleft(s["i"].cast("long"), 32) + head))
+        opens = (acc["head"] > 0) & s["number"].isNotNull() & (s["at"] > acc["at"])
+        return F.when(s["name"].isNotNull() & (s["at"] >= 0), noted(n + 1)).when(s["name"].isNotNull() | s["ends"], noted(F.lit(0))) \
+            .when(opens & _is_rank(s["number"], n + 1 - acc["head"]), noted(acc["head"])).otherwise(acc)
+
+    start = state(F.lit(0), F.lit(-(1 << 63)), F.array().cast("array<bigint>"))
+    some = F.filter(F.transform("_rows", lambda s, i: F.struct(i.alias("i"), s["at"].alias("at"), s["name"].alias("name"), s["ends"].alias("ends"), s["number"].alias("number"))),
+                    lambda s: s["name"].isNotNull() | s["ends"] | s["number"].isNotNull())
+    files = files.withColumn("_marks", F.aggregate(some, start, step)["marks"])
+    place, heading = lambda m: F.shiftright(m, 32).cast("int"), lambda m: m.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    # a heading or a tour has the lines up to the next mark
+    part = F.transform("_marks", lambda m, j: let(F.get("_marks", j + 1), lambda after: F.when(heading(m) > 0, F.struct(
+        F.get("_rows", place(F.get("_marks", heading(m) - 1)))["name"].alias("name"), (j + 1 - heading(m)).alias("rank"),
+        (after.isNull() | (heading(after) != heading(m))).alias("last"),
+        F.slice("_rows", place(m) + 1, F.coalesce(place(after), F.size("_rows")) - place(m)).alias("rows")))))
+    parts = files.select(*keys, F.explode(F.array_compact(part)).alias("_p")).select(*keys, "_p.*")
+    first, tour = F.get("rows", 0)["at"], F.col("rank") > 0
+    parts = parts.withColumn("_first", first).withColumn("_far", F.when(tour, F.element_at("rows", -1)["at"] >= first + MAX_LINES).otherwise(F.lit(False)))
+    near = F.when(F.col("_far"), F.filter("rows", lambda s: s["at"] < F.col("_first") + MAX_LINES)).otherwise(F.col("rows"))
+    raw = F.concat(F.col("rank").cast("string"), F.regexp_replace(F.array_join(near["line"], " "), "^[^A-Za-z0-9]?[0-9]+", ""))
+    row = lambda at, rank, text, why: F.struct(at.alias("first_line"), rank.alias("rank"), text.alias("raw"), why.alias("_why"))
+    no_rank, no_why = F.lit(None).cast("int"), F.lit(None).cast("string")
+    loose = lambda rows, why: F.transform(rows, lambda s: row(s["at"], no_rank, s["line"], F.lit(why)))
+    whole = F.array(row(F.col("_first"), F.col("rank"), raw, no_why))
+    far = loose(F.filter("rows", lambda s: s["at"] >= F.col("_first") + MAX_LINES), f"over {MAX_LINES} lines of a record")
+    out = F.when(F.col("_far"), F.concat(whole, far)).when(tour, whole).otherwise(loose(F.filter("rows", lambda s: s["at"] != F.col("_first")), "before the first record"))
+    return parts.select(*keys, F.col("name").alias("_name"), F.col("last").alias("_last"), F.explode(out).alias("_r")).select(*keys, "_name", "_last", "_r.*")
+
+
+def _long_tours(d: DataFrame, keys: list[str], order: str, line: str, head: Column) -> DataFrame:
+    """As ``_short_tours``, for files of any length: no file or section is one array."""
+    d = cut_lineage(_sections(d, keys, order, head, _is_end(F.col(line))))
+    opened = _chain(d, keys, order, line)
+    d = d.join(opened.withColumnRenamed("at", order), [*keys, "_head", order], "left")
+    rest = F.regexp_replace(line, "^[^A-Za-z0-9]?[0-9]+", "")
+    d = d.withColumn(line, F.when(F.col("rank").isNotNull(), F.concat(F.col("rank").cast("string"), rest)).otherwise(F.col(line)))
+    d = d.withColumn("_mark", F.when(F.col("rank").isNotNull(), F.col(order).cast("long")))
+    d = lines.forward_fill(d, [*keys, "_head"], order, "_mark", "_open")
+    whole, loose = _records(d, [*keys, "_head", "_name"], order, line, " ")
+    last = opened.groupBy(*keys, "_head").agg(F.max("rank").alias("_to"))
+    tours = whole.join(opened.select(*keys, "_head", F.col("at").alias("first_line"), "rank"), [*keys, "_head", "first_line"]) \
+        .join(last, [*keys, "_head"]).withColumn("_last", F.col("rank") == F.col("_to")).withColumn("_why", F.lit(None).cast("string"))
+    loose = loose.withColumn("rank", F.lit(None).cast("int")).withColumn("_last", F.lit(False)).withColumnRenamed("reason", "_why")
+    cols = [*keys, "_name", "_last", "first_line", "rank", "raw", "_why"]
+    return tours.select(*cols).unionByName(loose.select(*cols))
+
+
+def issue_tours(df: DataFrame, keys: list[str], order: str = "line_no", line: str = "line", sections: dict[str, str] | None = None,
+                sizes: DataFrame | None = None) -> DataFrame:
     """Lines of whole issues -> keys, size, rank, first_line, raw, tour, reason.
 
     Sections begin at their heading and end at the next one or at a copyright
@@ -134,28 +205,30 @@ def issue_tours(df: DataFrame, keys: list[str], order: str = "line_no", line: st
     has the rule); every other line belongs to the tour before it.  The last
     tour of a section is cut behind its first asterisk, where other matter of the
     page may follow it; the matter stays as a row with a reason.
+
+    ``sizes`` (keys, lines), where it is cheaper than a count of ``df``: about how many lines a file has.
     """
     d = df.select(*keys, order, F.trim(F.translate(F.col(line), "»", "")).alias(line))
     heads = F.create_map(*[F.lit(x) for kv in (sections or records.TOUR_SECTIONS).items() for x in kv])
-    d = cut_lineage(_sections(d, keys, order, heads[F.col(line)], _is_end(F.col(line))))
-    opened = _chain(d, keys, order, line)
-    d = d.join(opened.withColumnRenamed("at", order), [*keys, "_head", order], "left")
-    rest = F.regexp_replace(line, "^[^A-Za-z0-9]?[0-9]+", "")
-    d = d.withColumn(line, F.when(F.col("rank").isNotNull(), F.concat(F.col("rank").cast("string"), rest)).otherwise(F.col(line)))
-    d = d.withColumn("_mark", F.when(F.col("rank").isNotNull(), F.col(order).cast("long")))
-    d = lines.forward_fill(d, [*keys, "_head"], order, "_mark", "_open")
-    whole, loose = _records(d, [*keys, "_head", "_name"], order, line, " ")
-    last = opened.groupBy(*keys, "_head").agg(F.max("rank").alias("_last"))
-    tours = whole.join(opened.select(*keys, "_head", F.col("at").alias("first_line"), "rank"), [*keys, "_head", "first_line"]) \
-        .join(last, [*keys, "_head"])
-    behind = F.when((F.col("rank") == F.col("_last")) & F.col("raw").contains("*"), F.trim(F.substr("raw", F.instr("raw", "*") + 1)))
-    tours = tours.withColumn("_behind", F.coalesce(behind, F.lit(""))) \
-        .withColumn("raw", F.when(F.col("_behind") != "", F.concat(F.substring_index("raw", "*", 1), F.lit("*"))).otherwise(F.col("raw")))
-    tours = cut_lineage(tours)
-    parsed = records.parse_tour_lines(tours, "raw").withColumnRenamed("tour_error", "reason")
-    none = F.lit(None).cast(parsed.schema["tour"].dataType)
-    matter = tours.filter("_behind <> ''").select(*keys, "_name", "first_line", F.col("_behind").alias("raw"), F.lit("behind the last tour").alias("reason"))
-    loose = loose.select(*keys, "_name", "first_line", "raw", "reason").unionByName(matter) \
-        .withColumn("rank", F.lit(None).cast("int")).withColumn("tour", none)
-    cols = [*keys, F.col("_name").alias("size"), "rank", "first_line", "raw", "tour", "reason"]
-    return parsed.select(*cols).unionByName(loose.select(*cols))
+    head = heads[F.col(line)]
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("lines")) if sizes is None else sizes
+    large = cut_lineage(sizes.filter(F.col("lines") > FOLDED).select(*keys, F.lit(True).alias("_large")).distinct())
+    if large.isEmpty():
+        every = _short_tours(d, keys, order, line, head)
+    else:   # at most one file of each FOLDED lines is large
+        same = F.lit(True)
+        for k in keys:
+            same = same & d[k].eqNullSafe(large[k])
+        part = lambda how: d.join(F.broadcast(large), same, how)
+        every = _short_tours(part("left_anti"), keys, order, line, head).unionByName(_long_tours(part("left_semi"), keys, order, line, head))
+    behind = F.when(F.col("_last") & F.col("rank").isNotNull() & F.col("raw").contains("*"), F.trim(F.substr("raw", F.instr("raw", "*") + 1)))
+    every = every.withColumn("_behind", F.coalesce(behind, F.lit("")))
+    # each row once, and for the last tours their matter
+    twice = F.when(F.col("_behind") != "", F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    every = every.withColumn("_matter", F.explode(twice))
+    cut = F.when(F.col("_behind") != "", F.concat(F.substring_index("raw", "*", 1), F.lit("*"))).otherwise(F.col("raw"))
+    every = every.withColumn("raw", F.when(F.col("_matter"), F.col("_behind")).otherwise(cut)) \
+        .withColumn("rank", F.when(~F.col("_matter"), F.col("rank"))).withColumn("_why", F.when(F.col("_matter"), F.lit("behind the last tour")).otherwise(F.col("_why")))
+    parsed = records.parse_tour_lines(every.withColumn("_tour_line", F.when(F.col("_why").isNull(), F.col("raw"))), "_tour_line")
+    return parsed.select(*keys, F.col("_name").alias("size"), "rank", "first_line", "raw", F.when(F.col("_why").isNull(), F.col("tour")).alias("tour"),
+                         F.coalesce("_why", "tour_error").alias("reason"))

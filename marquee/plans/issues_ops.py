@@ -35,9 +35,12 @@ def q57_issue_tours(spark, sf):
     before the first tour, matter behind the last one and behind the section's
     end; every tour a record with its venue size, or a reason."""
     part = table(spark, sf, "part").select("p_partkey", "p_name")
-    li = table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    items = table(spark, sf, "lineitem")
+    # what the lines are made of comes together once, by issue
+    li = items.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_suppkey", "l_linestatus", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate", "p_name").repartition("l_suppkey")
     n = Window.partitionBy("l_suppkey", "l_linestatus").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    x = li.withColumn("k", F.row_number().over(n))
+    x = li.withColumn("k", F.row_number().over(n)).withColumn("last", F.lead(F.lit(True)).over(n).isNull())
     t = lambda c: c.cast("string")
     k, flag, months = t(F.col("k")), F.col("l_returnflag"), F.array(*[F.lit(m) for m in records.TOUR_MONTHS])
     rank = F.when(flag == "R", F.concat(F.lit("7"), k)).when(F.col("l_partkey") % 4 == 0, F.concat(F.lit("*"), k, F.lit("1"))).otherwise(k)
@@ -46,21 +49,22 @@ def q57_issue_tours(spark, sf):
     sales = F.when(F.col("l_partkey") % 10 == 0, F.lit("none")).otherwise(F.concat(
         t(F.col("l_quantity").cast("bigint")), F.lit(",000 $8.50 $"), F.format_string("%,d", F.floor("l_extendedprice")), F.when(flag == "N", F.lit("*")).otherwise(F.lit(""))))
     other = F.when(flag == "A", F.concat(t(F.col("k") + 30000), F.lit(" | is not the next rank")))
-    base = F.when(F.col("l_linestatus") == "O", F.lit(0)).otherwise(F.lit(1 << 40)).cast("long")
-    body = x.select("l_suppkey", base.alias("base"), "k", F.posexplode(F.array_compact(F.array(opening, F.concat_ws(" ", date, sales), other))).alias("i", "line")) \
-        .select("l_suppkey", (F.col("base") + 10 * F.col("k") + F.col("i")).alias("line_no"), "line")
+    status, at = F.col("l_linestatus"), 10 * F.col("k")
+    base = F.when(status == "O", F.lit(0)).otherwise(F.lit(1 << 40)).cast("long")
     heads = {name: head for head, name in records.TOUR_SECTIONS.items()}
-    around = {"O": [(0, heads["Arena"]), (1, "a note under the heading")],
-              "F": [(0, heads["Auditorium"]), (-7, "AN ADVERTISEMENT"), (-8, "Copyrighted and compiled by the chart department"),
-                    (-9, "1 | NOT A TOUR — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000")]}   # below 0: behind the last tour
-    matter = li.groupBy("l_suppkey", "l_linestatus").agg((10 * F.count("*")).alias("last")).withColumn("base", base)
-    extra = None
-    for status, rows in around.items():
-        one = matter.filter(F.col("l_linestatus") == status).select("l_suppkey", "base", "last", F.explode(F.array(*[
-            F.struct(F.lit(i).cast("long").alias("i"), F.lit(s).alias("line")) for i, s in rows])).alias("r"))
-        one = one.select("l_suppkey", (F.col("base") + F.when(F.col("r.i") < 0, F.col("last") - F.col("r.i")).otherwise(F.col("r.i"))).alias("line_no"), "r.line")
-        extra = one if extra is None else extra.unionByName(one)
-    got = issues.issue_tours(body.unionByName(extra), ["l_suppkey"])
+    rows = lambda *some: F.array(*[F.struct(no.cast("long").alias("no"), text.alias("line")) for no, text in some])
+    fixed = lambda *some: rows(*[(no, F.lit(text)) for no, text in some])
+    before = F.when((F.col("k") == 1) & (status == "O"), fixed((F.lit(0), heads["Arena"]), (F.lit(1), "a note under the heading"))) \
+        .when((F.col("k") == 1) & (status == "F"), fixed((F.lit(0), heads["Auditorium"])))
+    behind = F.when(F.col("last") & (status == "F"), fixed(
+        (at + 7, "AN ADVERTISEMENT"), (at + 8, "Copyrighted and compiled by the chart department"), (at + 9, "1 | NOT A TOUR — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000")))
+    own = F.transform(F.array_compact(F.array(opening, F.concat_ws(" ", date, sales), other)), lambda text, i: F.struct((at + i).cast("long").alias("no"), text.alias("line")))
+    none = F.array().cast("array<struct<no:bigint,line:string>>")
+    # most rows have no lines but their own
+    body = x.select("l_suppkey", base.alias("base"), F.explode(F.when(before.isNull() & behind.isNull(), own).otherwise(
+        F.concat(F.coalesce(before, none), own, F.coalesce(behind, none)))).alias("r")).select("l_suppkey", (F.col("base") + F.col("r.no")).alias("line_no"), "r.line")
+    sizes = items.groupBy("l_suppkey").agg((3 * F.count("*") + 6).alias("lines"))   # a row has three lines at most
+    got = issues.issue_tours(body, ["l_suppkey"], sizes=sizes)
     name = F.when(F.col("rank").isNull(), F.col("raw")).otherwise(F.col("tour.artist"))
     return got.select("l_suppkey", "size", "rank", name.alias("artist"), "reason", "tour.month_1", "tour.first_day", "tour.tickets_sold",
                       "tour.gross_receipts", "tour.was_sold_out")

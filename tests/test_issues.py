@@ -144,3 +144,32 @@ def test_few_tables_are_written(spark, monkeypatch):
     rows = [(0, HEADS[1])] + [(k, f"{k} | DIO {k} — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000") for k in range(1, 301)]
     got = issues.issue_tours(spark.createDataFrame(rows, "line_no long, line string"), [])
     assert got.where("rank is not null and reason is null").count() == 300 and len(written) <= 4
+
+
+@pytest.mark.parametrize("folded", [40, 8192])
+def test_long_and_short_files_agree(spark, monkeypatch, folded):
+    """Files read as one array and files beyond that: all rows and reasons, with far lines, matter and lines of no file."""
+    monkeypatch.setattr(issues, "FOLDED", folded)
+    rnd = random.Random(5)
+    files = {f: random_lines(rnd, 30 * (f + 1)) for f in range(3)}
+    files[3] = [(0, HEADS[0]), (1, "a note under it"), (2, "1 | DIO — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000* AN ADVERT"), (150, "near"), (202, "far off"), (203, HEADS[1]),
+                (204, "71 | RATT — Avalon, Hall, Tampa,"), (205, "May 1 1,000 8.00 8,000* more"), (206, END), (207, "2 | RATT — not a tour here")]
+    none = [(0, HEADS[0]), (1, "1 | DIO — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000")]
+    df = spark.createDataFrame([(f, no, t) for f, rows in [*files.items(), (None, none)] for no, t in rows], "file int, line_no long, line string").repartition(5)
+    got = issues.issue_tours(df, ["file"]).collect()
+    for f, rows in files.items():
+        assert f == 3 or sorted((r.first_line, r.size, r["rank"], r.raw) for r in got if r.file == f and r["rank"]) == tours_by_loop(rows)[0]
+    assert sorted((r.first_line, r["rank"] or 0, r.raw, r.reason) for r in got if r.file == 3) == [
+        (1, 0, "a note under it", "before the first record"), (2, 0, "AN ADVERT near", "behind the last tour"),
+        (2, 1, "1 | DIO — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000*", None), (202, 0, "far off", "over 200 lines of a record"),
+        (204, 0, "more", "behind the last tour"), (204, 1, "1 | RATT — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000*", None)]
+    assert [(r.first_line, r["rank"], r.reason, r.tour) for r in got if r.file is None] == [(1, None, "before the first record", None)]
+
+
+def test_lines_are_dealt_out_once(spark):
+    """Issues that lie together already are not shuffled or written again, however many steps their tours take."""
+    rows = [(f, no, t) for f in range(40) for no, t in random_lines(random.Random(f), 50)]
+    df = spark.createDataFrame(rows, "file int, line_no long, line string").repartition(4, "file")
+    got = issues.issue_tours(df, ["file"], sizes=df.groupBy("file").count().withColumnRenamed("count", "lines"))
+    assert got.where("rank is not null").count() > 40
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
