@@ -172,6 +172,75 @@ def fuzzy_candidates(df: DataFrame, text: str, block: list[str], dim: DataFrame,
     return df.join(full, cond).drop(*names, "_t")
 
 
+# Parts that texts of one length are cut into to find those that differ in two characters.
+PARTS = 6
+# Names of the first batch that is decided; each batch after it has as many as all before.
+FIRST_NAMES = 100_000
+
+
+def _pairs_of(groups: DataFrame, rows: str, differ=None) -> DataFrame:
+    """Arrays of struct<id, ...> -> (_id, _oid): each member with the earlier ones of its group; ``differ(x, y)``: which count."""
+    each = groups.filter(F.size(rows) > 1).select(rows, F.explode(rows).alias("_me"))
+    earlier = F.filter(rows, lambda x: (x["id"] < F.col("_me.id")) & (F.lit(True) if differ is None else differ(x, F.col("_me"))))
+    return each.select(F.col("_me.id").alias("_id"), F.explode(F.transform(earlier, lambda x: x["id"])).alias("_oid"))
+
+
+def _two_edits_same_length(names: DataFrame, block: list[str], text: str) -> DataFrame:
+    """(_id, _oid): all pairs of a block that have one length and lie within two edits.
+
+    Such texts are equal after one deletion in each, or differ in two characters.  For the
+    latter no text meets by each two of its characters: first the texts that are equal
+    outside of two of ``PARTS`` parts (or of one) come together.  Most have no other there, or one of the two parts
+    is the same in all of them (a common prefix, a usual word) and they differ in the other part only, which comes up by
+    itself; what is left meets by the rest after one character of each part, without being dealt out again.  What
+    meets is within two edits: nothing is compared."""
+    t, n = F.col(text), F.length(text)
+    char = lambda c, i: F.substr(c, i, F.lit(1))
+    without = lambda c, i: F.concat(F.substr(c, F.lit(1), i - 1), F.substr(c, i + 1))
+    p, q = F.col("_p"), F.col("_q")
+    one = names.filter(n > 0).withColumn("_p", F.explode(F.sequence(F.lit(1), n))).filter((p == 1) | (char(t, p) != char(t, p - 1)))
+    one = one.select(*block, without(t, p).alias("_rest"), "_id").repartition(*block, "_rest") \
+        .groupBy(*block, "_rest").agg(F.collect_list(F.struct(F.col("_id").alias("id"))).alias("_rows"))
+
+    at = lambda i: F.floor(i * n / PARTS).cast("int")
+    part = lambda i: F.substr(t, at(i) + 1, at(i + 1) - at(i))
+    cuts = F.array(*[F.struct(F.lit(i * PARTS + j).alias("_cut"), (part(i) if i < j else F.lit("")).alias("_x"), part(j).alias("_y"), F.concat(
+        F.substr(t, F.lit(1), at(i)), F.substr(t, at(i + 1) + 1, at(j) - at(i + 1)) if i < j else F.lit(""), F.substr(t, at(j + 1) + 1)).alias("_far"))
+        for i in range(PARTS) for j in range(i, PARTS)])
+    c = names.select(*block, "_id", n.alias("_n"), F.explode(cuts).alias("_c")).select(*block, "_id", "_n", "_c.*")
+    x, y, alone, far = F.col("_x"), F.col("_y"), F.col("_cut") % (PARTS + 1) == 0, [*block, "_n", "_cut", "_far"]
+    c = c.filter((F.length(y) > F.when(alone, 1).otherwise(0)) & (alone | (F.length(x) > 0))).repartition(*far)
+    same = Window.partitionBy(*far)
+    several = lambda part: F.min(part).over(same) != F.max(part).over(same)
+    c = c.withColumn("_some_x", several(x)).withColumn("_some_y", several(y)).filter(F.col("_some_y") & (F.col("_some_x") | alone))
+    # a part alone: two of its characters; two parts: one of each
+    c = c.withColumn("_q", F.explode(F.sequence(F.lit(1), F.length(y))))
+    c = c.withColumn("_p", F.explode(F.when(alone, F.when(q > 1, F.sequence(F.lit(1), q - 1))).otherwise(F.sequence(F.lit(1), F.length(x)))))
+    rest = F.when(alone, without(without(y, q), p)).otherwise(F.concat(without(x, p), without(y, q)))
+    c = c.select(*far, "_p", "_q", rest.alias("_rest"), F.struct(F.col("_id").alias("id"), char(F.when(alone, y).otherwise(x), p).alias("x"), char(y, q).alias("y")).alias("_row"))
+    two = c.groupBy(*far, "_p", "_q", "_rest").agg(F.collect_list("_row").alias("_rows"))
+    return _pairs_of(one, "_rows").unionByName(_pairs_of(two, "_rows", lambda x, y: (x["x"] != y["x"]) & (x["y"] != y["y"])))
+
+
+def _two_edits(names: DataFrame, block: list[str], min_len: int, len_on: str) -> DataFrame:
+    """Names (block, _t, _id) -> (_id, _oid): all pairs of a block within two edits, the later id first; a pair may come up several times."""
+    n = F.length("_t")
+    for b in block:   # a name of no block is near no other
+        names = names.filter(F.col(b).isNotNull())
+    pairs = _two_edits_same_length(names.filter((n <= SHORT) & (n >= min_len)), block, "_t")
+    sizes = names.select(*block, n.alias("_n")).distinct()
+    near = sizes.withColumn("_n", F.explode(F.array(*[F.col("_n") + d for d in (-2, -1, 1, 2)]))).distinct().withColumn("_near", F.lit(True))
+    # texts that may be near one of another length, and long ones
+    odd = names.withColumn("_n", n).join(near, [*block, "_n"], "left").filter(F.col("_near") | (F.col("_n") > SHORT)).select(*block, "_t", "_id")
+    if odd.isEmpty():
+        return pairs
+    other = odd.withColumnsRenamed({"_t": "_dt", "_id": "_oid"})
+    met = _meeting(odd.drop("_id"), other.drop("_oid"), block, 2).filter((F.length("_t") != F.length("_dt")) | (F.length("_t") > SHORT)).distinct()
+    met = met.filter((F.length("_dt" if len_on == "kept" else "_t") >= min_len) & (F.levenshtein("_t", "_dt", 2) >= 0))
+    met = met.join(odd, [*block, "_t"]).join(other, [*block, "_dt"]).filter(F.col("_oid") < F.col("_id"))
+    return pairs.unionByName(met.select("_id", "_oid"))
+
+
 def collapse_near(df: DataFrame, text: str, block: list[str], order: list[str], max_dist: int = 2,
                   min_len: int = 0, len_on: str = "kept") -> DataFrame:
     """New names to the ones that stay: (block, text, kept), as if they came in one by one.
@@ -182,31 +251,43 @@ def collapse_near(df: DataFrame, text: str, block: list[str], order: list[str],
     name the first row counts.  ``min_len`` is the least length of the name
     that stays (``len_on='kept'``) or of the one that folds (``'folded'``).
 
-    Rounds over the pairs of near names: a name that is in no pair the later one
-    stays, its later neighbours fold, and pairs with a folded name vanish.  Each
-    round decides the first names of every group of pairs at least; the pairs
-    left are written out between rounds.
+    Names are numbered in their order and written once; pairs are pairs of numbers.
+    The first ``FIRST_NAMES`` names are decided among themselves, and what lies near those that stay folds; then as many again, and so
+    on: most names have folded by then and their pairs are never dealt out.  Within such a batch, rounds over the pairs of near
+    names: a name that is in no pair the later one stays, its later neighbours
+    fold, and pairs with a folded name vanish.  Each round decides the first names of
+    every group of pairs at least; the pairs left are written out between rounds.
     """
     rank = F.struct(*order, text)
     names = df.select(*block, text, rank.alias("_rank")).filter(F.col(text).isNotNull()).groupBy(*block, text).agg(F.min("_rank").alias("_rank"))
-    other = names.select(*[F.col(c).alias(f"_o_{c}") for c in block], F.col(text).alias("_o"), F.col("_rank").alias("_orank"))
-    near = fuzzy_candidates(names, text, block, other, "_o", [f"_o_{c}" for c in block], max_dist, keep=["_orank"]) \
-        .select(*block, text, F.col("_dt").alias("_o"), "_rank", "_orank").filter(F.col("_orank") < F.col("_rank"))
-    if min_len:
-        near = near.filter(F.length("_o" if len_on == "kept" else text) >= min_len)
+    keys = [f"_b{i}" for i in range(len(block))]
+    names = dense_ids(names, "_rank", 0, "_id").select(*[F.col(b).alias(k) for b, k in zip(block, keys)], F.col(text).alias("_t"), "_id")
+    names = cut_lineage(names)
+    if max_dist == 2:
+        near = _two_edits(names, keys, min_len, len_on)
+    else:
+        other = names.select(*[F.col(k).alias(f"_o{k}") for k in keys], F.col("_t").alias("_o"), F.col("_id").alias("_oid"))
+        near = fuzzy_candidates(names.withColumnRenamed("_t", "_name"), "_name", keys, other, "_o", [f"_o{k}" for k in keys], max_dist, keep=["_oid"]) \
+            .filter((F.col("_oid") < F.col("_id")) & (F.length("_dt" if len_on == "kept" else "_name") >= min_len)).select("_id", "_oid")
     near = cut_lineage(near)
-    key, earlier = [*block, text], [*block, "_o"]
-    as_earlier = lambda d: d.select(*block, F.col(text).alias("_o"))
-    left = near.select(*block, text, "_o")
-    folded = left.select(*key).limit(0)
-    while not left.isEmpty():
-        stay = left.select(*earlier).distinct().join(as_earlier(left).distinct(), earlier, "left_anti")
-        gone = cut_lineage(left.join(stay, earlier, "left_semi").select(*key).distinct())
-        folded = folded.unionByName(gone)
-        left = cut_lineage(left.join(gone, key, "left_anti").join(as_earlier(gone), earlier, "left_anti"))
-    into = near.join(as_earlier(folded), earlier, "left_anti").join(folded, key, "left_semi") \
-        .groupBy(*key).agg(F.min_by("_o", "_orank").alias("_into"))
-    return names.select(*key).join(into, key, "left").select(*key, F.coalesce("_into", text).alias("kept"))
+    as_earlier = lambda d: d.select(F.col("_id").alias("_oid"))
+    into, low, high, top = near.limit(0), 0, FIRST_NAMES, near.agg(F.max("_oid")).first()[0] or 0
+    while low < top:
+        # of the next names those that have not folded, and all that may fold into them
+        pairs = near.filter((F.col("_oid") > low) & (F.col("_oid") <= high))
+        pairs = cut_lineage(pairs.join(as_earlier(into.filter((F.col("_id") > low) & (F.col("_id") <= high))), "_oid", "left_anti"))
+        left = pairs.filter(F.col("_id") <= high)
+        folded = left.select("_id").limit(0)
+        while not left.isEmpty():
+            stay = left.select("_oid").distinct().join(as_earlier(left).distinct(), "_oid", "left_anti")
+            gone = cut_lineage(left.join(stay, "_oid", "left_semi").select("_id").distinct())
+            folded = folded.unionByName(gone)
+            left = cut_lineage(left.join(gone, "_id", "left_anti").join(as_earlier(gone), "_oid", "left_anti"))
+        into = into.unionByName(cut_lineage(pairs.join(as_earlier(folded), "_oid", "left_anti").groupBy("_id").agg(F.min("_oid").alias("_oid"))))
+        low, high = high, 2 * high
+    into = into.groupBy("_id").agg(F.min("_oid").alias("_oid"))
+    into = into.join(names.select(F.col("_id").alias("_oid"), F.col("_t").alias("_into")), "_oid").select("_id", "_into")
+    return names.join(into, "_id", "left").select(*[F.col(k).alias(b) for b, k in zip(block, keys)], F.col("_t").alias(text), F.coalesce("_into", "_t").alias("kept"))
 
 
 def new_members(names: DataFrame, name_col: str, dim: DataFrame, slug_fn) -> DataFrame:

@@ -97,3 +97,54 @@ def test_keys_of_texts_are_not_broadcast(spark):
         met.collect()
         plan = met._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+@pytest.mark.parametrize("max_dist", [1, 2])
+def test_collapse_of_many_shapes(spark, max_dist):
+    """Names of one and of several lengths, below and above SHORT, blocks without a name or a key, keys called like inner columns."""
+    rnd = random.Random(max_dist)
+    base = ["", "a", "ab", "aabb", "Supplier#000000123", "0000000000", "x" * 31, "ab" * 16, "ab" * 17, "The Grand Old Opera House of Springfield"]
+    rows = [(rnd.randint(0, 40), i % 2, edited(rnd, t, rnd.randint(0, 3))) for t in base for i in range(14)]
+    rows += [(rnd.randint(0, 40), 2, "Hall" + "".join(rnd.choices("ab01", k=4)) + "Town") for _ in range(70)]   # one length only: changes and moves
+    df = spark.createDataFrame([*rows, (1, None, "abcd"), (2, None, "abce")], "_n int, x int, t string").repartition(3)
+    got = {(r.x, r.t): r.kept for r in conform.collapse_near(df, "t", ["x"], ["_n"], max_dist=max_dist).collect()}
+    stay, want = {}, {(None, "abcd"): "abcd", (None, "abce"): "abce"}
+    for _, b, t in sorted(rows, key=lambda r: (r[0], r[2])):
+        if (b, t) not in want:
+            near = [k for k in stay.setdefault(b, []) if distance(k, t) <= max_dist]
+            want[b, t] = near[0] if near else t
+            stay[b] += [] if near else [t]
+    assert got == want
+
+
+@pytest.mark.parametrize("first", [7])
+def test_collapse_in_batches(spark, monkeypatch, first):
+    """Names decided a few at a time are the same as one by one."""
+    monkeypatch.setattr(conform, "FIRST_NAMES", first)
+    rnd = random.Random(first)
+    rows = [(i, i % 2, "".join(rnd.choices("ab", k=rnd.randint(3, 9)))) for i in range(90)]
+    df = spark.createDataFrame(rows, "o int, b int, t string").repartition(4)
+    assert {(r.b, r.t): r.kept for r in conform.collapse_near(df, "t", ["b"], ["o"]).collect()} == one_by_one(rows)
+
+
+def test_names_meet_in_few_rows(spark, monkeypatch):
+    """Numbered names of one length: 40 rows of a name are dealt out, and only pairs of numbers are written."""
+    written = []
+    monkeypatch.setattr(conform, "cut_lineage", lambda d: written.append(d.columns) or d.checkpoint())
+    n = 3000
+    names = spark.range(n).selectExpr("concat('Supplier#', lpad(id, 9, '0')) as t", "id % 25 as b", "hash(id) as o")
+    got = conform.collapse_near(names, "t", ["b"], ["o"])
+    assert got.count() == n and got.where("t <> kept").count() > n / 2
+    assert [c for c in written if set(c) - {"_id", "_oid"}] == written[:2]
+    texts = names.selectExpr("b as _b0", "t as _t", "o as _id")
+    dealt = {}
+    pairs = conform._two_edits_same_length(texts, ["_b0"], "_t")
+    pairs.collect()
+    left = [pairs._jdf.queryExecution().executedPlan()]
+    while left:
+        p = left.pop()
+        if p.nodeName() == "Exchange":
+            dealt[p.canonicalized().hashCode()] = p.metrics().apply("shuffleRecordsWritten").value()
+        left += [p.executedPlan()] if p.nodeName() == "AdaptiveSparkPlan" else [p.plan()] if p.nodeName().endswith("QueryStage") else []
+        left += [p.children().apply(i) for i in range(p.children().size())]
+    assert 0 < sum(dealt.values()) <= 40 * n
