@@ -155,7 +155,9 @@ def _short_tours(d: DataFrame, keys: list[str], order: str, line: str, head: Col
             .when(opens & _is_rank(s["number"], n + 1 - acc["head"]), noted(acc["head"])).otherwise(acc)
 
     start = state(F.lit(0), F.lit(-(1 << 63)), F.array().cast("array<bigint>"))
-    some = F.filter(F.transform("_rows", lambda s, i: F.struct(i.alias("i"), s["at"].alias("at"), s["name"].alias("name"), s["ends"].alias("ends"), s["number"].alias("number"))),
+    # lines of one number are one place: what opens there opens at the first of them
+    place_of = lambda s, i: F.when(F.get("_rows", i - 1)["at"] == s["at"], F.array_position(F.col("_rows.at"), s["at"]).cast("int") - 1).otherwise(i)
+    some = F.filter(F.transform("_rows", lambda s, i: F.struct(F.when(s["number"].isNotNull(), place_of(s, i)).otherwise(i).alias("i"), s["at"].alias("at"), s["name"].alias("name"), s["ends"].alias("ends"), s["number"].alias("number"))),
                     lambda s: s["name"].isNotNull() | s["ends"] | s["number"].isNotNull())
     files = files.withColumn("_marks", F.aggregate(some, start, step)["marks"])
     place, heading = lambda m: F.shiftright(m, 32).cast("int"), lambda m: m.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
@@ -168,7 +170,10 @@ def _short_tours(d: DataFrame, keys: list[str], order: str, line: str, head: Col
     first, tour = F.get("rows", 0)["at"], F.col("rank") > 0
     parts = parts.withColumn("_first", first).withColumn("_far", F.when(tour, F.element_at("rows", -1)["at"] >= first + MAX_LINES).otherwise(F.lit(False)))
     near = F.when(F.col("_far"), F.filter("rows", lambda s: s["at"] < F.col("_first") + MAX_LINES)).otherwise(F.col("rows"))
-    raw = F.concat(F.col("rank").cast("string"), F.regexp_replace(F.array_join(near["line"], " "), "^[^A-Za-z0-9]?[0-9]+", ""))
+    ranked = lambda text: F.concat(F.col("rank").cast("string"), F.regexp_replace(text, "^[^A-Za-z0-9]?[0-9]+", ""))
+    opening = F.array_sort(F.transform(F.filter(near, lambda s: s["at"] == F.col("_first")), lambda s: ranked(s["line"])))
+    after = F.filter(near, lambda s: s["at"] > F.col("_first"))["line"]
+    raw = F.when(F.get("rows", 1)["at"] == F.col("_first"), F.array_join(F.concat(opening, after), " ")).otherwise(ranked(F.array_join(near["line"], " ")))
     row = lambda at, rank, text, why: F.struct(at.alias("first_line"), rank.alias("rank"), text.alias("raw"), why.alias("_why"))
     no_rank, no_why = F.lit(None).cast("int"), F.lit(None).cast("string")
     loose = lambda rows, why: F.transform(rows, lambda s: row(s["at"], no_rank, s["line"], F.lit(why)))

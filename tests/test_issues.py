@@ -154,15 +154,18 @@ def test_long_and_short_files_agree(spark, monkeypatch, folded):
     files = {f: random_lines(rnd, 30 * (f + 1)) for f in range(3)}
     files[3] = [(0, HEADS[0]), (1, "a note under it"), (2, "1 | DIO — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000* AN ADVERT"), (150, "near"), (202, "far off"), (203, HEADS[1]),
                 (204, "71 | RATT — Avalon, Hall, Tampa,"), (205, "May 1 1,000 8.00 8,000* more"), (206, END), (207, "2 | RATT — not a tour here")]
+    files[4] = [(0, HEADS[0]), (1, "zz of the same place"), (1, "1 | DIO — Avalon, Hall, Tampa,"), (2, "May 1 1,000 8.00 8,000"), (3, "a note"), (3, "2 | RATT — Avalon, Hall"), (4, "no more")]
     none = [(0, HEADS[0]), (1, "1 | DIO — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000")]
     df = spark.createDataFrame([(f, no, t) for f, rows in [*files.items(), (None, none)] for no, t in rows], "file int, line_no long, line string").repartition(5)
     got = issues.issue_tours(df, ["file"]).collect()
     for f, rows in files.items():
-        assert f == 3 or sorted((r.first_line, r.size, r["rank"], r.raw) for r in got if r.file == f and r["rank"]) == tours_by_loop(rows)[0]
+        assert f > 2 or sorted((r.first_line, r.size, r["rank"], r.raw) for r in got if r.file == f and r["rank"]) == tours_by_loop(rows)[0]
     assert sorted((r.first_line, r["rank"] or 0, r.raw, r.reason) for r in got if r.file == 3) == [
         (1, 0, "a note under it", "before the first record"), (2, 0, "AN ADVERT near", "behind the last tour"),
         (2, 1, "1 | DIO — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000*", None), (202, 0, "far off", "over 200 lines of a record"),
         (204, 0, "more", "behind the last tour"), (204, 1, "1 | RATT — Avalon, Hall, Tampa, May 1 1,000 8.00 8,000*", None)]
+    assert sorted((r.first_line, r["rank"], r.raw) for r in got if r.file == 4) == [
+        (1, 1, "1 | DIO — Avalon, Hall, Tampa, 1zz of the same place May 1 1,000 8.00 8,000"), (3, 2, "2 | RATT — Avalon, Hall 2a note no more")]
     assert [(r.first_line, r["rank"], r.reason, r.tour) for r in got if r.file is None] == [(1, None, "before the first record", None)]
 
 
